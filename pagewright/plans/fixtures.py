@@ -141,3 +141,120 @@ def fx_vocab_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fx_vocab_extra_sql() -> str:
     vals = ", ".join(f"('{a}', '{b}')" for a, b in FREQUENT_WORDS)
     return f"SELECT * FROM (VALUES {vals}) t(label, name) UNION ALL SELECT 'PART', p_name FROM part"
+
+
+# ---------------------------------------------------------------- P3 fixtures
+def _s(x: str) -> str:
+    return f"CAST({x} AS STRING)"
+
+
+STRUCTURE_SELECTS = {
+    "customer": [f"'C' || {_s('c_custkey')} AS neuronames_id", "c_name AS standard_name",
+                 "c_mktsegment AS standard_acronym", "'Structure ' || c_name AS definition",
+                 f"'http://brain.example/c' || {_s('c_custkey')} AS brain_info_url",
+                 "c_mktsegment AS structure_type", "CAST(c_custkey AS BIGINT) + 1000 AS ordinal"],
+    "nation": [f"'N' || {_s('n_nationkey')}", "n_name", "substr(n_name, 1, 3)", "'Nation ' || n_name",
+               f"'http://brain.example/n' || {_s('n_nationkey')}", "'nation'",
+               "CAST(n_nationkey AS BIGINT) + 100"],
+    "region": [f"'R' || {_s('r_regionkey')}", "r_name", "substr(r_name, 1, 3)", "'Region ' || r_name",
+               f"'http://brain.example/r' || {_s('r_regionkey')}", "'region'", "CAST(r_regionkey AS BIGINT)"],
+}
+# Parent links (one row per element of a structure's parents list).
+PARENT_SELECTS = [
+    ("customer", [f"'C' || {_s('c_custkey')} AS child_key", f"'N' || {_s('c_nationkey')} AS parent_key",
+                  "'nation ' || " + _s("c_nationkey") + " AS parent_name", "'geo' AS model_name",
+                  "'current' AS model_status", "CAST(c_custkey AS BIGINT) + 1000 AS ordinal", "0 AS pos"]),
+    ("customer", [f"'C' || {_s('c_custkey')}",
+                  f"CASE WHEN c_custkey % 5 = 4 THEN 'X' || {_s('c_custkey % 7')} "
+                  f"ELSE 'C' || {_s('CAST(FLOOR(c_custkey / 2) AS BIGINT)')} END",
+                  f"CASE WHEN c_custkey % 5 = 4 THEN 'Lost ' || {_s('c_custkey % 7')} ELSE 'parent' END",
+                  "'tree'", "'current'", "CAST(c_custkey AS BIGINT) + 1000", "1"]),
+    ("nation", [f"'N' || {_s('n_nationkey')}",
+                f"CASE WHEN n_nationkey % 5 = 4 THEN 'Z' || {_s('n_nationkey')} ELSE 'R' || {_s('n_regionkey')} END",
+                "'region'", "'geo'", "'current'", "CAST(n_nationkey AS BIGINT) + 100", "0"]),
+]
+SYNONYM_SELECT = [f"'C' || {_s('p_partkey')} AS owner_key", "'en' AS synonym_language",
+                  "CASE p_partkey % 3 WHEN 0 THEN 'human' WHEN 1 THEN 'mouse' ELSE 'rat' END AS organism",
+                  "p_name AS synonym_name", "p_brand AS synonym_source", "p_type AS source_title",
+                  f"CASE WHEN p_partkey % 7 = 0 THEN 'n/a' ELSE {_s('p_size')} END AS pubmed_hits"]
+UPDATE_SELECT = ["o_custkey AS key", "o_orderkey AS ordinal", "o_orderstatus || '-' || o_orderpriority AS value",
+                 "o_orderdate < TIMESTAMP '1995-01-01 00:00:00' AS is_old"]
+CLASS_SELECT = ["p_type AS concept_class_id", "p_brand AS name", "p_name AS description",
+                "p_size AS display_order", "p_partkey AS concept_ordinal", "0 AS pos"]
+REL_SELECT = [f"'P' || {_s('l_partkey')} AS concept_id", f"'S' || {_s('l_suppkey')} AS related_concept_id",
+              "l_returnflag AS relationship", "l_linestatus AS direction",
+              "l_orderkey * 8 + l_linenumber AS pos", "l_partkey"]
+CONTRAST_SELECT = [f"'P' || {_s('l_partkey')} AS concept_id", f"'S' || {_s('l_suppkey')} AS task_id",
+                   "'contrast ' || l_returnflag AS relationship", "l_orderkey * 8 + l_linenumber AS pos",
+                   "l_partkey", "l_quantity"]
+CONCEPT_JSON = (
+    f"CASE event_id % 3 WHEN 0 THEN '{{\"id\": \"e' || {_s('event_id')} || '\", \"name\": \"' || event_type || "
+    f"'\", \"id_concept_class\": \"' || {_s('user_id')} || '\"}}' "
+    f"WHEN 1 THEN '{{\"id\": \"e' || {_s('event_id')} || '\", \"definition_text\": \"' || event_type || '\"}}' "
+    f"ELSE '{{\"id\": \"e' || {_s('event_id')} || '\", \"name\": null, \"id_concept_class\": null}}' END AS js")
+
+
+def _union(spark, sf_dir, pieces):
+    from functools import reduce
+    dfs = [read_table(spark, sf_dir, t).selectExpr(*sel) for t, sel in pieces]
+    return reduce(lambda a, b: a.union(b), dfs)
+
+
+def _union_sql(pieces):
+    return " UNION ALL ".join(f"SELECT {', '.join(sel)} FROM {t}" for t, sel in pieces)
+
+
+def fx_structures(spark, sf_dir):
+    return _union(spark, sf_dir, list(STRUCTURE_SELECTS.items()))
+
+
+def fx_structures_cte():
+    return f"fx_structures AS ({_union_sql(list(STRUCTURE_SELECTS.items()))})"
+
+
+def fx_parents(spark, sf_dir):
+    return _union(spark, sf_dir, PARENT_SELECTS)
+
+
+def fx_parents_cte():
+    return f"fx_parents AS ({_union_sql(PARENT_SELECTS)})"
+
+
+def fx_synonyms(spark, sf_dir):
+    return read_table(spark, sf_dir, "part").selectExpr(*SYNONYM_SELECT)
+
+
+def fx_synonyms_cte():
+    return cte("fx_synonyms", SYNONYM_SELECT, "part")
+
+
+def fx_updates(spark, sf_dir):
+    return read_table(spark, sf_dir, "orders").selectExpr(*UPDATE_SELECT)
+
+
+def fx_updates_cte():
+    return cte("fx_updates", UPDATE_SELECT, "orders")
+
+
+def fx_classes(spark, sf_dir):
+    return read_table(spark, sf_dir, "part").selectExpr(*CLASS_SELECT)
+
+
+def fx_classes_cte():
+    return cte("fx_classes", CLASS_SELECT, "part")
+
+
+def fx_relationships(spark, sf_dir):
+    return read_table(spark, sf_dir, "lineitem").selectExpr(*REL_SELECT)
+
+
+def fx_contrasts(spark, sf_dir):
+    return read_table(spark, sf_dir, "lineitem").selectExpr(*CONTRAST_SELECT).where("l_quantity >= 45")
+
+
+def fx_concept_json(spark, sf_dir):
+    return read_table(spark, sf_dir, "events").selectExpr(CONCEPT_JSON)
+
+
+def fx_concept_json_cte():
+    return cte("fx_concepts", [CONCEPT_JSON], "events")

@@ -18,6 +18,7 @@ from pagewright.functions import text as T
 from pagewright.plans import fixtures as FX
 from pagewright.plans import oracle as O
 from pagewright.sources import pages as P
+from pagewright.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -261,3 +262,201 @@ def q_relation_counts(spark, sf_dir):
     docs = by_doc(FX.fx_articles(spark, sf_dir))
     ex = PL.extract_knowledge(docs, _gazetteer(spark, sf_dir), partitioned=True)
     return RL.per_article_counts(docs, ex.entities, ex.relations, ex.aliases)
+
+
+# ------------------------------------------------------ P3: vocabulary loads
+
+from pagewright.functions import fields as FD  # noqa: E402
+from pagewright.operators import hierarchy as H  # noqa: E402
+from pagewright.operators import upsert as U  # noqa: E402
+
+
+def _existing_last(spark, sf_dir):
+    upd = FX.fx_updates(spark, sf_dir)
+    pre = U.latest_per_key(upd.where("is_old").select("key", "value", "ordinal"), ["key"], ["ordinal"])
+    return pre.join(U.dense_ids(pre, "key"), "key").select("key", "id", "value", "ordinal")
+
+
+_UPD_SQL = [FX.fx_updates_cte(),
+            "pre AS (SELECT key, arg_max(value, ordinal) AS value, max(ordinal) AS ordinal "
+            "FROM fx_updates WHERE is_old GROUP BY key)",
+            "ex AS (SELECT key, row_number() OVER (ORDER BY key) AS id, value, ordinal FROM pre)"]
+
+
+@register("upsert_last_wins",
+          with_ctes(*_UPD_SQL,
+                    "inc AS (SELECT key, arg_max(value, ordinal) AS value, max(ordinal) AS ordinal "
+                    "FROM fx_updates WHERE NOT is_old GROUP BY key)",
+                    "newk AS (SELECT key, (SELECT coalesce(max(id), 0) FROM ex) + row_number() OVER (ORDER BY key) "
+                    "AS nid FROM inc WHERE key NOT IN (SELECT key FROM ex))")
+          + "SELECT coalesce(ex.key, inc.key) AS key, coalesce(ex.id, newk.nid) AS id, "
+            "CASE WHEN inc.key IS NOT NULL THEN inc.value ELSE ex.value END AS value, "
+            "CASE WHEN inc.key IS NOT NULL THEN inc.ordinal ELSE ex.ordinal END AS ordinal "
+            "FROM ex FULL OUTER JOIN inc ON ex.key = inc.key LEFT JOIN newk ON newk.key = inc.key")
+def q_upsert_last_wins(spark, sf_dir):
+    inc = FX.fx_updates(spark, sf_dir).where("NOT is_old").select("key", "value", "ordinal")
+    return U.upsert_last_wins(_existing_last(spark, sf_dir), inc, "key", ["ordinal"])
+
+
+@register("insert_first_wins",
+          with_ctes(FX.fx_updates_cte(),
+                    "ex AS (SELECT key, arg_min(value, ordinal) AS value, min(ordinal) AS ordinal "
+                    "FROM fx_updates WHERE is_old GROUP BY key)",
+                    "inc AS (SELECT key, arg_min(value, ordinal) AS value, min(ordinal) AS ordinal "
+                    "FROM fx_updates WHERE NOT is_old GROUP BY key)")
+          + "SELECT * FROM ex UNION ALL SELECT * FROM inc WHERE key NOT IN (SELECT key FROM ex)")
+def q_insert_first_wins(spark, sf_dir):
+    upd = FX.fx_updates(spark, sf_dir)
+    ex = U.latest_per_key(upd.where("is_old").select("key", "value", "ordinal"), ["key"], ["ordinal"], last=False)
+    inc = upd.where("NOT is_old").select("key", "value", "ordinal")
+    return U.insert_first_wins(ex, inc, "key", ["ordinal"])
+
+
+@register("append_idempotent",
+          with_ctes(FX.fx_updates_cte(), "ex AS (SELECT DISTINCT key, value FROM fx_updates WHERE is_old)")
+          + "SELECT key, value FROM ex UNION ALL SELECT * FROM (SELECT DISTINCT key, value FROM fx_updates) i "
+            "WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.key = i.key AND ex.value = i.value)")
+def q_append_idempotent(spark, sf_dir):
+    upd = FX.fx_updates(spark, sf_dir)
+    ex = upd.where("is_old").select("key", "value").distinct()
+    once = U.append_idempotent(ex, upd.select("key", "value"), ["key", "value"])
+    return U.append_idempotent(once, upd.select("key", "value"), ["key", "value"])   # rerun adds nothing
+
+
+@register("concept_classes",
+          with_ctes(FX.fx_classes_cte())
+          + "SELECT concept_class_id, arg_max(name, concept_ordinal) AS name, "
+            "arg_max(description, concept_ordinal) AS description, "
+            "arg_max(display_order, concept_ordinal) AS display_order FROM fx_classes GROUP BY concept_class_id")
+def q_concept_classes(spark, sf_dir):
+    return U.upsert_concept_classes(FX.fx_classes(spark, sf_dir))
+
+
+@register("concept_relationships",
+          "WITH r AS (SELECT 'P' || CAST(l_partkey AS STRING) AS concept_id, "
+          "'S' || CAST(l_suppkey AS STRING) AS related_concept_id, l_returnflag AS relationship, "
+          "l_linestatus AS direction, 0 AS phase, l_orderkey * 8 + l_linenumber AS pos FROM lineitem "
+          "JOIN part ON l_partkey = p_partkey "
+          "UNION ALL SELECT 'P' || CAST(l_partkey AS STRING), 'S' || CAST(l_suppkey AS STRING), "
+          "'contrast ' || l_returnflag, 'MEASUREDBY', 1, l_orderkey * 8 + l_linenumber FROM lineitem "
+          "JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 45) "
+          "SELECT concept_id, related_concept_id, "
+          "arg_max(relationship, struct_pack(a := phase, b := pos)) AS relationship, "
+          "arg_max(direction, struct_pack(a := phase, b := pos)) AS direction "
+          "FROM r GROUP BY concept_id, related_concept_id")
+def q_concept_relationships(spark, sf_dir):
+    concepts = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"))
+    rel = FX.fx_relationships(spark, sf_dir).join(concepts, "l_partkey")      # J6: stored concepts only
+    con = FX.fx_contrasts(spark, sf_dir).join(concepts, "l_partkey")
+    return U.upsert_concept_relationships(rel, con)
+
+
+def _id_map(spark, sf_dir):
+    s = FX.fx_structures(spark, sf_dir)
+    return U.dense_ids(s.select(F.col("neuronames_id").alias("key")), "key")
+
+
+_HIER_SQL = [FX.fx_structures_cte(), FX.fx_parents_cte(),
+             "idm AS (SELECT neuronames_id AS key, row_number() OVER (ORDER BY neuronames_id) AS id "
+             "FROM (SELECT DISTINCT neuronames_id FROM fx_structures) s)",
+             "pj AS (SELECT p.*, c.id AS child_id, pp.id AS parent_id FROM fx_parents p "
+             "JOIN idm c ON c.key = p.child_key LEFT JOIN idm pp ON pp.key = p.parent_key)",
+             "miss AS (SELECT parent_key, count(*) AS count, "
+             "arg_min(coalesce(parent_name, 'Unknown'), struct_pack(o := ordinal, p := pos)) AS name, "
+             "arg_min(coalesce(model_name, 'Unknown'), struct_pack(o := ordinal, p := pos)) AS model, "
+             "min(struct_pack(o := ordinal, p := pos)) AS first_seen FROM pj WHERE parent_id IS NULL "
+             "GROUP BY parent_key)"]
+
+
+@register("parent_edges",
+          with_ctes(*_HIER_SQL)
+          + "SELECT child_id, parent_id, coalesce(model_name, '') AS hierarchy_model_name, "
+            "coalesce(model_status, '') AS model_status FROM pj WHERE parent_id IS NOT NULL")
+def q_parent_edges(spark, sf_dir):
+    edges, _ = H.resolve_parents(FX.fx_parents(spark, sf_dir), _id_map(spark, sf_dir))
+    return edges
+
+
+@register("missing_parents",
+          with_ctes(*_HIER_SQL)
+          + "SELECT parent_key, count, name, model, "
+            "CAST(greatest((SELECT count(*) FROM miss) - 10, 0) AS BIGINT) AS n_more "
+            "FROM miss ORDER BY count DESC, first_seen LIMIT 10")
+def q_missing_parents(spark, sf_dir):
+    _, missing = H.resolve_parents(FX.fx_parents(spark, sf_dir), _id_map(spark, sf_dir))
+    return H.top_missing(H.missing_parent_summary(missing))
+
+
+@register("synonyms",
+          with_ctes(*_HIER_SQL[:3], FX.fx_synonyms_cte())
+          + "SELECT i.id AS brain_structure_id, coalesce(synonym_language, '') AS synonym_language, "
+            "coalesce(organism, '') AS organism, coalesce(synonym_name, '') AS synonym_name, "
+            "coalesce(synonym_source, '') AS synonym_source, coalesce(source_title, '') AS source_title, "
+            "coalesce(CASE WHEN regexp_full_match(pubmed_hits, '[0-9]+') THEN TRY_CAST(pubmed_hits AS INTEGER) END, 0) "
+            "AS pubmed_hit_count FROM fx_synonyms s JOIN idm i ON i.key = s.owner_key")
+def q_synonyms(spark, sf_dir):
+    return H.resolve_synonyms(FX.fx_synonyms(spark, sf_dir), _id_map(spark, sf_dir))
+
+
+@register("load_counts",
+          with_ctes(*_HIER_SQL, FX.fx_synonyms_cte())
+          + "SELECT 'n_structures' AS metric, count(*) AS n FROM idm "
+            "UNION ALL SELECT 'n_parent_links', count(*) FROM pj WHERE parent_id IS NOT NULL "
+            "UNION ALL SELECT 'n_missing_links', count(*) FROM pj WHERE parent_id IS NULL "
+            "UNION ALL SELECT 'n_missing_parents', count(*) FROM miss "
+            "UNION ALL SELECT 'n_synonyms', count(*) FROM fx_synonyms s JOIN idm i ON i.key = s.owner_key")
+def q_load_counts(spark, sf_dir):
+    """Load totals, one row per metric."""
+    ids = _id_map(spark, sf_dir)
+    edges, missing = H.resolve_parents(FX.fx_parents(spark, sf_dir), ids)
+    syn = H.resolve_synonyms(FX.fx_synonyms(spark, sf_dir), ids)
+    parts = [("n_structures", ids), ("n_parent_links", edges), ("n_missing_links", missing),
+             ("n_missing_parents", missing.select("parent_key").distinct()), ("n_synonyms", syn)]
+    out = None
+    for name, df in parts:
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("metric"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("event_stamps",
+          "WITH s AS (SELECT event_id AS id, CASE event_id % 4 WHEN 0 THEN CAST(epoch_us(ts) // 1000 AS VARCHAR) "
+          "WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') WHEN 2 THEN 'no stamp' END AS stamp FROM events) "
+          "SELECT id, stamp, strftime(make_timestamp(TRY_CAST(stamp AS BIGINT) * 1000), '%Y-%m-%d %H:%M:%S.%g') "
+          "AS from_epoch, strftime(CASE WHEN regexp_matches(stamp, " + O.q(FD.ISO_TIMESTAMP_RE) + ") "
+          "THEN TRY_CAST(replace(stamp, 'T', ' ') AS TIMESTAMP) END, '%Y-%m-%d %H:%M:%S.%g') AS from_iso FROM s")
+def q_event_stamps(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    stamp = (F.when(F.col("event_id") % 4 == 0, F.unix_millis(F.col("ts").cast("timestamp")).cast("string"))
+             .when(F.col("event_id") % 4 == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+             .when(F.col("event_id") % 4 == 2, F.lit("no stamp")))
+    s = ev.select(F.col("event_id").alias("id"), stamp.alias("stamp"))
+    fmt = "yyyy-MM-dd HH:mm:ss.SSS"
+    return s.select("id", "stamp", F.date_format(FD.epoch_millis_to_timestamp(F.col("stamp")), fmt).alias("from_epoch"),
+                    F.date_format(FD.iso_to_timestamp(F.col("stamp")), fmt).alias("from_iso"))
+
+
+def _filled_concepts(spark, sf_dir):
+    js = F.col("js")
+    df = FX.fx_concept_json(spark, sf_dir).select(
+        FD.json_field(js, "id", F.lit("No ID found")).alias("concept_id"),
+        FD.json_field(js, "name", F.lit("No Name found")).alias("name"),
+        FD.json_field(js, "id_concept_class", F.lit("No Class")).alias("concept_class"),
+        FD.json_field(js, "definition_text", F.lit("No Definition")).alias("definition_text"))
+    return df
+
+
+def _fill_sql(key, default):
+    return (f"CASE WHEN list_contains(json_keys(js), {O.q(key)}) THEN json_extract_string(js, {O.q('$.' + key)}) "
+            f"ELSE {O.q(default)} END")
+
+
+@register("default_fill",
+          with_ctes(FX.fx_concept_json_cte())
+          + f"SELECT *, CASE WHEN name IS NULL THEN 'quarantine' ELSE 'valid' END AS status FROM ("
+            f"SELECT {_fill_sql('id', 'No ID found')} AS concept_id, {_fill_sql('name', 'No Name found')} AS name, "
+            f"{_fill_sql('id_concept_class', 'No Class')} AS concept_class, "
+            f"{_fill_sql('definition_text', 'No Definition')} AS definition_text FROM fx_concepts) c")
+def q_default_fill(spark, sf_dir):
+    valid, bad = FD.split_valid(_filled_concepts(spark, sf_dir), ["name"])
+    return valid.withColumn("status", F.lit("valid")).unionByName(bad.withColumn("status", F.lit("quarantine")))
