@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.operators.partitioning import size_checked_broadcast
 
 
 def max_phrase_tokens(gazetteer: DataFrame) -> int:
@@ -26,6 +25,16 @@ def max_phrase_tokens(gazetteer: DataFrame) -> int:
     return int(v or 1)
 
 
+def prepare_gazetteer(gazetteer: DataFrame, broadcast_max_rows: int = 2_000_000):
+    """Cache the (small) gazetteer and read its row count and longest phrase in one job.
+
+    Returns ``(gazetteer, max_n, broadcastable)``.
+    """
+    g = gazetteer.cache()
+    n, mx = g.agg(F.count(F.lit(1)), F.max("n_tokens")).first()
+    return g, int(mx or 1), n <= broadcast_max_rows
+
+
 def match_gazetteer(tokens: DataFrame, gazetteer: DataFrame, max_n: int | None = None,
                     broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Candidate matches ``(doc_id, tok_start, tok_end, n_tokens, start, end, label, source, priority)``.
@@ -33,8 +42,11 @@ def match_gazetteer(tokens: DataFrame, gazetteer: DataFrame, max_n: int | None =
     Offsets are character offsets of the article; ``tok_end`` is exclusive.
     Overlapping candidates are all returned; see :mod:`pagewright.operators.spans`.
     """
-    if max_n is None:
-        max_n = max_phrase_tokens(gazetteer)
+    gazetteer, stats_max_n, small = prepare_gazetteer(gazetteer, broadcast_max_rows)
+    max_n = max_n or stats_max_n
+
+    def side(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
     w = Window.partitionBy("doc_id").orderBy("pos")
     leads = []
     for k in range(1, max_n):
@@ -42,7 +54,7 @@ def match_gazetteer(tokens: DataFrame, gazetteer: DataFrame, max_n: int | None =
     t = tokens.select("doc_id", "pos", "norm", "start", "end", *leads)
 
     firsts = gazetteer.select(F.col("first").alias("norm")).distinct()
-    t = t.join(size_checked_broadcast(firsts, broadcast_max_rows), "norm", "left_semi")
+    t = t.join(side(firsts), "norm", "left_semi")
 
     grams = []
     for k in range(1, max_n + 1):
@@ -55,8 +67,7 @@ def match_gazetteer(tokens: DataFrame, gazetteer: DataFrame, max_n: int | None =
     cand = cand.select("doc_id", F.col("pos").alias("tok_start"), "start",
                        F.col("g.k").alias("n_tokens"), F.col("g.key").alias("key"),
                        F.col("g.end").alias("end")).where(F.col("key").isNotNull())
-    gz = size_checked_broadcast(gazetteer.select("key", "label", "source", "priority"),
-                                broadcast_max_rows)
+    gz = side(gazetteer.select("key", "label", "source", "priority"))
     m = cand.join(gz, "key")
     return m.select("doc_id", "tok_start", (F.col("tok_start") + F.col("n_tokens")).alias("tok_end"),
                     "n_tokens", "start", "end", "label", "source", "priority")

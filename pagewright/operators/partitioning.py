@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def by_doc(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Hash-partition documents by id once; later windows and joins on the id reuse it.
+def text_partitions(df: DataFrame) -> int:
+    """Partition count for text stages: the shuffle-partition setting, at least
+    the default parallelism.  Given explicitly, so AQE does not merge the
+    partitions by byte size - text work is regex-bound, not byte-bound, and a
+    few MB of text per partition already keeps a core busy."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(n, spark.sparkContext.defaultParallelism)
 
-    The partition count is the session's shuffle partition setting, so AQE
-    can still coalesce small partitions at run time.
-    """
-    return docs.repartition(F.col(id_col))
+
+def by_doc(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Hash-partition documents by id once; later windows and joins on the id reuse it."""
+    return docs.repartition(text_partitions(docs), F.col(id_col))
 
 
 def size_checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -24,3 +30,15 @@ def size_checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a scan by ``keys`` when it yields fewer partitions than the
+    cluster's default parallelism (one unsplittable file); a multi-file dataset
+    is left as it is, so this never adds a shuffle at cluster scale."""
+    sc = df.sparkSession.sparkContext
+    if df.rdd.getNumPartitions() >= sc.defaultParallelism:
+        return df
+    if keys:
+        return df.repartition(text_partitions(df), *[F.col(k) for k in keys])
+    return df.repartition(text_partitions(df))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagewright.operators.partitioning import spread
 from pagewright.sources.tables import read_table
 
 
@@ -110,11 +111,11 @@ def fx_articles_select() -> list[str]:
 
 
 def fx_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "conversations").selectExpr(*fx_pages_select())
+    return spread(read_table(spark, sf_dir, "conversations").selectExpr(*fx_pages_select()), "doc_id")
 
 
 def fx_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").selectExpr(*fx_articles_select())
+    return spread(read_table(spark, sf_dir, "documents").selectExpr(*fx_articles_select()), "doc_id")
 
 
 # DuckDB CTE text for the same fixtures.
@@ -258,3 +259,21 @@ def fx_concept_json(spark, sf_dir):
 
 def fx_concept_json_cte():
     return cte("fx_concepts", [CONCEPT_JSON], "events")
+
+
+# Person names for the name-masking fixture: the author names of the article
+# headers plus every customer name of the driver table.
+PERSON_NAMES = ["Jane Smith", "Tom Brown", "Ann Lee", "Maria Garcia", "Li Wei", "Alan Turing"]
+
+
+def fx_person_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    names = spark.createDataFrame([("PERSON", n) for n in PERSON_NAMES], "label string, name string")
+    cust = read_table(spark, sf_dir, "customer").select(F.lit("PERSON").alias("label"), F.col("c_name").alias("name"))
+    return names.unionByName(cust)
+
+
+def fx_person_names_sql() -> str:
+    vals = ", ".join(f"('PERSON', '{n}')" for n in PERSON_NAMES)
+    return (f"SELECT label, name, 'extra' AS source FROM (SELECT * FROM (VALUES {vals}) t(label, name) "
+            f"UNION ALL SELECT 'PERSON', c_name FROM customer) u WHERE name IS NOT NULL AND length(name) > 1")

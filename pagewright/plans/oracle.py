@@ -161,7 +161,7 @@ def _values(rows) -> str:
 
 def vocabulary_entries_sql(extra_sql: str | None = None) -> str:
     """(label, name, source) rows, as :func:`pagewright.sources.vocab.vocabulary_entries`."""
-    parts = [f"SELECT label, name, 'builtin' AS source FROM ({_values(_V.BUILTIN_PATTERNS)}) t(label, name)",
+    parts = [f"SELECT label, name, 'builtin' AS source FROM ({_values(_V.BUILTIN_PATTERNS + _V.PLURAL_PATTERNS)}) t(label, name)",
              f"SELECT 'SYMPTOM', name, 'symptoms' FROM ({_values([(n,) for n, _ in _V.SEED_SYMPTOMS])}) t(name)",
              f"SELECT 'PROTEIN', name, 'proteins' FROM ({_values([(n,) for n, _, _ in _V.SEED_PROTEINS])}) t(name)",
              f"SELECT 'BRAIN_REGION', name, 'brain_regions' FROM "
@@ -175,11 +175,11 @@ def vocabulary_entries_sql(extra_sql: str | None = None) -> str:
     return f"SELECT * FROM ({body}) u WHERE name IS NOT NULL AND length(name) > 1"
 
 
-def gazetteer_ctes(extra_sql: str | None = None) -> list[str]:
+def gazetteer_ctes(extra_sql: str | None = None, entries_sql: str | None = None) -> list[str]:
     prio = "CASE source " + " ".join(f"WHEN {q(k)} THEN {v}" for k, v in _V.SOURCE_PRIORITY.items()) + " ELSE 99 END"
     toks = f"list_transform(regexp_extract_all(name, {q(_TK.TOKEN_RE)}, 0), lambda x: lower(x))"
     return [
-        f"vocab_entries AS ({vocabulary_entries_sql(extra_sql)})",
+        f"vocab_entries AS ({entries_sql or vocabulary_entries_sql(extra_sql)})",
         f"gz0 AS (SELECT label, name, source, {prio} AS priority, array_to_string({toks}, ' ') AS key, "
         f"len({toks}) AS n FROM vocab_entries)",
         "gz AS (SELECT key, label, min(priority) AS priority, arg_min(source, priority) AS source, "

@@ -460,3 +460,161 @@ def _fill_sql(key, default):
 def q_default_fill(spark, sf_dir):
     valid, bad = FD.split_valid(_filled_concepts(spark, sf_dir), ["name"])
     return valid.withColumn("status", F.lit("valid")).unionByName(bad.withColumn("status", F.lit("quarantine")))
+
+
+# ------------------------------------------------------ whole pipeline
+
+@register("article_pipeline")
+def q_article_pipeline(spark, sf_dir):
+    """Pages -> cleaned articles -> metadata + entities + aliases + relations; per-article totals.
+
+    No oracle: it composes operators that are each checked above.
+    """
+    from pagewright.config import PipelineConfig
+    cfg = PipelineConfig(mode="compat", default_date=FIXED_DEFAULT_DATE)
+    articles, ex, counts = PL.process_pages(FX.fx_pages(spark, sf_dir), _gazetteer(spark, sf_dir), cfg)
+    return articles.join(counts, "doc_id").select("doc_id", "title", "authors", "journal",
+                                                  "publication_date", "doi", "n_entities", "n_relations",
+                                                  "n_aliases")
+
+
+# ------------------------------------------------------ store, hooks, quality
+
+from pagewright.operators import hooks as HK  # noqa: E402
+from pagewright.operators import quality as QL  # noqa: E402
+from pagewright.operators import store as ST  # noqa: E402
+from pagewright.sources import json_sources as JS  # noqa: E402
+
+
+def _entities(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    return SP.first_occurrence(PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
+
+
+@register("entity_citations",
+          with_ctes(*_extract_ctes())
+          + "SELECT label, lower(text) AS norm_text, doc_id, min(start) AS first_start FROM ents "
+            "GROUP BY label, lower(text), doc_id")
+def q_entity_citations(spark, sf_dir):
+    return ST.entity_citations(_entities(spark, sf_dir)).drop("entity_id")
+
+
+@register("articles_by_entity",
+          with_ctes(*_extract_ctes())
+          + "SELECT label, lower(text) AS norm_text, count(DISTINCT doc_id) AS n_articles FROM ents "
+            "GROUP BY label, lower(text)")
+def q_articles_by_entity(spark, sf_dir):
+    return ST.global_entities(_entities(spark, sf_dir)).select("label", "norm_text", "n_articles")
+
+
+@register("relation_citations",
+          with_ctes(*_extract_ctes(), *O.pair_ctes("fx_articles"), _RELATIONS_SQL)
+          + "SELECT lower(entity1) AS entity1_norm, entity1_type, relation, lower(entity2) AS entity2_norm, "
+            "entity2_type, doc_id, count(*) AS n_mentions, max(confidence) AS max_confidence FROM rels "
+            "GROUP BY lower(entity1), entity1_type, relation, lower(entity2), entity2_type, doc_id")
+def q_relation_citations(spark, sf_dir):
+    rels = PL.extract_knowledge(FX.fx_articles(spark, sf_dir), _gazetteer(spark, sf_dir)).relations
+    return ST.relation_citations(rels).drop("relation_id")
+
+
+@register("model_entities")
+def q_model_entities(spark, sf_dir):
+    """X1/X4 + J9 + U2: a toy batch scorer through mapInPandas, located and merged
+    with the gazetteer entities (no oracle: the scorer is Python)."""
+    from pagewright.operators.tokens import tokenize
+    docs = _docs(spark, sf_dir)
+    ruler = SP.first_occurrence(PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
+    model = HK.locate_words(HK.run_scorer(docs, HK.toy_acronym_scorer), tokenize(docs), docs)
+    return HK.merge_entities(ruler, model).select("doc_id", "label", "text", "start", "end", "source")
+
+
+@register("model_categories")
+def q_model_categories(spark, sf_dir):
+    """A4 over the toy scorer's output (no oracle: the scorer is Python)."""
+    return HK.categorise(HK.run_scorer(_docs(spark, sf_dir), HK.toy_acronym_scorer))
+
+
+_MASK_SQL = (
+    "sp AS (SELECT doc_id, start, en, coalesce(lag(en) OVER (PARTITION BY doc_id ORDER BY start), 0) AS prev_end, "
+    "lead(start) OVER (PARTITION BY doc_id ORDER BY start) AS next_start FROM kept), "
+    "pc AS (SELECT sp.doc_id, sp.start, substring(d.text, prev_end + 1, start - prev_end) || '[NAME]' || "
+    "CASE WHEN next_start IS NULL THEN substring(d.text, en + 1, length(d.text) - en) ELSE '' END AS p "
+    "FROM sp JOIN fx_articles d ON d.doc_id = sp.doc_id), "
+    "mk AS (SELECT doc_id, string_agg(p, '' ORDER BY start) AS m FROM pc GROUP BY doc_id)")
+
+
+@register("name_mask",
+          with_ctes(FX.fx_articles_cte(), *O.gazetteer_ctes(entries_sql=FX.fx_person_names_sql()),
+                    *O.token_ctes("fx_articles"), *O.match_ctes("fx_articles"), _MASK_SQL)
+          + "SELECT d.doc_id, coalesce(mk.m, d.text) AS text FROM fx_articles d LEFT JOIN mk ON mk.doc_id = d.doc_id")
+def q_name_mask(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    from pagewright.operators.gazetteer import match_gazetteer
+    from pagewright.operators.tokens import tokenize
+    names = V.build_gazetteer(FX.fx_person_names(spark, sf_dir).select("label", "name", F.lit("extra").alias("source")))
+    spans = SP.resolve_overlaps(match_gazetteer(tokenize(docs), names))
+    return HK.mask_spans(docs, spans.select("doc_id", "start", "end"))
+
+
+@register("tag_tokens",
+          "WITH b AS (SELECT item_id, string_split(text, ' ') AS toks FROM benchmark) "
+          "SELECT item_id, pos, toks[pos + 1] AS token, CAST(pos % 4 AS INTEGER) AS ner_tag "
+          "FROM (SELECT item_id, toks, unnest(range(len(toks))) AS pos FROM b) x")
+def q_tag_tokens(spark, sf_dir):
+    b = read_table(spark, sf_dir, "benchmark").select("item_id", F.split("text", " ").alias("tokens"))
+    b = b.select("item_id", "tokens", F.transform("tokens", lambda x, i: (i % 4).cast("int")).alias("ner_tags"))
+    return JS.explode_tagged(b)
+
+
+_QUALITY_CTES = [FX.fx_structures_cte(), FX.fx_parents_cte(), FX.fx_synonyms_cte()]
+
+
+@register("profile",
+          with_ctes(*_QUALITY_CTES)
+          + "SELECT 'entries' AS metric, count(*) AS n FROM fx_structures "
+            "UNION ALL SELECT 'with_parents', count(*) FROM (SELECT DISTINCT neuronames_id FROM fx_structures) k "
+            "WHERE neuronames_id IN (SELECT child_key FROM fx_parents) "
+            "UNION ALL SELECT 'with_synonyms', count(*) FROM (SELECT DISTINCT neuronames_id FROM fx_structures) k "
+            "WHERE neuronames_id IN (SELECT owner_key FROM fx_synonyms) "
+            "UNION ALL SELECT 'distinct_parent_ids', count(DISTINCT parent_key) FROM fx_parents")
+def q_profile(spark, sf_dir):
+    return QL.profile_structures(FX.fx_structures(spark, sf_dir), FX.fx_parents(spark, sf_dir),
+                                 FX.fx_synonyms(spark, sf_dir))
+
+
+@register("region_validation",
+          with_ctes(*_QUALITY_CTES)
+          + "SELECT 'required_null' AS \"check\", count(*) AS n FROM fx_structures "
+            "WHERE neuronames_id IS NULL OR standard_name IS NULL "
+            "UNION ALL SELECT 'duplicate_key', count(*) FROM (SELECT neuronames_id FROM fx_structures "
+            "GROUP BY neuronames_id HAVING count(*) > 1) d "
+            "UNION ALL SELECT 'dangling_parent', count(*) FROM fx_parents p WHERE NOT EXISTS "
+            "(SELECT 1 FROM fx_structures s WHERE s.neuronames_id = p.parent_key) "
+            "UNION ALL SELECT 'self_parent', count(*) FROM fx_parents WHERE child_key = parent_key")
+def q_region_validation(spark, sf_dir):
+    return QL.validate_regions(FX.fx_structures(spark, sf_dir), FX.fx_parents(spark, sf_dir))
+
+
+_SEED_REGIONS_SQL = O._values([(n, p, str(i)) for i, (n, p) in enumerate(V.SEED_BRAIN_REGIONS)])
+
+
+@register("region_merge",
+          with_ctes(*_QUALITY_CTES,
+                    "u AS (SELECT 'neuronames' AS source, neuronames_id AS region_key, standard_name AS name, "
+                    "CAST(NULL AS VARCHAR) AS parent_name, ordinal * 10 AS ordinal FROM fx_structures "
+                    "UNION ALL SELECT 'hierarchy', child_key, CAST(NULL AS VARCHAR), parent_name, "
+                    "ordinal * 10 + pos FROM fx_parents "
+                    f"UNION ALL SELECT 'seed', n, n, p, CAST(o AS BIGINT) FROM ({_SEED_REGIONS_SQL}) t(n, p, o))")
+          + "SELECT source, region_key, arg_max(name, ordinal) AS name, arg_max(parent_name, ordinal) AS parent_name "
+            "FROM u GROUP BY source, region_key")
+def q_region_merge(spark, sf_dir):
+    st = FX.fx_structures(spark, sf_dir).select(F.col("neuronames_id").alias("region_key"),
+                                                F.col("standard_name").alias("name"),
+                                                F.lit(None).cast("string").alias("parent_name"),
+                                                (F.col("ordinal") * 10).alias("ordinal"))
+    hi = FX.fx_parents(spark, sf_dir).select(F.col("child_key").alias("region_key"),
+                                             F.lit(None).cast("string").alias("name"), "parent_name",
+                                             (F.col("ordinal") * 10 + F.col("pos")).alias("ordinal"))
+    seed = spark.createDataFrame([(n, n, p, i) for i, (n, p) in enumerate(V.SEED_BRAIN_REGIONS)],
+                                 "region_key string, name string, parent_name string, ordinal long")
+    return QL.merge_region_sources({"neuronames": st, "hierarchy": hi, "seed": seed})

@@ -87,6 +87,12 @@ BUILTIN_PATTERNS = [
     ("COGNITIVE_PROCESS", "language"), ("COGNITIVE_PROCESS", "visuospatial"),
     ("COGNITIVE_PROCESS", "processing speed"),
 ]
+# Corrected mode: plural forms the article text uses (the reference patterns are
+# singular only, so "biomarkers" would never match).
+PLURAL_PATTERNS = [
+    ("BIOMARKER", "biomarkers"), ("BIOMARKER", "core biomarkers"),
+    ("NEUROPATHOLOGIC", "neuropathologic changes"), ("NEUROPATHOLOGIC", "neuropathologic findings"),
+]
 # Acronym typing by substrings of the lower-cased full form,
 # first rule that hits wins.
 ACRONYM_TYPE_RULES = [
@@ -134,8 +140,9 @@ def seed_tables(spark: SparkSession) -> dict[str, DataFrame]:
     }
 
 
-def builtin_patterns(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(BUILTIN_PATTERNS, "label string, name string")
+def builtin_patterns(spark: SparkSession, plurals: bool = True) -> DataFrame:
+    rows = BUILTIN_PATTERNS + (PLURAL_PATTERNS if plurals else [])
+    return spark.createDataFrame(rows, "label string, name string")
 
 
 def _entries(df: DataFrame, label: Column, name_col: str, source: str) -> DataFrame:
