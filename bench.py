@@ -44,6 +44,7 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t0)
         timings[name] = round(statistics.median(runs), 3)
+        print(f"{name}: {timings[name]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "sf": sf, "cpus": int(cpus)}))

@@ -24,7 +24,7 @@ COPULA_CUE = r"(?i)(?:\A|[^A-Za-z])(?:is|are|was|were|as)(?:[^A-Za-z]|\z)"
 LOCATION_CUE = r"(?i)(?:\A|[^A-Za-z])(?:found|located|in)(?:[^A-Za-z]|\z)"
 RULES = [
     ("HAS_BIOMARKER", 0.9),   # disease with biomarker, either order
-    ("IS_A", 0.85),           # protein, copula, biomarker
+    ("IS_A", 0.85),           # protein and biomarker with a copula cue, either order
     ("FOUND_IN", 0.8),        # protein and brain region with a location cue
     ("RELATED_TO", 0.5),      # anything else (below the default threshold)
 ]
@@ -58,7 +58,7 @@ def rule_score(t1: Column, t2: Column, between: Column) -> Column:
     def pair(x, y):
         return ((t1 == x) & (t2 == y)) | ((t1 == y) & (t2 == x))
     rel = (F.when(pair("DISEASE", "BIOMARKER"), F.lit(RULES[0][0]))
-           .when((t1 == "PROTEIN") & (t2 == "BIOMARKER") & between.rlike(COPULA_CUE), F.lit(RULES[1][0]))
+           .when(pair("PROTEIN", "BIOMARKER") & between.rlike(COPULA_CUE), F.lit(RULES[1][0]))
            .when(pair("PROTEIN", "BRAIN_REGION") & between.rlike(LOCATION_CUE), F.lit(RULES[2][0]))
            .otherwise(F.lit(RULES[3][0])))
     conf = F.when(rel == RULES[0][0], RULES[0][1]).when(rel == RULES[1][0], RULES[1][1]) \

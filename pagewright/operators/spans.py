@@ -4,12 +4,10 @@ Overlap resolution is a greedy choice: longest span first, then earliest
 start, then best source priority; a span is accepted if it overlaps no span
 accepted before it.  Spans in different *islands* (maximal runs of
 overlapping candidates, found with one running-max window) never conflict,
-so the greedy runs per island:
-
-* a candidate alone in its island passes straight through (no grouping);
-* the rare multi-candidate islands are grouped by ``(doc_id, island)`` and
-  resolved with ``aggregate`` over the island's sorted candidates, an array
-  bounded by the island's length, never by the article's.
+so the greedy runs per island: candidates are grouped by ``(doc_id, island)``
+(no exchange: the input is partitioned by ``doc_id``); a one-candidate island
+is kept as is, a larger one is resolved with ``aggregate`` over its sorted
+candidates - an array bounded by the island's length, never by the article's.
 """
 
 from __future__ import annotations
@@ -19,33 +17,33 @@ from pyspark.sql import functions as F
 
 
 def resolve_overlaps(matches: DataFrame) -> DataFrame:
-    """Keep a non-overlapping subset of candidate matches (same columns out)."""
+    """Keep a non-overlapping subset of candidate matches (same columns out).
+
+    One running-max window numbers the islands; one aggregate per
+    ``(doc_id, island)`` resolves them.  The input is already partitioned by
+    ``doc_id``, which satisfies both, so neither adds an exchange, and the
+    lineage is walked once.
+    """
     cols = matches.columns
     w = Window.partitionBy("doc_id").orderBy("tok_start", "tok_end", "priority", "label")
     prev_end = F.max("tok_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    next_start = F.lead("tok_start").over(w)
-    m = matches.select(*cols, prev_end.alias("_prev_end"), next_start.alias("_next_start"))
     new_island = F.col("_prev_end").isNull() | (F.col("tok_start") >= F.col("_prev_end"))
-    alone = new_island & (F.col("_next_start").isNull() | (F.col("_next_start") >= F.col("tok_end")))
-    m = m.select(*cols, alone.alias("_alone"),
-                 F.sum(new_island.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_island"))
-
-    singles = m.where("_alone").select(*cols)
-    rest = [c for c in cols if c not in ("tok_start", "priority", "label")]
-    crowd = (m.where(~F.col("_alone"))
-             .groupBy("doc_id", "_island")
-             .agg(F.sort_array(F.collect_list(F.struct(
-                 (-F.col("n_tokens")).alias("neg_len"), "tok_start", "priority", "label",
-                 *[c for c in rest if c != "doc_id"]))).alias("c")))
+    m = matches.select(*cols, prev_end.alias("_prev_end"))
+    m = m.select(*cols, F.sum(new_island.cast("int")).over(
+        w.rowsBetween(Window.unboundedPreceding, 0)).alias("_island"))
+    rest = [c for c in cols if c not in ("doc_id", "tok_start", "priority", "label")]
+    crowd = m.groupBy("doc_id", "_island").agg(F.sort_array(F.collect_list(F.struct(
+        (-F.col("n_tokens")).alias("neg_len"), "tok_start", "priority", "label", *rest))).alias("c"))
 
     def step(acc: Column, x: Column) -> Column:
         clash = F.exists(acc, lambda a: (a["tok_start"] < x["tok_end"]) & (x["tok_start"] < a["tok_end"]))
         return F.when(clash, acc).otherwise(F.concat(acc, F.array(x)))
 
-    empty = F.filter("c", lambda x: F.lit(False))
-    kept = crowd.select("doc_id", F.explode(F.aggregate("c", empty, step)).alias("x"))
-    kept = kept.select("doc_id", *[F.col(f"x.{c}").alias(c) for c in cols if c != "doc_id"])
-    return singles.unionByName(kept)
+    first = F.slice("c", 1, 1)          # the best candidate of an island is always kept
+    kept = F.when(F.size("c") == 1, F.col("c")).otherwise(
+        F.aggregate(F.slice("c", 2, F.size("c")), first, step))
+    out = crowd.select("doc_id", F.explode(kept).alias("x"))
+    return out.select("doc_id", *[F.col(f"x.{c}").alias(c) for c in cols if c != "doc_id"])
 
 
 def slice_text(text: Column, start: Column, end: Column) -> Column:

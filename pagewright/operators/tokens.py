@@ -1,9 +1,8 @@
 """Tokens with exact character offsets, without a UDF.
 
 A text is cut into *pieces*: one token plus the whitespace that follows it
-(``regexp_extract_all``).  A token's start offset is the length of the leading
-whitespace plus the running sum of the lengths of the pieces before it, a
-window over ``(doc_id ORDER BY pos)``.  Lengths count code points, as Python
+(``regexp_extract_all``).  A token's start offset is the running sum of the lengths
+of the pieces before it, a window over ``(doc_id ORDER BY pos)``.  Lengths count code points, as Python
 slicing does; regex match positions (UTF-16 in Java) are never used.
 
 The window is partitioned by ``doc_id``; callers hand in documents already
@@ -23,8 +22,10 @@ from pagewright.functions.regex import NOT_WS, WS
 WORD_TOKEN = r"[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)*"
 POSSESSIVE_TOKEN = r"['’][sS]"
 TOKEN_RE = f"{WORD_TOKEN}|{POSSESSIVE_TOKEN}|{NOT_WS}"
-PIECE_RE = f"(?s)(?:{TOKEN_RE}){WS}*"
-LEADING_WS_RE = rf"\A{WS}*"
+# A piece is a token with its trailing whitespace; whitespace at the very start
+# of the text is a piece of its own (empty token), so offsets need nothing but
+# the pieces themselves and the text is not carried past the explode.
+PIECE_RE = rf"(?s)\A{WS}+|(?:{TOKEN_RE}){WS}*"
 TOKEN_AT_START_RE = rf"\A(?:{TOKEN_RE})"
 
 
@@ -42,11 +43,10 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``(doc_id, pos, token, norm, start, end)``; offsets are 0-based, end exclusive."""
     pieces = docs.select(
         F.col(id_col).alias("doc_id"),
-        F.length(F.regexp_extract(F.col(text_col), LEADING_WS_RE, 0)).alias("lead_ws"),
         F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(PIECE_RE), 0)).alias("pos", "piece"))
     w = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     token = F.regexp_extract(F.col("piece"), TOKEN_AT_START_RE, 0)
-    start = F.col("lead_ws") + F.coalesce(F.sum(F.length("piece")).over(w), F.lit(0))
-    out = pieces.select("doc_id", "pos", token.alias("token"), start.alias("start"))
+    start = F.coalesce(F.sum(F.length("piece")).over(w), F.lit(0))
+    out = pieces.select("doc_id", "pos", token.alias("token"), start.alias("start")).where(F.col("token") != "")
     return out.select("doc_id", "pos", "token", F.lower("token").alias("norm"), "start",
                       (F.col("start") + F.length("token")).alias("end"))

@@ -192,11 +192,10 @@ def gazetteer_ctes(extra_sql: str | None = None, entries_sql: str | None = None)
 def token_ctes(docs: str) -> list[str]:
     arr = f"regexp_extract_all(text, {q(_TK.PIECE_RE)}, 0)"
     return [
-        f"pieces AS (SELECT doc_id, length(regexp_extract(text, {q(_TK.LEADING_WS_RE)}, 0)) AS lead_ws, "
-        f"unnest({arr}) AS piece, unnest(range(len({arr}))) AS pos FROM {docs})",
-        f"toks AS (SELECT doc_id, pos, regexp_extract(piece, {q(_TK.TOKEN_AT_START_RE)}, 0) AS token, "
-        "CAST(lead_ws + coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pos "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM pieces)",
+        f"pieces AS (SELECT doc_id, unnest({arr}) AS piece, unnest(range(len({arr}))) AS pos FROM {docs})",
+        f"toks AS (SELECT * FROM (SELECT doc_id, pos, regexp_extract(piece, {q(_TK.TOKEN_AT_START_RE)}, 0) AS token, "
+        "CAST(coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pos "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM pieces) p WHERE token <> '')",
     ]
 
 
@@ -263,7 +262,7 @@ def rule_score_sql(t1: str, t2: str, between: str) -> tuple[str, str]:
         return f"(({t1} = {q(x)} AND {t2} = {q(y)}) OR ({t1} = {q(y)} AND {t2} = {q(x)}))"
     R = _RL.RULES
     rel = (f"(CASE WHEN {pair('DISEASE', 'BIOMARKER')} THEN {q(R[0][0])} "
-           f"WHEN {t1} = 'PROTEIN' AND {t2} = 'BIOMARKER' AND regexp_matches({between}, {q(_RL.COPULA_CUE)}) "
+           f"WHEN {pair('PROTEIN', 'BIOMARKER')} AND regexp_matches({between}, {q(_RL.COPULA_CUE)}) "
            f"THEN {q(R[1][0])} "
            f"WHEN {pair('PROTEIN', 'BRAIN_REGION')} AND regexp_matches({between}, {q(_RL.LOCATION_CUE)}) "
            f"THEN {q(R[2][0])} ELSE {q(R[3][0])} END)")
