@@ -37,7 +37,7 @@ def prepare_gazetteer(gazetteer: DataFrame, broadcast_max_rows: int = 2_000_000)
 
 def match_gazetteer(tokens: DataFrame, gazetteer: DataFrame, max_n: int | None = None,
                     broadcast_max_rows: int = 2_000_000) -> DataFrame:
-    """Candidate matches ``(doc_id, tok_start, tok_end, n_tokens, start, end, label, source, priority)``.
+    """Candidate matches ``(doc_id, tok_start, tok_end, n_tokens, start, end, label, source, priority, text)``.
 
     Offsets are character offsets of the article; ``tok_end`` is exclusive.
     Overlapping candidates are all returned; see :mod:`pagewright.operators.spans`.
@@ -50,8 +50,11 @@ def match_gazetteer(tokens: DataFrame, gazetteer: DataFrame, max_n: int | None =
     w = Window.partitionBy("doc_id").orderBy("pos")
     leads = []
     for k in range(1, max_n):
-        leads += [F.lead("norm", k).over(w).alias(f"n{k}"), F.lead("end", k).over(w).alias(f"e{k}")]
-    t = tokens.select("doc_id", "pos", "norm", "start", "end", *leads)
+        leads += [F.lead("norm", k).over(w).alias(f"n{k}"), F.lead("end", k).over(w).alias(f"e{k}"),
+                  F.lead("token", k).over(w).alias(f"t{k}")]
+        if k < max_n - 1:
+            leads.append(F.lead("piece", k).over(w).alias(f"p{k}"))
+    t = tokens.select("doc_id", "pos", "norm", "token", "piece", "start", "end", *leads)
 
     firsts = gazetteer.select(F.col("first").alias("norm")).distinct()
     t = t.join(side(firsts), "norm", "left_semi")
@@ -62,12 +65,16 @@ def match_gazetteer(tokens: DataFrame, gazetteer: DataFrame, max_n: int | None =
         for j in range(1, k):
             parts += [F.lit(" "), F.col(f"n{j}")]
         end = F.col("end") if k == 1 else F.col(f"e{k - 1}")
-        grams.append(F.struct(F.lit(k).alias("k"), F.concat(*parts).alias("key"), end.alias("end")))
+        # surface text: pieces of all but the last token, then the last token
+        surface = F.col("token") if k == 1 else F.concat(
+            F.col("piece"), *[F.col(f"p{j}") for j in range(1, k - 1)], F.col(f"t{k - 1}"))
+        grams.append(F.struct(F.lit(k).alias("k"), F.concat(*parts).alias("key"), end.alias("end"),
+                              surface.alias("text")))
     cand = t.select("doc_id", "pos", "start", F.explode(F.array(*grams)).alias("g"))
     cand = cand.select("doc_id", F.col("pos").alias("tok_start"), "start",
                        F.col("g.k").alias("n_tokens"), F.col("g.key").alias("key"),
-                       F.col("g.end").alias("end")).where(F.col("key").isNotNull())
+                       F.col("g.end").alias("end"), F.col("g.text").alias("text")).where(F.col("key").isNotNull())
     gz = side(gazetteer.select("key", "label", "source", "priority"))
     m = cand.join(gz, "key")
     return m.select("doc_id", "tok_start", (F.col("tok_start") + F.col("n_tokens")).alias("tok_end"),
-                    "n_tokens", "start", "end", "label", "source", "priority")
+                    "n_tokens", "start", "end", "label", "source", "priority", "text")

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.operators.partitioning import text_side
+
 from pagewright.operators.spans import window_text
 
 MODEL_ENTITY_SCHEMA = "doc_id long, label string, word string"
@@ -48,11 +50,11 @@ def locate_words(model_entities: DataFrame, tokens: DataFrame, docs: DataFrame,
     words = model_entities.select("doc_id", "label", "word").distinct()
     hits = words.join(tokens.select("doc_id", F.col("token").alias("word"), "start", "end"), ["doc_id", "word"])
     first = hits.groupBy("doc_id", "label", "word").agg(F.min(F.struct("start", "end")).alias("p"))
-    j = first.join(docs.select("doc_id", "text"), "doc_id")
+    j = first.join(text_side(docs), "doc_id")
     return j.select("doc_id", "label", F.col("word").alias("text"), F.col("p.start").alias("start"),
                     F.col("p.end").alias("end"),
-                    window_text(F.col("text"), F.col("p.start"), F.col("p.end"),
-                                context_chars, context_chars).alias("context"),
+                    window_text(F.col("text_body"), F.col("p.start"), F.col("p.end"),
+                                context_chars, context_chars, F.col("text_len")).alias("context"),
                     F.lit("model").alias("source"))
 
 
@@ -87,11 +89,11 @@ def mask_spans(docs: DataFrame, spans: DataFrame, placeholder: str = "[NAME]") -
     s = spans.select("doc_id", "start", "end",
                      F.coalesce(F.lag("end").over(w), F.lit(0)).alias("prev_end"),
                      F.lead("start").over(w).alias("next_start"))
-    j = s.join(docs.select("doc_id", "text"), "doc_id")
-    piece = F.concat(F.substring("text", F.col("prev_end") + 1, F.col("start") - F.col("prev_end")),
+    j = s.join(text_side(docs), "doc_id")
+    piece = F.concat(F.substring("text_body", F.col("prev_end") + 1, F.col("start") - F.col("prev_end")),
                      F.lit(placeholder),
                      F.when(F.col("next_start").isNull(),
-                            F.expr("substring(text, `end` + 1, length(text) - `end`)")).otherwise(F.lit("")))
+                            F.expr("substring(text_body, `end` + 1, text_len - `end`)")).otherwise(F.lit("")))
     parts = j.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", piece.alias("p")))).alias("ps"))
     masked = parts.select("doc_id", F.array_join(F.transform("ps", lambda x: x["p"]), "").alias("masked"))
     return docs.join(masked, "doc_id", "left").select(

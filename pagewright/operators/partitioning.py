@@ -42,3 +42,15 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if keys:
         return df.repartition(text_partitions(df), *[F.col(k) for k in keys])
     return df.repartition(text_partitions(df))
+
+
+def text_side(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The article-text side of a join back to the text: never broadcast.
+
+    Article text grows with the corpus, so it is joined with a sort-merge join
+    on ``doc_id``; documents already hash-partitioned by ``doc_id`` are not
+    shuffled again, only the (small) span side is.  The text comes back as
+    ``text_body`` with its length ``text_len`` computed once per article.
+    """
+    return docs.select(id_col, F.col("text").alias("text_body"),
+                       F.length("text").alias("text_len")).hint("merge")

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.operators.partitioning import text_side
+
 from pagewright.operators.spans import slice_text, window_text
 
 # ---------------------------------------------------------------------------
@@ -45,9 +47,10 @@ def entity_pairs(entities: DataFrame, max_gap: int = 200, bucket: int = 256) ->
 
 def pair_text(pairs: DataFrame, docs: DataFrame, context_chars: int = 20) -> DataFrame:
     """Add between-text, the model sample string and the pair context (join by doc_id)."""
-    j = pairs.join(docs.select("doc_id", "text"), "doc_id")
-    between = slice_text(F.col("text"), F.col("e1_end"), F.col("e2_start"))
-    ctx = window_text(F.col("text"), F.col("e1_start"), F.col("e2_end"), context_chars, context_chars)
+    j = pairs.join(text_side(docs), "doc_id")
+    between = slice_text(F.col("text_body"), F.col("e1_end"), F.col("e2_start"))
+    ctx = window_text(F.col("text_body"), F.col("e1_start"), F.col("e2_end"), context_chars, context_chars,
+                      F.col("text_len"))
     return j.select(*pairs.columns, between.alias("between"),
                     F.concat_ws(" [SEP] ", "e1_text", between, "e2_text").alias("sample"),
                     ctx.alias("context"))

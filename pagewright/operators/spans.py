@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright.operators.partitioning import text_side
+
 
 def resolve_overlaps(matches: DataFrame) -> DataFrame:
     """Keep a non-overlapping subset of candidate matches (same columns out).
@@ -51,32 +53,45 @@ def slice_text(text: Column, start: Column, end: Column) -> Column:
     return F.when(end > start, F.substring(text, start + 1, end - start)).otherwise(F.lit(""))
 
 
-def window_text(text: Column, start: Column, end: Column, before: int, after: int) -> Column:
+def window_text(text: Column, start: Column, end: Column, before: int, after: int,
+                text_len: Column | None = None) -> Column:
     """``text[max(0, start-before) : min(len, end+after)]``."""
     lo = F.greatest(start - before, F.lit(0))
-    hi = F.least(end + after, F.length(text))
+    hi = F.least(end + after, F.length(text) if text_len is None else text_len)
     return slice_text(text, lo, hi)
 
 
+def attach_context(spans: DataFrame, docs: DataFrame, context_chars: int = 50) -> DataFrame:
+    """``text[start-50 : end+50]`` of each span (join back to the article by doc_id).
+
+    Run it after any dedupe: every call walks the article's UTF-8 bytes up to
+    the span, so only the spans that are kept should pay for it.
+    """
+    j = spans.join(text_side(docs), "doc_id")
+    return j.select(*spans.columns,
+                    window_text(F.col("text_body"), F.col("start"), F.col("end"),
+                                context_chars, context_chars, F.col("text_len")).alias("context"))
+
+
 def attach_text(spans: DataFrame, docs: DataFrame, context_chars: int = 50) -> DataFrame:
-    """Surface text and context of each span (join back to the article text by doc_id)."""
-    j = spans.join(docs.select("doc_id", "text"), "doc_id")
+    """Surface text and context of each span (for spans that do not carry their text)."""
+    j = spans.join(text_side(docs), "doc_id")
     return j.select(*[c for c in spans.columns],
-                    slice_text(F.col("text"), F.col("start"), F.col("end")).alias("text"),
-                    window_text(F.col("text"), F.col("start"), F.col("end"),
-                                context_chars, context_chars).alias("context"))
+                    slice_text(F.col("text_body"), F.col("start"), F.col("end")).alias("text"),
+                    window_text(F.col("text_body"), F.col("start"), F.col("end"),
+                                context_chars, context_chars, F.col("text_len")).alias("context"))
 
 
 def first_occurrence(entities: DataFrame) -> DataFrame:
     """A5: per (article, label, lower-cased text) keep the earliest occurrence.
 
-    An aggregate (partial on the map side) rather than a window.
+    An aggregate (partial on the map side) rather than a window.  Works with or
+    without a ``context`` column.
     """
+    carry = [c for c in ("start", "end", "text", "context", "source") if c in entities.columns]
     g = entities.groupBy("doc_id", "label", F.lower("text").alias("_k")).agg(
-        F.min(F.struct("start", "end", "text", "context", "source")).alias("f"))
-    return g.select("doc_id", "label", F.col("f.text").alias("text"), F.col("f.start").alias("start"),
-                    F.col("f.end").alias("end"), F.col("f.context").alias("context"),
-                    F.col("f.source").alias("source"))
+        F.min(F.struct(*carry)).alias("f"))
+    return g.select("doc_id", "label", *[F.col(f"f.{c}").alias(c) for c in carry])
 
 
 def entity_counts(entities: DataFrame) -> DataFrame:

@@ -40,13 +40,19 @@ def normalize_name(col: Column) -> Column:
 
 
 def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, pos, token, norm, start, end)``; offsets are 0-based, end exclusive."""
+    """``(doc_id, pos, token, norm, start, end, piece)``; offsets are 0-based, end exclusive.
+
+    ``piece`` is the token followed by its whitespace, so the surface text of
+    a run of tokens is the concatenation of their pieces (minus the last
+    piece's whitespace) - no substring of the article is needed for it.
+    """
     pieces = docs.select(
         F.col(id_col).alias("doc_id"),
         F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(PIECE_RE), 0)).alias("pos", "piece"))
     w = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     token = F.regexp_extract(F.col("piece"), TOKEN_AT_START_RE, 0)
     start = F.coalesce(F.sum(F.length("piece")).over(w), F.lit(0))
-    out = pieces.select("doc_id", "pos", token.alias("token"), start.alias("start")).where(F.col("token") != "")
+    out = pieces.select("doc_id", "pos", "piece", token.alias("token"), start.alias("start")) \
+        .where(F.col("token") != "")
     return out.select("doc_id", "pos", "token", F.lower("token").alias("norm"), "start",
-                      (F.col("start") + F.length("token")).alias("end"))
+                      (F.col("start") + F.length("token")).alias("end"), "piece")

@@ -21,7 +21,7 @@ from pagewright.operators.aliases import extract_aliases
 from pagewright.operators.gazetteer import match_gazetteer
 from pagewright.operators.partitioning import by_doc
 from pagewright.operators.relations import entity_pairs, pair_text, per_article_counts, score_relations
-from pagewright.operators.spans import attach_text, first_occurrence, resolve_overlaps
+from pagewright.operators.spans import attach_context, first_occurrence, resolve_overlaps
 from pagewright.operators.tokens import tokenize
 from pagewright.sources.pages import assemble_articles
 
@@ -36,12 +36,17 @@ class Extraction:
 
 def entity_mentions(docs: DataFrame, gazetteer: DataFrame, cfg: PipelineConfig = PipelineConfig(),
                     max_n: int | None = None) -> DataFrame:
-    """J1 + J8 + E3: non-overlapping vocabulary spans with text and context."""
+    """J1 + J8: non-overlapping vocabulary spans with their surface text (no context)."""
     toks = tokenize(docs)
     cands = match_gazetteer(toks, gazetteer, max_n, cfg.extract.broadcast_max_rows)
     kept = resolve_overlaps(cands)
-    return attach_text(kept.select("doc_id", "label", "source", "start", "end"), docs,
-                       cfg.extract.context_chars)
+    return kept.select("doc_id", "label", "source", "start", "end", "text")
+
+
+def first_entities(docs: DataFrame, mentions: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """A5 + E3: first occurrence per (article, label, lower text), then its context."""
+    return attach_context(first_occurrence(mentions), docs, cfg.extract.context_chars) \
+        .select("doc_id", "label", "text", "start", "end", "context", "source")
 
 
 def extract_knowledge(docs: DataFrame, gazetteer: DataFrame, cfg: PipelineConfig = PipelineConfig(),
@@ -49,7 +54,7 @@ def extract_knowledge(docs: DataFrame, gazetteer: DataFrame, cfg: PipelineConfig
     if not partitioned:
         docs = by_doc(docs)
     mentions = entity_mentions(docs, gazetteer, cfg, max_n)
-    entities = first_occurrence(mentions)
+    entities = first_entities(docs, mentions, cfg)
     aliases = extract_aliases(docs)
     pairs = entity_pairs(entities, cfg.extract.max_pair_gap, cfg.extract.range_bucket)
     rels = score_relations(pair_text(pairs, docs, cfg.extract.pair_context_chars),

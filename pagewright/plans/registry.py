@@ -200,7 +200,7 @@ def q_entity_match(spark, sf_dir):
           + 'SELECT doc_id, label, text, start, en AS "end", context, source FROM ents')
 def q_entity_first(spark, sf_dir):
     docs = _docs(spark, sf_dir)
-    return SP.first_occurrence(PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
+    return PL.first_entities(docs, PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
 
 
 @register("entity_counts",
@@ -233,7 +233,7 @@ def q_acronym_typing(spark, sf_dir):
             "FROM prs")
 def q_entity_pairs(spark, sf_dir):
     docs = _docs(spark, sf_dir)
-    ents = SP.first_occurrence(PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
+    ents = PL.first_entities(docs, PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
     p = RL.pair_text(RL.entity_pairs(ents), docs)
     return p.select("doc_id", "e1_text", "e1_label", "e1_start", "e2_text", "e2_label", "e2_start",
                     F.col("between").alias("between_text"), "sample", "context")
@@ -488,7 +488,7 @@ from pagewright.sources import json_sources as JS  # noqa: E402
 
 def _entities(spark, sf_dir):
     docs = _docs(spark, sf_dir)
-    return SP.first_occurrence(PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
+    return PL.first_entities(docs, PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
 
 
 @register("entity_citations",
@@ -523,7 +523,7 @@ def q_model_entities(spark, sf_dir):
     with the gazetteer entities (no oracle: the scorer is Python)."""
     from pagewright.operators.tokens import tokenize
     docs = _docs(spark, sf_dir)
-    ruler = SP.first_occurrence(PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
+    ruler = PL.first_entities(docs, PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
     model = HK.locate_words(HK.run_scorer(docs, HK.toy_acronym_scorer), tokenize(docs), docs)
     return HK.merge_entities(ruler, model).select("doc_id", "label", "text", "start", "end", "source")
 
@@ -618,3 +618,28 @@ def q_region_merge(spark, sf_dir):
     seed = spark.createDataFrame([(n, n, p, i) for i, (n, p) in enumerate(V.SEED_BRAIN_REGIONS)],
                                  "region_key string, name string, parent_name string, ordinal long")
     return QL.merge_region_sources({"neuronames": st, "hierarchy": hi, "seed": seed})
+
+
+# ------------------------------------------------------ more sources / modes
+
+@register("pdf_paths",
+          "SELECT page_id, url FROM pages WHERE suffix(lower(regexp_replace(url, '[?#].*$', '')), '.pdf')")
+def q_pdf_paths(spark, sf_dir):
+    """S3: keep paths ending in .pdf in any letter case (query string and fragment ignored)."""
+    p = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    bare = p.withColumn("path", F.regexp_replace("url", r"[?#].*$", ""))
+    return P.keep_pdf_paths(bare, "path").select("page_id", "url")
+
+
+_ASSEMBLY_CORRECTED_SQL = (
+    f"SELECT doc_id, string_agg({O.clean_page_text('page_text', False)} || chr(10) || chr(10), '' "
+    f"ORDER BY page_num) AS raw_text FROM fx_pages GROUP BY doc_id")
+
+
+@register("clean_text_corrected",
+          with_ctes(FX.fx_pages_cte(), f"articles AS ({_ASSEMBLY_CORRECTED_SQL})")
+          + f"SELECT doc_id, {O.clean_article('raw_text', corrected_citations=True)} AS text FROM articles")
+def q_clean_text_corrected(spark, sf_dir):
+    """Corrected mode: lines kept through assembly, filtered one by one, bracketed citations only."""
+    from pagewright.config import PipelineConfig
+    return PL.clean_articles(FX.fx_pages(spark, sf_dir), PipelineConfig(mode="corrected")).select("doc_id", "text")
