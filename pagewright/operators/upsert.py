@@ -90,5 +90,7 @@ def upsert_concept_relationships(relationships: DataFrame, contrasts: DataFrame)
                            F.coalesce("relationship", F.lit("")).alias("relationship"),
                            F.lit("MEASUREDBY").alias("direction"), F.lit(1).alias("phase"), "pos")
     both = rel.unionByName(con)
-    return latest_per_key(both, ["concept_id", "related_concept_id"], ["phase", "pos"], last=True) \
-        .drop("phase", "pos")
+    # (phase, pos) orders the rows; the payload breaks ties between rows that
+    # share an ordinal, so the result never depends on row arrival order.
+    return latest_per_key(both, ["concept_id", "related_concept_id"],
+                          ["phase", "pos", "relationship", "direction"], last=True).drop("phase", "pos")

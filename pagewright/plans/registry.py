@@ -341,8 +341,9 @@ def q_concept_classes(spark, sf_dir):
           "'contrast ' || l_returnflag, 'MEASUREDBY', 1, l_orderkey * 8 + l_linenumber FROM lineitem "
           "JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 45) "
           "SELECT concept_id, related_concept_id, "
-          "arg_max(relationship, struct_pack(a := phase, b := pos)) AS relationship, "
-          "arg_max(direction, struct_pack(a := phase, b := pos)) AS direction "
+          "arg_max(relationship, struct_pack(a := phase, b := pos, c := relationship, d := direction)) "
+          "AS relationship, "
+          "arg_max(direction, struct_pack(a := phase, b := pos, c := relationship, d := direction)) AS direction "
           "FROM r GROUP BY concept_id, related_concept_id")
 def q_concept_relationships(spark, sf_dir):
     concepts = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"))
