@@ -269,3 +269,13 @@ def rule_score_sql(t1: str, t2: str, between: str) -> tuple[str, str]:
     conf = f"(CASE {rel} " + " ".join(f"WHEN {q(r)} THEN CAST({c} AS DOUBLE)" for r, c in R[:3]) + \
         f" ELSE CAST({R[3][1]} AS DOUBLE) END)"
     return rel, conf
+
+
+def trim_alias_term(term: str, alias: str) -> str:
+    from pagewright.functions.regex import WS
+    words = f"regexp_split_to_array({term}, {q(WS + '+')})"
+    n = f"length({alias})"
+    last = f"list_slice({words}, len({words}) - {n} + 1, len({words}))"
+    initials = f"array_to_string(list_transform({last}, lambda w: upper(substring(w, 1, 1))), '')"
+    return (f"(CASE WHEN len({words}) >= {n} AND {initials} = upper({alias}) "
+            f"THEN array_to_string({last}, ' ') ELSE {term} END)")

@@ -644,3 +644,13 @@ def q_clean_text_corrected(spark, sf_dir):
     """Corrected mode: lines kept through assembly, filtered one by one, bracketed citations only."""
     from pagewright.config import PipelineConfig
     return PL.clean_articles(FX.fx_pages(spark, sf_dir), PipelineConfig(mode="corrected")).select("doc_id", "text")
+
+
+@register("alias_corrected",
+          with_ctes(FX.fx_articles_cte(), O.alias_ctes("fx_articles")[0],
+                    f"al1 AS (SELECT doc_id, pos, {O.trim_alias_term(O.strip('term'), O.strip('alias'))} AS term, "
+                    f"{O.strip('alias')} AS alias FROM al0)")
+          + "SELECT doc_id, term, arg_max(alias, pos) AS alias FROM al1 GROUP BY doc_id, term")
+def q_alias_corrected(spark, sf_dir):
+    """Corrected E7: alias terms trimmed to the words the alias abbreviates."""
+    return AL.extract_aliases_corrected(FX.fx_articles(spark, sf_dir))

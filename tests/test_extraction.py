@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pagewright.config import PipelineConfig
 from pagewright.operators import relations as RL
 from pagewright.operators import spans as SP
-from pagewright.operators.aliases import extract_aliases
+from pagewright.operators.aliases import extract_aliases, extract_aliases_corrected
 from pagewright.plans import pipeline as PL
 from pagewright.sources import vocab as V
 
@@ -106,3 +106,10 @@ def test_acronym_typing(spark):
     assert types["AD"] == types["PD"] == types["HD"] == "DISEASE"
     assert types["APOE"] == "PROTEIN" and types["BBB"] == "BRAIN_REGION"
     assert sum(1 for v in types.values() if v == "ACRONYM") == 15
+
+
+def test_alias_trimming(spark):
+    docs = spark.createDataFrame([(1, "We studied Alzheimer's disease (AD). Levels of Cerebrospinal Fluid (CSF).")],
+                                 "doc_id long, text string")
+    r = {x.alias: x.term for x in extract_aliases_corrected(docs).collect()}
+    assert r == {"AD": "Alzheimer's disease", "CSF": "Levels of Cerebrospinal Fluid"}
