@@ -63,3 +63,14 @@ def profile_structures(structures: DataFrame, parents: DataFrame, synonyms: Data
                      (parents.select("parent_key").distinct(), "distinct_parent_ids")):
         out = out.unionByName(_metric(df, name))
     return out.withColumnRenamed("check", "metric")
+
+
+def sample_entries(structures: DataFrame, parents: DataFrame, synonyms: DataFrame, n: int = 10,
+                   key: str = "neuronames_id") -> DataFrame:
+    """The first ``n`` entries (by ordinal) flagged with whether they have
+    parents / synonyms.  The limit is the feature (a profile sample)."""
+    first = structures.orderBy("ordinal").limit(n)
+    par = parents.select(F.col("child_key").alias(key)).distinct().withColumn("has_parents", F.lit(True))
+    syn = synonyms.select(F.col("owner_key").alias(key)).distinct().withColumn("has_synonyms", F.lit(True))
+    out = first.join(par, key, "left").join(syn, key, "left")
+    return out.fillna(False, ["has_parents", "has_synonyms"])

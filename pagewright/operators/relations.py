@@ -89,3 +89,31 @@ def per_article_counts(docs: DataFrame, entities: DataFrame, relations: DataFram
     for df, name in ((entities, "n_entities"), (relations, "n_relations"), (aliases, "n_aliases")):
         out = out.join(cnt(df, name), "doc_id", "left")
     return out.fillna(0, ["n_entities", "n_relations", "n_aliases"])
+
+
+RELATION_SCORE_SCHEMA = "relation string, confidence double"
+
+
+def score_relations_with_model(pairs_with_text: DataFrame, scorer, min_confidence: float = 0.7) -> DataFrame:
+    """X2 hook: a caller-supplied batch classifier on the ``sample`` strings.
+
+    ``scorer(pandas.Series of samples) -> pandas.DataFrame(relation, confidence)``
+    runs through ``mapInPandas`` (Arrow batches, one model load per Python
+    worker); the threshold O8 stays a Spark filter.
+    """
+    import pandas as pd
+
+    from pyspark.sql import types as T
+    out_schema = T.StructType(list(pairs_with_text.schema.fields) + [
+        T.StructField("relation", T.StringType()), T.StructField("confidence", T.DoubleType())])
+
+    def batches(it):
+        for pdf in it:
+            scored = scorer(pdf["sample"])
+            yield pd.concat([pdf.reset_index(drop=True), scored.reset_index(drop=True)], axis=1)
+
+    s = pairs_with_text.mapInPandas(batches, out_schema)
+    s = s.select("doc_id", F.col("e1_text").alias("entity1"), F.col("e1_label").alias("entity1_type"),
+                 F.col("e2_text").alias("entity2"), F.col("e2_label").alias("entity2_type"),
+                 "relation", "confidence", "context")
+    return s.where(F.col("confidence") > min_confidence)

@@ -58,3 +58,12 @@ def write_store(tables: dict[str, DataFrame], base_path: str, mode: str = "overw
     """
     for name, df in tables.items():
         df.write.mode(mode).parquet(f"{base_path.rstrip('/')}/{name}")
+
+
+def entities_by_label(entities: DataFrame) -> DataFrame:
+    """U1 export shape: one row per article with ``label -> [entity]`` (for JSON export only;
+    every computation works on the flat rows)."""
+    per_label = entities.groupBy("doc_id", "label").agg(
+        F.sort_array(F.collect_list(F.struct("start", "end", "text", "context"))).alias("items"))
+    return per_label.groupBy("doc_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("label", "items"))).alias("entities"))

@@ -94,3 +94,8 @@ def upsert_concept_relationships(relationships: DataFrame, contrasts: DataFrame)
     # share an ordinal, so the result never depends on row arrival order.
     return latest_per_key(both, ["concept_id", "related_concept_id"],
                           ["phase", "pos", "relationship", "direction"], last=True).drop("phase", "pos")
+
+
+def append_all(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """K4 parity mode: plain append (the reference's unkeyed inserts; a rerun duplicates)."""
+    return existing.unionByName(incoming.select(*existing.columns))

@@ -46,3 +46,19 @@ def assemble_articles(pages: DataFrame, cfg: PageConfig = PageConfig()) -> DataF
 def keep_pdf_paths(files: DataFrame, path_col: str = "path") -> DataFrame:
     """Keep paths ending in ``.pdf`` in any letter case (directory scan filter)."""
     return files.where(F.lower(F.col(path_col)).endswith(".pdf"))
+
+
+def list_pdf_files(spark, directory: str) -> DataFrame:
+    """S3: non-recursive listing of ``*.pdf`` files in any letter case.
+
+    Only path, size and modification time are selected, so the binary content
+    is never read.  Listing problems of single files surface as rows with a
+    ``status`` instead of failing the job (``ignoreCorruptFiles``).
+    """
+    df = (spark.read.format("binaryFile")
+          .option("pathGlobFilter", "*.[pP][dD][fF]")
+          .option("recursiveFileLookup", "false")
+          .option("ignoreCorruptFiles", "true")
+          .load(directory))
+    return df.select("path", "length", "modificationTime",
+                     F.when(F.col("length") > 0, F.lit("ok")).otherwise(F.lit("empty")).alias("status"))

@@ -82,3 +82,25 @@ def test_streaming_pages(spark, tmp_path):
     assert outs, "no batch written"
     ents = spark.read.parquet(str(tmp_path / "out" / outs[0] / "entities"))
     assert {"Tau", "hippocampus"} <= {r.text for r in ents.collect()}
+
+
+def test_list_pdf_files(spark, tmp_path):
+    from pagewright.sources.pages import list_pdf_files
+    (tmp_path / "a.PDF").write_bytes(b"%PDF-1.4 x")
+    (tmp_path / "b.pdf").write_bytes(b"%PDF-1.4 yy")
+    (tmp_path / "c.txt").write_bytes(b"nope")
+    names = sorted(r.path.rsplit("/", 1)[1] for r in list_pdf_files(spark, str(tmp_path)).collect())
+    assert names == ["a.PDF", "b.pdf"]
+
+
+def test_model_relation_hook(spark):
+    import pandas as pd
+    from pagewright.operators.relations import score_relations_with_model
+    p = spark.createDataFrame([(1, "tau", "PROTEIN", 0, 3, "x", "BIOMARKER", 10, 11, " is ", "tau [SEP]  is  [SEP] x", "c")],
+                              "doc_id long, e1_text string, e1_label string, e1_start long, e1_end long, "
+                              "e2_text string, e2_label string, e2_start long, e2_end long, between string, "
+                              "sample string, context string")
+    def scorer(samples):
+        return pd.DataFrame({"relation": ["IS_A"] * len(samples), "confidence": [0.95] * len(samples)})
+    r = score_relations_with_model(p, scorer).collect()
+    assert [(x.entity1, x.relation) for x in r] == [("tau", "IS_A")]
