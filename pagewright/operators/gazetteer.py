@@ -62,19 +62,27 @@ def match_gazetteer(tokens: DataFrame, gazetteer: DataFrame, max_n: int | None =
     grams = []
     for k in range(1, max_n + 1):
         parts = [F.col("norm")]
+        eparts = [F.col("token")]
         for j in range(1, k):
             parts += [F.lit(" "), F.col(f"n{j}")]
+            eparts += [F.lit(" "), F.col(f"t{j}")]
         end = F.col("end") if k == 1 else F.col(f"e{k - 1}")
         # surface text: pieces of all but the last token, then the last token
         surface = F.col("token") if k == 1 else F.concat(
             F.col("piece"), *[F.col(f"p{j}") for j in range(1, k - 1)], F.col(f"t{k - 1}"))
-        grams.append(F.struct(F.lit(k).alias("k"), F.concat(*parts).alias("key"), end.alias("end"),
-                              surface.alias("text")))
+        grams.append(F.struct(F.lit(k).alias("k"), F.concat(*parts).alias("key"),
+                              F.concat(*eparts).alias("ekey"), end.alias("end"), surface.alias("text")))
     cand = t.select("doc_id", "pos", "start", F.explode(F.array(*grams)).alias("g"))
     cand = cand.select("doc_id", F.col("pos").alias("tok_start"), "start",
-                       F.col("g.k").alias("n_tokens"), F.col("g.key").alias("key"),
+                       F.col("g.k").alias("n_tokens"), F.col("g.key").alias("key"), F.col("g.ekey").alias("ekey"),
                        F.col("g.end").alias("end"), F.col("g.text").alias("text")).where(F.col("key").isNotNull())
-    gz = side(gazetteer.select("key", "label", "source", "priority"))
-    m = cand.join(gz, "key")
+    cols = ["key", "label", "source", "priority"]
+    has_exact = "exact" in gazetteer.columns
+    folded = gazetteer.where(~F.col("exact")) if has_exact else gazetteer
+    m = cand.drop("ekey").join(side(folded.select(*cols)), "key")
+    if has_exact:
+        # exact-case entries join on the original-case n-gram
+        exact = side(gazetteer.where(F.col("exact")).select(F.col("key").alias("ekey"), *cols[1:]))
+        m = m.unionByName(cand.drop("key").join(exact, "ekey").withColumnRenamed("ekey", "key"))
     return m.select("doc_id", "tok_start", (F.col("tok_start") + F.col("n_tokens")).alias("tok_end"),
                     "n_tokens", "start", "end", "label", "source", "priority", "text")

@@ -177,15 +177,18 @@ def vocabulary_entries_sql(extra_sql: str | None = None) -> str:
 
 def gazetteer_ctes(extra_sql: str | None = None, entries_sql: str | None = None) -> list[str]:
     prio = "CASE source " + " ".join(f"WHEN {q(k)} THEN {v}" for k, v in _V.SOURCE_PRIORITY.items()) + " ELSE 99 END"
-    toks = f"list_transform(regexp_extract_all(name, {q(_TK.TOKEN_RE)}, 0), lambda x: lower(x))"
+    raw = f"regexp_extract_all(name, {q(_TK.TOKEN_RE)}, 0)"
+    toks = f"list_transform({raw}, lambda x: lower(x))"
+    exact = "(source IN (" + ", ".join(q(x) for x in _V.EXACT_CASE_SOURCES) + "))" if _V.EXACT_CASE_SOURCES else "false"
     return [
         f"vocab_entries AS ({entries_sql or vocabulary_entries_sql(extra_sql)})",
-        f"gz0 AS (SELECT label, name, source, {prio} AS priority, array_to_string({toks}, ' ') AS key, "
+        f"gz0 AS (SELECT label, name, source, {prio} AS priority, {exact} AS exact, "
+        f"CASE WHEN {exact} THEN array_to_string({raw}, ' ') ELSE array_to_string({toks}, ' ') END AS key, "
         f"len({toks}) AS n FROM vocab_entries)",
-        "gz AS (SELECT key, label, min(priority) AS priority, arg_min(source, priority) AS source, "
+        "gz AS (SELECT key, label, exact, min(priority) AS priority, arg_min(source, priority) AS source, "
         "arg_min(name, struct_pack(p := priority, s := source, n := name)) AS name, "
-        "string_split(key, ' ')[1] AS first, len(string_split(key, ' ')) AS n_tokens "
-        "FROM gz0 WHERE n > 0 GROUP BY key, label)",
+        "lower(string_split(key, ' ')[1]) AS first, len(string_split(key, ' ')) AS n_tokens "
+        "FROM gz0 WHERE n > 0 GROUP BY key, label, exact)",
     ]
 
 
@@ -201,23 +204,25 @@ def token_ctes(docs: str) -> list[str]:
 
 def match_ctes(docs: str, context_chars: int = 50) -> list[str]:
     """Candidates (m), kept spans (kept), mentions with text (ments), first occurrences (ents)."""
-    leads = ", ".join(f"lead(lower(token), {k}) OVER w AS n{k}, lead(start + length(token), {k}) OVER w AS e{k}"
-                      for k in range(1, ORACLE_MAX_N))
-    grams = ["SELECT doc_id, pos, start, 1 AS n_tokens, norm AS key, en FROM t"]
+    leads = ", ".join(f"lead(lower(token), {k}) OVER w AS n{k}, lead(start + length(token), {k}) OVER w AS e{k}, "
+                      f"lead(token, {k}) OVER w AS t{k}" for k in range(1, ORACLE_MAX_N))
+    grams = ["SELECT doc_id, pos, start, 1 AS n_tokens, norm AS key, token AS ekey, en FROM t"]
     for k in range(2, ORACLE_MAX_N + 1):
         key = "norm || " + " || ".join(f"' ' || n{j}" for j in range(1, k))
-        grams.append(f"SELECT doc_id, pos, start, {k}, {key}, e{k - 1} FROM t WHERE n{k - 1} IS NOT NULL")
+        ekey = "token || " + " || ".join(f"' ' || t{j}" for j in range(1, k))
+        grams.append(f"SELECT doc_id, pos, start, {k}, {key}, {ekey}, e{k - 1} FROM t WHERE n{k - 1} IS NOT NULL")
     better = ("b.n_tokens > a.n_tokens OR (b.n_tokens = a.n_tokens AND (b.tok_start < a.tok_start OR "
               "(b.tok_start = a.tok_start AND (b.priority < a.priority OR "
               "(b.priority = a.priority AND b.label < a.label)))))")
     lo = f"greatest(k.start - {context_chars}, 0)"
     hi = f"least(k.en + {context_chars}, length(d.text))"
     return [
-        f"t AS (SELECT doc_id, pos, lower(token) AS norm, start, start + length(token) AS en, {leads} "
+        f"t AS (SELECT doc_id, pos, token, lower(token) AS norm, start, start + length(token) AS en, {leads} "
         "FROM toks WINDOW w AS (PARTITION BY doc_id ORDER BY pos))",
         "cand AS (" + " UNION ALL ".join(grams) + ")",
         "m AS (SELECT c.doc_id, c.pos AS tok_start, c.pos + c.n_tokens AS tok_end, c.n_tokens, c.start, "
-        "c.en, g.label, g.source, g.priority FROM cand c JOIN gz g ON c.key = g.key)",
+        "c.en, g.label, g.source, g.priority FROM cand c JOIN gz g "
+        "ON (NOT g.exact AND c.key = g.key) OR (g.exact AND c.ekey = g.key))",
         f"kept AS (SELECT * FROM m a WHERE NOT EXISTS (SELECT 1 FROM m b WHERE b.doc_id = a.doc_id "
         f"AND b.tok_start < a.tok_end AND a.tok_start < b.tok_end AND ({better})))",
         f"ments AS (SELECT k.doc_id, k.label, k.source, k.start, k.en, "

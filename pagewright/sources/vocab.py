@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagewright.operators.tokens import normalize_name, token_array
+from pagewright.operators.tokens import TOKEN_RE, normalize_name, token_array
 
 # ---------------------------------------------------------------------------
 # Seed vocabularies (names and categories as the reference
@@ -106,7 +106,7 @@ ACRONYM_DEFAULT_TYPE = "ACRONYM"
 SOURCE_PRIORITY = {"builtin": 0, "diseases": 1, "symptoms": 2, "proteins": 3,
                    "brain_regions": 4, "acronyms": 5, "extra": 6}
 
-GAZETTEER_COLUMNS = ["label", "name", "key", "first", "n_tokens", "source", "priority"]
+GAZETTEER_COLUMNS = ["label", "name", "key", "first", "n_tokens", "source", "priority", "exact"]
 
 
 def acronym_type(full_form: Column) -> Column:
@@ -175,20 +175,30 @@ def vocabulary_entries(spark: SparkSession, tables: dict[str, DataFrame] | None
     return out.where(F.col("name").isNotNull() & (F.length("name") > 1))
 
 
-def build_gazetteer(entries: DataFrame) -> DataFrame:
-    """Normalise entries with the text tokenizer; one row per (key, label), best priority."""
+# Corrected mode: sources whose entries match only the exact-case token
+# (acronyms such as "AD" or "PET" would otherwise match "ad" and "pet").
+EXACT_CASE_SOURCES = ("acronyms",)
+
+
+def build_gazetteer(entries: DataFrame, exact_case_sources: tuple[str, ...] = EXACT_CASE_SOURCES) -> DataFrame:
+    """Normalise entries with the text tokenizer; one row per (key, label, exact), best priority.
+
+    ``exact`` entries keep their letter case in ``key``; all others are lower-cased.
+    """
     prio = F.create_map(*[x for kv in SOURCE_PRIORITY.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    exact = F.col("source").isin(list(exact_case_sources)) if exact_case_sources else F.lit(False)
+    raw_toks = F.regexp_extract_all(F.col("name"), F.lit(TOKEN_RE), 0)
     g = entries.select(
         "label", "name", "source", F.coalesce(prio[F.col("source")], F.lit(99)).alias("priority"),
-        normalize_name(F.col("name")).alias("key"), token_array(F.col("name")).alias("toks"))
-    g = g.where(F.size("toks") > 0).select(
-        "label", "name", "source", "priority", "key",
-        F.element_at("toks", 1).alias("first"), F.size("toks").alias("n_tokens"))
-    best = g.groupBy("key", "label").agg(F.min(F.struct("priority", "source", "name")).alias("b"))
+        exact.alias("exact"),
+        F.when(exact, F.array_join(raw_toks, " ")).otherwise(normalize_name(F.col("name"))).alias("key"),
+        F.size(raw_toks).alias("n"))
+    g = g.where(F.col("n") > 0)
+    best = g.groupBy("key", "label", "exact").agg(F.min(F.struct("priority", "source", "name")).alias("b"))
     return best.select("label", F.col("b.name").alias("name"), "key",
-                       F.split("key", " ").getItem(0).alias("first"),
+                       F.lower(F.split("key", " ").getItem(0)).alias("first"),
                        F.size(F.split("key", " ")).alias("n_tokens"),
-                       F.col("b.source").alias("source"), F.col("b.priority").alias("priority"))
+                       F.col("b.source").alias("source"), F.col("b.priority").alias("priority"), "exact")
 
 
 def default_gazetteer(spark: SparkSession, extra: DataFrame | None = None) -> DataFrame:
