@@ -34,6 +34,9 @@ class ExtractConfig:
     min_confidence: float = 0.7       # relationships kept when score is strictly above
     range_bucket: int = 256           # bucket width (chars) of the pair range join
     broadcast_max_rows: int = 2_000_000  # gazetteer rows allowed in a broadcast
+    # Mentions feed entities, pairs and counts: "persist" (default), "checkpoint"
+    # (shared checkpoint folder, lineage cut) or "none".
+    materialize: str = "persist"
 
 
 @dataclass(frozen=True)

@@ -19,7 +19,7 @@ from pagewright.functions import metadata as M
 from pagewright.functions import text as T
 from pagewright.operators.aliases import extract_aliases
 from pagewright.operators.gazetteer import match_gazetteer
-from pagewright.operators.partitioning import by_doc
+from pagewright.operators.partitioning import by_doc, text_partitions
 from pagewright.operators.relations import entity_pairs, pair_text, per_article_counts, score_relations
 from pagewright.operators.spans import attach_context, first_occurrence, resolve_overlaps
 from pagewright.operators.tokens import tokenize
@@ -34,6 +34,23 @@ class Extraction:
     relations: DataFrame     # doc_id, entity1, entity1_type, entity2, entity2_type, relation, confidence, context
 
 
+def materialize(df: DataFrame, how: str) -> DataFrame:
+    """Keep a DataFrame that several branches of one plan read from being recomputed.
+
+    ``persist``: executor memory/disk (lost blocks are recomputed from lineage);
+    ``checkpoint``: written to the shared ``spark.checkpoint.dir`` (lineage cut,
+    nothing to recompute after an executor loss); ``none``: stay lazy.
+    """
+    if how == "persist":
+        from pyspark import StorageLevel
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if how == "checkpoint":
+        from pagewright.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    return df
+
+
 def entity_mentions(docs: DataFrame, gazetteer: DataFrame, cfg: PipelineConfig = PipelineConfig(),
                     max_n: int | None = None) -> DataFrame:
     """J1 + J8: non-overlapping vocabulary spans with their surface text (no context)."""
@@ -53,8 +70,11 @@ def extract_knowledge(docs: DataFrame, gazetteer: DataFrame, cfg: PipelineConfig
                       max_n: int | None = None, partitioned: bool = False) -> Extraction:
     if not partitioned:
         docs = by_doc(docs)
-    mentions = entity_mentions(docs, gazetteer, cfg, max_n)
-    entities = first_entities(docs, mentions, cfg)
+    mentions = materialize(entity_mentions(docs, gazetteer, cfg, max_n), cfg.extract.materialize)
+    # Entities feed both sides of the pair join and the per-article counts.
+    # One explicit exchange (small rows) gives every consumer the same
+    # reusable shuffle, so tokenizing and matching run once per plan.
+    entities = first_entities(docs, mentions, cfg).repartition(text_partitions(docs), "doc_id")
     aliases = extract_aliases(docs)
     pairs = entity_pairs(entities, cfg.extract.max_pair_gap, cfg.extract.range_bucket)
     rels = score_relations(pair_text(pairs, docs, cfg.extract.pair_context_chars),
