@@ -76,17 +76,12 @@ def match_gazetteer(tokens: DataFrame, gazetteer: DataFrame, max_n: int | None =
     cand = cand.select("doc_id", F.col("pos").alias("tok_start"), "start",
                        F.col("g.k").alias("n_tokens"), F.col("g.key").alias("key"), F.col("g.ekey").alias("ekey"),
                        F.col("g.end").alias("end"), F.col("g.text").alias("text")).where(F.col("key").isNotNull())
-    # One equi-join on (key, exact): each candidate offers its lower-cased key
-    # to case-folded entries and its original-case key to exact-case entries.
-    # (Two separate joins would walk the token window twice.)
-    offers = F.array(F.struct(F.col("key").alias("k"), F.lit(False).alias("x")),
-                     F.struct(F.col("ekey").alias("k"), F.lit(True).alias("x")))
-    cand = cand.select("doc_id", "tok_start", "start", "n_tokens", "end", "text",
-                       F.explode(offers).alias("o")) \
-        .select("doc_id", "tok_start", "start", "n_tokens", "end", "text",
-                F.col("o.k").alias("key"), F.col("o.x").alias("exact"))
+    # One equi-join on the case-folded key; exact-case entries (acronyms) also
+    # need the original-case n-gram to equal their spelling (residual filter
+    # on the few joined rows - no second join, no extra candidate rows).
     exact = F.col("exact") if "exact" in gazetteer.columns else F.lit(False)
-    gz = side(gazetteer.select("key", exact.alias("exact"), "label", "source", "priority"))
-    m = cand.join(gz, ["key", "exact"])
+    ekey = F.col("ekey") if "ekey" in gazetteer.columns else F.lit(None).cast("string")
+    gz = side(gazetteer.select("key", exact.alias("g_exact"), ekey.alias("g_ekey"), "label", "source", "priority"))
+    m = cand.join(gz, "key").where(~F.col("g_exact") | (F.col("ekey") == F.col("g_ekey")))
     return m.select("doc_id", "tok_start", (F.col("tok_start") + F.col("n_tokens")).alias("tok_end"),
                     "n_tokens", "start", "end", "label", "source", "priority", "text")

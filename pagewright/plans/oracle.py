@@ -183,12 +183,13 @@ def gazetteer_ctes(extra_sql: str | None = None, entries_sql: str | None = None)
     return [
         f"vocab_entries AS ({entries_sql or vocabulary_entries_sql(extra_sql)})",
         f"gz0 AS (SELECT label, name, source, {prio} AS priority, {exact} AS exact, "
-        f"CASE WHEN {exact} THEN array_to_string({raw}, ' ') ELSE array_to_string({toks}, ' ') END AS key, "
+        f"array_to_string({toks}, ' ') AS key, "
+        f"CASE WHEN {exact} THEN array_to_string({raw}, ' ') END AS ekey, "
         f"len({toks}) AS n FROM vocab_entries)",
-        "gz AS (SELECT key, label, exact, min(priority) AS priority, arg_min(source, priority) AS source, "
+        "gz AS (SELECT key, label, exact, ekey, min(priority) AS priority, arg_min(source, priority) AS source, "
         "arg_min(name, struct_pack(p := priority, s := source, n := name)) AS name, "
-        "lower(string_split(key, ' ')[1]) AS first, len(string_split(key, ' ')) AS n_tokens "
-        "FROM gz0 WHERE n > 0 GROUP BY key, label, exact)",
+        "string_split(key, ' ')[1] AS first, len(string_split(key, ' ')) AS n_tokens "
+        "FROM gz0 WHERE n > 0 GROUP BY key, label, exact, ekey)",
     ]
 
 
@@ -222,7 +223,7 @@ def match_ctes(docs: str, context_chars: int = 50) -> list[str]:
         "cand AS (" + " UNION ALL ".join(grams) + ")",
         "m AS (SELECT c.doc_id, c.pos AS tok_start, c.pos + c.n_tokens AS tok_end, c.n_tokens, c.start, "
         "c.en, g.label, g.source, g.priority FROM cand c JOIN gz g "
-        "ON (NOT g.exact AND c.key = g.key) OR (g.exact AND c.ekey = g.key))",
+        "ON c.key = g.key AND (NOT g.exact OR c.ekey = g.ekey))",
         f"kept AS (SELECT * FROM m a WHERE NOT EXISTS (SELECT 1 FROM m b WHERE b.doc_id = a.doc_id "
         f"AND b.tok_start < a.tok_end AND a.tok_start < b.tok_end AND ({better})))",
         f"ments AS (SELECT k.doc_id, k.label, k.source, k.start, k.en, "

@@ -167,7 +167,7 @@ def _extract_ctes():
 
 @register("gazetteer_union",
           with_ctes(*O.gazetteer_ctes(FX.fx_vocab_extra_sql()))
-          + "SELECT label, name, key, first, n_tokens, source, priority, exact FROM gz")
+          + "SELECT label, name, key, first, n_tokens, source, priority, exact, ekey FROM gz")
 def q_gazetteer_union(spark, sf_dir):
     return _gazetteer(spark, sf_dir)
 

@@ -106,7 +106,7 @@ ACRONYM_DEFAULT_TYPE = "ACRONYM"
 SOURCE_PRIORITY = {"builtin": 0, "diseases": 1, "symptoms": 2, "proteins": 3,
                    "brain_regions": 4, "acronyms": 5, "extra": 6}
 
-GAZETTEER_COLUMNS = ["label", "name", "key", "first", "n_tokens", "source", "priority", "exact"]
+GAZETTEER_COLUMNS = ["label", "name", "key", "first", "n_tokens", "source", "priority", "exact", "ekey"]
 
 
 def acronym_type(full_form: Column) -> Column:
@@ -181,24 +181,24 @@ EXACT_CASE_SOURCES = ("acronyms",)
 
 
 def build_gazetteer(entries: DataFrame, exact_case_sources: tuple[str, ...] = EXACT_CASE_SOURCES) -> DataFrame:
-    """Normalise entries with the text tokenizer; one row per (key, label, exact), best priority.
+    """Normalise entries with the text tokenizer; one row per (key, label, exact, ekey), best priority.
 
-    ``exact`` entries keep their letter case in ``key``; all others are lower-cased.
+    ``key`` is always the lower-cased token sequence (the join key); ``exact``
+    entries also keep their original-case spelling in ``ekey``.
     """
     prio = F.create_map(*[x for kv in SOURCE_PRIORITY.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     exact = F.col("source").isin(list(exact_case_sources)) if exact_case_sources else F.lit(False)
     raw_toks = F.regexp_extract_all(F.col("name"), F.lit(TOKEN_RE), 0)
     g = entries.select(
         "label", "name", "source", F.coalesce(prio[F.col("source")], F.lit(99)).alias("priority"),
-        exact.alias("exact"),
-        F.when(exact, F.array_join(raw_toks, " ")).otherwise(normalize_name(F.col("name"))).alias("key"),
-        F.size(raw_toks).alias("n"))
+        exact.alias("exact"), normalize_name(F.col("name")).alias("key"),
+        F.when(exact, F.array_join(raw_toks, " ")).alias("ekey"), F.size(raw_toks).alias("n"))
     g = g.where(F.col("n") > 0)
-    best = g.groupBy("key", "label", "exact").agg(F.min(F.struct("priority", "source", "name")).alias("b"))
+    best = g.groupBy("key", "label", "exact", "ekey").agg(F.min(F.struct("priority", "source", "name")).alias("b"))
     return best.select("label", F.col("b.name").alias("name"), "key",
-                       F.lower(F.split("key", " ").getItem(0)).alias("first"),
+                       F.split("key", " ").getItem(0).alias("first"),
                        F.size(F.split("key", " ")).alias("n_tokens"),
-                       F.col("b.source").alias("source"), F.col("b.priority").alias("priority"), "exact")
+                       F.col("b.source").alias("source"), F.col("b.priority").alias("priority"), "exact", "ekey")
 
 
 def default_gazetteer(spark: SparkSession, extra: DataFrame | None = None) -> DataFrame:

@@ -104,3 +104,26 @@ def test_model_relation_hook(spark):
         return pd.DataFrame({"relation": ["IS_A"] * len(samples), "confidence": [0.95] * len(samples)})
     r = score_relations_with_model(p, scorer).collect()
     assert [(x.entity1, x.relation) for x in r] == [("tau", "IS_A")]
+
+
+def test_vocab_load_plans(spark, tmp_path):
+    from pagewright.plans.vocab_load import load_brain_structures, load_concepts
+    data = [{"neuroNamesID": "10", "standardName": "a", "parents": [{"parentNeuroNamesId": "11"}]},
+            {"neuroNamesID": "11", "standardName": "b", "parents": [{"parentNeuroNamesId": "77", "parentStandardName": "gone"}],
+             "synonyms": [{"synonymName": "bee", "pubMedHits": "3"}]},
+            {"neuroNamesID": "10", "standardName": "a2"}]
+    p = tmp_path / "s.json"
+    p.write_text(json.dumps(data))
+    first = load_brain_structures(spark, str(p))
+    names = {r.neuronames_id: (r.id, r.standard_name) for r in first.structures.collect()}
+    assert names == {"10": (1, "a2"), "11": (2, "b")}          # same key twice: last attributes win
+    again = load_brain_structures(spark, str(p), existing=first.structures.withColumnRenamed("neuronames_id", "key")
+                                  .withColumn("ordinal", F.lit(0).cast("long")))
+    assert {r.neuronames_id: r.id for r in again.structures.collect()} == {"10": 1, "11": 2}   # ids unchanged
+    assert [(r.parent_key, r["count"], r.name) for r in first.missing.collect()] == [("77", 1, "gone")]
+    assert {r.metric: r.n for r in first.log.collect()}["parent_links"] == 1
+    c = tmp_path / "c.json"
+    c.write_text('{"id": "c1", "name": "x"}\n{"id": "c1", "name": "y"}\n{"id": "c2", "name": null}\n{"id": "c3"}\n')
+    table, bad = load_concepts(spark, str(c))
+    assert sorted((r.concept_id, r.name) for r in table.collect()) == [("c1", "x"), ("c3", "No Name found")]
+    assert [r.concept_id for r in bad.collect()] == ["c2"]
