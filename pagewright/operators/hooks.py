@@ -10,7 +10,6 @@ categorising - is plain DataFrame work.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import pandas as pd
@@ -33,13 +32,24 @@ def run_scorer(docs: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame])
     return docs.select("doc_id", "text").mapInPandas(batches, MODEL_ENTITY_SCHEMA)
 
 
-_CAPS = re.compile(r"\b[A-Z][A-Z0-9]{1,4}\b")
+TOY_WORD_RE = "[A-Z][A-Z0-9]{1,4}"
 
 
 def toy_acronym_scorer(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A stand-in scorer for tests: every all-capitals word of 2-5 characters."""
-    rows = [(d, "MODEL_ACRONYM", m.group(0)) for d, t in zip(pdf["doc_id"], pdf["text"])
-            for m in _CAPS.finditer(t or "")]
+    """A stand-in scorer for tests: every all-capitals token of 2-5 characters.
+
+    Tokens come from the engine's own tokenizer pattern (``regex`` reads the
+    same Unicode classes as Java), so the scorer's words always line up with
+    token boundaries.
+    """
+    import regex
+
+    from pagewright.functions.regex import to_python
+    from pagewright.operators.tokens import TOKEN_RE
+    tok = regex.compile(to_python(TOKEN_RE))
+    word = regex.compile(TOY_WORD_RE)
+    rows = [(d, "MODEL_ACRONYM", w) for d, t in zip(pdf["doc_id"], pdf["text"])
+            for w in tok.findall(t or "") if word.fullmatch(w)]
     return pd.DataFrame(rows, columns=["doc_id", "label", "word"])
 
 

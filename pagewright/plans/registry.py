@@ -482,6 +482,8 @@ def q_article_pipeline(spark, sf_dir):
 # ------------------------------------------------------ store, hooks, quality
 
 from pagewright.operators import hooks as HK  # noqa: E402
+from pagewright.operators import hooks as HKN  # noqa: E402
+from pagewright.operators import tokens as TKN  # noqa: E402
 from pagewright.operators import quality as QL  # noqa: E402
 from pagewright.operators import store as ST  # noqa: E402
 from pagewright.sources import json_sources as JS  # noqa: E402
@@ -518,10 +520,22 @@ def q_relation_citations(spark, sf_dir):
     return ST.relation_citations(rels).drop("relation_id")
 
 
-@register("model_entities")
+_MODEL_SQL = (
+    f"mw0 AS (SELECT doc_id, unnest(regexp_extract_all(text, {O.q(TKN.TOKEN_RE)}, 0)) AS tok FROM fx_articles), "
+    f"mw AS (SELECT doc_id, 'MODEL_ACRONYM' AS label, tok AS word FROM mw0 "
+    f"WHERE regexp_full_match(tok, {O.q(HKN.TOY_WORD_RE)})), "
+    "mloc AS (SELECT w.doc_id, w.label, w.word AS text, min(t.start) AS start FROM (SELECT DISTINCT * FROM mw) w "
+    "JOIN toks t ON t.doc_id = w.doc_id AND t.token = w.word GROUP BY w.doc_id, w.label, w.word)")
+
+
+@register("model_entities",
+          with_ctes(*_extract_ctes(), _MODEL_SQL)
+          + 'SELECT doc_id, label, text, start, en AS "end", source FROM ents UNION ALL '
+            'SELECT doc_id, label, text, start, start + length(text), \'model\' FROM mloc m WHERE NOT EXISTS '
+            '(SELECT 1 FROM ents e WHERE e.doc_id = m.doc_id AND e.label = m.label AND lower(e.text) = lower(m.text))')
 def q_model_entities(spark, sf_dir):
     """X1/X4 + J9 + U2: a toy batch scorer through mapInPandas, located and merged
-    with the gazetteer entities (no oracle: the scorer is Python)."""
+    with the gazetteer entities."""
     from pagewright.operators.tokens import tokenize
     docs = _docs(spark, sf_dir)
     ruler = PL.first_entities(docs, PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
@@ -529,9 +543,11 @@ def q_model_entities(spark, sf_dir):
     return HK.merge_entities(ruler, model).select("doc_id", "label", "text", "start", "end", "source")
 
 
-@register("model_categories")
+@register("model_categories",
+          with_ctes(FX.fx_articles_cte(), _MODEL_SQL.split("), mloc AS")[0] + ")")
+          + "SELECT label, count(*) AS n_words, count(DISTINCT word) AS n_distinct FROM mw GROUP BY label")
 def q_model_categories(spark, sf_dir):
-    """A4 over the toy scorer's output (no oracle: the scorer is Python)."""
+    """A4 over the toy scorer's output."""
     return HK.categorise(HK.run_scorer(_docs(spark, sf_dir), HK.toy_acronym_scorer))
 
 
