@@ -13,7 +13,10 @@ def text_partitions(df: DataFrame) -> int:
     few MB of text per partition already keeps a core busy."""
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(n, spark.sparkContext.defaultParallelism)
+    try:
+        return max(n, spark.sparkContext.defaultParallelism)
+    except Exception:
+        return n
 
 
 def by_doc(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -36,8 +39,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition a scan by ``keys`` when it yields fewer partitions than the
     cluster's default parallelism (one unsplittable file); a multi-file dataset
     is left as it is, so this never adds a shuffle at cluster scale."""
-    sc = df.sparkSession.sparkContext
-    if df.rdd.getNumPartitions() >= sc.defaultParallelism:
+    try:
+        narrow = df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+    except Exception:          # no RDD view (e.g. a Connect session): spread to be safe
+        narrow = True
+    if not narrow:
         return df
     if keys:
         return df.repartition(text_partitions(df), *[F.col(k) for k in keys])
