@@ -277,3 +277,34 @@ def fx_person_names_sql() -> str:
     vals = ", ".join(f"('PERSON', '{n}')" for n in PERSON_NAMES)
     return (f"SELECT label, name, 'extra' AS source FROM (SELECT * FROM (VALUES {vals}) t(label, name) "
             f"UNION ALL SELECT 'PERSON', c_name FROM customer) u WHERE name IS NOT NULL AND length(name) > 1")
+
+
+def fx_structures_json(spark: SparkSession, sf_dir: str) -> str:
+    """Write the structure fixture as nested JSON Lines (parents and synonyms as
+    arrays, like the landed source) under the shared checkpoint folder; returns the path."""
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    from pagewright.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark)
+    st = fx_structures(spark, sf_dir)
+    par = fx_parents(spark, sf_dir).groupBy("child_key").agg(F.sort_array(F.collect_list(F.struct(
+        "pos", F.struct(F.col("parent_key").alias("parentNeuroNamesId"),
+                        F.col("parent_name").alias("parentStandardName"),
+                        F.col("model_name").alias("modelName"),
+                        F.col("model_status").alias("modelStatus")).alias("p")))).alias("ps"))
+    syn = fx_synonyms(spark, sf_dir).groupBy("owner_key").agg(F.collect_list(F.struct(
+        F.col("synonym_language").alias("synonymLanguage"), F.col("organism").alias("organism"),
+        F.col("synonym_name").alias("synonymName"), F.col("synonym_source").alias("synonymSource"),
+        F.col("source_title").alias("synonymSourceTitle"), F.col("pubmed_hits").alias("pubMedHits"))).alias("syns"))
+    doc = (st.join(par, st["neuronames_id"] == par["child_key"], "left")
+           .join(syn, st["neuronames_id"] == syn["owner_key"], "left")
+           .select(F.col("neuronames_id").alias("neuroNamesID"), F.col("standard_name").alias("standardName"),
+                   F.col("standard_acronym").alias("standardAcronym"), F.col("definition").alias("cDefinition"),
+                   F.col("brain_info_url").alias("brainInfoURL"), F.col("structure_type").alias("brainStructureType"),
+                   F.transform("ps", lambda x: x["p"]).alias("parents"), F.col("syns").alias("synonyms"), "ordinal")
+           .orderBy("ordinal").drop("ordinal"))
+    path = f"{base.rstrip('/')}/fixtures/structures_{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}"
+    doc.write.mode("overwrite").json(path)
+    return path

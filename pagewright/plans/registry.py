@@ -670,3 +670,17 @@ def q_clean_text_corrected(spark, sf_dir):
 def q_alias_corrected(spark, sf_dir):
     """Corrected E7: alias terms trimmed to the words the alias abbreviates."""
     return AL.extract_aliases_corrected(FX.fx_articles(spark, sf_dir))
+
+
+@register("structure_load",
+          with_ctes(*_HIER_SQL, FX.fx_synonyms_cte())
+          + "SELECT 'structures' AS metric, count(*) AS n FROM idm "
+            "UNION ALL SELECT 'parent_links', count(*) FROM pj WHERE parent_id IS NOT NULL "
+            "UNION ALL SELECT 'missing_parents', count(*) FROM miss "
+            "UNION ALL SELECT 'synonyms', count(*) FROM fx_synonyms s JOIN idm i ON i.key = s.owner_key")
+def q_structure_load(spark, sf_dir):
+    """S4 end to end: nested structure JSON written from the driver tables, read
+    back with the explicit schema, then K1/K2, J3/J4, A3/T1/T2, J5/E8 and the load log."""
+    from pagewright.plans.vocab_load import load_brain_structures
+    path = FX.fx_structures_json(spark, sf_dir)
+    return load_brain_structures(spark, path, multi_line=False).log.select("metric", "n")

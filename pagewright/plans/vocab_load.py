@@ -36,8 +36,8 @@ class StructureLoad:
 
 
 def load_brain_structures(spark: SparkSession, json_path: str, existing: DataFrame | None = None,
-                          run_id: str = "run") -> StructureLoad:
-    raw = JS.read_json_array(spark, json_path, JS.STRUCTURE_SCHEMA)
+                          run_id: str = "run", multi_line: bool = True) -> StructureLoad:
+    raw = JS.read_json_array(spark, json_path, JS.STRUCTURE_SCHEMA, multi_line)
     st, par, syn = JS.structures_flat(raw)
     incoming = st.withColumnRenamed("neuronames_id", "key").select(
         "key", "standard_name", "standard_acronym", "definition", "brain_info_url", "structure_type", "ordinal")
@@ -83,8 +83,8 @@ def load_concepts(spark: SparkSession, concepts_path: str, existing: DataFrame |
     return table.drop("ordinal") if "ordinal" in table.columns else table, bad
 
 
-def load_concept_details(spark: SparkSession, details_path: str, concepts: DataFrame):
+def load_concept_details(spark: SparkSession, details_path: str, concepts: DataFrame, multi_line: bool = True):
     """(concept classes, concept relationships) for stored concepts."""
-    raw = JS.read_json_array(spark, details_path, JS.CONCEPT_DETAIL_SCHEMA)
+    raw = JS.read_json_array(spark, details_path, JS.CONCEPT_DETAIL_SCHEMA, multi_line)
     classes, rels, cons = JS.concept_details_flat(raw, concepts)
     return U.upsert_concept_classes(classes), U.upsert_concept_relationships(rels, cons)

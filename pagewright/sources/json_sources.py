@@ -52,9 +52,13 @@ CONCEPT_DETAIL_SCHEMA = T.StructType([
 ])
 
 
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A file holding one JSON array of objects (or JSON lines); ordinal = file, position."""
-    df = (spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path))
+def read_json_array(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """Landed JSON with an explicit schema; ``ordinal`` = (file, position) order.
+
+    ``multi_line=True`` reads files that each hold one JSON array of objects;
+    ``False`` reads JSON Lines (one object per line, splittable).
+    """
+    df = (spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path))
     return df.withColumn("ordinal", F.monotonically_increasing_id())
 
 

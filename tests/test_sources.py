@@ -39,7 +39,8 @@ def test_concept_details(spark, tmp_path):
                {"id": "c9", "relationships": [{"id": "c1"}]}]
     path = tmp_path / "details.json"
     path.write_text("\n".join(json.dumps(d) for d in details))
-    raw = JS.read_json_array(spark, str(path), JS.CONCEPT_DETAIL_SCHEMA)
+    raw = JS.read_json_array(spark, str(path), JS.CONCEPT_DETAIL_SCHEMA, multi_line=False)
+    assert raw.count() == 2
     concepts = spark.createDataFrame([("c1",)], "concept_id string")          # c9 is not stored
     classes, rels, cons = JS.concept_details_flat(raw, concepts)
     out = U.upsert_concept_relationships(rels, cons).collect()
