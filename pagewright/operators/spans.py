@@ -97,3 +97,23 @@ def first_occurrence(entities: DataFrame) -> DataFrame:
 def entity_counts(entities: DataFrame) -> DataFrame:
     """A1: entities per label per article."""
     return entities.groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("n_entities"))
+
+
+def drop_overlapping(candidates: DataFrame, blockers: DataFrame, bucket: int = 256) -> DataFrame:
+    """J8 (compat): drop candidates that overlap any existing span in ``blockers``.
+
+    Existing entities (for instance from a statistical-model hook) are never
+    displaced by gazetteer matches.  Overlap is an interval test, so both sides
+    are exploded over the fixed-width character buckets they touch (a span
+    covers one or two buckets) and equi-joined on ``(doc_id, bucket)``; the
+    candidates found overlapping are removed with an anti join on their key.
+    """
+    def buckets(df):
+        return F.explode(F.sequence(F.floor(F.col("start") / bucket),
+                                    F.floor((F.greatest(F.col("end"), F.col("start") + 1) - 1) / bucket)))
+    key = ["doc_id", "tok_start", "tok_end", "label"]
+    c = candidates.select(*key, "start", "end", buckets(candidates).alias("bucket"))
+    b = blockers.select("doc_id", F.col("start").alias("b_start"), F.col("end").alias("b_end"),
+                        buckets(blockers).alias("bucket"))
+    hit = c.join(b, ["doc_id", "bucket"]).where((F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end")))
+    return candidates.join(hit.select(*key).distinct(), key, "left_anti")

@@ -21,7 +21,7 @@ from pagewright.operators.aliases import extract_aliases
 from pagewright.operators.gazetteer import match_gazetteer
 from pagewright.operators.partitioning import by_doc, text_partitions
 from pagewright.operators.relations import entity_pairs, pair_text, per_article_counts, score_relations
-from pagewright.operators.spans import attach_context, first_occurrence, resolve_overlaps
+from pagewright.operators.spans import attach_context, drop_overlapping, first_occurrence, resolve_overlaps
 from pagewright.operators.tokens import tokenize
 from pagewright.sources.pages import assemble_articles
 
@@ -52,10 +52,16 @@ def materialize(df: DataFrame, how: str) -> DataFrame:
 
 
 def entity_mentions(docs: DataFrame, gazetteer: DataFrame, cfg: PipelineConfig = PipelineConfig(),
-                    max_n: int | None = None) -> DataFrame:
-    """J1 + J8: non-overlapping vocabulary spans with their surface text (no context)."""
+                    max_n: int | None = None, blockers: DataFrame | None = None) -> DataFrame:
+    """J1 + J8: non-overlapping vocabulary spans with their surface text (no context).
+
+    ``blockers`` (doc_id, start, end): existing entities, e.g. from a model
+    hook, that gazetteer matches may not overlap (reference behaviour).
+    """
     toks = tokenize(docs)
     cands = match_gazetteer(toks, gazetteer, max_n, cfg.extract.broadcast_max_rows)
+    if blockers is not None:
+        cands = drop_overlapping(cands, blockers, cfg.extract.range_bucket)
     kept = resolve_overlaps(cands)
     return kept.select("doc_id", "label", "source", "start", "end", "text")
 

@@ -113,3 +113,21 @@ def test_alias_trimming(spark):
                                  "doc_id long, text string")
     r = {x.alias: x.term for x in extract_aliases_corrected(docs).collect()}
     assert r == {"AD": "Alzheimer's disease", "CSF": "Levels of Cerebrospinal Fluid"}
+
+
+def test_drop_overlapping_matches_brute_force(spark):
+    rnd = random.Random(11)
+    cands, blocks = [], []
+    for doc in range(4):
+        for i in range(120):
+            s = rnd.randrange(0, 2000)
+            cands.append((doc, i, i + 1, "L", s, s + rnd.randint(1, 40)))
+        for _ in range(30):
+            s = rnd.randrange(0, 2000)
+            blocks.append((doc, s, s + rnd.randint(1, 60)))
+    cdf = spark.createDataFrame(cands, "doc_id long, tok_start long, tok_end long, label string, start long, end long")
+    bdf = spark.createDataFrame(blocks, "doc_id long, start long, end long")
+    got = sorted((r.doc_id, r.tok_start) for r in SP.drop_overlapping(cdf, bdf, 64).collect())
+    want = sorted((c[0], c[1]) for c in cands
+                  if not any(b[0] == c[0] and c[4] < b[2] and b[1] < c[5] for b in blocks))
+    assert got == want
