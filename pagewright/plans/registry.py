@@ -465,12 +465,24 @@ def q_default_fill(spark, sf_dir):
 
 # ------------------------------------------------------ whole pipeline
 
-@register("article_pipeline")
+_PIPE_CTES = [FX.fx_pages_cte(), f"articles AS ({_ASSEMBLY_SQL})",
+              f"arts AS (SELECT doc_id, {O.clean_article('raw_text')} AS text FROM articles)",
+              *O.gazetteer_ctes(FX.fx_vocab_extra_sql()), *O.token_ctes("arts"), *O.match_ctes("arts"),
+              *O.pair_ctes("arts"), _RELATIONS_SQL, *O.alias_ctes("arts")]
+
+
+@register("article_pipeline",
+          with_ctes(*_PIPE_CTES)
+          + f"SELECT a.doc_id, {O.title('a.text')} AS title, {O.authors('a.text')} AS authors, "
+            f"{O.journal('a.text')} AS journal, {O.publication_date('a.text', _DEFAULT_DATE_SQL)} AS publication_date, "
+            f"{O.doi('a.text')} AS doi, coalesce(e.n, 0) AS n_entities, coalesce(r.n, 0) AS n_relations, "
+            f"coalesce(l.n, 0) AS n_aliases FROM arts a "
+            "LEFT JOIN (SELECT doc_id, count(*) AS n FROM ents GROUP BY doc_id) e ON e.doc_id = a.doc_id "
+            "LEFT JOIN (SELECT doc_id, count(*) AS n FROM rels GROUP BY doc_id) r ON r.doc_id = a.doc_id "
+            "LEFT JOIN (SELECT doc_id, count(*) AS n FROM als GROUP BY doc_id) l ON l.doc_id = a.doc_id")
 def q_article_pipeline(spark, sf_dir):
-    """Pages -> cleaned articles -> metadata + entities + aliases + relations; per-article totals.
-
-    No oracle: it composes operators that are each checked above.
-    """
+    """Pages -> cleaned articles (compat order) -> metadata + entities + aliases + relations;
+    per-article totals."""
     from pagewright.config import PipelineConfig
     cfg = PipelineConfig(mode="compat", default_date=FIXED_DEFAULT_DATE)
     articles, ex, counts = PL.process_pages(FX.fx_pages(spark, sf_dir), _gazetteer(spark, sf_dir), cfg)
