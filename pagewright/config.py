@@ -37,6 +37,9 @@ class ExtractConfig:
     # Mentions feed entities, pairs and counts: "persist" (default), "checkpoint"
     # (shared checkpoint folder, lineage cut) or "none".
     materialize: str = "persist"
+    # Tokenize articles in chunks of this many characters (cut after whitespace)
+    # so one huge article spreads over many tasks; None = one window per article.
+    chunk_chars: int | None = None
 
 
 @dataclass(frozen=True)

@@ -47,14 +47,18 @@ def match_gazetteer(tokens: DataFrame, gazetteer: DataFrame, max_n: int | None =
 
     def side(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
-    w = Window.partitionBy("doc_id").orderBy("pos")
+    parts = ["doc_id", "part"] if "part" in tokens.columns else ["doc_id"]
+    w = Window.partitionBy(*parts).orderBy("pos")
     leads = []
     for k in range(1, max_n):
         leads += [F.lead("norm", k).over(w).alias(f"n{k}"), F.lead("end", k).over(w).alias(f"e{k}"),
                   F.lead("token", k).over(w).alias(f"t{k}")]
         if k < max_n - 1:
             leads.append(F.lead("piece", k).over(w).alias(f"p{k}"))
-    t = tokens.select("doc_id", "pos", "norm", "token", "piece", "start", "end", *leads)
+    extra = ["ext"] if "ext" in tokens.columns else []
+    t = tokens.select("doc_id", "pos", "norm", "token", "piece", "start", "end", *extra, *leads)
+    if extra:      # look-ahead tokens of the next chunk only feed the leads
+        t = t.where(~F.col("ext")).drop("ext")
 
     firsts = gazetteer.select(F.col("first").alias("norm")).distinct()
     t = t.join(side(firsts), "norm", "left_semi")

@@ -21,24 +21,28 @@ from pagewright.operators.partitioning import text_side
 def resolve_overlaps(matches: DataFrame) -> DataFrame:
     """Keep a non-overlapping subset of candidate matches (same columns out).
 
-    One running-max window numbers the islands; one aggregate per
-    ``(doc_id, island)`` resolves them.  The input is already partitioned by
-    ``doc_id``, which satisfies both, so neither adds an exchange, and the
-    lineage is walked once.
+    Spans are token-aligned, so two spans overlap in tokens exactly when their
+    character intervals ``[start, end)`` overlap; islands and clashes are
+    tested on character offsets, which are global to the article even when
+    tokens were numbered per chunk.  Order of preference: more tokens, earlier
+    start, better priority, label.  One running-max window numbers the
+    islands; one aggregate per ``(doc_id, island)`` resolves them.  The input
+    is already partitioned by ``doc_id``, which satisfies both, so neither adds
+    an exchange, and the lineage is walked once.
     """
     cols = matches.columns
-    w = Window.partitionBy("doc_id").orderBy("tok_start", "tok_end", "priority", "label")
-    prev_end = F.max("tok_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    new_island = F.col("_prev_end").isNull() | (F.col("tok_start") >= F.col("_prev_end"))
+    w = Window.partitionBy("doc_id").orderBy("start", "end", "priority", "label")
+    prev_end = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    new_island = F.col("_prev_end").isNull() | (F.col("start") >= F.col("_prev_end"))
     m = matches.select(*cols, prev_end.alias("_prev_end"))
     m = m.select(*cols, F.sum(new_island.cast("int")).over(
         w.rowsBetween(Window.unboundedPreceding, 0)).alias("_island"))
-    rest = [c for c in cols if c not in ("doc_id", "tok_start", "priority", "label")]
+    rest = [c for c in cols if c not in ("doc_id", "start", "priority", "label")]
     crowd = m.groupBy("doc_id", "_island").agg(F.sort_array(F.collect_list(F.struct(
-        (-F.col("n_tokens")).alias("neg_len"), "tok_start", "priority", "label", *rest))).alias("c"))
+        (-F.col("n_tokens")).alias("neg_len"), "start", "priority", "label", *rest))).alias("c"))
 
     def step(acc: Column, x: Column) -> Column:
-        clash = F.exists(acc, lambda a: (a["tok_start"] < x["tok_end"]) & (x["tok_start"] < a["tok_end"]))
+        clash = F.exists(acc, lambda a: (a["start"] < x["end"]) & (x["start"] < a["end"]))
         return F.when(clash, acc).otherwise(F.concat(acc, F.array(x)))
 
     first = F.slice("c", 1, 1)          # the best candidate of an island is always kept

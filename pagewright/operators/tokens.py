@@ -56,3 +56,43 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         .where(F.col("token") != "")
     return out.select("doc_id", "pos", "token", F.lower("token").alias("norm"), "start",
                       (F.col("start") + F.length("token")).alias("end"), "piece")
+
+
+def chunk_pattern(chunk_chars: int) -> str:
+    """Cut text into pieces of at most ``chunk_chars`` characters, each ending
+    right after a whitespace character (so no token is cut), or at the end.
+    Only a token longer than ``chunk_chars`` is cut (second alternative)."""
+    return rf"(?s).{{1,{chunk_chars}}}(?:{WS}|\z)|.{{1,{chunk_chars}}}"
+
+
+def tokenize_chunked(docs: DataFrame, chunk_chars: int, lookahead: int, partitions: int,
+                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Tokens of (possibly huge) articles, spread over tasks chunk by chunk.
+
+    Same columns as :func:`tokenize` plus ``part`` (chunk index) and ``ext``.
+    Each chunk is tokenized together with the first ``lookahead`` tokens of
+    the next chunk (flagged ``ext``), so n-grams that cross a chunk boundary
+    are still seen; offsets are global (chunk base offset from a window over
+    the article's chunk rows + running sum inside the chunk).  Positions
+    (``pos``) are local to the chunk.
+    """
+    ch = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(
+        F.regexp_extract_all(F.col(text_col), F.lit(chunk_pattern(chunk_chars)), 0)).alias("part", "chunk"))
+    wc = Window.partitionBy("doc_id").orderBy("part")
+    head = rf"\A(?:{WS}*(?:{TOKEN_RE})){{0,{lookahead}}}"
+    ch = ch.select("doc_id", "part", "chunk",
+                   F.coalesce(F.sum(F.length("chunk")).over(wc.rowsBetween(Window.unboundedPreceding, -1)),
+                              F.lit(0)).alias("base"),
+                   F.coalesce(F.regexp_extract(F.lead("chunk").over(wc), head, 0), F.lit("")).alias("ext_text"))
+    ch = ch.repartition(partitions, "doc_id", "part")
+    pieces = ch.select("doc_id", "part", "base", F.length("chunk").alias("clen"), F.posexplode(
+        F.regexp_extract_all(F.concat("chunk", "ext_text"), F.lit(PIECE_RE), 0)).alias("pos", "piece"))
+    w = Window.partitionBy("doc_id", "part").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    local = F.coalesce(F.sum(F.length("piece")).over(w), F.lit(0))
+    token = F.regexp_extract(F.col("piece"), TOKEN_AT_START_RE, 0)
+    out = pieces.select("doc_id", "part", "pos", "piece", "base", "clen", token.alias("token"),
+                        local.alias("lstart")).where(F.col("token") != "")
+    return out.select("doc_id", "part", "pos", "token", F.lower("token").alias("norm"),
+                      (F.col("base") + F.col("lstart")).alias("start"),
+                      (F.col("base") + F.col("lstart") + F.length("token")).alias("end"), "piece",
+                      (F.col("lstart") >= F.col("clen")).alias("ext"))

@@ -18,11 +18,11 @@ from pagewright.config import COMPAT, PipelineConfig
 from pagewright.functions import metadata as M
 from pagewright.functions import text as T
 from pagewright.operators.aliases import extract_aliases
-from pagewright.operators.gazetteer import match_gazetteer
+from pagewright.operators.gazetteer import match_gazetteer, prepare_gazetteer
 from pagewright.operators.partitioning import by_doc, text_partitions
 from pagewright.operators.relations import entity_pairs, pair_text, per_article_counts, score_relations
 from pagewright.operators.spans import attach_context, drop_overlapping, first_occurrence, resolve_overlaps
-from pagewright.operators.tokens import tokenize
+from pagewright.operators.tokens import tokenize, tokenize_chunked
 from pagewright.sources.pages import assemble_articles
 
 
@@ -58,7 +58,13 @@ def entity_mentions(docs: DataFrame, gazetteer: DataFrame, cfg: PipelineConfig =
     ``blockers`` (doc_id, start, end): existing entities, e.g. from a model
     hook, that gazetteer matches may not overlap (reference behaviour).
     """
-    toks = tokenize(docs)
+    if cfg.extract.chunk_chars:
+        # long articles: tokenize chunk by chunk on many tasks (look-ahead = longest phrase - 1)
+        gazetteer, max_n_gz, _ = prepare_gazetteer(gazetteer, cfg.extract.broadcast_max_rows)
+        max_n = max_n or max_n_gz
+        toks = tokenize_chunked(docs, cfg.extract.chunk_chars, max(max_n - 1, 0), text_partitions(docs))
+    else:
+        toks = tokenize(docs)
     cands = match_gazetteer(toks, gazetteer, max_n, cfg.extract.broadcast_max_rows)
     if blockers is not None:
         cands = drop_overlapping(cands, blockers, cfg.extract.range_bucket)

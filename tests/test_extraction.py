@@ -131,3 +131,20 @@ def test_drop_overlapping_matches_brute_force(spark):
     want = sorted((c[0], c[1]) for c in cands
                   if not any(b[0] == c[0] and c[4] < b[2] and b[1] < c[5] for b in blocks))
     assert got == want
+
+
+def test_chunked_tokenization_equals_whole(spark):
+    from dataclasses import replace
+
+    from pagewright.config import ExtractConfig
+    from pagewright.plans import fixtures as FX
+    from pagewright.plans import registry as R
+    sf = "/root/testdata/sf0.001"
+    docs = FX.fx_articles(spark, sf)
+    gz = R._gazetteer(spark, sf)
+    whole = PL.entity_mentions(docs, gz, PipelineConfig())
+    cfg = replace(PipelineConfig(), extract=ExtractConfig(chunk_chars=80))
+    chunked = PL.entity_mentions(docs, gz, cfg)
+    a = sorted(tuple(r) for r in whole.collect())
+    b = sorted(tuple(r) for r in chunked.collect())
+    assert len(a) > 1000 and a == b
