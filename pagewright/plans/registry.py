@@ -696,3 +696,14 @@ def q_structure_load(spark, sf_dir):
     from pagewright.plans.vocab_load import load_brain_structures
     path = FX.fx_structures_json(spark, sf_dir)
     return load_brain_structures(spark, path, multi_line=False).log.select("metric", "n")
+
+
+@register("profile_sample",
+          with_ctes(*_QUALITY_CTES)
+          + "SELECT s.*, s.neuronames_id IN (SELECT child_key FROM fx_parents) AS has_parents, "
+            "s.neuronames_id IN (SELECT owner_key FROM fx_synonyms) AS has_synonyms "
+            "FROM fx_structures s ORDER BY ordinal LIMIT 10")
+def q_profile_sample(spark, sf_dir):
+    """S13 sample: the first ten entries with whether they have parents / synonyms."""
+    return QL.sample_entries(FX.fx_structures(spark, sf_dir), FX.fx_parents(spark, sf_dir),
+                             FX.fx_synonyms(spark, sf_dir))
