@@ -308,3 +308,22 @@ def fx_structures_json(spark: SparkSession, sf_dir: str) -> str:
     path = f"{base.rstrip('/')}/fixtures/structures_{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}"
     doc.write.mode("overwrite").json(path)
     return path
+
+
+CONCEPT_LINE = (
+    f"'{{\"id\": \"c' || {_s('user_id')} || '\", \"name\": ' || "
+    f"CASE WHEN event_id % 5 = 0 THEN 'null' ELSE '\"' || event_type || '\"' END || "
+    f"CASE WHEN event_id % 3 = 0 THEN '' ELSE ', \"definition_text\": \"' || event_type || '\"' END || '}}' AS js")
+
+
+def fx_concepts_file(spark: SparkSession, sf_dir: str) -> str:
+    """Concept records as landed JSON text (one object per line, in event order)
+    under the shared checkpoint folder; ids repeat per user, some names are null."""
+    import hashlib
+
+    from pagewright.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/fixtures/concepts_{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}"
+    read_table(spark, sf_dir, "events").selectExpr("event_id", CONCEPT_LINE).orderBy("event_id") \
+        .select("js").write.mode("overwrite").text(path)
+    return path

@@ -707,3 +707,22 @@ def q_profile_sample(spark, sf_dir):
     """S13 sample: the first ten entries with whether they have parents / synonyms."""
     return QL.sample_entries(FX.fx_structures(spark, sf_dir), FX.fx_parents(spark, sf_dir),
                              FX.fx_synonyms(spark, sf_dir))
+
+
+def _fill(key, default):
+    return _fill_sql(key, default)
+
+
+@register("concept_load",
+          f"WITH c AS (SELECT event_id, {FX.CONCEPT_LINE} FROM events), "
+          f"f AS (SELECT event_id, {_fill('id', 'No ID found')} AS concept_id, {_fill('name', 'No Name found')} AS name, "
+          f"{_fill('id_concept_class', 'No Class')} AS id_concept_class, "
+          f"{_fill('definition_text', 'No Definition')} AS definition_text FROM c) "
+          "SELECT concept_id, arg_min(name, event_id) AS name, arg_min(id_concept_class, event_id) AS id_concept_class, "
+          "arg_min(definition_text, event_id) AS definition_text FROM f WHERE name IS NOT NULL GROUP BY concept_id")
+def q_concept_load(spark, sf_dir):
+    """S5 + O4/O5 + K3 end to end: landed concept JSON text -> defaults for absent
+    keys -> null names quarantined -> first-wins insert on the concept id."""
+    from pagewright.plans.vocab_load import load_concepts
+    table, _bad = load_concepts(spark, FX.fx_concepts_file(spark, sf_dir))
+    return table
