@@ -30,3 +30,15 @@ def test_result_independent_of_partition_count(spark):
         out.append(sorted(tuple(r) for r in R.QUERIES["relations"](spark, SF).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert out[0] == out[1]
+
+
+def test_relation_plan_uses_bucketed_equi_join(spark):
+    import re
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(R.QUERIES["relations"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert re.search(r"hashpartitioning\(doc_id#\d+L?, bucket#\d+L?", plan), "pair join is not keyed by (doc_id, bucket)"
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert "BroadcastHashJoin" in plan          # gazetteer side
