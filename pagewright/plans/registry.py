@@ -428,12 +428,17 @@ def q_load_counts(spark, sf_dir):
           "THEN TRY_CAST(replace(stamp, 'T', ' ') AS TIMESTAMP) END, '%Y-%m-%d %H:%M:%S.%g') AS from_iso FROM s")
 def q_event_stamps(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
-    stamp = (F.when(F.col("event_id") % 4 == 0, F.unix_millis(F.col("ts").cast("timestamp")).cast("string"))
+    # epoch milliseconds of the naive wall clock, independent of the session time zone
+    millis = F.floor(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+                            "CAST(ts AS TIMESTAMP_NTZ))") / 1000)
+    stamp = (F.when(F.col("event_id") % 4 == 0, millis.cast("string"))
              .when(F.col("event_id") % 4 == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
              .when(F.col("event_id") % 4 == 2, F.lit("no stamp")))
     s = ev.select(F.col("event_id").alias("id"), stamp.alias("stamp"))
     fmt = "yyyy-MM-dd HH:mm:ss.SSS"
-    return s.select("id", "stamp", F.date_format(FD.epoch_millis_to_timestamp(F.col("stamp")), fmt).alias("from_epoch"),
+    as_utc = F.expr("convert_timezone(current_timezone(), 'UTC', CAST(_e AS TIMESTAMP_NTZ))")
+    s = s.withColumn("_e", FD.epoch_millis_to_timestamp(F.col("stamp")))
+    return s.select("id", "stamp", F.date_format(as_utc, fmt).alias("from_epoch"),
                     F.date_format(FD.iso_to_timestamp(F.col("stamp")), fmt).alias("from_iso"))
 
 
