@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import q_native
+from pagewright.llm import q_models, q_native
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**q_native.QUERIES}
-ORACLE: dict[str, str] = {**q_native.ORACLE}
+_MODULES = (q_native, q_models)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: q for m in _MODULES for k, q in m.QUERIES.items()}
+ORACLE: dict[str, str] = {k: s for m in _MODULES for k, s in m.ORACLE.items()}
