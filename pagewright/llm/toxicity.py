@@ -41,7 +41,7 @@ PREFIXES = (4, 5, 6)
 #: An entry needs so many toxic training documents, and this share of them.
 MIN_DOCS, MIN_SHARE = 3, 0.005
 #: An entry needs this weight (log odds of a toxic against another document).
-MIN_WEIGHT = 2.5
+MIN_WEIGHT = 3.2
 #: A phrase around a hit is an exception from so many documents that are not toxic on.
 MIN_EXCEPTION = 3
 SAMPLE = 6000
