@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pagewright.llm import line_dedup as L
 from pagewright.llm import minhash as N
 from pagewright.llm.common import read
 
@@ -11,5 +12,10 @@ def op4_minhash_dedup(spark, sf_dir):
     return N.near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_minhash_dedup": op4_minhash_dedup}
+def op10_line_dedup(spark, sf_dir):
+    """All documents without the later occurrences of passages of 50 words or more."""
+    return L.remove_repeats(read(spark, sf_dir, "documents")).select("doc_id", *L.ADDED, "text")
+
+
+QUERIES = {"op4_minhash_dedup": op4_minhash_dedup, "op10_line_dedup": op10_line_dedup}
 ORACLE: dict[str, str] = {}
