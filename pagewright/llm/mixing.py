@@ -91,64 +91,84 @@ def balance(sizes: DataFrame, targets: DataFrame, cap: float = 2.0) -> DataFrame
     return state.drop("miss")
 
 
-def mix_documents(docs: DataFrame, budget_share: float = 1.5, cap: float = 2.0, weights=WEIGHTS) -> DataFrame:
-    """Copies of every row of ``docs``: ``doc_id, source, size, source_size, target, rate, copies, taken``.
-
-    Size is the number of words (null text: 0, which takes no part in the totals but
-    gets copies like any other).  A null source is a source of its own, last in order.
-    No document gets more than ``cap`` copies, a whole number.  Rows with equal doc_id
-    and text get equal copies.  Equal input gives equal output: sums are exact and the
-    draw is a hash of doc_id.  A source's words fall short of
-    its target by less than the next draw's words, and mostly by far less.  Other columns are left out; an empty table gives an empty result.
-    """
-    rows = written(docs.select("doc_id", "source", count_words(F.col("text")).alias("size")))
-    sizes = written(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
-    state = balance(sizes, source_targets(sizes, budget_share, cap, weights), cap).withColumnRenamed("source", "_s")
-
-    draw = uniform(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    rate = _rate(F.col("size"), F.col("mean"), F.col("dual"), cap)
-    whole = F.least(F.floor(rate), F.lit(int(cap))).cast("int")
-
-    def with_state(s: DataFrame) -> DataFrame:
-        t = rows.join(size_checked_broadcast(s, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("_s")))
-        # a further copy is taken where the draw is below the rate's fraction by more than the threshold
-        return t.withColumn("rate", rate).withColumn("_whole", whole).withColumn(
-            "_v", F.when(F.col("_whole") < int(cap), draw - (F.col("rate") - F.col("_whole"))))
+def solve(docs: DataFrame, budget_share: float = 1.5, cap: float = 2.0, weights=WEIGHTS) -> DataFrame:
+    """What decides the copies of a document, a row per source: target, dual, the rounding
+    threshold and the documents that fill the rest.  ``with_copies`` applies it."""
+    rows = written(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "source", count_words(F.col("text")).alias("_mx_size")))
+    sizes = written(rows.groupBy("source", F.col("_mx_size").alias("size")).agg(F.count(F.lit(1)).alias("n")))
+    state = balance(sizes, source_targets(sizes, budget_share, cap, weights), cap)
+    state = state.select(*[F.col(c).alias(f"_mx_{c}") for c in state.columns])
+    own = list(state.columns)
 
     # the threshold: the bin whose words pass the target, then again the bin inside it
-    state = state.withColumns({"_low": F.lit(-1.0), "_width": F.lit(2.0)})
+    state = state.withColumns({"_mx_low": F.lit(-1.0), "_mx_width": F.lit(2.0), "_mx_fill": F.array().cast("array<string>")})
+    low, width, size, whole = (F.col(f"_mx_{c}") for c in ("low", "width", "size", "whole"))
     for _ in range(PASSES):
-        t = with_state(state)
-        inside = (F.col("_v") >= F.col("_low")) & (F.col("_v") < F.col("_low") + F.col("_width"))
-        at = F.least(F.floor((F.col("_v") - F.col("_low")) / F.col("_width") * BINS), F.lit(BINS - 1))
-        sure = F.col("size") * (F.col("_whole") + F.when(F.col("_v") < F.col("_low"), 1).otherwise(0))
+        t = _with_rate(rows, state, cap)
+        inside = (F.col("_mx_v") >= low) & (F.col("_mx_v") < low + width)
+        at = F.least(F.floor((F.col("_mx_v") - low) / width * BINS), F.lit(BINS - 1))
+        sure = size * (whole + F.when(F.col("_mx_v") < low, 1).otherwise(0))
         hist = t.withColumn("_bin", F.when(inside, at).otherwise(-1).cast("int")).groupBy(*state.columns, "_bin").agg(
-            F.sum(sure).alias("_sure"), F.sum(F.when(F.col("_bin") >= 0, F.col("size")).otherwise(0)).alias("_words"))
-        by = Window.partitionBy("_s")
-        hist = hist.withColumn("_gap", F.col("target") - F.sum("_sure").over(by)).withColumn(
+            F.sum(sure).alias("_sure"), F.sum(F.when(F.col("_bin") >= 0, size).otherwise(0)).alias("_words"))
+        by = Window.partitionBy("_mx_source")
+        hist = hist.withColumn("_gap", F.col("_mx_target") - F.sum("_sure").over(by)).withColumn(
             "_upto", F.sum("_words").over(by.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         passed = F.min(F.when((F.col("_bin") >= 0) & (F.col("_upto") > F.col("_gap")), F.col("_bin")))
-        step = F.col("_width") / BINS
+        step = width / BINS
         state = written(hist.groupBy(*state.columns).agg(passed.alias("_at")).select(
-            "_s", "source_size", "target", "mean", "dual",
-            F.coalesce(F.col("_low") + step * F.col("_at"), F.col("_low") + F.col("_width")).alias("_low"), step.alias("_width")))
-    def with_copies(s: DataFrame) -> DataFrame:
-        own = F.col("_whole") + F.when(F.col("_v") < F.col("_low"), 1).otherwise(0)
-        return with_state(s).withColumn("_base", own).withColumn("copies", F.when(
-            F.array_contains("_fill", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), own + 1).otherwise(own).cast("int"))
+            *own, F.coalesce(low + step * F.col("_at"), low + width).alias("_mx_low"), step.alias("_mx_width"), "_mx_fill"))
 
     # what the threshold leaves short is filled by the largest document that fits, a few times over
-    state = state.withColumn("_fill", F.array().cast("array<string>"))
-    short = with_copies(state).groupBy(*state.columns).agg(
-        (F.first("target") - F.sum(F.col("size") * F.col("copies"))).alias("_gap"))
-    state = written(short)
+    state = written(_with_rate(rows, state, cap).groupBy(*state.columns).agg(
+        (F.first("_mx_target") - F.sum(size * F.col("_mx_copies"))).alias("_mx_gap")))
     for _ in range(FILLS):
-        t = with_copies(state)
-        fits = (F.col("size") > 0) & (F.col("size") <= F.col("_gap")) & (F.col("copies") == F.col("_base")) & (F.col("copies") < int(cap))
-        pick = F.max(F.when(fits, F.struct("size", "_v", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id"))))
+        t = _with_rate(rows, state, cap)
+        fits = (size > 0) & (size <= F.col("_mx_gap")) & (F.col("_mx_copies") == F.col("_mx_base")) & (F.col("_mx_copies") < int(cap))
+        pick = F.max(F.when(fits, F.struct(size.alias("size"), "_mx_v", F.coalesce("doc_id", F.lit("null")).alias("id"))))
         state = written(t.groupBy(*state.columns).agg(pick.alias("_pick")).select(
-            *[c for c in state.columns if c not in ("_fill", "_gap")],
-            F.when(F.col("_pick").isNotNull(), F.concat("_fill", F.array("_pick.id"))).otherwise(F.col("_fill")).alias("_fill"),
-            (F.col("_gap") - F.coalesce(F.col("_pick.size"), F.lit(0))).alias("_gap")))
-    return with_copies(state).select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
-                                     (F.col("size") * F.col("copies")).cast("long").alias("taken"))
+            *own, "_mx_low", "_mx_width",
+            F.when(F.col("_pick").isNotNull(), F.concat("_mx_fill", F.array("_pick.id"))).otherwise(F.col("_mx_fill")).alias("_mx_fill"),
+            (F.col("_mx_gap") - F.coalesce(F.col("_pick.size"), F.lit(0))).alias("_mx_gap")))
+    return state
+
+
+def _with_rate(rows: DataFrame, state: DataFrame, cap: float) -> DataFrame:
+    """``rows`` (with ``_mx_size``) joined to their source's state, and their copies."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    draw = uniform(F.concat(F.lit("mix:"), key))
+    rate = _rate(F.col("_mx_size"), F.col("_mx_mean"), F.col("_mx_dual"), cap)
+    t = rows.join(size_checked_broadcast(state, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("_mx_source")))
+    t = t.withColumn("_mx_rate", rate).withColumn("_mx_whole", F.least(F.floor("_mx_rate"), F.lit(int(cap))).cast("int"))
+    # a further copy is taken where the draw is below the rate's fraction by more than the threshold
+    t = t.withColumn("_mx_v", F.when(F.col("_mx_whole") < int(cap), draw - (F.col("_mx_rate") - F.col("_mx_whole"))))
+    t = t.withColumn("_mx_base", F.col("_mx_whole") + F.when(F.col("_mx_v") < F.col("_mx_low"), 1).otherwise(0))
+    return t.withColumn("_mx_copies", F.when(F.array_contains("_mx_fill", key), F.col("_mx_base") + 1)
+                        .otherwise(F.col("_mx_base")).cast("int"))
+
+
+def with_copies(docs: DataFrame, state: DataFrame, cap: float = 2.0) -> DataFrame:
+    """``docs`` with all their columns and ``_mx_copies``, ``_mx_size`` and the state's columns."""
+    return _with_rate(docs.withColumn("_mx_size", count_words(F.col("text"))), state, cap)
+
+
+def mix_documents(docs: DataFrame, budget_share: float = 1.5, cap: float = 2.0, weights=WEIGHTS) -> DataFrame:
+    """Copies of every row of ``docs``: ``doc_id, source, size, source_size, target, rate, copies, taken``.
+
+    Size is the number of words (null text: 0, which takes no part in the totals but
+    gets copies like any other).  A null source is a source of its own, last in order.
+    No document gets more than ``cap`` copies, a whole number.  Rows with equal doc_id
+    and text get equal copies.  Equal input gives equal output: sums are exact and the
+    draw is a hash of doc_id.  A source's words fall short of its target by less than
+    the next draw's words, and mostly by far less.  Other columns are left out; an empty
+    table gives an empty result.
+    """
+    docs = docs.select("doc_id", "source", "text")
+    out = with_copies(docs, solve(docs, budget_share, cap, weights), cap)
+    return out.select("doc_id", "source", *[F.col(f"_mx_{c}").alias(c) for c in ("size", "source_size", "target", "rate", "copies")],
+                      (F.col("_mx_size") * F.col("_mx_copies")).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, budget_share: float = 1.5, cap: float = 2.0, weights=WEIGHTS) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as often as it has copies."""
+    out = with_copies(docs, solve(docs, budget_share, cap, weights), cap).where("_mx_copies > 0")
+    return out.withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), "_mx_copies"))).select(*docs.columns)

@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from pagewright.llm import training as T
 from pagewright.llm import wordhash as H
@@ -181,19 +182,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     return Model(ratio, weight, float(slope), float(shift), prior)
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """``doc_id, score, predicted`` of every row of ``docs``.  Only the text is read;
-    a null or empty text has no features and gets the model's score at margin 0.  Other
-    columns are left out; an empty table gives an empty result."""
+def scorer(model: Model):
+    """A column function: the score of a text column.  Only the text is read; a null or
+    empty text has no features and gets the model's score at margin 0."""
     ratio, weight = model.ratio.astype(np.float32), model.weight.astype(np.float32)
     slope, shift, prior, flat = model.slope, model.shift, model.prior, not model.weight.any()
 
-    def scored(batches):
+    def scored(texts: pd.Series) -> pd.Series:
         wide, tall = ratio.astype(np.float64), weight.astype(np.float64)
-        for pdf in batches:
-            for low, high in H.chunks(pdf["text"]):
-                column, at = features(pdf["text"].iloc[low:high])
-                p = np.full(high - low, prior) if flat else T.sigmoid(slope * _margins(column, at, wide, tall) + shift)
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[low:high], "score": p, "predicted": (p >= threshold).astype(np.int32)})
+        out = np.full(len(texts), prior)
+        for low, high in () if flat else H.chunks(texts):
+            column, at = features(texts.iloc[low:high])
+            out[low:high] = T.sigmoid(slope * _margins(column, at, wide, tall) + shift)
+        return pd.Series(out)
+
+    return F.pandas_udf(scored, DoubleType())
 
-    return docs.select("doc_id", "text").mapInPandas(scored, "doc_id long, score double, predicted int")
+
+def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """``doc_id, score, predicted`` of every row of ``docs``.  Other columns are left out;
+    an empty table gives an empty result."""
+    out = docs.select("doc_id", scorer(model)(F.col("text")).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
