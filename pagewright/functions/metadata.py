@@ -17,10 +17,6 @@ D = DIGIT
 NAME = "[A-Za-z][A-Za-z]+ [A-Za-z][A-Za-z]+"          # two words, any case
 NAME_NUM = NAME + f"(?:{WS}*{D}+)?"
 AND_SEP = "(?:,? [Aa][Nn][Dd] |,? & )"
-# Java's backtracking matcher recurses once per repetition of a group; a bound
-# keeps an author line of thousands of names from exhausting the task stack.
-MAX_AUTHOR_REPEAT = 300
-
 # ---------------------------------------------------------------------------
 # Metadata patterns (portable spelling of the reference rules).
 # ---------------------------------------------------------------------------
@@ -36,13 +32,22 @@ TITLE_PARAGRAPHS = 5
 TRAILING_PUNCT = r"[.,;:]\z"
 
 
-def author_patterns(bound: int | None = MAX_AUTHOR_REPEAT) -> list[tuple[str, int]]:
-    rep = "*" if bound is None else f"{{0,{bound}}}"
-    return [
-        (rf"(?:\A|\n)({NAME}(?:,{WS}*{NAME}){rep}{AND_SEP}{NAME})", 1),
-        (rf"(?:\A|\n)({NAME_NUM}(?:,{WS}*{NAME_NUM}){rep})", 1),
-        (rf"(?i)(?:authors?|by)[:;]?{WS}*([^.]+)", 1),
-    ]
+AUTHOR_PATTERNS = [
+    (rf"(?:\A|\n)({NAME}(?:,{WS}*{NAME})*{AND_SEP}{NAME})", 1),
+    (rf"(?:\A|\n)({NAME_NUM}(?:,{WS}*{NAME_NUM})*)", 1),
+    (rf"(?i)(?:authors?|by)[:;]?{WS}*([^.]+)", 1),
+]
+# Java recurses once per repetition of a group that it may have to give back, so a
+# line of thousands of names would exhaust the task stack.  Spark uses an equivalent
+# spelling with possessive groups, which are matched in a loop.  In the first pattern a
+# further name is taken unless the last "and" name can stand here and cannot stand
+# after that name; that is where giving back would end.
+_LAST = f"{AND_SEP}{NAME}"
+AUTHOR_PATTERNS_SPARK = [
+    (rf"(?:\A|\n)({NAME}(?:(?!{_LAST}),{WS}*{NAME}|,{WS}*{NAME}(?={_LAST}))*+{_LAST})", 1),
+    (rf"(?:\A|\n)({NAME_NUM}(?:,{WS}*{NAME_NUM})*+)", 1),
+    AUTHOR_PATTERNS[2],
+]
 
 
 JOURNAL_PATTERNS = [
@@ -109,8 +114,8 @@ def title(text: Column) -> Column:
     return F.when(cand.isNotNull(), tidy).otherwise(fallback)
 
 
-def authors(text: Column, bound: int | None = MAX_AUTHOR_REPEAT) -> Column:
-    return F.coalesce(collapse_ws(_first_group(text, author_patterns(bound))), F.lit(""))
+def authors(text: Column) -> Column:
+    return F.coalesce(collapse_ws(_first_group(text, AUTHOR_PATTERNS_SPARK)), F.lit(""))
 
 
 def journal(text: Column) -> Column:

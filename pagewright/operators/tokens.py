@@ -27,11 +27,16 @@ TOKEN_RE = f"{WORD_TOKEN}|{POSSESSIVE_TOKEN}|{NOT_WS}"
 # the pieces themselves and the text is not carried past the explode.
 PIECE_RE = rf"(?s)\A{WS}+|(?:{TOKEN_RE}){WS}*"
 TOKEN_AT_START_RE = rf"\A(?:{TOKEN_RE})"
+# Java recurses once per hyphenated part of a word; Spark uses an equivalent possessive
+# spelling (nothing after a part can make the word give it back), matched in a loop.
+SPARK_TOKEN_RE = rf"[\p{{L}}\p{{N}}]++(?:-[\p{{L}}\p{{N}}]++)*+|{POSSESSIVE_TOKEN}|{NOT_WS}"
+SPARK_PIECE_RE = rf"(?s)\A{WS}++|(?:{SPARK_TOKEN_RE}){WS}*+"
+SPARK_TOKEN_AT_START_RE = rf"\A(?:{SPARK_TOKEN_RE})"
 
 
 def token_array(col: Column) -> Column:
     """Tokens of a short string (gazetteer names), lower-cased."""
-    return F.transform(F.regexp_extract_all(col, F.lit(TOKEN_RE), 0), F.lower)
+    return F.transform(F.regexp_extract_all(col, F.lit(SPARK_TOKEN_RE), 0), F.lower)
 
 
 def normalize_name(col: Column) -> Column:
@@ -48,9 +53,9 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     pieces = docs.select(
         F.col(id_col).alias("doc_id"),
-        F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(PIECE_RE), 0)).alias("pos", "piece"))
+        F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(SPARK_PIECE_RE), 0)).alias("pos", "piece"))
     w = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    token = F.regexp_extract(F.col("piece"), TOKEN_AT_START_RE, 0)
+    token = F.regexp_extract(F.col("piece"), SPARK_TOKEN_AT_START_RE, 0)
     start = F.coalesce(F.sum(F.length("piece")).over(w), F.lit(0))
     out = pieces.select("doc_id", "pos", "piece", token.alias("token"), start.alias("start")) \
         .where(F.col("token") != "")
@@ -59,10 +64,10 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def chunk_pattern(chunk_chars: int) -> str:
-    """Cut text into pieces of at most ``chunk_chars`` characters, each ending
-    right after a whitespace character (so no token is cut), or at the end.
-    Only a token longer than ``chunk_chars`` is cut (second alternative)."""
-    return rf"(?s).{{1,{chunk_chars}}}(?:{WS}|\z)|.{{1,{chunk_chars}}}"
+    """Cut text into pieces that end after the first whole run of non-space characters
+    past ``chunk_chars`` characters, with one space after it: no token is ever cut, and
+    a chunk without white space grows to its next one."""
+    return rf"(?s).{{1,{chunk_chars}}}+{NOT_WS}*+{WS}?"
 
 
 def tokenize_chunked(docs: DataFrame, chunk_chars: int, lookahead: int, partitions: int,
@@ -70,26 +75,29 @@ def tokenize_chunked(docs: DataFrame, chunk_chars: int, lookahead: int, partitio
     """Tokens of (possibly huge) articles, spread over tasks chunk by chunk.
 
     Same columns as :func:`tokenize` plus ``part`` (chunk index) and ``ext``.
-    Each chunk is tokenized together with the first ``lookahead`` tokens of
-    the next chunk (flagged ``ext``), so n-grams that cross a chunk boundary
-    are still seen; offsets are global (chunk base offset from a window over
+    Each chunk is tokenized together with the ``lookahead`` tokens that follow it
+    (flagged ``ext``), over as many chunks as that takes, so n-grams that cross
+    chunk boundaries are still seen; offsets are global (chunk base offset from a window over
     the article's chunk rows + running sum inside the chunk).  Positions
     (``pos``) are local to the chunk.
     """
     ch = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(
         F.regexp_extract_all(F.col(text_col), F.lit(chunk_pattern(chunk_chars)), 0)).alias("part", "chunk"))
     wc = Window.partitionBy("doc_id").orderBy("part")
-    head = rf"\A(?:{WS}*(?:{TOKEN_RE})){{0,{lookahead}}}"
+    head = rf"\A(?:{WS}*+(?:{SPARK_TOKEN_RE})){{0,{lookahead}}}{WS}*+"
+    ch = ch.withColumn("head", F.regexp_extract("chunk", head, 0))
+    # every chunk but a text's first white space has a token, so this many chunks hold enough
+    ahead = F.concat(F.lit(""), *[F.coalesce(F.lead("head", j).over(wc), F.lit("")) for j in range(1, lookahead + 1)])
     ch = ch.select("doc_id", "part", "chunk",
                    F.coalesce(F.sum(F.length("chunk")).over(wc.rowsBetween(Window.unboundedPreceding, -1)),
                               F.lit(0)).alias("base"),
-                   F.coalesce(F.regexp_extract(F.lead("chunk").over(wc), head, 0), F.lit("")).alias("ext_text"))
+                   F.regexp_extract(ahead, head, 0).alias("ext_text"))
     ch = ch.repartition(partitions, "doc_id", "part")
     pieces = ch.select("doc_id", "part", "base", F.length("chunk").alias("clen"), F.posexplode(
-        F.regexp_extract_all(F.concat("chunk", "ext_text"), F.lit(PIECE_RE), 0)).alias("pos", "piece"))
+        F.regexp_extract_all(F.concat("chunk", "ext_text"), F.lit(SPARK_PIECE_RE), 0)).alias("pos", "piece"))
     w = Window.partitionBy("doc_id", "part").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     local = F.coalesce(F.sum(F.length("piece")).over(w), F.lit(0))
-    token = F.regexp_extract(F.col("piece"), TOKEN_AT_START_RE, 0)
+    token = F.regexp_extract(F.col("piece"), SPARK_TOKEN_AT_START_RE, 0)
     out = pieces.select("doc_id", "part", "pos", "piece", "base", "clen", token.alias("token"),
                         local.alias("lstart")).where(F.col("token") != "")
     return out.select("doc_id", "part", "pos", "token", F.lower("token").alias("norm"),

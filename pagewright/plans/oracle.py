@@ -108,7 +108,7 @@ def title(x: str) -> str:
 
 
 def authors(x: str) -> str:
-    return f"coalesce({collapse_ws(_first_group(x, M.author_patterns(None)))}, '')"
+    return f"coalesce({collapse_ws(_first_group(x, M.AUTHOR_PATTERNS))}, '')"
 
 
 def journal(x: str) -> str:
