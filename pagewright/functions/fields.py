@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: ISO-8601 date or date-time forms accepted as timestamps.
 ISO_TIMESTAMP_RE = (r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}"
-                    r"(?:[T ][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,6})?)?)?\z")
+                    r"(?:[T ][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,6})?)?(?:Z|[+-][0-9]{2}:[0-9]{2})?)?\z")
 
 
 def epoch_millis_to_timestamp(col: Column) -> Column:
@@ -16,7 +16,8 @@ def epoch_millis_to_timestamp(col: Column) -> Column:
 
 
 def iso_to_timestamp(col: Column) -> Column:
-    """ISO date / date-time text; bad text or NULL gives NULL."""
+    """ISO date / date-time text, with or without an offset from UTC (which
+    is applied); bad text or NULL gives NULL."""
     return F.when(col.rlike(ISO_TIMESTAMP_RE), F.try_to_timestamp(F.translate(col, "T", " ")))
 
 

@@ -3,8 +3,8 @@ report (A3, T1, T2), synonyms (E8), load totals (A8).
 
 Structures, parent links and synonyms are flat DataFrames (the nested JSON
 arrays are exploded at the scan, see :mod:`pagewright.sources.json_sources`).
-The id map is a dimension (one row per structure) joined by key; it is
-broadcast only behind a size check.
+The id map is a dimension (one row per structure) joined by key; whether it
+is broadcast is Spark's choice, by its size in bytes, also at run time.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.operators.partitioning import size_checked_broadcast
-
 TOP_MISSING = 10
 
 
@@ -22,14 +20,14 @@ def digits_or_zero(col: Column) -> Column:
     return F.coalesce(F.when(col.rlike(r"\A[0-9]+\z"), col.try_cast("int")), F.lit(0))
 
 
-def resolve_parents(parents: DataFrame, id_map: DataFrame, max_broadcast_rows: int = 5_000_000):
+def resolve_parents(parents: DataFrame, id_map: DataFrame):
     """J3 + J4 in one pass: returns (edges, missing).
 
     ``parents``: child_key, parent_key, parent_name, model_name, model_status, ordinal, pos.
     ``id_map``: key, id.  Children without an id are skipped (O6); parents
     without an id go to ``missing`` (one left join, split on null).
     """
-    ids = size_checked_broadcast(id_map.select("key", "id"), max_broadcast_rows)
+    ids = id_map.select("key", "id")
     child = parents.join(ids.withColumnRenamed("key", "child_key").withColumnRenamed("id", "child_id"),
                          "child_key")
     both = child.join(ids.withColumnRenamed("key", "parent_key").withColumnRenamed("id", "parent_id"),
@@ -56,16 +54,14 @@ def missing_parent_summary(missing: DataFrame) -> DataFrame:
 def top_missing(summary: DataFrame, n: int = TOP_MISSING) -> DataFrame:
     """T1 + T2: the ``n`` most frequent missing parents (ties: first seen first),
     with the number of further distinct missing parents on every row."""
-    total = summary.count()                       # one scalar
     top = summary.orderBy(F.desc("count"), F.asc("first_seen")).limit(n)
-    return top.select("parent_key", "count", "name", "model",
-                      F.lit(max(total - n, 0)).cast("long").alias("n_more"))
+    total = summary.agg(F.greatest(F.count(F.lit(1)) - n, F.lit(0)).cast("long").alias("n_more"))
+    return top.crossJoin(F.broadcast(total)).select("parent_key", "count", "name", "model", "n_more")   # one row
 
 
-def resolve_synonyms(synonyms: DataFrame, id_map: DataFrame, max_broadcast_rows: int = 5_000_000) -> DataFrame:
+def resolve_synonyms(synonyms: DataFrame, id_map: DataFrame) -> DataFrame:
     """J5 + E8: synonyms of known structures with their id; hits parsed as digits or 0."""
-    ids = size_checked_broadcast(id_map.select(F.col("key").alias("owner_key"),
-                                               F.col("id").alias("brain_structure_id")), max_broadcast_rows)
+    ids = id_map.select(F.col("key").alias("owner_key"), F.col("id").alias("brain_structure_id"))
     s = synonyms.join(ids, "owner_key")
     return s.select("brain_structure_id",
                     *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in

@@ -65,9 +65,9 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def chunk_pattern(chunk_chars: int) -> str:
     """Cut text into pieces that end after the first whole run of non-space characters
-    past ``chunk_chars`` characters, with one space after it: no token is ever cut, and
-    a chunk without white space grows to its next one."""
-    return rf"(?s).{{1,{chunk_chars}}}+{NOT_WS}*+{WS}?"
+    past ``chunk_chars`` characters, with the white space after it: no token is ever cut,
+    and every chunk but white space at the very start of a text has a token."""
+    return rf"(?s).{{1,{chunk_chars}}}+{NOT_WS}*+{WS}*+"
 
 
 def tokenize_chunked(docs: DataFrame, chunk_chars: int, lookahead: int, partitions: int,
@@ -86,7 +86,7 @@ def tokenize_chunked(docs: DataFrame, chunk_chars: int, lookahead: int, partitio
     wc = Window.partitionBy("doc_id").orderBy("part")
     head = rf"\A(?:{WS}*+(?:{SPARK_TOKEN_RE})){{0,{lookahead}}}{WS}*+"
     ch = ch.withColumn("head", F.regexp_extract("chunk", head, 0))
-    # every chunk but a text's first white space has a token, so this many chunks hold enough
+    # each further chunk has a token, so this many hold enough
     ahead = F.concat(F.lit(""), *[F.coalesce(F.lead("head", j).over(wc), F.lit("")) for j in range(1, lookahead + 1)])
     ch = ch.select("doc_id", "part", "chunk",
                    F.coalesce(F.sum(F.length("chunk")).over(wc.rowsBetween(Window.unboundedPreceding, -1)),

@@ -28,11 +28,12 @@ def dense_ids(keys: DataFrame, key: str, base: int = 0, id_col: str = "id") -> D
 
     Keys are range-partitioned and materialised once (checkpoint, so a lost
     executor recomputes nothing differently); per-partition counts give each
-    partition its offset, and ``row_number`` runs inside each partition.
+    partition its offset, and ``row_number`` runs inside each partition.  Null
+    keys get no id.
     """
     from pagewright.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(keys.sparkSession)
-    k = keys.select(key).distinct().repartitionByRange(F.col(key)) \
+    k = keys.select(key).where(F.col(key).isNotNull()).distinct().repartitionByRange(F.col(key)) \
         .withColumn("_pid", F.spark_partition_id()).checkpoint()
     counts = k.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.select("_pid", F.coalesce(F.sum("_n").over(
@@ -59,18 +60,27 @@ def upsert_last_wins(existing: DataFrame, incoming: DataFrame, key: str, order:
         *[F.when(has_new, F.col(c)).otherwise(F.col(f"_old_{c}")).alias(c) for c in attrs])
 
 
+def _not_in(rows: DataFrame, existing: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows whose ``columns`` are not in ``existing``; two nulls are equal, so a row
+    with a null is not added again on a rerun."""
+    have = existing.select(*[F.col(c).alias(f"_have_{c}") for c in columns])
+    same = None
+    for c in columns:
+        one = F.col(c).eqNullSafe(F.col(f"_have_{c}"))
+        same = one if same is None else same & one
+    return rows.join(have, same, "left_anti")
+
+
 def insert_first_wins(existing: DataFrame, incoming: DataFrame, key: str, order: list[str]) -> DataFrame:
     """K3: ``ON CONFLICT DO NOTHING`` on a primary key - the first incoming row
-    per key, only for keys not already present."""
+    per key, only for keys not already present.  Null is a key like any other."""
     first = latest_per_key(incoming, [key], order, last=False)
-    fresh = first.join(existing.select(key), key, "left_anti")
-    return existing.unionByName(fresh.select(*existing.columns))
+    return existing.unionByName(_not_in(first, existing, [key]).select(*existing.columns))
 
 
 def append_idempotent(existing: DataFrame, incoming: DataFrame, natural: list[str]) -> DataFrame:
     """K4: append rows whose natural columns are not yet present (a rerun adds nothing)."""
-    fresh = incoming.dropDuplicates(natural).join(existing.select(*natural), natural, "left_anti")
-    return existing.unionByName(fresh.select(*existing.columns))
+    return existing.unionByName(_not_in(incoming.dropDuplicates(natural), existing, natural).select(*existing.columns))
 
 
 def upsert_concept_classes(classes: DataFrame) -> DataFrame:

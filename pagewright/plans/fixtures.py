@@ -71,11 +71,11 @@ ARTICLE_HEADERS = [
 
 # Sentences carrying vocabulary terms and parenthesised aliases.
 ARTICLE_SENTENCES = [
-    "Alzheimer's disease (AD) is defined by its biology. Tau and p-tau are important "
-    "biomarkers found in the hippocampus and temporal lobe regions.",
-    "It is necessary to separate syndrome (clinically identified impairment) from biology "
-    "(etiology). AD is defined by its unique neuropathologic findings; therefore, detection "
-    "of AD neuropathologic change by biomarkers is equivalent to diagnosing the disease.",
+    "In most cohorts Alzheimer's disease (AD) begins years before any complaint. Levels of tau "
+    "and p-tau rise first, and each is a biomarker measured near the hippocampus and temporal lobe.",
+    "A clinical picture (what the ward sees) and its cause (what the tissue shows) can differ. "
+    "Neuropathologic findings settle the matter after death; before it, AD is often read from "
+    "biomarkers alone.",
     "Patients with Parkinson's disease (PD) showed tremor and bradykinesia; alpha-synuclein "
     "was found in the substantia nigra.",
     "Mild Cognitive Impairment (MCI) often precedes Alzheimer disease, with episodic memory "
@@ -250,7 +250,7 @@ def fx_relationships(spark, sf_dir):
 
 
 def fx_contrasts(spark, sf_dir):
-    return read_table(spark, sf_dir, "lineitem").selectExpr(*CONTRAST_SELECT).where("l_quantity >= 45")
+    return read_table(spark, sf_dir, "lineitem").selectExpr(*CONTRAST_SELECT)
 
 
 def fx_concept_json(spark, sf_dir):
@@ -282,7 +282,7 @@ def fx_person_names_sql() -> str:
 def fx_structures_json(spark: SparkSession, sf_dir: str) -> str:
     """Write the structure fixture as nested JSON Lines (parents and synonyms as
     arrays, like the landed source) under the shared checkpoint folder; returns the path."""
-    import hashlib
+    import uuid
 
     from pyspark.sql import functions as F
 
@@ -305,7 +305,7 @@ def fx_structures_json(spark: SparkSession, sf_dir: str) -> str:
                    F.col("brain_info_url").alias("brainInfoURL"), F.col("structure_type").alias("brainStructureType"),
                    F.transform("ps", lambda x: x["p"]).alias("parents"), F.col("syns").alias("synonyms"), "ordinal")
            .orderBy("ordinal").drop("ordinal"))
-    path = f"{base.rstrip('/')}/fixtures/structures_{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}"
+    path = f"{base.rstrip('/')}/fixtures/structures_{uuid.uuid4().hex}"
     doc.write.mode("overwrite").json(path)
     return path
 
@@ -319,11 +319,11 @@ CONCEPT_LINE = (
 def fx_concepts_file(spark: SparkSession, sf_dir: str) -> str:
     """Concept records as landed JSON text (one object per line, in event order)
     under the shared checkpoint folder; ids repeat per user, some names are null."""
-    import hashlib
+    import uuid
 
     from pagewright.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/fixtures/concepts_{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}"
+    path = f"{base.rstrip('/')}/fixtures/concepts_{uuid.uuid4().hex}"
     read_table(spark, sf_dir, "events").selectExpr("event_id", CONCEPT_LINE).orderBy("event_id") \
         .select("js").write.mode("overwrite").text(path)
     return path

@@ -339,7 +339,7 @@ def q_concept_classes(spark, sf_dir):
           "JOIN part ON l_partkey = p_partkey "
           "UNION ALL SELECT 'P' || CAST(l_partkey AS STRING), 'S' || CAST(l_suppkey AS STRING), "
           "'contrast ' || l_returnflag, 'MEASUREDBY', 1, l_orderkey * 8 + l_linenumber FROM lineitem "
-          "JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 45) "
+          "JOIN part ON l_partkey = p_partkey) "
           "SELECT concept_id, related_concept_id, "
           "arg_max(relationship, struct_pack(a := phase, b := pos, c := relationship, d := direction)) "
           "AS relationship, "

@@ -33,18 +33,19 @@ class StructureLoad:
     missing: DataFrame        # top missing parents with n_more
     synonyms: DataFrame
     log: DataFrame            # run_id, source, metric, n
+    quarantine: DataFrame     # record, key, ordinal: broken records and rows without a key
 
 
 def load_brain_structures(spark: SparkSession, json_path: str, existing: DataFrame | None = None,
                           run_id: str = "run", multi_line: bool = True) -> StructureLoad:
-    raw = JS.read_json_array(spark, json_path, JS.STRUCTURE_SCHEMA, multi_line)
+    raw, bad = JS.split_corrupt(JS.read_json_array(spark, json_path, JS.STRUCTURE_SCHEMA, multi_line), "neuroNamesID")
     st, par, syn = JS.structures_flat(raw)
     incoming = st.withColumnRenamed("neuronames_id", "key").select(
         "key", "standard_name", "standard_acronym", "definition", "brain_info_url", "structure_type", "ordinal")
     if existing is None:
         existing = spark.createDataFrame([], "key string, id long, standard_name string, standard_acronym string, "
                                              "definition string, brain_info_url string, structure_type string, "
-                                             "ordinal long")
+                                             f"ordinal {JS.ORDINAL_TYPE}")
     structures = U.upsert_last_wins(existing, incoming, "key", ["ordinal"])     # K1/K2
     id_map = structures.select("key", "id")
     edges, missing = H.resolve_parents(par, id_map)                               # J3/J4/O6
@@ -57,7 +58,7 @@ def load_brain_structures(spark: SparkSession, json_path: str, existing: DataFra
         one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("metric"), "n")
         counts = one if counts is None else counts.unionByName(one)
     log = QL.import_log(counts, run_id, "structures")                             # A8/D3
-    return StructureLoad(structures.withColumnRenamed("key", "neuronames_id"), edges, top, synonyms, log)
+    return StructureLoad(structures.withColumnRenamed("key", "neuronames_id"), edges, top, synonyms, log, bad)
 
 
 CONCEPT_DEFAULTS = {"id": "No ID found", "name": "No Name found", "id_concept_class": "No Class",
@@ -66,9 +67,8 @@ CONCEPT_DEFAULTS = {"id": "No ID found", "name": "No Name found", "id_concept_cl
 
 def filled_records(spark: SparkSession, json_path: str, defaults: dict[str, str]) -> DataFrame:
     """Read each JSON object as text and fill only *absent* keys with their default."""
-    raw = spark.read.text(json_path, wholetext=False).select(F.trim("value").alias("js")) \
+    raw = JS.with_ordinal(spark.read.text(json_path, wholetext=False)).select(F.trim("value").alias("js"), "ordinal") \
         .where(F.col("js").startswith("{"))
-    raw = raw.withColumn("ordinal", F.monotonically_increasing_id())
     return raw.select(*[FD.json_field(F.col("js"), k, F.lit(v)).alias(k) for k, v in defaults.items()],
                       "ordinal")
 
@@ -85,6 +85,6 @@ def load_concepts(spark: SparkSession, concepts_path: str, existing: DataFrame |
 
 def load_concept_details(spark: SparkSession, details_path: str, concepts: DataFrame, multi_line: bool = True):
     """(concept classes, concept relationships) for stored concepts."""
-    raw = JS.read_json_array(spark, details_path, JS.CONCEPT_DETAIL_SCHEMA, multi_line)
+    raw, _bad = JS.split_corrupt(JS.read_json_array(spark, details_path, JS.CONCEPT_DETAIL_SCHEMA, multi_line), "id")
     classes, rels, cons = JS.concept_details_flat(raw, concepts)
     return U.upsert_concept_classes(classes), U.upsert_concept_relationships(rels, cons)

@@ -3,8 +3,8 @@
 Ids are read as STRING so numeric and text ids meet in the same key space.
 Nested arrays are exploded here, with their position, so every later step
 works on flat rows and can carry an explicit ordinal ("first/last wins").
-Corrupt records are kept in ``_corrupt_record`` (PERMISSIVE mode) instead of
-failing the load.
+Corrupt records and rows without a key go to a quarantine frame instead of
+failing the load or becoming data.
 """
 
 from __future__ import annotations
@@ -52,14 +52,39 @@ CONCEPT_DETAIL_SCHEMA = T.StructType([
 ])
 
 
+CORRUPT = "_corrupt_record"
+#: Place of a landed row: file, byte at which its split begins, row inside the split.
+ORDINAL_TYPE = "struct<file:string,block:bigint,row:bigint>"
+
+
+def with_ordinal(df: DataFrame) -> DataFrame:
+    """``df`` (a file scan) with ``ordinal``, which orders rows by file name, then by place in
+    the file.  Spark packs files and splits into partitions by size, so a row number
+    over partitions alone does not follow file order; within one split it does."""
+    return df.select("*", F.struct(F.col("_metadata.file_path").alias("file"),
+                                   F.col("_metadata.file_block_start").alias("block"),
+                                   F.monotonically_increasing_id().alias("row")).alias("ordinal"))
+
+
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """Landed JSON with an explicit schema; ``ordinal`` = (file, position) order.
 
-    ``multi_line=True`` reads files that each hold one JSON array of objects;
-    ``False`` reads JSON Lines (one object per line, splittable).
+    ``multi_line=True`` reads files that each hold one JSON array of objects (one task
+    per file); ``False`` reads JSON Lines (one object per line, splittable).  The text of
+    a broken record is in ``_corrupt_record``; see :func:`split_corrupt`.
     """
-    df = (spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path))
-    return df.withColumn("ordinal", F.monotonically_increasing_id())
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, S)])
+    df = (spark.read.schema(full).option("multiLine", multi_line).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    return with_ordinal(df)
+
+
+def split_corrupt(raw: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with a key, quarantined rows): broken records and rows without a key
+    never become data.  The quarantine keeps the record's text, key and place."""
+    bad = F.col(CORRUPT).isNotNull() | F.col(key).isNull()
+    text = F.coalesce(CORRUPT, F.to_json(F.struct(*[c for c in raw.columns if c not in (CORRUPT, "ordinal")])))
+    return raw.where(~bad).drop(CORRUPT), raw.where(bad).select(text.alias("record"), F.col(key).alias("key"), "ordinal")
 
 
 def structures_flat(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -102,8 +127,7 @@ def read_labelled_tokens(spark: SparkSession, path: str) -> DataFrame:
     text and each object line parsed on its own.
     """
     from pagewright.sources.vocab import LABELLED_TOKEN_SCHEMA
-    lines = spark.read.text(path).select(F.trim("value").alias("v"),
-                                         F.monotonically_increasing_id().alias("line"))
+    lines = with_ordinal(spark.read.text(path)).select(F.trim("value").alias("v"), F.col("ordinal").alias("line"))
     objs = lines.where(F.col("v").startswith("{")).select("line", F.from_json("v", LABELLED_TOKEN_SCHEMA).alias("o"))
     return explode_tagged(objs.select(F.col("line").alias("item_id"), "o.tokens", "o.ner_tags"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagewright.operators.tokens import TOKEN_RE, normalize_name, token_array
+from pagewright.operators.tokens import SPARK_TOKEN_RE, normalize_name, token_array
 
 # ---------------------------------------------------------------------------
 # Seed vocabularies (names and categories as the reference
@@ -188,7 +188,7 @@ def build_gazetteer(entries: DataFrame, exact_case_sources: tuple[str, ...] = EX
     """
     prio = F.create_map(*[x for kv in SOURCE_PRIORITY.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     exact = F.col("source").isin(list(exact_case_sources)) if exact_case_sources else F.lit(False)
-    raw_toks = F.regexp_extract_all(F.col("name"), F.lit(TOKEN_RE), 0)
+    raw_toks = F.regexp_extract_all(F.col("name"), F.lit(SPARK_TOKEN_RE), 0)
     g = entries.select(
         "label", "name", "source", F.coalesce(prio[F.col("source")], F.lit(99)).alias("priority"),
         exact.alias("exact"), normalize_name(F.col("name")).alias("key"),

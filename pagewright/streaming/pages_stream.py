@@ -2,10 +2,8 @@
 
 Page cleaning (header/footer removal, hyphen repair) is a stateless
 projection, so it runs unchanged on a stream.  Article-level work needs all
-pages of an article; it runs per micro-batch in ``foreachBatch`` on articles
-whose pages arrived together (the landing job writes one article's pages in
-one file), and writes the extraction tables by batch id, so a replayed batch
-overwrites its own output instead of duplicating it.
+pages of an article, whichever batch they land in; it runs as a batch job over
+the landed pages.
 """
 
 from __future__ import annotations
@@ -13,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from pagewright.config import PipelineConfig
 from pagewright.sources.pages import pages_by_page
 
 PAGE_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("page_num", T.LongType()),
@@ -25,24 +22,3 @@ def cleaned_page_stream(spark: SparkSession, source_dir: str, max_files_per_trig
     raw = (spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
            .parquet(source_dir))
     return pages_by_page(raw)
-
-
-def start_article_extraction(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str,
-                             gazetteer: DataFrame, cfg: PipelineConfig = PipelineConfig(),
-                             available_now: bool = False):
-    """Start the streaming job; returns the StreamingQuery."""
-    from pagewright.plans.pipeline import process_pages
-
-    raw = spark.readStream.schema(PAGE_SCHEMA).parquet(source_dir)
-
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        articles, ex, counts = process_pages(batch, gazetteer, cfg)
-        base = f"{out_dir.rstrip('/')}/batch_id={batch_id}"
-        articles.write.mode("overwrite").parquet(f"{base}/articles")
-        ex.entities.write.mode("overwrite").parquet(f"{base}/entities")
-        ex.relations.write.mode("overwrite").parquet(f"{base}/relations")
-        ex.aliases.write.mode("overwrite").parquet(f"{base}/aliases")
-
-    w = raw.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_dir)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()

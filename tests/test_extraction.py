@@ -148,3 +148,34 @@ def test_chunked_tokenization_equals_whole(spark):
     a = sorted(tuple(r) for r in whole.collect())
     b = sorted(tuple(r) for r in chunked.collect())
     assert len(a) > 1000 and a == b
+
+
+def test_author_lists_of_any_length(spark):
+    from pagewright.functions import metadata as M
+    plain = ", ".join("Ann Lee" for _ in range(3000))
+    rows = [(1, f"Title\n{plain}\nbody"), (2, f"Title\n{plain} and Tom Brown\nbody"),
+            (3, "X\nAnn Lee, and Tom and Jerry Smith\n"), (4, "X\nAnn Lee, and Tom, Bob Ray\n")]
+    got = {r.i: r.a for r in spark.createDataFrame(rows, "i long, t string").select("i", M.authors(F.col("t")).alias("a")).collect()}
+    assert got == {1: plain, 2: plain + " and Tom Brown", 3: "Ann Lee, and Tom and Jerry Smith", 4: "Ann Lee, and Tom, Bob Ray"}
+
+
+def test_token_of_very_many_parts(spark):
+    from pagewright.operators.tokens import tokenize
+    long = "-".join("ab" for _ in range(100_000))
+    got = tokenize(spark.createDataFrame([(1, f"x {long} y")], "doc_id long, text string")).orderBy("pos").collect()
+    assert [(r.start, r.end) for r in got] == [(0, 1), (2, 2 + len(long)), (3 + len(long), 4 + len(long))]
+
+
+def test_chunks_of_any_size_lose_no_phrase(spark):
+    from pagewright.config import ExtractConfig, PipelineConfig
+    from pagewright.plans.pipeline import entity_mentions
+    from pagewright.sources.vocab import default_gazetteer
+    extra = spark.createDataFrame([("SYMPTOM", "REM sleep behavior disorder")], "label string, name string")
+    gz = default_gazetteer(spark, extra)
+    docs = spark.createDataFrame([(1, "He has  REM sleep   behavior disorder and antidisestablishmentarianism."),
+                                  (2, "  REM sleep behavior disorder")], "doc_id long, text string")
+    want = {(r.doc_id, r.start, r.end) for r in entity_mentions(docs, gz).collect()}
+    assert {w[0] for w in want} == {1, 2}
+    for n in (1, 4, 8, 12, 20, 1000):
+        cfg = PipelineConfig(extract=ExtractConfig(chunk_chars=n))
+        assert {(r.doc_id, r.start, r.end) for r in entity_mentions(docs, gz, cfg).collect()} == want, n

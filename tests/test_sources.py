@@ -70,19 +70,17 @@ def test_write_store(spark, tmp_path):
 
 
 def test_streaming_pages(spark, tmp_path):
-    from pagewright.sources.vocab import default_gazetteer
-    from pagewright.streaming.pages_stream import start_article_extraction
+    from pagewright.sources.pages import pages_by_page
+    from pagewright.streaming.pages_stream import cleaned_page_stream
     src = tmp_path / "in"
-    src.mkdir()
-    spark.createDataFrame([(1, 0, "Tau was found in the hippocampus.\nMore text (AD) here.")],
-                          "doc_id long, page_num long, page_text string").write.parquet(str(src / "b1"))
-    q = start_article_extraction(spark, str(src / "b1"), str(tmp_path / "out"), str(tmp_path / "ck"),
-                                 default_gazetteer(spark), available_now=True)
+    pages = spark.createDataFrame([(1, 0, "Tau was found in the hippo-\ncampus."), (1, 1, "More text (AD) here.")],
+                                  "doc_id long, page_num long, page_text string")
+    pages.write.parquet(str(src))
+    q = (cleaned_page_stream(spark, str(src)).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination(300)
-    outs = [d for d in os.listdir(tmp_path / "out")]
-    assert outs, "no batch written"
-    ents = spark.read.parquet(str(tmp_path / "out" / outs[0] / "entities"))
-    assert {"Tau", "hippocampus"} <= {r.text for r in ents.collect()}
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, pages_by_page(pages).select(*got.columns).collect()))
 
 
 def test_list_pdf_files(spark, tmp_path):
@@ -109,6 +107,7 @@ def test_model_relation_hook(spark):
 
 def test_vocab_load_plans(spark, tmp_path):
     from pagewright.plans.vocab_load import load_brain_structures, load_concepts
+    from pagewright.sources.json_sources import ORDINAL_TYPE
     data = [{"neuroNamesID": "10", "standardName": "a", "parents": [{"parentNeuroNamesId": "11"}]},
             {"neuroNamesID": "11", "standardName": "b", "parents": [{"parentNeuroNamesId": "77", "parentStandardName": "gone"}],
              "synonyms": [{"synonymName": "bee", "pubMedHits": "3"}]},
@@ -119,7 +118,7 @@ def test_vocab_load_plans(spark, tmp_path):
     names = {r.neuronames_id: (r.id, r.standard_name) for r in first.structures.collect()}
     assert names == {"10": (1, "a2"), "11": (2, "b")}          # same key twice: last attributes win
     again = load_brain_structures(spark, str(p), existing=first.structures.withColumnRenamed("neuronames_id", "key")
-                                  .withColumn("ordinal", F.lit(0).cast("long")))
+                                  .withColumn("ordinal", F.lit(None).cast(ORDINAL_TYPE)))
     assert {r.neuronames_id: r.id for r in again.structures.collect()} == {"10": 1, "11": 2}   # ids unchanged
     assert [(r.parent_key, r["count"], r.name) for r in first.missing.collect()] == [("77", 1, "gone")]
     assert {r.metric: r.n for r in first.log.collect()}["parent_links"] == 1
@@ -128,3 +127,29 @@ def test_vocab_load_plans(spark, tmp_path):
     table, bad = load_concepts(spark, str(c))
     assert sorted((r.concept_id, r.name) for r in table.collect()) == [("c1", "x"), ("c3", "No Name found")]
     assert [r.concept_id for r in bad.collect()] == ["c2"]
+
+
+def test_first_and_last_wins_follow_files_of_unequal_size(spark, tmp_path):
+    """Spark packs large files before small ones; the order of the landed files must hold."""
+    from pagewright.plans.vocab_load import load_brain_structures, load_concepts
+    c, st = tmp_path / "c", tmp_path / "s"
+    c.mkdir(), st.mkdir()
+    for k in range(9):
+        pad = "x" * (40_000 if k % 2 else 10)
+        (c / f"part-{k:03d}.json").write_text("".join(
+            json.dumps({"id": f"c{i}", "name": f"{k}", "definition_text": pad}) + "\n" for i in range(k, 20)))
+        (st / f"part-{k:03d}.json").write_text("".join(
+            json.dumps({"neuroNamesID": f"n{i}", "standardName": f"{k}", "cDefinition": pad}) + "\n" for i in range(20 - k)))
+    table, _ = load_concepts(spark, str(c))
+    assert {r.concept_id: r.name for r in table.collect()} == {f"c{i}": "0" for i in range(20)}
+    got = load_brain_structures(spark, str(st), multi_line=False).structures.collect()
+    assert {r.neuronames_id: r.standard_name for r in got} == {f"n{i}": str(min(8, 19 - i)) for i in range(20)}
+
+
+def test_broken_records_and_null_keys_are_quarantined(spark, tmp_path):
+    from pagewright.plans.vocab_load import load_brain_structures
+    p = tmp_path / "s.json"
+    p.write_text('{"neuroNamesID": "10", "standardName": "a"\n{"neuroNamesID": "11", "standardName": "b"}\n{"standardName": "no key"}\n')
+    load = load_brain_structures(spark, str(p), multi_line=False)
+    assert [(r.neuronames_id, r.id) for r in load.structures.collect()] == [("11", 1)]
+    assert sorted(r.record[:21] for r in load.quarantine.collect()) == ['{"neuroNamesID": "10"', '{"standardName":"no k']

@@ -32,3 +32,14 @@ def test_dense_ids_are_contiguous(spark):
     keys = spark.range(0, 1000).selectExpr("CAST(id * 7 % 1000 AS STRING) AS key").repartition(5)
     ids = sorted(r.id for r in U.dense_ids(keys, "key", 10).collect())
     assert ids == list(range(11, 1011))
+
+
+def test_reruns_with_nulls_add_nothing(spark):
+    from pagewright.operators import upsert as U
+    rows = spark.createDataFrame([("a", None, 1), (None, "x", 2), (None, None, 3)], "k string, v string, ordinal long")
+    none = rows.limit(0)
+    once = U.append_idempotent(none, rows, ["k", "v"])
+    assert once.count() == U.append_idempotent(once, rows, ["k", "v"]).count() == 3
+    first = U.insert_first_wins(none, rows, "k", ["ordinal"])
+    assert first.count() == U.insert_first_wins(first, rows, "k", ["ordinal"]).count() == 2
+    assert {r.k for r in U.dense_ids(rows, "k").collect()} == {"a"}
