@@ -19,12 +19,6 @@ from pyspark.sql import functions as F
 
 
 
-def max_phrase_tokens(gazetteer: DataFrame) -> int:
-    """Longest phrase in tokens: one scalar from the (small) gazetteer."""
-    v = gazetteer.agg(F.max("n_tokens")).first()[0]
-    return int(v or 1)
-
-
 def prepare_gazetteer(gazetteer: DataFrame, broadcast_max_rows: int = 2_000_000):
     """Cache the (small) gazetteer and read its row count and longest phrase in one job.
 

@@ -77,15 +77,6 @@ def attach_context(spans: DataFrame, docs: DataFrame, context_chars: int = 50) -
                                 context_chars, context_chars, F.col("text_len")).alias("context"))
 
 
-def attach_text(spans: DataFrame, docs: DataFrame, context_chars: int = 50) -> DataFrame:
-    """Surface text and context of each span (for spans that do not carry their text)."""
-    j = spans.join(text_side(docs), "doc_id")
-    return j.select(*[c for c in spans.columns],
-                    slice_text(F.col("text_body"), F.col("start"), F.col("end")).alias("text"),
-                    window_text(F.col("text_body"), F.col("start"), F.col("end"),
-                                context_chars, context_chars, F.col("text_len")).alias("context"))
-
-
 def first_occurrence(entities: DataFrame) -> DataFrame:
     """A5: per (article, label, lower-cased text) keep the earliest occurrence.
 

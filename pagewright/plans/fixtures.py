@@ -310,20 +310,40 @@ def fx_structures_json(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-CONCEPT_LINE = (
-    f"'{{\"id\": \"c' || {_s('user_id')} || '\", \"name\": ' || "
-    f"CASE WHEN event_id % 5 = 0 THEN 'null' ELSE '\"' || event_type || '\"' END || "
-    f"CASE WHEN event_id % 3 = 0 THEN '' ELSE ', \"definition_text\": \"' || event_type || '\"' END || '}}' AS js")
+def _json_line(prefix: str, *parts: str) -> str:
+    """A record as JSON text: id and name (null in every fifth), then parts that may be absent."""
+    return (f"'{{\"id\": \"{prefix}' || {_s('user_id')} || '\", \"name\": ' || "
+            "CASE WHEN event_id % 5 = 0 THEN 'null' ELSE '\"' || event_type || '\"' END || "
+            + " || ".join(parts) + " || '}' AS js")
 
 
-def fx_concepts_file(spark: SparkSession, sf_dir: str) -> str:
-    """Concept records as landed JSON text (one object per line, in event order)
-    under the shared checkpoint folder; ids repeat per user, some names are null."""
+def _stamp_part(key: str, valid: str, shift: int = 0) -> str:
+    return (f"CASE (event_id + {shift}) % 4 WHEN 0 THEN ', \"{key}\": \"{valid}\"' WHEN 1 THEN ', \"{key}\": \"bad\"' "
+            f"WHEN 2 THEN ', \"{key}\": null' ELSE '' END")
+
+
+_DEFINED = "CASE WHEN event_id % 3 = 0 THEN '' ELSE ', \"{}\": \"' || event_type || '\"' END"
+_CREATED = f"CASE WHEN event_id % 7 < 3 THEN '' ELSE ', \"creation_time\": ' || {_s('event_id')} END"
+CONCEPT_LINE = _json_line("c", _DEFINED.format("definition_text"), _CREATED, _stamp_part("event_stamp", "1304416800000"))
+DISORDER_LINE = _json_line("d", _DEFINED.format("definition"), _CREATED, _stamp_part("event_stamp", "2011-05-03T10:00:00+00:00"))
+TASK_LINE = _json_line("t", _DEFINED.format("alias"), _CREATED, _stamp_part("event_stamp", "2012-11-03T22:30:00+02:00"),
+                       _stamp_part("def_event_stamp", "2013-01-31T00:15:30Z", 1))
+
+
+def fx_landed(spark: SparkSession, sf_dir: str, line: str) -> str:
+    """Records as landed JSON text (one object per line, in event order, over eight files
+    of unequal size) under the shared checkpoint folder; ids repeat per user, some names are null."""
     import uuid
 
+    from pyspark.sql import functions as F
+
     from pagewright.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/fixtures/concepts_{uuid.uuid4().hex}"
-    read_table(spark, sf_dir, "events").selectExpr("event_id", CONCEPT_LINE).orderBy("event_id") \
-        .select("js").write.mode("overwrite").text(path)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fixtures/landed_{uuid.uuid4().hex}"
+    events = read_table(spark, sf_dir, "events")
+    # file k holds the events up to (k + 1)^2 / 64 of all
+    top = events.agg(F.max("event_id")).first()[0] or 0
+    part = F.floor(F.sqrt(F.col("event_id") * 64.0 / (top + 1))).cast("int")
+    rows = events.selectExpr("event_id", line).withColumn("part", part)
+    for k in range(8):
+        rows.where(F.col("part") == k).coalesce(1).sortWithinPartitions("event_id").select("js").write.text(f"{path}/part={k}")
     return path

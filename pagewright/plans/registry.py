@@ -657,10 +657,14 @@ def q_region_merge(spark, sf_dir):
 # ------------------------------------------------------ more sources / modes
 
 @register("pdf_paths",
-          "SELECT page_id, url FROM pages WHERE suffix(lower(regexp_replace(url, '[?#].*$', '')), '.pdf')")
+          "SELECT page_id, url FROM (SELECT page_id, url || CASE page_id % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '.PDF' "
+          "WHEN 2 THEN '.Pdf?page=2' ELSE '.pdf.html' END AS url FROM pages) p "
+          "WHERE suffix(lower(regexp_replace(url, '[?#].*$', '')), '.pdf')")
 def q_pdf_paths(spark, sf_dir):
     """S3: keep paths ending in .pdf in any letter case (query string and fragment ignored)."""
-    p = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    p = read_table(spark, sf_dir, "pages").selectExpr(
+        "page_id", "url || CASE page_id % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '.PDF' WHEN 2 THEN '.Pdf?page=2' "
+        "ELSE '.pdf.html' END AS url")
     bare = p.withColumn("path", F.regexp_replace("url", r"[?#].*$", ""))
     return P.keep_pdf_paths(bare, "path").select("page_id", "url")
 
@@ -718,16 +722,50 @@ def _fill(key, default):
     return _fill_sql(key, default)
 
 
-@register("concept_load",
-          f"WITH c AS (SELECT event_id, {FX.CONCEPT_LINE} FROM events), "
-          f"f AS (SELECT event_id, {_fill('id', 'No ID found')} AS concept_id, {_fill('name', 'No Name found')} AS name, "
-          f"{_fill('id_concept_class', 'No Class')} AS id_concept_class, "
-          f"{_fill('definition_text', 'No Definition')} AS definition_text FROM c) "
-          "SELECT concept_id, arg_min(name, event_id) AS name, arg_min(id_concept_class, event_id) AS id_concept_class, "
-          "arg_min(definition_text, event_id) AS definition_text FROM f WHERE name IS NOT NULL GROUP BY concept_id")
+def _load_sql(line: str, spec, stamps: dict[str, str]) -> str:
+    """First event per key with the defaults of absent fields; ``stamps``: field -> SQL over its text."""
+    def value(c, d):
+        text = _fill(c, d)
+        if c in spec.numbers:
+            return f"TRY_CAST({text} AS BIGINT)"
+        return f"strftime({stamps[c].format(x=f'({text})')}, '%Y-%m-%d %H:%M:%S')" if c in stamps else text
+    names = {c: spec.key if c == "id" else c for c in spec.defaults}
+    fields = ", ".join(f"{value(c, d)} AS {names[c]}" for c, d in spec.defaults.items())
+    rest = ", ".join(names[c] for c in spec.defaults if c != "id")
+    return (f"WITH c AS (SELECT event_id, {line} FROM events), f AS (SELECT event_id, {fields} FROM c), "
+            f"r AS (SELECT *, row_number() OVER (PARTITION BY {spec.key} ORDER BY event_id) AS _n FROM f WHERE name IS NOT NULL) "
+            f"SELECT {spec.key}, {rest} FROM r WHERE _n = 1")
+
+
+def _loaded(spark, sf_dir, line, spec):
+    from pagewright.plans.vocab_load import load_records
+    table, _bad = load_records(spark, FX.fx_landed(spark, sf_dir, line), spec)
+    utc = lambda c: F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd HH:mm:ss").alias(c)
+    return table.select(*[utc(c) if c in spec.epoch + spec.iso else c for c in table.columns])
+
+
+from pagewright.plans import vocab_load as VL  # noqa: E402
+
+# written apart from the engine's own pattern
+_ISO_SQL = ("CASE WHEN regexp_full_match({x}, '\\d{{4}}-\\d\\d-\\d\\d([T ]\\d\\d:\\d\\d(:\\d\\d(\\.\\d+)?)?([+-]\\d\\d:\\d\\d|Z)?)?') "
+            "THEN make_timestamp(epoch_us(TRY_CAST({x} AS TIMESTAMPTZ))) END")
+_EPOCH_SQL = "make_timestamp(TRY_CAST({x} AS BIGINT) * 1000)"
+
+
+@register("concept_load", _load_sql(FX.CONCEPT_LINE, VL.CONCEPTS, {"event_stamp": _EPOCH_SQL}))
 def q_concept_load(spark, sf_dir):
-    """S5 + O4/O5 + K3 end to end: landed concept JSON text -> defaults for absent
-    keys -> null names quarantined -> first-wins insert on the concept id."""
-    from pagewright.plans.vocab_load import load_concepts
-    table, _bad = load_concepts(spark, FX.fx_concepts_file(spark, sf_dir))
-    return table
+    """S5 + O4/O5 + E9 + K3 end to end: landed concept JSON text in eight files -> defaults
+    for absent keys -> null names quarantined -> first-wins insert on the concept id."""
+    return _loaded(spark, sf_dir, FX.CONCEPT_LINE, VL.CONCEPTS)
+
+
+@register("disorder_load", _load_sql(FX.DISORDER_LINE, VL.DISORDERS, {"event_stamp": _ISO_SQL}))
+def q_disorder_load(spark, sf_dir):
+    """S6 + E10 end to end, with offsets in the stamps."""
+    return _loaded(spark, sf_dir, FX.DISORDER_LINE, VL.DISORDERS)
+
+
+@register("task_load", _load_sql(FX.TASK_LINE, VL.TASKS, {"event_stamp": _ISO_SQL, "def_event_stamp": _ISO_SQL}))
+def q_task_load(spark, sf_dir):
+    """S7 + E10 end to end, with both stamps."""
+    return _loaded(spark, sf_dir, FX.TASK_LINE, VL.TASKS)

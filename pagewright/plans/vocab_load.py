@@ -61,8 +61,31 @@ def load_brain_structures(spark: SparkSession, json_path: str, existing: DataFra
     return StructureLoad(structures.withColumnRenamed("key", "neuronames_id"), edges, top, synonyms, log, bad)
 
 
-CONCEPT_DEFAULTS = {"id": "No ID found", "name": "No Name found", "id_concept_class": "No Class",
-                    "definition_text": "No Definition"}
+@dataclass(frozen=True)
+class RecordSpec:
+    """A landed record: its key, the default of every field when its key is absent, and
+    which fields are numbers, epoch-millisecond stamps or ISO stamps (a default stamp,
+    like a bad one, is NULL)."""
+
+    key: str
+    defaults: dict[str, str]
+    numbers: tuple[str, ...] = ()
+    epoch: tuple[str, ...] = ()
+    iso: tuple[str, ...] = ()
+
+
+CONCEPTS = RecordSpec("concept_id", {
+    "id": "No ID found", "name": "No Name found", "id_concept_class": "No Class", "definition_text": "No Definition",
+    "creation_time": "0", "event_stamp": "No Event Stamp"}, ("creation_time",), epoch=("event_stamp",))
+DISORDERS = RecordSpec("disorder_id", {
+    "id": "No ID found", "name": "No Name found", "definition": "No Definition", "event_stamp": "No Event Stamp",
+    "id_protocol": "No Protocol", "flag_for_curator": "0", "creation_time": "0", "last_updated": "0"},
+    ("flag_for_curator", "creation_time", "last_updated"), iso=("event_stamp",))
+TASKS = RecordSpec("task_id", {
+    "id": "No ID found", "name": "No Name found", "definition_text": "No Definition", "alias": "No Alias",
+    "creation_time": "0", "event_stamp": "No Event Stamp", "review_status": "No Review Status", "def_id": "No Def ID",
+    "def_id_user": "No Def ID User", "def_event_stamp": "No Def Event Stamp"},
+    ("creation_time",), iso=("event_stamp", "def_event_stamp"))
 
 
 def filled_records(spark: SparkSession, json_path: str, defaults: dict[str, str]) -> DataFrame:
@@ -73,16 +96,34 @@ def filled_records(spark: SparkSession, json_path: str, defaults: dict[str, str]
                       "ordinal")
 
 
-def load_concepts(spark: SparkSession, concepts_path: str, existing: DataFrame | None = None):
-    """(table after first-wins insert, quarantined rows)."""
-    rec = filled_records(spark, concepts_path, CONCEPT_DEFAULTS).withColumnRenamed("id", "concept_id")
-    valid, bad = FD.split_valid(rec, ["name"])
+def load_records(spark: SparkSession, path: str, spec: RecordSpec, existing: DataFrame | None = None):
+    """(table after first-wins insert on the key, quarantined rows)."""
+    rec = filled_records(spark, path, spec.defaults).withColumnRenamed("id", spec.key)
+    rec = rec.withColumns({**{c: F.col(c).try_cast("long") for c in spec.numbers},
+                           **{c: FD.epoch_millis_to_timestamp(F.col(c)) for c in spec.epoch},
+                           **{c: FD.iso_to_timestamp(F.col(c)) for c in spec.iso}})
+    valid, bad = FD.split_valid(rec, [spec.key, "name"])
     if existing is None:
         existing = valid.limit(0).drop("ordinal")
-    table = U.insert_first_wins(existing, valid, "concept_id", ["ordinal"])
+    table = U.insert_first_wins(existing, valid, spec.key, ["ordinal"])
     return table.drop("ordinal") if "ordinal" in table.columns else table, bad
 
 
+def load_concepts(spark: SparkSession, concepts_path: str, existing: DataFrame | None = None):
+    """Concepts with their stamps."""
+    return load_records(spark, concepts_path, CONCEPTS, existing)
+
+
+def load_disorders(spark: SparkSession, path: str, existing: DataFrame | None = None):
+    """Disorders; their names feed the gazetteer (``vocabulary_entries(diseases=...)``)."""
+    return load_records(spark, path, DISORDERS, existing)
+
+
+def load_tasks(spark: SparkSession, path: str, existing: DataFrame | None = None):
+    """Tasks with both stamps."""
+    return load_records(spark, path, TASKS, existing)
+
+
 def load_concept_details(spark: SparkSession, details_path: str, concepts: DataFrame, multi_line: bool = True):
     """(concept classes, concept relationships) for stored concepts."""
     raw, _bad = JS.split_corrupt(JS.read_json_array(spark, details_path, JS.CONCEPT_DETAIL_SCHEMA, multi_line), "id")
