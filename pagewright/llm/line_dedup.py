@@ -16,13 +16,12 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from pagewright.llm import wordhash as H
-from pagewright.llm.common import written
+from pagewright.llm.common import WORD, written
 from pagewright.operators.partitioning import size_checked_broadcast
 
 #: Words of a line, and lines of a window: runs of 50 words always share a fingerprint.
@@ -38,102 +37,160 @@ ADDED = ("n_words", "removed_words", "removed_spans")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def window_minima(line: np.ndarray) -> np.ndarray:
+    """Position of the smallest entry of each ``WINDOW`` consecutive ones, the first of equals.
+
+    Hashes are ordered by their upper 36 bits, then place, packed into one number; a
+    window's minimum is that of overlapping power-of-two windows.
+    """
+    low = np.uint64((1 << 28) - 1)
+    packed = (line & ~low) | np.arange(len(line), dtype=np.uint64)
+    size = 1
+    while 2 * size <= WINDOW:
+        packed = np.minimum(packed[:-size], packed[size:])
+        size *= 2
+    rest = WINDOW - size
+    packed = np.minimum(packed[:-rest], packed[rest:]) if rest else packed
+    return (packed & low).astype(np.int64)
+
+
 def fingerprints(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(text, position, line hash)`` of each text's window minima."""
     words, at = H.split_words(texts, lower=False)
     if len(words) < MIN_RUN:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
     line = H.windows(H.hashes(words), LINE)
-    least = sliding_window_view(line, WINDOW).argmin(axis=1) + np.arange(len(line) - WINDOW + 1)
-    text = np.searchsorted(at, np.arange(len(least)), side="right") - 1
-    inside = np.arange(len(least)) + MIN_RUN <= at[text + 1]
-    pick = np.unique(least[inside])
+    least = window_minima(line)
+    inside = np.zeros(len(least) + 1, bool)
+    for a, b in zip(at[:-1], at[1:]):
+        inside[a:max(a, b - MIN_RUN + 1)] = True
+    least = least[inside[:-1]]
+    pick = least[np.append(True, least[1:] != least[:-1])] if len(least) else least
     owner = np.searchsorted(at, pick, side="right") - 1
     return owner, pick - at[owner], line[pick]
 
 
 def _fingerprint_rows(batches):
+    """Fingerprints, each with its last place before in the same text, or -1."""
     for pdf in batches:
         ids = pdf["doc_id"].to_numpy()
         for low, high in H.chunks(pdf["text"]):
             text, at, h = fingerprints(pdf["text"].iloc[low:high])
-            yield pd.DataFrame({"fp": h.astype(np.int64), "doc_id": ids[low:high][text], "pos": at.astype(np.int32)})
+            order = np.lexsort((at, h, text))
+            again = np.append(False, (text[order][1:] == text[order][:-1]) & (h[order][1:] == h[order][:-1]))[:len(order)]
+            prev = np.full(len(at), -1, np.int64)
+            prev[order[again]] = at[order[np.flatnonzero(again) - 1]]
+            yield pd.DataFrame({"fp": h.astype(np.int64), "doc_id": ids[low:high][text], "pos": at.astype(np.int32),
+                                "prev": prev.astype(np.int32)})
 
 
-def _short(words: list[bytes]) -> np.ndarray:
+def _short(hashes: np.ndarray) -> np.ndarray:
     """31-bit hashes of words, to compare them at a run's ends."""
-    return (H.mix(H.hashes(words)) >> np.uint64(33)).astype(np.int32)
+    return (H.mix(hashes) >> np.uint64(33)).astype(np.int32)
+
+
+def _word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
+    words, at = H.split_words(texts, lower=False)
+    return H.hashes(words), at
 
 
 def _contexts(batches):
-    """Words before (side 0) or after (side 1) each asked position of a text."""
+    """Words before (side 0) or after (side 1) each asked position of a text, as bytes."""
     for pdf in batches:
-        rows = []
-        for doc, text, asked in zip(pdf["doc_id"], pdf["text"], pdf["asked"]):
-            words = _short(text.encode("utf-8", "surrogatepass").split())
-            for a in asked:
-                side, pos = a["side"], a["pos"]
-                part = words[pos:pos + REACH] if side else words[max(0, pos - REACH):pos]
-                rows.append((doc, side, pos, part))
-        yield pd.DataFrame(rows, columns=["first_doc", "side", "pos", "words"])
+        for low, high in H.chunks(pdf["text"]):
+            hashes, at = _word_hashes(pdf["text"].iloc[low:high])
+            short, rows = _short(hashes), []
+            for doc, asked, a, b in zip(pdf["doc_id"].iloc[low:high], pdf["asked"].iloc[low:high], at[:-1], at[1:]):
+                for code in asked:
+                    side, pos = code & 1, code >> 1
+                    span = (a + pos, min(b, a + pos + REACH)) if side else (max(a, a + pos - REACH), a + pos)
+                    rows.append((doc, side, pos, short[span[0]:span[1]].tobytes()))
+            yield pd.DataFrame(rows, columns=["first_doc", "side", "pos", "words"])
+
 
+def _equal(x: np.ndarray, y: np.ndarray) -> int:
+    """How many leading entries are equal."""
+    n = min(len(x), len(y))
+    same = x[:n] == y[:n]
+    return n if same.all() else int(same.argmin())
 
-def extend(words: np.ndarray, start: int, stop: int, before, after) -> tuple[int, int]:
+
+def extend(words: np.ndarray, start: int, stop: int, before: np.ndarray, after: np.ndarray) -> tuple[int, int]:
     """A run grown to both sides as long as its words equal those around the first occurrence."""
-    left = 0
-    while left < min(start, len(before)) and words[start - left - 1] == before[len(before) - left - 1]:
-        left += 1
-    right = 0
-    while right < min(len(words) - stop, len(after)) and words[stop + right] == after[right]:
-        right += 1
-    return start - left, stop + right
-
-
-def remove(text: str, runs: list[dict], min_run: int = MIN_RUN) -> tuple[str, int, list[tuple[int, int]]]:
-    """``text`` without its repeated runs, its number of words and the removed word ranges."""
-    words = text.encode("utf-8", "surrogatepass").split()
-    if not runs or len(words) < min_run:
-        return text, len(words), []
-    short, gone = _short(words), np.zeros(len(words) + 1, np.int64)
-    line = H.windows(H.hashes(words), LINE).astype(np.int64)
-    for r in runs:
-        # rows that share a doc_id may not have the text that the run was found in
-        if r["start"] >= len(line) or line[r["start"]] != r["fp"]:
-            continue
-        a, b = extend(short, r["start"], min(r["stop"], len(words)), r["before"] or [], r["after"] or [])
-        if b - a >= min_run:
-            gone[a] += 1
-            gone[b] -= 1
+    left = _equal(words[max(0, start - REACH):start][::-1], before[::-1])
+    return start - left, stop + _equal(words[stop:stop + REACH], after)
+
+
+def _extended(batches):
+    """Each run of a text, grown to both sides."""
+    for pdf in batches:
+        for low, high in H.chunks(pdf["text"]):
+            hashes, at = _word_hashes(pdf["text"].iloc[low:high])
+            short, line, rows = _short(hashes), H.windows(hashes, LINE).astype(np.int64), []
+            for k, a, b in zip(range(low, high), at[:-1], at[1:]):
+                doc, key, words = pdf["doc_id"].iat[k], pdf["_t"].iat[k], short[a:b]
+                for r in pdf["_runs"].iat[k]:
+                    # rows that share a doc_id may not have the text that the run was found in
+                    if r["start"] <= b - a - LINE and line[a + r["start"]] == r["fp"]:
+                        before, after = (np.frombuffer(r[c] or b"", np.int32) for c in ("before", "after"))
+                        rows.append((doc, key, r["first_doc"], r["shift"], r["run"],
+                                     *extend(words, r["start"], min(r["stop"], b - a), before, after)))
+            yield pd.DataFrame(rows, columns=["doc_id", "_t", "first_doc", "shift", "run", "a", "b"])
+
+
+def _gram_rows(batches):
+    """Hashes of all runs of ``MIN_RUN`` words that hold one of a text's given lines."""
+    for pdf in batches:
+        for doc, key, text, lines in zip(pdf["doc_id"], pdf["_t"], pdf["text"], pdf["_lines"]):
+            hashes, _ = _word_hashes([text])
+            line, gram = H.windows(hashes, LINE).astype(np.int64), H.windows(hashes, MIN_RUN)
+            at = np.array([x["pos"] for x in lines if x["pos"] < len(line) and line[x["pos"]] == x["fp"]], dtype=np.int64)
+            start = np.unique((at[:, None] - np.arange(WINDOW)).ravel())
+            start = start[(start >= 0) & (start < len(gram))]
+            yield pd.DataFrame({"gram": gram[start].astype(np.int64), "doc_id": doc, "_t": key, "a": start})
+
+
+def remove(text: str, spans) -> tuple[str, int, list[tuple[int, int]]]:
+    """``text`` without some ranges of words, its number of words and the ranges' union."""
+    begins = [m.start() for m in _WORD.finditer(text)]
+    gone = np.zeros(len(begins) + 1, np.int64)
+    for r in spans:
+        gone[r["a"]] += 1
+        gone[r["b"]] -= 1
     flag = np.concatenate([[0], (np.cumsum(gone[:-1]) > 0).astype(np.int8), [0]])
     edges = np.flatnonzero(np.diff(flag))
     ranges = list(zip(edges[::2].tolist(), edges[1::2].tolist()))
-    if not ranges:
-        return text, len(words), []
-    begins = [m.start() for m in _WORD.finditer(text)] + [len(text)]
     out, at = [], 0
     for a, b in ranges:
         out.append(text[at:begins[a]])
-        at = begins[b]
-    return "".join(out) + text[at:], len(words), ranges
+        at = begins[b] if b < len(begins) else len(text)
+    return "".join(out) + text[at:], len(begins), ranges
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """Chains of fingerprints that repeat an earlier place: ``doc_id, start, stop`` in
-    words, ``fp`` of the first line, and ``first_doc, first_start`` of the place."""
-    prints = written(docs.select("doc_id", "text").mapInPandas(_fingerprint_rows, "fp long, doc_id long, pos int"))
+def first_places(prints: DataFrame) -> DataFrame:
+    """``fp, first_doc, first_pos, n`` of the lines that have ``n`` places, two or more."""
     place = F.struct("doc_id", "pos")
-    firsts = prints.groupBy("fp").agg(F.min(place).alias("first"), F.max(place).alias("_last")).where("first <> _last")
-    later = prints.join(firsts.select("fp", F.col("first.doc_id").alias("first_doc"), F.col("first.pos").alias("_p")), "fp")
-    later = later.where((F.col("doc_id") != F.col("first_doc")) | (F.col("pos") != F.col("_p")))
-    later = later.withColumn("shift", F.col("pos") - F.col("_p"))
+    firsts = prints.groupBy("fp").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return firsts.select("fp", F.col("f.doc_id").alias("first_doc"), F.col("f.pos").alias("first_pos"), "n")
+
+
+def matches(prints: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Fingerprints (``fp, doc_id, pos``) that have an earlier place, with its document
+    ``first_doc`` and the ``shift`` to it, and the ``run`` of their chain: fingerprints at
+    one shift from the same document, a window or less apart.
+
+    The earlier place is the line's last place before in the same text, so that a text
+    that repeats itself gives one chain; else it is the line's first place of all.
+    """
+    columns = ["fp", "doc_id", "pos", "first_doc", "shift"]
+    own = prints.where("prev >= 0").select("fp", "doc_id", "pos", F.col("doc_id").alias("first_doc"),
+                                           (F.col("pos") - F.col("prev")).alias("shift"))
+    far = prints.where("prev < 0").join(firsts, "fp").where(F.col("doc_id") != F.col("first_doc")).select(
+        "fp", "doc_id", "pos", "first_doc", (F.col("pos") - F.col("first_pos")).alias("shift"))
     chain = Window.partitionBy("doc_id", "first_doc", "shift").orderBy("pos")
-    gap = F.col("pos") - F.lag("pos").over(chain)
-    later = later.withColumn("_new", F.coalesce((gap > WINDOW).cast("int"), F.lit(1)))
-    later = later.withColumn("_run", F.sum("_new").over(chain.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    runs = later.groupBy("doc_id", "first_doc", "shift", "_run").agg(
-        F.min(F.struct("pos", "fp")).alias("_s"), (F.max("pos") + LINE).alias("stop"))
-    return runs.select("doc_id", F.col("_s.pos").alias("start"), "stop", F.col("_s.fp").alias("fp"), "first_doc",
-                       (F.col("_s.pos") - F.col("shift")).alias("first_start"))
+    new = F.coalesce((F.col("pos") - F.lag("pos").over(chain) > WINDOW).cast("int"), F.lit(1))
+    later = own.select(*columns).unionByName(far.select(*columns)).withColumn("_new", new)
+    return later.withColumn("run", F.sum("_new").over(chain.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_new")
 
 
 def _of(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -151,36 +208,64 @@ def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     text stays null; a row with a null doc_id has no place in the order, and stays whole.
     Rows of equal doc_id and text are one document and stay alike.  An empty table gives an
     empty result.  ``min_run`` may not be below ``LINE + WINDOW - 1``, from which on every
-    run is found.
+    run is found; a longer one, where it repeats the first place of its lines.
     """
     if min_run < MIN_RUN:
         raise ValueError(f"runs below {MIN_RUN} words need not share a fingerprint")
     docs = docs.drop(*ADDED)
-    usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("doc_id", F.col("doc_id").cast("long"))
-    runs = written(repeats(usable))
+    usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_t"))
+    prints = written(usable.select("doc_id", "text").mapInPandas(_fingerprint_rows, "fp long, doc_id long, pos int, prev int"))
+    # written, so that the join with it has two plain sides and Spark can split a line that very many texts have
+    firsts = written(first_places(prints))
+    later = written(matches(prints, firsts))
+    chain = ["doc_id", "first_doc", "shift", "run"]
+    runs = written(later.groupBy(*chain).agg(F.min(F.struct("pos", "fp")).alias("_s"), (F.max("pos") + LINE).alias("stop"))
+                   .select(*chain, F.col("_s.pos").alias("start"), "stop", F.col("_s.fp").alias("fp"))
+                   .withColumn("_before", F.col("start") - F.col("shift")).withColumn("_after", F.col("stop") - F.col("shift")))
+    touched = written(runs.select("doc_id").distinct())
 
     # the words around each first occurrence; a place that many runs repeat is asked for once
     ends = runs.select(F.col("first_doc").alias("doc_id"), F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("first_start").alias("pos")),
-        F.struct(F.lit(1).alias("side"), (F.col("first_start") + F.col("stop") - F.col("start")).alias("pos")))).alias("e"))
-    ends = ends.select("doc_id", "e.side", "e.pos").distinct()
-    asked = ends.groupBy("doc_id").agg(F.collect_list(F.struct("side", "pos")).alias("asked"))
+        F.struct(F.lit(0).alias("side"), F.col("_before").alias("pos")),
+        F.struct(F.lit(1).alias("side"), F.col("_after").alias("pos")))).alias("e"))
+    asked = ends.select("doc_id", "e.side", "e.pos").distinct().groupBy("doc_id").agg(
+        F.collect_list(F.col("pos") * 2 + F.col("side")).alias("asked"))
     ids = written(runs.select(F.col("first_doc").alias("doc_id")).distinct())
-    around = written(_of(usable.select("doc_id", "text"), ids, "left_semi").join(asked, "doc_id").mapInPandas(
-        _contexts, "first_doc long, side int, pos int, words array<int>")
+    around = written(_of(usable, ids, "left_semi").join(asked, "doc_id").mapInPandas(
+        _contexts, "first_doc long, side int, pos int, words binary")
         .groupBy("first_doc", "side", "pos").agg(F.min("words").alias("words")))
 
     def side(n: int, name: str) -> DataFrame:
         return around.where(F.col("side") == n).select("first_doc", F.col("pos").alias(f"_{name}"), F.col("words").alias(name))
 
-    found = (runs.withColumn("_before", F.col("first_start"))
-             .withColumn("_after", F.col("first_start") + F.col("stop") - F.col("start"))
-             .join(side(0, "before"), ["first_doc", "_before"], "left").join(side(1, "after"), ["first_doc", "_after"], "left"))
-    found = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "fp", "before", "after")).alias("_runs"))
-
-    touched = written(runs.select("doc_id").distinct())
-    plain = _of(docs, touched, "left_anti").withColumns({
-        "n_words": F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long"),
+    found = (runs.join(side(0, "before"), ["first_doc", "_before"], "left").join(side(1, "after"), ["first_doc", "_after"], "left")
+             .groupBy("doc_id").agg(F.collect_list(F.struct("first_doc", "shift", "run", "start", "stop", "fp", "before", "after")).alias("_runs")))
+    grown = written(_of(usable, touched, "left_semi").join(found, "doc_id").mapInPandas(
+        _extended, "doc_id long, _t long, first_doc long, shift int, run long, a int, b int"))
+    long_enough = F.col("b") - F.col("a") >= min_run
+    spans = grown.where(long_enough).select("doc_id", "_t", "a", "b")
+
+    # a line may repeat another place in more words than the one it was held against: there, whole runs are compared
+    short = later.join(grown.where(~long_enough).select(*chain).distinct(), chain).select("fp").distinct()
+    open_ = written(short.join(firsts.where("n > 2").select("fp"), "fp"))
+    places = written(prints.join(open_, "fp").groupBy("doc_id").agg(F.collect_list(F.struct("pos", "fp")).alias("_lines")))
+    if min_run == MIN_RUN and places.take(1):
+        grams = written(_of(usable, places.select("doc_id"), "left_semi").join(places, "doc_id").mapInPandas(
+            _gram_rows, "gram long, doc_id long, _t long, a int"))
+        place = F.struct("doc_id", "_t", "a")
+        earliest = written(grams.groupBy("gram").agg(F.min(place).alias("_e"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+        again = grams.join(earliest, "gram").where(place != F.col("_e"))
+        # runs that begin at one word after the other are one span
+        island = F.col("a") - F.row_number().over(Window.partitionBy("doc_id", "_t").orderBy("a"))
+        again = again.select("doc_id", "_t", "a").distinct().withColumn("_i", island).groupBy("doc_id", "_t", "_i").agg(
+            F.min("a").alias("a"), (F.max("a") + MIN_RUN).alias("b"))
+        spans = spans.unionByName(again.select("doc_id", "_t", "a", "b"))
+
+    spans = spans.distinct().groupBy("doc_id", "_t").agg(F.collect_list(F.struct("a", "b")).alias("_spans"))
+    gone = written(spans.select("doc_id").distinct())
+    plain = _of(docs, gone, "left_anti").withColumns({
+        "n_words": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
         "removed_words": F.lit(0).cast("long"), "removed_spans": F.lit("")})
     schema = StructType([*docs.schema.fields, StructField("n_words", LongType()), StructField("removed_words", LongType()),
                          StructField("removed_spans", StringType())])
@@ -188,12 +273,13 @@ def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
 
     def clean(batches):
         for batch in batches:
-            got = [remove(t, r, min_run) if t is not None else (None, 0, [])
-                   for t, r in zip(batch.column("text").to_pylist(), batch.column("_runs").to_pylist())]
+            got = [remove(t, r or []) if t is not None else (None, 0, [])
+                   for t, r in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist())]
             columns = [pa.array([g[0] for g in got], batch.column("text").type) if c == "text" else batch.column(c) for c in names]
             columns += [pa.array([g[1] for g in got], pa.int64()), pa.array([sum(b - a for a, b in g[2]) for g in got], pa.int64()),
                         pa.array([",".join(f"{a}:{b}" for a, b in g[2]) for g in got], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *ADDED])
 
-    changed = _of(docs, touched, "left_semi").join(found, "doc_id").select(*names, "_runs").mapInArrow(clean, schema)
+    changed = _of(docs, gone, "left_semi").withColumn("_t", F.xxhash64("text")).join(spans, ["doc_id", "_t"], "left").select(
+        *names, "_spans").mapInArrow(clean, schema)
     return plain.select(*names, *ADDED).unionByName(changed)

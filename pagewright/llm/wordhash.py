@@ -48,7 +48,7 @@ def as_objects(words: list[bytes]) -> np.ndarray:
 
 def hashes(words: list[bytes]) -> np.ndarray:
     """A 64-bit hash of each word, the same in every process."""
-    return pd.util.hash_array(as_objects(words)) if words else np.zeros(0, np.uint64)
+    return pd.util.hash_array(as_objects(words), categorize=False) if words else np.zeros(0, np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
