@@ -36,11 +36,6 @@ SPLITLINES = rf"\r\n|[{LINE_BREAK_SET}]"
 STRIP = rf"\A{WS}+|{WS}+\z"
 
 
-def strip_pattern() -> str:
-    """Pattern that removes leading and trailing Python whitespace."""
-    return STRIP
-
-
 def to_python(pattern: str) -> str:
     """The same pattern for Python's ``regex`` module (``\\x{HHHH}`` -> ``\\uHHHH``)."""
     import re

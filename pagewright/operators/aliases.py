@@ -31,10 +31,6 @@ def extract_aliases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return pairs.groupBy("doc_id", "term").agg(F.max_by("alias", "pos").alias("alias"))
 
 
-def alias_counts(aliases: DataFrame) -> DataFrame:
-    return aliases.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_aliases"))
-
-
 def trim_alias_term(term: Column, alias: Column) -> Column:
     """Corrected E7: the last ``len(alias)`` words of the term when their
     initials spell the alias ("We studied Alzheimer's disease" + AD ->

@@ -145,7 +145,20 @@ from pagewright.operators import relations as _RL  # noqa: E402
 from pagewright.operators import tokens as _TK  # noqa: E402
 from pagewright.sources import vocab as _V  # noqa: E402
 
-ORACLE_MAX_N = 6   # >= the longest phrase; longer n-grams simply never join
+def _longest_phrase() -> int:
+    """Tokens of the longest fixed phrase."""
+    import regex
+
+    from pagewright.functions.regex import to_python
+    token = regex.compile(to_python(_TK.TOKEN_RE))
+    names = [r[1] for r in _V.BUILTIN_PATTERNS + _V.PLURAL_PATTERNS] + [
+        r[0] for rows in (_V.SEED_SYMPTOMS, _V.SEED_PROTEINS, _V.SEED_BRAIN_REGIONS, _V.SEED_ACRONYMS) for r in rows]
+    return max(len(token.findall(n)) for n in names)
+
+
+# n-grams up to the longest fixed phrase and the phrases of the tables, which are shorter;
+# the oracle stops with an error at a longer one, so it is never incomplete unseen
+ORACLE_MAX_N = max(6, _longest_phrase())
 
 
 def acronym_type(x: str) -> str:
@@ -188,7 +201,9 @@ def gazetteer_ctes(extra_sql: str | None = None, entries_sql: str | None = None)
         f"len({toks}) AS n FROM vocab_entries)",
         "gz AS (SELECT key, label, exact, ekey, min(priority) AS priority, arg_min(source, priority) AS source, "
         "arg_min(name, struct_pack(p := priority, s := source, n := name)) AS name, "
-        "string_split(key, ' ')[1] AS first, len(string_split(key, ' ')) AS n_tokens "
+        "string_split(key, ' ')[1] AS first, "
+        f"CASE WHEN len(string_split(key, ' ')) > {ORACLE_MAX_N} THEN error('a phrase is longer than the n-grams') "
+        "ELSE len(string_split(key, ' ')) END AS n_tokens "
         "FROM gz0 WHERE n > 0 GROUP BY key, label, exact, ekey)",
     ]
 
