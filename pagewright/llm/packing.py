@@ -27,8 +27,8 @@ GRAIN = 4
 CUT = 512
 #: Id after each document.
 END_ID = 1
-#: Words whose ids a task remembers.
-REMEMBER = 250_000
+#: Words whose ids a task remembers, and words that it encodes in one call.
+REMEMBER, AT_ONCE = 800_000, 2_000
 
 
 class WordIds:
@@ -44,29 +44,37 @@ class WordIds:
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
 
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > REMEMBER:
-            self.known.clear()
-        # a final stop or comma after a letter is a token of its own
+        # a final stop or comma after a letter is a token of its own, and ASCII capitals are folded
         plain = {w: (w[:-1], w[-1:]) if w[-1:] in (b".", b",") and w[-2:-1].isalpha() else (w,) for w in words}
-        parts = sorted({p.lower() if p.isascii() else p for ps in plain.values() for p in ps} - self.known.keys())
-        found = self.tokenizer.encode_batch([p.decode("utf-8", "replace") for p in parts], add_special_tokens=False)
-        ids = {p: np.asarray(e.ids, dtype="<u4").tobytes() for p, e in zip(parts, found)}
-        of = lambda p: ids[p] if p in ids else self.known[p]
-        new = {w: b"".join([of(p.lower() if p.isascii() else p) for p in ps]) for w, ps in plain.items()}
-        self.known.update(ids)
-        self.known.update(new)
+        low = {p: p.lower() if p.isascii() else p for ps in plain.values() for p in ps}
+        parts = sorted(set(low.values()).difference(self.known))
+        for at in range(0, len(parts), AT_ONCE):
+            self._encode(parts[at:at + AT_ONCE])
+        for w, ps in plain.items():
+            self.known[w] = b"".join([self.known[low[p]] for p in ps])
+
+    def _encode(self, parts: list[bytes]) -> None:
+        """Ids of some words from one call on all of them, told apart by their places."""
+        texts = [p.decode("utf-8", "replace") for p in parts]
+        begin = np.cumsum([0] + [len(t) + 1 for t in texts])
+        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        ids = np.asarray(found.ids, dtype="<u4")
+        word = np.searchsorted(begin, [a for a, _ in found.offsets], side="right") - 1
+        first = np.searchsorted(word, np.arange(len(parts) + 1))
+        raw = ids.tobytes()
+        for p, a, b in zip(parts, (first[:-1] * 4).tolist(), (first[1:] * 4).tolist()):
+            self.known[p] = raw[a:b]
 
     def encode(self, texts) -> list[bytes]:
         split = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
-        missing = {w for ws in split for w in ws} - self.known.keys()
-        if missing:
-            self._learn(missing)
-        return [b"".join(map(self._word, ws)) for ws in split]
-
-    def _word(self, w: bytes) -> bytes:
-        if w not in self.known:
-            self._learn({w})
-        return self.known[w]
+        words = set().union(*split)
+        missing = words.difference(self.known)
+        if len(self.known) + 2 * len(missing) > REMEMBER:
+            self.known.clear()
+            missing = words
+        self._learn(missing)
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, ws)) for ws in split]
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
