@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from pagewright.llm import wordhash as H
-from pagewright.llm.common import written
+from pagewright.llm.common import WORD, written
 from pagewright.llm.components import components, relabel
 from pagewright.operators.partitioning import size_checked_broadcast
 
@@ -32,9 +32,13 @@ BLOCK = 2048
 #: Up to so many ids (8 bytes each) are broadcast to pick their texts; beyond, texts are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
 
+#: Before full sets are compared, pairs between components are compared by a longer signature of
+#: so many 8-bit positions; more different ones are passed over, at 0.75 4 standard deviations off.
+LONG, LONG_DIFFERENT = 768, 240
+
 _DRAW = np.random.default_rng(20240607)
-_MULTIPLY = _DRAW.integers(1, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _DRAW.integers(1, 1 << 63, POSITIONS, dtype=np.uint64)
+_MULTIPLY = _DRAW.integers(1, 1 << 63, LONG, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = _DRAW.integers(1, 1 << 63, LONG, dtype=np.uint64)
 
 
 def shingle_sets(texts) -> list[np.ndarray]:
@@ -52,14 +56,14 @@ def shingle_sets(texts) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """16-bit MinHash signatures of sets that are not empty."""
+def signatures(sets: list[np.ndarray], positions: int = POSITIONS, kind=np.uint16) -> np.ndarray:
+    """MinHash signatures of sets that are not empty, cut to the bits of ``kind``."""
     flat = np.concatenate(sets)
     start = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]]).astype(np.int64)
-    out = np.empty((len(sets), POSITIONS), np.uint16)
-    for k in range(POSITIONS):
+    out = np.empty((len(sets), positions), kind)
+    for k in range(positions):
         low = np.minimum.reduceat(flat * _MULTIPLY[k] + _ADD[k], start)
-        out[:, k] = (H.mix(low) & np.uint64(0xFFFF)).astype(np.uint16)
+        out[:, k] = (H.mix(low) & np.uint64(np.iinfo(kind).max)).astype(kind)
     return out
 
 
@@ -109,17 +113,35 @@ def _set_rows(batches):
             yield pd.DataFrame({"rep": pdf["rep"].iloc[low:high].to_numpy(), "shingles": [s.astype(np.int64) for s in sets]})
 
 
+def _long_rows(batches):
+    for pdf in batches:
+        for low, high in H.chunks(pdf["text"]):
+            sets = shingle_sets(pdf["text"].iloc[low:high])
+            both = zip(signatures(sets), signatures(sets, LONG, np.uint8))
+            yield pd.DataFrame({"rep": pdf["rep"].iloc[low:high].to_numpy(), "sig": [a.tobytes() + b.tobytes() for a, b in both]})
+
+
 def _different(sig: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     out = np.zeros(len(i), np.int64)
-    for low in range(0, len(i), 200_000):
-        s = slice(low, low + 200_000)
+    for low in range(0, len(i), 20_000):
+        s = slice(low, low + 20_000)
         out[s] = (sig[i[s]] != sig[j[s]]).sum(axis=1)
     return out
 
 
+def _first_common(own: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The first key that rows ``i`` and ``j`` share at the same place."""
+    out = np.empty(len(i), own.dtype)
+    for low in range(0, len(i), 20_000):
+        s = slice(low, low + 20_000)
+        out[s] = own[i[s], (own[i[s]] == own[j[s]]).argmax(axis=1)]
+    return out
+
+
 def _cross(batches):
     """Pairs of different labels in each (key, cell) of rows sorted by it; a cell of two
-    blocks gives the pairs across them."""
+    blocks gives the pairs across them.  A pair that shares several keys is compared
+    under the first of them alone."""
     held = None
 
     def pairs(pdf):
@@ -127,7 +149,9 @@ def _cross(batches):
             return
         group = pdf["key"].to_numpy(), pdf["cell"].to_numpy()
         rep, label, side, one = (pdf[c].to_numpy() for c in ("rep", "label", "side", "one"))
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(-1, POSITIONS)
+        raw = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
+        own = keys(np.ascontiguousarray(raw[:, :2 * POSITIONS]).view(np.uint16)).astype(np.int64)
+        sig = raw[:, 2 * POSITIONS:]
         at, d = np.arange(len(pdf) - 1), 1
         while len(at):
             at = at[at + d < len(pdf)]
@@ -135,7 +159,9 @@ def _cross(batches):
             other = at + d
             ok = (label[at] != label[other]) & (one[at] | (side[at] != side[other]))
             i, j = at[ok], other[ok]
-            near = _different(sig, i, j) <= MOST_DIFFERENT
+            first = _first_common(own, i, j) == group[0][i]
+            i, j = i[first], j[first]
+            near = _different(sig, i, j) <= LONG_DIFFERENT
             if near.any():
                 yield pd.DataFrame({"a": np.maximum(rep[i], rep[j])[near], "b": np.minimum(rep[i], rep[j])[near]})
             d += 1
@@ -156,11 +182,16 @@ def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((x != y).sum(axis=1).astype(np.int32))
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rep, text`` of the documents with words whose ids are in column ``rep`` of ``ids``."""
+    wanted = size_checked_broadcast(written(ids.distinct()), BROADCAST_IDS)
+    return docs.select(F.col("doc_id").alias("rep"), "text").where(F.col("text").rlike(WORD)).join(wanted, "rep")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those pairs ``a, b`` whose full shingle sets are similar enough."""
-    ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(size_checked_broadcast(written(ids), BROADCAST_IDS), "rep")
-    sets = texts.mapInPandas(_set_rows, "rep long, shingles array<long>")
+    ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
+    sets = _texts(docs, ids).mapInPandas(_set_rows, "rep long, shingles array<long>")
     left, right = (sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("_a", "_b"))
@@ -182,7 +213,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     key's group every member is first compared with one member, the one of lowest id
     over its keys that is nearest to it, which joins groups of copies of any size with
     one link each.  Only pairs that still lie in different components are compared after
-    that, all of them, in blocks of bounded size.
+    that, all of them, in blocks of bounded size, by a longer signature of the members.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     sketch = written(docs.mapInPandas(_sketch, "doc_id long, n_shingles long, d1 long, d2 long, sig binary"))
@@ -192,7 +223,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         *same, F.col("m.doc_id").alias("rep"), F.col("m.sig").alias("sig")))
     keyed = written(reps.select("rep", "sig").mapInPandas(_keyed, "key long, rep long"))
     groups = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("_top")).where("hub <> _top").drop("_top")
-    members = written(keyed.join(groups, "key"))
+    # written, so that the join has two plain sides and Spark can split a key that very many members have
+    members = written(keyed.join(written(groups), "key"))
 
     # one link for each member: to the nearest of its groups' lowest members
     sig = reps.groupBy("rep").agg(F.min("sig").alias("sig"))
@@ -206,7 +238,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     # all pairs that are left between components
     rows = relabel(members.select("key", "rep", F.col("rep").alias("label")), "label", labels)
     mixed = rows.groupBy("key").agg(F.min("label").alias("_l"), F.max("label").alias("_h"), F.count(F.lit(1)).alias("_n")).where("_l <> _h")
-    rows = rows.join(mixed.select("key", "_n"), "key").join(sig, "rep")
+    rows = written(rows.join(written(mixed.select("key", "_n")), "key"))
+    long = _texts(docs, rows.select("rep")).mapInPandas(_long_rows, "rep long, sig binary")
+    rows = rows.join(long.groupBy("rep").agg(F.min("sig").alias("sig")), "rep")
     blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
     rows = rows.withColumn("_b", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     rows = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), blocks - 1)))
