@@ -6,7 +6,8 @@ passages that begin within one.  The smallest line hash of every window of lines
 fingerprint: two texts that share ``LINE + WINDOW - 1`` words share one, without fail.
 Each fingerprint's first occurrence, by doc_id and position, is joined to all others;
 chained matches are extended both ways word by word, and of every run that is long
-enough the later occurrence is deleted.
+enough the later occurrence is deleted.  Where a line has further places and its run does
+not hold all runs of ``MIN_RUN`` words around it, those are compared as wholes.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pagewright.operators.partitioning import size_checked_broadcast
 
 #: Words of a line, and lines of a window: runs of 50 words always share a fingerprint.
 LINE, WINDOW = 25, 26
-#: Runs of so many words on are deleted.
+#: Runs of so many words on are deleted; two lines' words.
 MIN_RUN = LINE + WINDOW - 1
 #: Words to which a chain of matches can extend beyond its last fingerprint before there must be another.
 REACH = WINDOW
@@ -122,7 +123,8 @@ def extend(words: np.ndarray, start: int, stop: int, before: np.ndarray, after:
 
 
 def _extended(batches):
-    """Each run of a text, grown to both sides."""
+    """Each run of a text, grown to both sides, and its lines of which not all runs of
+    ``MIN_RUN`` words lie within it (``open``)."""
     for pdf in batches:
         for low, high in H.chunks(pdf["text"]):
             hashes, at = _word_hashes(pdf["text"].iloc[low:high])
@@ -130,24 +132,45 @@ def _extended(batches):
             for k, a, b in zip(range(low, high), at[:-1], at[1:]):
                 doc, key, words = pdf["doc_id"].iat[k], pdf["_t"].iat[k], short[a:b]
                 for r in pdf["_runs"].iat[k]:
+                    low_, high_ = 0, 0
                     # rows that share a doc_id may not have the text that the run was found in
                     if r["start"] <= b - a - LINE and line[a + r["start"]] == r["fp"]:
                         before, after = (np.frombuffer(r[c] or b"", np.int32) for c in ("before", "after"))
-                        rows.append((doc, key, r["first_doc"], r["shift"], r["run"],
-                                     *extend(words, r["start"], min(r["stop"], b - a), before, after)))
-            yield pd.DataFrame(rows, columns=["doc_id", "_t", "first_doc", "shift", "run", "a", "b"])
+                        low_, high_ = extend(words, r["start"], min(r["stop"], b - a), before, after)
+                    edge = np.array([p for p in r["edge"] if p <= b - a - LINE], dtype=np.int64)
+                    closed = (low_ <= np.maximum(0, edge + LINE - MIN_RUN)) & (high_ >= np.minimum(b - a, edge + MIN_RUN))
+                    rows.append((doc, key, low_, high_, line[a + edge[~closed]]))
+            yield pd.DataFrame(rows, columns=["doc_id", "_t", "a", "b", "open"])
 
 
 def _gram_rows(batches):
-    """Hashes of all runs of ``MIN_RUN`` words that hold one of a text's given lines."""
+    """Hashes of the runs of ``MIN_RUN`` words that hold one of a text's given lines and
+    are not within a span that goes: such a run has an earlier place, which gives it."""
     for pdf in batches:
-        for doc, key, text, lines in zip(pdf["doc_id"], pdf["_t"], pdf["text"], pdf["_lines"]):
-            hashes, _ = _word_hashes([text])
-            line, gram = H.windows(hashes, LINE).astype(np.int64), H.windows(hashes, MIN_RUN)
-            at = np.array([x["pos"] for x in lines if x["pos"] < len(line) and line[x["pos"]] == x["fp"]], dtype=np.int64)
-            start = np.unique((at[:, None] - np.arange(WINDOW)).ravel())
-            start = start[(start >= 0) & (start < len(gram))]
-            yield pd.DataFrame({"gram": gram[start].astype(np.int64), "doc_id": doc, "_t": key, "a": start})
+        for low, high in H.chunks(pdf["text"]):
+            hashes, at = _word_hashes(pdf["text"].iloc[low:high])
+            line, docs, texts, starts, grams = H.windows(hashes, LINE), [], [], [], []
+            for k, a, b in zip(range(low, high), at[:-1], at[1:]):
+                own, key = line[a:max(a, b - LINE + 1)], pdf["_t"].iat[k]
+                n = max(0, b - a - MIN_RUN + 1)
+                pos, fp = (np.array([x[c] for x in pdf["_lines"].iat[k]], dtype=np.int64) for c in ("pos", "fp"))
+                fp, pos = fp[pos < len(own)], pos[pos < len(own)]
+                pos = pos[own[pos].view(np.int64) == fp]
+                want, gone = np.zeros(n, bool), np.zeros(n + 1, np.int64)
+                for x in pos:
+                    want[max(0, x - WINDOW + 1):x + 1] = True
+                for r in pdf["_held"].iat[k] if pdf["_held"].iat[k] is not None else []:
+                    if r["_t"] == key:
+                        gone[r["a"]] += 1
+                        gone[r["b"] - MIN_RUN + 1] -= 1
+                start = np.flatnonzero(want & (np.cumsum(gone)[:n] == 0))
+                # a run is two lines, one after the other
+                grams.append(H.mix(H.mix(own[start]) + own[start + LINE]))
+                starts.append(start)
+                docs.append(np.full(len(start), pdf["doc_id"].iat[k]))
+                texts.append(np.full(len(start), key))
+            yield pd.DataFrame({"gram": np.concatenate(grams).astype(np.int64), "doc_id": np.concatenate(docs),
+                                "_t": np.concatenate(texts), "a": np.concatenate(starts)})
 
 
 def remove(text: str, spans) -> tuple[str, int, list[tuple[int, int]]]:
@@ -177,16 +200,17 @@ def first_places(prints: DataFrame) -> DataFrame:
 def matches(prints: DataFrame, firsts: DataFrame) -> DataFrame:
     """Fingerprints (``fp, doc_id, pos``) that have an earlier place, with its document
     ``first_doc`` and the ``shift`` to it, and the ``run`` of their chain: fingerprints at
-    one shift from the same document, a window or less apart.
+    one shift from the same document, a window or less apart.  ``many`` is false where
+    the line is known to have no third place.
 
     The earlier place is the line's last place before in the same text, so that a text
     that repeats itself gives one chain; else it is the line's first place of all.
     """
-    columns = ["fp", "doc_id", "pos", "first_doc", "shift"]
+    columns = ["fp", "doc_id", "pos", "first_doc", "shift", "many"]
     own = prints.where("prev >= 0").select("fp", "doc_id", "pos", F.col("doc_id").alias("first_doc"),
-                                           (F.col("pos") - F.col("prev")).alias("shift"))
+                                           (F.col("pos") - F.col("prev")).alias("shift"), F.lit(True).alias("many"))
     far = prints.where("prev < 0").join(firsts, "fp").where(F.col("doc_id") != F.col("first_doc")).select(
-        "fp", "doc_id", "pos", "first_doc", (F.col("pos") - F.col("first_pos")).alias("shift"))
+        "fp", "doc_id", "pos", "first_doc", (F.col("pos") - F.col("first_pos")).alias("shift"), (F.col("n") > 2).alias("many"))
     chain = Window.partitionBy("doc_id", "first_doc", "shift").orderBy("pos")
     new = F.coalesce((F.col("pos") - F.lag("pos").over(chain) > WINDOW).cast("int"), F.lit(1))
     later = own.select(*columns).unionByName(far.select(*columns)).withColumn("_new", new)
@@ -218,10 +242,13 @@ def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     prints = written(usable.select("doc_id", "text").mapInPandas(_fingerprint_rows, "fp long, doc_id long, pos int, prev int"))
     # written, so that the join with it has two plain sides and Spark can split a line that very many texts have
     firsts = written(first_places(prints))
-    later = written(matches(prints, firsts))
     chain = ["doc_id", "first_doc", "shift", "run"]
-    runs = written(later.groupBy(*chain).agg(F.min(F.struct("pos", "fp")).alias("_s"), (F.max("pos") + LINE).alias("stop"))
-                   .select(*chain, F.col("_s.pos").alias("start"), "stop", F.col("_s.fp").alias("fp"))
+    # edge: the lines so near a run's ends that the runs of MIN_RUN words around them may reach beyond it
+    near = lambda p: (p < F.col("_s.pos") + (MIN_RUN - LINE)) | (p > F.col("stop") - MIN_RUN)
+    runs = written(matches(prints, firsts).groupBy(*chain).agg(
+        F.min(F.struct("pos", "fp")).alias("_s"), (F.max("pos") + LINE).alias("stop"),
+        F.collect_list(F.when(F.col("many"), F.col("pos"))).alias("_p"))
+                   .select(*chain, F.col("_s.pos").alias("start"), "stop", F.col("_s.fp").alias("fp"), F.filter("_p", near).alias("edge"))
                    .withColumn("_before", F.col("start") - F.col("shift")).withColumn("_after", F.col("stop") - F.col("shift")))
     touched = written(runs.select("doc_id").distinct())
 
@@ -240,16 +267,16 @@ def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
         return around.where(F.col("side") == n).select("first_doc", F.col("pos").alias(f"_{name}"), F.col("words").alias(name))
 
     found = (runs.join(side(0, "before"), ["first_doc", "_before"], "left").join(side(1, "after"), ["first_doc", "_after"], "left")
-             .groupBy("doc_id").agg(F.collect_list(F.struct("first_doc", "shift", "run", "start", "stop", "fp", "before", "after")).alias("_runs")))
+             .groupBy("doc_id").agg(F.collect_list(F.struct("first_doc", "shift", "run", "start", "stop", "fp", "edge", "before", "after")).alias("_runs")))
     grown = written(_of(usable, touched, "left_semi").join(found, "doc_id").mapInPandas(
-        _extended, "doc_id long, _t long, first_doc long, shift int, run long, a int, b int"))
-    long_enough = F.col("b") - F.col("a") >= min_run
-    spans = grown.where(long_enough).select("doc_id", "_t", "a", "b")
+        _extended, "doc_id long, _t long, a int, b int, open array<long>"))
+    spans = grown.where(F.col("b") - F.col("a") >= min_run).select("doc_id", "_t", "a", "b")
 
     # a line may repeat another place in more words than the one it was held against: there, whole runs are compared
-    short = later.join(grown.where(~long_enough).select(*chain).distinct(), chain).select("fp").distinct()
-    open_ = written(short.join(firsts.where("n > 2").select("fp"), "fp"))
-    places = written(prints.join(open_, "fp").groupBy("doc_id").agg(F.collect_list(F.struct("pos", "fp")).alias("_lines")))
+    open_ = written(grown.select(F.explode("open").alias("fp")).distinct().join(firsts.where("n > 2").select("fp"), "fp"))
+    held = spans.groupBy("doc_id").agg(F.collect_list(F.struct("_t", "a", "b")).alias("_held"))
+    places = written(prints.join(size_checked_broadcast(open_, BROADCAST_IDS), "fp").groupBy("doc_id").agg(
+        F.collect_list(F.struct("pos", "fp")).alias("_lines")).join(held, "doc_id", "left"))
     if min_run == MIN_RUN and places.take(1):
         grams = written(_of(usable, places.select("doc_id"), "left_semi").join(places, "doc_id").mapInPandas(
             _gram_rows, "gram long, doc_id long, _t long, a int"))

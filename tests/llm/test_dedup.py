@@ -99,6 +99,33 @@ def test_line_dedup_equals_brute_force(spark):
         assert words(r.text) == kept and r.removed_words == sum(gone)
 
 
+def _gone(row):
+    gone = [False] * row.n_words
+    for a, b in _spans(row):
+        gone[a:b] = [True] * (b - a)
+    return gone
+
+
+def test_line_dedup_of_variants_of_a_passage_equals_brute_force(spark):
+    rng = random.Random(23)
+    fresh = iter(range(10 ** 6))
+    text = lambda n: [f"u{next(fresh)}" for _ in range(n)]
+    docs = []
+    for _ in range(25):
+        long = text(rng.choice([75, 110, 160]))
+        for k in range(6):
+            kind, a, b = rng.choice("psm"), rng.randint(1, 30), rng.randint(1, 30)
+            part = long[:-b] if kind == "p" else long[a:] if kind == "s" else long[a:-b]
+            docs.append(text(rng.randint(0, 30)) + (long if k == 4 else part) + text(rng.randint(0, 30)))
+    for n in range(1, 25):
+        p, tail = text(60), text(n)
+        docs += [text(9) + p + text(9), p + tail + text(9), text(9) + p + tail + text(3)]
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    want = brute_repeats(docs)
+    got = {r.doc_id: _gone(r) for r in L.remove_repeats(documents(spark, [(i, t, None, None, 0) for i, t in docs])).collect()}
+    assert [i for i in want if got[i] != want[i]] == []
+
+
 def test_line_dedup_on_awkward_rows(spark):
     rows = awkward_rows()
     docs = documents(spark, rows)
