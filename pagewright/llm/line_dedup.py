@@ -130,14 +130,22 @@ def _extended(batches):
             hashes, at = _word_hashes(pdf["text"].iloc[low:high])
             short, line, rows = _short(hashes), H.windows(hashes, LINE).astype(np.int64), []
             for k, a, b in zip(range(low, high), at[:-1], at[1:]):
-                doc, key, words = pdf["doc_id"].iat[k], pdf["_t"].iat[k], short[a:b]
-                for r in pdf["_runs"].iat[k]:
+                doc, key, words, spans, last = pdf["doc_id"].iat[k], pdf["_t"].iat[k], short[a:b], [], None
+                for r in sorted(pdf["_runs"].iat[k], key=lambda r: (r["first_doc"], r["shift"], r["start"])):
                     low_, high_ = 0, 0
                     # rows that share a doc_id may not have the text that the run was found in
                     if r["start"] <= b - a - LINE and line[a + r["start"]] == r["fp"]:
                         before, after = (np.frombuffer(r[c] or b"", np.int32) for c in ("before", "after"))
                         low_, high_ = extend(words, r["start"], min(r["stop"], b - a), before, after)
-                    edge = np.array([p for p in r["edge"] if p <= b - a - LINE], dtype=np.int64)
+                    edge = [p for p in r["edge"] if p <= b - a - LINE]
+                    # runs at one shift that meet are one
+                    if high_ and last == (r["first_doc"], r["shift"]) and low_ <= spans[-1][1]:
+                        spans[-1] = (spans[-1][0], max(spans[-1][1], high_), spans[-1][2] + edge)
+                    else:
+                        spans.append((low_, high_, edge))
+                        last = (r["first_doc"], r["shift"]) if high_ else None
+                for low_, high_, edge in spans:
+                    edge = np.array(edge, dtype=np.int64)
                     closed = (low_ <= np.maximum(0, edge + LINE - MIN_RUN)) & (high_ >= np.minimum(b - a, edge + MIN_RUN))
                     rows.append((doc, key, low_, high_, line[a + edge[~closed]]))
             yield pd.DataFrame(rows, columns=["doc_id", "_t", "a", "b", "open"])
@@ -200,7 +208,8 @@ def first_places(prints: DataFrame) -> DataFrame:
 def matches(prints: DataFrame, firsts: DataFrame) -> DataFrame:
     """Fingerprints (``fp, doc_id, pos``) that have an earlier place, with its document
     ``first_doc`` and the ``shift`` to it, and the ``run`` of their chain: fingerprints at
-    one shift from the same document, a window or less apart.  ``many`` is false where
+    one shift from the same document, a line or less apart, so that no word between them
+    is left out.  ``many`` is false where
     the line is known to have no third place.
 
     The earlier place is the line's last place before in the same text, so that a text
@@ -212,7 +221,7 @@ def matches(prints: DataFrame, firsts: DataFrame) -> DataFrame:
     far = prints.where("prev < 0").join(firsts, "fp").where(F.col("doc_id") != F.col("first_doc")).select(
         "fp", "doc_id", "pos", "first_doc", (F.col("pos") - F.col("first_pos")).alias("shift"), (F.col("n") > 2).alias("many"))
     chain = Window.partitionBy("doc_id", "first_doc", "shift").orderBy("pos")
-    new = F.coalesce((F.col("pos") - F.lag("pos").over(chain) > WINDOW).cast("int"), F.lit(1))
+    new = F.coalesce((F.col("pos") - F.lag("pos").over(chain) > LINE).cast("int"), F.lit(1))
     later = own.select(*columns).unionByName(far.select(*columns)).withColumn("_new", new)
     return later.withColumn("run", F.sum("_new").over(chain.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_new")
 

@@ -126,6 +126,30 @@ def test_line_dedup_of_variants_of_a_passage_equals_brute_force(spark):
     assert [i for i in want if got[i] != want[i]] == []
 
 
+def _gaps(w):
+    return np.diff(L.fingerprints([" ".join(w)])[1])
+
+
+def test_line_dedup_of_edited_words_and_of_lines_far_apart(spark):
+    rng = random.Random(5)
+    text = lambda n: [f"r{rng.randrange(10 ** 9)}" for _ in range(n)]
+    edited, docs = 0, []
+    while edited < 4:
+        one, two, around = text(25), text(25), [text(40) for _ in range(4)]
+        a, b = ([*around[k], *one, *text(1), *two, *around[k + 1]] for k in (0, 2))
+        at = [set(L.fingerprints([" ".join(w)])[1]) for w in (a, b)]
+        if all({40, 66} <= s for s in at):
+            edited += 1
+            docs += [a, b]
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    rows = lambda d: documents(spark, [(i, t, None, None, 0) for i, t in d])
+    assert [r.doc_id for r in L.remove_repeats(rows(docs)).collect() if r.removed_words] == []
+    far = next(w for w in iter(lambda: text(130), None) if (_gaps(w) == 26).any())
+    pair = [(1, " ".join(far)), (2, " ".join(text(9) + far + text(9)))]
+    got = {r.doc_id: r.removed_spans for r in L.remove_repeats(rows(pair), min_run=100).collect()}
+    assert got == {1: "", 2: "9:139"}
+
+
 def test_line_dedup_on_awkward_rows(spark):
     rows = awkward_rows()
     docs = documents(spark, rows)
