@@ -1,10 +1,11 @@
-"""Query of the exact top-k search."""
+"""Queries over embeddings."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from pagewright.llm import topk as K
+from pagewright.llm import whitening as W
 from pagewright.llm.common import read
 
 EVERY = 20
@@ -16,7 +17,12 @@ def op3_exact_topk(spark, sf_dir):
     return K.search(rows, rows.where(F.col("vec_id") % EVERY == 0), k=20)
 
 
-QUERIES = {"op3_exact_topk": op3_exact_topk}
+def op12_embedding_whitening(spark, sf_dir):
+    """All embeddings on the first components of their covariance, whitened."""
+    return W.whiten(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {"op3_exact_topk": op3_exact_topk, "op12_embedding_whitening": op12_embedding_whitening}
 ORACLE = {"op3_exact_topk": f"""
 WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS vec FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
