@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from pagewright.llm import wordhash as H
-from pagewright.llm.common import WORD, written
+from pagewright.llm.common import written
 from pagewright.operators.partitioning import size_checked_broadcast
 
 #: Words of a line, and lines of a window: runs of 50 words always share a fingerprint.
@@ -71,18 +71,15 @@ def fingerprints(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owner, pick - at[owner], line[pick]
 
 
-def _fingerprint_rows(batches):
+def _fingerprint_rows(part, texts):
     """Fingerprints, each with its last place before in the same text, or -1."""
-    for pdf in batches:
-        ids = pdf["doc_id"].to_numpy()
-        for low, high in H.chunks(pdf["text"]):
-            text, at, h = fingerprints(pdf["text"].iloc[low:high])
-            order = np.lexsort((at, h, text))
-            again = np.append(False, (text[order][1:] == text[order][:-1]) & (h[order][1:] == h[order][:-1]))[:len(order)]
-            prev = np.full(len(at), -1, np.int64)
-            prev[order[again]] = at[order[np.flatnonzero(again) - 1]]
-            yield pd.DataFrame({"fp": h.astype(np.int64), "doc_id": ids[low:high][text], "pos": at.astype(np.int32),
-                                "prev": prev.astype(np.int32)})
+    text, at, h = fingerprints(texts)
+    order = np.lexsort((at, h, text))
+    again = np.append(False, (text[order][1:] == text[order][:-1]) & (h[order][1:] == h[order][:-1]))[:len(order)]
+    prev = np.full(len(at), -1, np.int64)
+    prev[order[again]] = at[order[np.flatnonzero(again) - 1]]
+    return pd.DataFrame({"fp": h.astype(np.int64), "doc_id": part.column("doc_id").to_numpy()[text], "pos": at.astype(np.int32),
+                         "prev": prev.astype(np.int32)})
 
 
 def _short(hashes: np.ndarray) -> np.ndarray:
@@ -95,18 +92,16 @@ def _word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
     return H.hashes(words), at
 
 
-def _contexts(batches):
+def _contexts(part, texts):
     """Words before (side 0) or after (side 1) each asked position of a text, as bytes."""
-    for pdf in batches:
-        for low, high in H.chunks(pdf["text"]):
-            hashes, at = _word_hashes(pdf["text"].iloc[low:high])
-            short, rows = _short(hashes), []
-            for doc, asked, a, b in zip(pdf["doc_id"].iloc[low:high], pdf["asked"].iloc[low:high], at[:-1], at[1:]):
-                for code in asked:
-                    side, pos = code & 1, code >> 1
-                    span = (a + pos, min(b, a + pos + REACH)) if side else (max(a, a + pos - REACH), a + pos)
-                    rows.append((doc, side, pos, short[span[0]:span[1]].tobytes()))
-            yield pd.DataFrame(rows, columns=["first_doc", "side", "pos", "words"])
+    hashes, at = _word_hashes(texts)
+    short, rows = _short(hashes), []
+    for doc, asked, a, b in zip(part.column("doc_id").to_pylist(), part.column("asked").to_pylist(), at[:-1], at[1:]):
+        for code in asked:
+            side, pos = code & 1, code >> 1
+            span = (a + pos, min(b, a + pos + REACH)) if side else (max(a, a + pos - REACH), a + pos)
+            rows.append((doc, side, pos, short[span[0]:span[1]].tobytes()))
+    return pd.DataFrame(rows, columns=["first_doc", "side", "pos", "words"])
 
 
 def _equal(x: np.ndarray, y: np.ndarray) -> int:
@@ -122,63 +117,60 @@ def extend(words: np.ndarray, start: int, stop: int, before: np.ndarray, after:
     return start - left, stop + _equal(words[stop:stop + REACH], after)
 
 
-def _extended(batches):
+def _extended(part, texts):
     """Each run of a text, grown to both sides, and its lines of which not all runs of
     ``MIN_RUN`` words lie within it (``open``)."""
-    for pdf in batches:
-        for low, high in H.chunks(pdf["text"]):
-            hashes, at = _word_hashes(pdf["text"].iloc[low:high])
-            short, line, rows = _short(hashes), H.windows(hashes, LINE).astype(np.int64), []
-            for k, a, b in zip(range(low, high), at[:-1], at[1:]):
-                doc, key, words, spans, last = pdf["doc_id"].iat[k], pdf["_t"].iat[k], short[a:b], [], None
-                for r in sorted(pdf["_runs"].iat[k], key=lambda r: (r["first_doc"], r["shift"], r["start"])):
-                    low_, high_ = 0, 0
-                    # rows that share a doc_id may not have the text that the run was found in
-                    if r["start"] <= b - a - LINE and line[a + r["start"]] == r["fp"]:
-                        before, after = (np.frombuffer(r[c] or b"", np.int32) for c in ("before", "after"))
-                        low_, high_ = extend(words, r["start"], min(r["stop"], b - a), before, after)
-                    edge = [p for p in r["edge"] if p <= b - a - LINE]
-                    # runs at one shift that meet are one
-                    if high_ and last == (r["first_doc"], r["shift"]) and low_ <= spans[-1][1]:
-                        spans[-1] = (spans[-1][0], max(spans[-1][1], high_), spans[-1][2] + edge)
-                    else:
-                        spans.append((low_, high_, edge))
-                        last = (r["first_doc"], r["shift"]) if high_ else None
-                for low_, high_, edge in spans:
-                    edge = np.array(edge, dtype=np.int64)
-                    closed = (low_ <= np.maximum(0, edge + LINE - MIN_RUN)) & (high_ >= np.minimum(b - a, edge + MIN_RUN))
-                    rows.append((doc, key, low_, high_, line[a + edge[~closed]]))
-            yield pd.DataFrame(rows, columns=["doc_id", "_t", "a", "b", "open"])
-
-
-def _gram_rows(batches):
+    hashes, at = _word_hashes(texts)
+    short, line, rows = _short(hashes), H.windows(hashes, LINE).astype(np.int64), []
+    for doc, key, runs, a, b in zip(*(part.column(c).to_pylist() for c in ("doc_id", "_t", "_runs")), at[:-1], at[1:]):
+        words, spans, last = short[a:b], [], None
+        for r in sorted(runs, key=lambda r: (r["first_doc"], r["shift"], r["start"])):
+            low, high = 0, 0
+            # rows that share a doc_id may not have the text that the run was found in
+            if r["start"] <= b - a - LINE and line[a + r["start"]] == r["fp"]:
+                before, after = (np.frombuffer(r[c] or b"", np.int32) for c in ("before", "after"))
+                low, high = extend(words, r["start"], min(r["stop"], b - a), before, after)
+            edge = [p for p in r["edge"] if p <= b - a - LINE]
+            # runs at one shift that meet are one
+            if high and last == (r["first_doc"], r["shift"]) and low <= spans[-1][1]:
+                spans[-1] = (spans[-1][0], max(spans[-1][1], high), spans[-1][2] + edge)
+            else:
+                spans.append((low, high, edge))
+                last = (r["first_doc"], r["shift"]) if high else None
+        for low, high, edge in spans:
+            edge = np.array(edge, dtype=np.int64)
+            closed = (low <= np.maximum(0, edge + LINE - MIN_RUN)) & (high >= np.minimum(b - a, edge + MIN_RUN))
+            rows.append((doc, key, low, high, line[a + edge[~closed]]))
+    return pd.DataFrame(rows, columns=["doc_id", "_t", "a", "b", "open"])
+
+
+def _gram_rows(part, texts):
     """Hashes of the runs of ``MIN_RUN`` words that hold one of a text's given lines and
     are not within a span that goes: such a run has an earlier place, which gives it."""
-    for pdf in batches:
-        for low, high in H.chunks(pdf["text"]):
-            hashes, at = _word_hashes(pdf["text"].iloc[low:high])
-            line, docs, texts, starts, grams = H.windows(hashes, LINE), [], [], [], []
-            for k, a, b in zip(range(low, high), at[:-1], at[1:]):
-                own, key = line[a:max(a, b - LINE + 1)], pdf["_t"].iat[k]
-                n = max(0, b - a - MIN_RUN + 1)
-                pos, fp = (np.array([x[c] for x in pdf["_lines"].iat[k]], dtype=np.int64) for c in ("pos", "fp"))
-                fp, pos = fp[pos < len(own)], pos[pos < len(own)]
-                pos = pos[own[pos].view(np.int64) == fp]
-                want, gone = np.zeros(n, bool), np.zeros(n + 1, np.int64)
-                for x in pos:
-                    want[max(0, x - WINDOW + 1):x + 1] = True
-                for r in pdf["_held"].iat[k] if pdf["_held"].iat[k] is not None else []:
-                    if r["_t"] == key:
-                        gone[r["a"]] += 1
-                        gone[r["b"] - MIN_RUN + 1] -= 1
-                start = np.flatnonzero(want & (np.cumsum(gone)[:n] == 0))
-                # a run is two lines, one after the other
-                grams.append(H.mix(H.mix(own[start]) + own[start + LINE]))
-                starts.append(start)
-                docs.append(np.full(len(start), pdf["doc_id"].iat[k]))
-                texts.append(np.full(len(start), key))
-            yield pd.DataFrame({"gram": np.concatenate(grams).astype(np.int64), "doc_id": np.concatenate(docs),
-                                "_t": np.concatenate(texts), "a": np.concatenate(starts)})
+    hashes, at = _word_hashes(texts)
+    line, docs, keys, starts, grams = H.windows(hashes, LINE), [], [], [], []
+    columns = (part.column(c).to_pylist() for c in ("doc_id", "_t", "_lines", "_held"))
+    for doc, key, lines, held, a, b in zip(*columns, at[:-1], at[1:]):
+        own = line[a:max(a, b - LINE + 1)]
+        n = max(0, b - a - MIN_RUN + 1)
+        pos, fp = (np.array([x[c] for x in lines], dtype=np.int64) for c in ("pos", "fp"))
+        fp, pos = fp[pos < len(own)], pos[pos < len(own)]
+        pos = pos[own[pos].view(np.int64) == fp]
+        want, gone = np.zeros(n, bool), np.zeros(n + 1, np.int64)
+        for x in pos:
+            want[max(0, x - WINDOW + 1):x + 1] = True
+        for r in held or []:
+            if r["_t"] == key:
+                gone[r["a"]] += 1
+                gone[r["b"] - MIN_RUN + 1] -= 1
+        start = np.flatnonzero(want & (np.cumsum(gone)[:n] == 0))
+        # a run is two lines, one after the other
+        grams.append(H.mix(H.mix(own[start]) + own[start + LINE]))
+        starts.append(start)
+        docs.append(np.full(len(start), doc))
+        keys.append(np.full(len(start), key))
+    return pd.DataFrame({"gram": np.concatenate(grams).astype(np.int64), "doc_id": np.concatenate(docs),
+                         "_t": np.concatenate(keys), "a": np.concatenate(starts)})
 
 
 def remove(text: str, spans) -> tuple[str, int, list[tuple[int, int]]]:
@@ -248,7 +240,7 @@ def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     docs = docs.drop(*ADDED)
     usable = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_t"))
-    prints = written(usable.select("doc_id", "text").mapInPandas(_fingerprint_rows, "fp long, doc_id long, pos int, prev int"))
+    prints = written(H.map_texts(usable.select("doc_id", "text"), _fingerprint_rows, "fp long, doc_id long, pos int, prev int"))
     # written, so that the join with it has two plain sides and Spark can split a line that very many texts have
     firsts = written(first_places(prints))
     chain = ["doc_id", "first_doc", "shift", "run"]
@@ -268,17 +260,16 @@ def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     asked = ends.select("doc_id", "e.side", "e.pos").distinct().groupBy("doc_id").agg(
         F.collect_list(F.col("pos") * 2 + F.col("side")).alias("asked"))
     ids = written(runs.select(F.col("first_doc").alias("doc_id")).distinct())
-    around = written(_of(usable, ids, "left_semi").join(asked, "doc_id").mapInPandas(
-        _contexts, "first_doc long, side int, pos int, words binary")
-        .groupBy("first_doc", "side", "pos").agg(F.min("words").alias("words")))
+    around = written(H.map_texts(_of(usable, ids, "left_semi").join(asked, "doc_id"), _contexts, "first_doc long, side int, pos int, words binary")
+                     .groupBy("first_doc", "side", "pos").agg(F.min("words").alias("words")))
 
     def side(n: int, name: str) -> DataFrame:
         return around.where(F.col("side") == n).select("first_doc", F.col("pos").alias(f"_{name}"), F.col("words").alias(name))
 
     found = (runs.join(side(0, "before"), ["first_doc", "_before"], "left").join(side(1, "after"), ["first_doc", "_after"], "left")
              .groupBy("doc_id").agg(F.collect_list(F.struct("first_doc", "shift", "run", "start", "stop", "fp", "edge", "before", "after")).alias("_runs")))
-    grown = written(_of(usable, touched, "left_semi").join(found, "doc_id").mapInPandas(
-        _extended, "doc_id long, _t long, a int, b int, open array<long>"))
+    grown = written(H.map_texts(_of(usable, touched, "left_semi").join(found, "doc_id"), _extended,
+                                "doc_id long, _t long, a int, b int, open array<long>"))
     spans = grown.where(F.col("b") - F.col("a") >= min_run).select("doc_id", "_t", "a", "b")
 
     # a line may repeat another place in more words than the one it was held against: there, whole runs are compared
@@ -287,8 +278,8 @@ def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     places = written(prints.join(size_checked_broadcast(open_, BROADCAST_IDS), "fp").groupBy("doc_id").agg(
         F.collect_list(F.struct("pos", "fp")).alias("_lines")).join(held, "doc_id", "left"))
     if min_run == MIN_RUN and places.take(1):
-        grams = written(_of(usable, places.select("doc_id"), "left_semi").join(places, "doc_id").mapInPandas(
-            _gram_rows, "gram long, doc_id long, _t long, a int"))
+        grams = written(H.map_texts(_of(usable, places.select("doc_id"), "left_semi").join(places, "doc_id"), _gram_rows,
+                                    "gram long, doc_id long, _t long, a int"))
         place = F.struct("doc_id", "_t", "a")
         earliest = written(grams.groupBy("gram").agg(F.min(place).alias("_e"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
         again = grams.join(earliest, "gram").where(place != F.col("_e"))
@@ -301,7 +292,7 @@ def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     spans = spans.distinct().groupBy("doc_id", "_t").agg(F.collect_list(F.struct("a", "b")).alias("_spans"))
     gone = written(spans.select("doc_id").distinct())
     plain = _of(docs, gone, "left_anti").withColumns({
-        "n_words": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
+        "n_words": F.arrow_udf(H.word_counts, LongType())(F.col("text")),
         "removed_words": F.lit(0).cast("long"), "removed_spans": F.lit("")})
     schema = StructType([*docs.schema.fields, StructField("n_words", LongType()), StructField("removed_words", LongType()),
                          StructField("removed_spans", StringType())])

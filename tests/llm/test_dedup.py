@@ -43,6 +43,35 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
 
 
+def test_ids_with_several_texts_keep_every_link(spark):
+    rows = [(i // 3, t, None, None, 0) for i, t in _corpus()]
+    random.Random(4).shuffle(rows)
+    want = brute_components([(r[0], r[1]) for r in rows])
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in M.near_duplicates(documents(spark, rows)).collect())
+    assert got == Counter((i, len(shingles(t)), want[i, t]) for i, t, *_ in rows)
+
+
+def test_few_pairs_at_the_threshold_share_no_key():
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 1 << 63, (4000, 800), dtype=np.uint64)
+    a, b = (M.keys(M.signatures([np.sort(np.append(r[:600], r[s])) for r in x])) for s in (slice(600, 700), slice(700, 800)))
+    assert (a == b).any(axis=1).sum() >= 3998
+
+
+def test_bitmaps_pass_over_no_pair_that_is_similar_enough():
+    rng = np.random.default_rng(12)
+    for n in (4, 40, 400, 4000, 40000):
+        x = np.unique(rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64))
+        sets = [np.sort(np.append(x[:n], x[n:n + n // 3 - k])) for k in range(min(4, n // 3))] + [x[:n]]
+        size, bits = np.array([len(s) for s in sets]), np.stack([M.bitmap(s) for s in sets])
+        i, j = (v.ravel() for v in np.mgrid[:len(sets), :len(sets)])
+        shared = [len(np.intersect1d(sets[p], sets[q])) for p, q in zip(i, j)]
+        linked = np.array([100 * s >= 75 * (size[p] + size[q] - s) for s, p, q in zip(shared, i, j)])
+        assert (M._may_link(size, bits, i, j, 75) | ~linked).all()
+    far = [np.unique(rng.integers(0, 1 << 63, 500, dtype=np.uint64)) for _ in range(2)]
+    assert not M._may_link(np.array([500, 500]), np.stack([M.bitmap(s) for s in far]), np.array([0]), np.array([1]), 75)[0]
+
+
 def test_pairs_within_the_signature_distance_share_a_key():
     rng = np.random.default_rng(2)
     most = 2 * (M.POSITIONS // M.CHUNK) - 1
