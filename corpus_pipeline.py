@@ -17,8 +17,8 @@ from pagewright.operators.partitioning import size_checked_broadcast
 
 #: A document of a lower score is rejected.
 QUALITY = 0.3
-#: Up to so many ids (8 bytes each) are broadcast to leave out their rows.
-BROADCAST_IDS = 4_000_000
+#: Up to so many ids and hashes (16 bytes a row) are broadcast to leave out their rows.
+BROADCAST_IDS = 2_000_000
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,18 +40,26 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that of the smallest doc_id.  Of rows
-    that share a doc_id, one stays if any does; rows without a doc_id all stay."""
-    marked = written(minhash.near_duplicates(docs).groupBy("doc_id").agg(
-        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("doc_id IS NOT NULL"))
-    gone = marked.where("NOT kept").select("doc_id")
-    several = marked.where("kept AND n > 1").select("doc_id")
-    rest = docs.join(size_checked_broadcast(gone, BROADCAST_IDS), "doc_id", "left_anti")
+    """One row of each group of near copies: that of the smallest doc_id, and of rows that
+    share it the one of the smallest text hash; repeated rows are copies.  Rows that are near
+    to nothing all stay, whether or not they share a doc_id, and so do rows without a doc_id
+    or without words."""
+    place = F.struct("doc_id", "text_key")
+    rows = written(minhash.groups(docs).where("group IS NOT NULL"))
+    first = rows.groupBy("group").agg(F.min(place).alias("first"))
+    marked = written(rows.join(first, "group").select("doc_id", "text_key", (place == F.col("first")).alias("kept")))
+    gone = marked.where("NOT kept").select("doc_id", "text_key").distinct()
+    several = marked.where("kept").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    on = ["doc_id", "_text_key"]
+    gone, several = (x.withColumnRenamed("text_key", "_text_key") for x in (gone, several))
+    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    rest = keyed.join(size_checked_broadcast(written(gone), BROADCAST_IDS), on, "left_anti")
+    several = written(several)
     if not several.take(1):
         return rest.select(*docs.columns)
     few = size_checked_broadcast(several, BROADCAST_IDS)
-    return rest.join(few, "doc_id", "left_anti").select(*docs.columns).unionByName(
-        rest.join(few, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
+    return rest.join(few, on, "left_anti").select(*docs.columns).unionByName(
+        rest.join(few, on, "left_semi").dropDuplicates(on).select(*docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
