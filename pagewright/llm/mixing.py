@@ -4,7 +4,7 @@ Targets are words per source.  Among all document rates with a source's target i
 expected words, the one of least entropy relative to the base rate ``cap`` is
 ``cap * exp(-dual * size / mean size)``: an exponential tilt with one dual number
 per source.  Newton iterations on the convex dual find it; each is one distributed
-aggregation.  Rates are rounded into whole copies, by a hash of doc_id and a
+aggregation.  Rates are rounded into whole copies, by a hash of doc_id and text and a
 threshold per source that brings the rounded words to the target.
 """
 
@@ -94,15 +94,18 @@ def balance(sizes: DataFrame, targets: DataFrame, cap: float = 2.0) -> DataFrame
 def solve(docs: DataFrame, budget_share: float = 1.5, cap: float = 2.0, weights=WEIGHTS) -> DataFrame:
     """What decides the copies of a document, a row per source: target, dual, the rounding
     threshold and the documents that fill the rest.  ``with_copies`` applies it."""
-    rows = written(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "source", count_words(F.col("text")).alias("_mx_size")))
-    sizes = written(rows.groupBy("source", F.col("_mx_size").alias("size")).agg(F.count(F.lit(1)).alias("n")))
+    rows = docs.select(_key(), "source", count_words(F.col("text")).alias("_mx_size"))
+    # rows of equal doc_id and text have one key, and count together
+    rows = written(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_mx_n")))
+    sizes = written(rows.groupBy("source", F.col("_mx_size").alias("size")).agg(F.sum("_mx_n").alias("n")))
     state = balance(sizes, source_targets(sizes, budget_share, cap, weights), cap)
     state = state.select(*[F.col(c).alias(f"_mx_{c}") for c in state.columns])
     own = list(state.columns)
 
     # the threshold: the bin whose words pass the target, then again the bin inside it
     state = state.withColumns({"_mx_low": F.lit(-1.0), "_mx_width": F.lit(2.0), "_mx_fill": F.array().cast("array<string>")})
-    low, width, size, whole = (F.col(f"_mx_{c}") for c in ("low", "width", "size", "whole"))
+    low, width, whole = (F.col(f"_mx_{c}") for c in ("low", "width", "whole"))
+    size = F.col("_mx_size") * F.col("_mx_n")
     for _ in range(PASSES):
         t = _with_rate(rows, state, cap)
         inside = (F.col("_mx_v") >= low) & (F.col("_mx_v") < low + width)
@@ -118,13 +121,14 @@ def solve(docs: DataFrame, budget_share: float = 1.5, cap: float = 2.0, weights=
         state = written(hist.groupBy(*state.columns).agg(passed.alias("_at")).select(
             *own, F.coalesce(low + step * F.col("_at"), low + width).alias("_mx_low"), step.alias("_mx_width"), "_mx_fill"))
 
-    # what the threshold leaves short is filled by the largest document that fits, a few times over
+    # what the threshold leaves short is filled by the largest document that fits, with all rows
+    # that are equal to it, a few times over; none that has as many copies as it may
     state = written(_with_rate(rows, state, cap).groupBy(*state.columns).agg(
         (F.first("_mx_target") - F.sum(size * F.col("_mx_copies"))).alias("_mx_gap")))
     for _ in range(FILLS):
         t = _with_rate(rows, state, cap)
         fits = (size > 0) & (size <= F.col("_mx_gap")) & (F.col("_mx_copies") == F.col("_mx_base")) & (F.col("_mx_copies") < int(cap))
-        pick = F.max(F.when(fits, F.struct(size.alias("size"), "_mx_v", F.coalesce("doc_id", F.lit("null")).alias("id"))))
+        pick = F.max(F.when(fits, F.struct(size.alias("size"), "_mx_v", F.col("_mx_key").alias("id"))))
         state = written(t.groupBy(*state.columns).agg(pick.alias("_pick")).select(
             *own, "_mx_low", "_mx_width",
             F.when(F.col("_pick").isNotNull(), F.concat("_mx_fill", F.array("_pick.id"))).otherwise(F.col("_mx_fill")).alias("_mx_fill"),
@@ -132,23 +136,28 @@ def solve(docs: DataFrame, budget_share: float = 1.5, cap: float = 2.0, weights=
     return state
 
 
+def _key() -> Column:
+    """What tells a document, also among those that share a doc_id or have none."""
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
+                       F.hex(F.xxhash64("text")), F.hex(F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")))).alias("_mx_key")
+
+
 def _with_rate(rows: DataFrame, state: DataFrame, cap: float) -> DataFrame:
-    """``rows`` (with ``_mx_size``) joined to their source's state, and their copies."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    draw = uniform(F.concat(F.lit("mix:"), key))
+    """``rows`` (with ``_mx_key, _mx_size``) joined to their source's state, and their copies."""
+    draw = uniform(F.concat(F.lit("mix:"), F.col("_mx_key")))
     rate = _rate(F.col("_mx_size"), F.col("_mx_mean"), F.col("_mx_dual"), cap)
     t = rows.join(size_checked_broadcast(state, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("_mx_source")))
     t = t.withColumn("_mx_rate", rate).withColumn("_mx_whole", F.least(F.floor("_mx_rate"), F.lit(int(cap))).cast("int"))
     # a further copy is taken where the draw is below the rate's fraction by more than the threshold
     t = t.withColumn("_mx_v", F.when(F.col("_mx_whole") < int(cap), draw - (F.col("_mx_rate") - F.col("_mx_whole"))))
     t = t.withColumn("_mx_base", F.col("_mx_whole") + F.when(F.col("_mx_v") < F.col("_mx_low"), 1).otherwise(0))
-    return t.withColumn("_mx_copies", F.when(F.array_contains("_mx_fill", key), F.col("_mx_base") + 1)
+    return t.withColumn("_mx_copies", F.when(F.array_contains("_mx_fill", F.col("_mx_key")), F.col("_mx_base") + 1)
                         .otherwise(F.col("_mx_base")).cast("int"))
 
 
 def with_copies(docs: DataFrame, state: DataFrame, cap: float = 2.0) -> DataFrame:
     """``docs`` with all their columns and ``_mx_copies``, ``_mx_size`` and the state's columns."""
-    return _with_rate(docs.withColumn("_mx_size", count_words(F.col("text"))), state, cap)
+    return _with_rate(docs.withColumns({"_mx_key": _key(), "_mx_size": count_words(F.col("text"))}), state, cap)
 
 
 def mix_documents(docs: DataFrame, budget_share: float = 1.5, cap: float = 2.0, weights=WEIGHTS) -> DataFrame:
@@ -158,7 +167,7 @@ def mix_documents(docs: DataFrame, budget_share: float = 1.5, cap: float = 2.0,
     gets copies like any other).  A null source is a source of its own, last in order.
     No document gets more than ``cap`` copies, a whole number.  Rows with equal doc_id
     and text get equal copies.  Equal input gives equal output: sums are exact and the
-    draw is a hash of doc_id.  A source's words fall short of its target by less than
+    draw is a hash of doc_id and text.  A source's words fall short of its target by less than
     the next draw's words, and mostly by far less.  Other columns are left out; an empty
     table gives an empty result.
     """

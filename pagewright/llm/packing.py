@@ -12,7 +12,8 @@ import os
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,54 +28,93 @@ GRAIN = 4
 CUT = 512
 #: Id after each document.
 END_ID = 1
-#: Words whose ids a task remembers, and words that it encodes in one call.
-REMEMBER, AT_ONCE = 800_000, 2_000
+#: Bytes of text taken at once, words whose ids a task remembers, and words that it learns in one call.
+SLICE, REMEMBER, AT_ONCE = 2_000_000, 300_000, 2_000
+#: A text with words of many kinds, by which a tokenizer shows whether it separates at white space.
+PROBE = ["Hello", "wörld's", "x", "12ab", "(it's", "don't)", "ÀÉ", "日本", "a.b,c!", "😀", "<|x|>", "ĳ", "#&*", "é"]
 
 
 class WordIds:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes.
+    """Ids of whole texts as little-endian unsigned 32-bit integers.
 
-    The tokenizer separates at white space before it merges, so a text's ids are those of
-    its words; each different word is encoded once while it is remembered.
+    Where a tokenizer separates at white space, which is tried on load, a text's ids are those
+    of its words, and each different word is encoded once while it is remembered: by the
+    tokenizer's own normalizer and pre-tokenizer on many words at once, and its model on each
+    different piece.  Words with a special token, or in which these do not keep words apart,
+    are encoded whole; so are all texts of another tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def _learn(self, words: set[bytes]) -> None:
-        # a final stop or comma after a letter is a token of its own, and ASCII capitals are folded
-        plain = {w: (w[:-1], w[-1:]) if w[-1:] in (b".", b",") and w[-2:-1].isalpha() else (w,) for w in words}
-        low = {p: p.lower() if p.isascii() else p for ps in plain.values() for p in ps}
-        parts = sorted(set(low.values()).difference(self.known))
-        for at in range(0, len(parts), AT_ONCE):
-            self._encode(parts[at:at + AT_ONCE])
-        for w, ps in plain.items():
-            self.known[w] = b"".join([self.known[low[p]] for p in ps])
-
-    def _encode(self, parts: list[bytes]) -> None:
-        """Ids of some words from one call on all of them, told apart by their places."""
-        texts = [p.decode("utf-8", "replace") for p in parts]
-        begin = np.cumsum([0] + [len(t) + 1 for t in texts])
-        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.asarray(found.ids, dtype="<u4")
-        word = np.searchsorted(begin, [a for a, _ in found.offsets], side="right") - 1
-        first = np.searchsorted(word, np.arange(len(parts) + 1))
-        raw = ids.tobytes()
-        for p, a, b in zip(parts, (first[:-1] * 4).tolist(), (first[1:] * 4).tolist()):
-            self.known[p] = raw[a:b]
-
-    def encode(self, texts) -> list[bytes]:
-        split = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
-        words = set().union(*split)
-        missing = words.difference(self.known)
-        if len(self.known) + 2 * len(missing) > REMEMBER:
-            self.known.clear()
-            missing = words
+        self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
+        self.by_word = all(self._whole(s.join(PROBE)) == b"".join(map(self._whole, PROBE))
+                           and self._whole(s + s.join(PROBE) + s) == self._whole(s.join(PROBE))
+                           for s in (" ", "\n", "\t", "\r\n", "\x0b", "\x0c", "  "))
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        got = self.pieces.get(piece)
+        if got is None:
+            got = self.pieces[piece] = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], dtype="<u4").tobytes()
+        return got
+
+    def _learn(self, words: list[str]) -> None:
+        if self.special:
+            plain = [w for w in words if not any(s in w for s in self.special)]
+            if len(plain) < len(words):
+                self.known.update((w, self._whole(w)) for w in set(words).difference(plain))
+        else:
+            plain = words
+        for low in range(0, len(plain), AT_ONCE):
+            self._learn_plain(plain[low:low + AT_ONCE])
+
+    def _learn_plain(self, words: list[str]) -> None:
+        joined = " ".join(words)
+        if self.tokenizer.normalizer is not None:
+            joined = self.tokenizer.normalizer.normalize_str(joined)
+        if joined.count(" ") != len(words) - 1:
+            # a word with a space of its own, or that has become one
+            self.known.update((w, self._whole(w)) for w in words)
+            return
+        found = self.tokenizer.pre_tokenizer.pre_tokenize_str(joined) if self.tokenizer.pre_tokenizer is not None else []
+        begin = np.cumsum([0] + [len(w) + 1 for w in joined.split(" ")])
+        spans = np.array([at for _, at in found], dtype=np.int64).reshape(-1, 2)
+        owner = np.searchsorted(begin, spans[:, 0], side="right") - 1
+        if self.tokenizer.pre_tokenizer is None or (spans[:, 1] > begin[owner + 1] - 1).any():
+            self.known.update((w, self._whole(w)) for w in words)
+            return
+        ids = [self._piece(p) for p, _ in found]
+        edge = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
+        self.known.update((w, b"".join(ids[a:b])) for w, a, b in zip(words, edge, edge[1:]))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of an Arrow array of strings without nulls, one after the other,
+        and where each text's begin (one more entry at the end)."""
+        if not self.by_word:
+            raw = [self._whole(t) for t in texts.to_pylist()]
+            return np.frombuffer(b"".join(raw), "<u4"), np.cumsum([0] + [len(r) // 4 for r in raw])
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        different = words.dictionary.to_pylist()
+        missing = [w for w in different if w not in self.known]
+        if len(self.known) + len(missing) > REMEMBER:
+            self.known, self.pieces, missing = {"": b""}, {}, different
         self._learn(missing)
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, ws)) for ws in split]
+        # the ids of each different word are laid out once, and taken for every word
+        ids = [self.known[w] for w in different]
+        size = np.array([len(i) // 4 for i in ids], dtype=np.int64)
+        flat, code = np.frombuffer(b"".join(ids), "<u4"), words.indices.to_numpy()
+        many = size[code]
+        end = np.cumsum(many)
+        take = np.repeat((np.cumsum(size) - size)[code] - (end - many), many) + np.arange(many.sum())
+        edge = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return flat[take], np.concatenate([[0], end])[edge]
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
@@ -104,29 +144,33 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     Null text counts as empty, and has the end id alone.  With ``keep_ids`` a column
     ``ids`` holds a piece's token ids.
     """
-    end = np.asarray([end_id], dtype="<u4").tobytes()
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    schema = PIECE + (", ids array<int>" if keep_ids else "")
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def cut(batches):
-        from pagewright.llm.wordhash import chunks
         tok = _tokenizer(tokenizer_path)
-        for pdf in batches:
-            doc = pdf["doc_id"]
-            for low, high in chunks(pdf["text"]):
+        for batch in batches:
+            size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+            upto = np.cumsum(size)
+            low = 0
+            while low < batch.num_rows:
+                high = max(low + 1, int(np.searchsorted(upto, upto[low] - size[low] + SLICE)))
+                part = batch.slice(low, high - low)
+                low = high
+                ids, at = tok.encode(part.column("text"))
                 rows = []
-                for k, raw in enumerate(tok.encode(pdf["text"].iloc[low:high]), low):
-                    raw += end
-                    n = len(raw) // 4
-                    at = bounds(n, capacity, cut_at)
-                    for start, stop in zip(at, at[1:]):
-                        part = raw[4 * start:4 * stop]
-                        rows.append((doc.iloc[k], start, len(part) // 4, zlib.crc32(part), n,
-                                     *([np.frombuffer(part, dtype="<u4").astype(np.int32)] if keep_ids else [])))
-                out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * keep_ids])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
-
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInPandas(
-        cut, PIECE + (", ids array<int>" if keep_ids else ""))
+                for doc, a, b in zip(part.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                    own = np.append(ids[a:b], np.uint32(end_id)).astype("<u4")
+                    edges = bounds(len(own), capacity, cut_at)
+                    for start, stop in zip(edges, edges[1:]):
+                        rows.append((doc, start, stop - start, zlib.crc32(own[start:stop].tobytes()), len(own),
+                                     own[start:stop].astype(np.int32) if keep_ids else None))
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)], schema=arrow)
+
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInArrow(cut, schema)
 
 
 def ranked(rows: DataFrame, by: str, order: list[str]) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm import training as T
+from pagewright.llm.common import written
 
 # Letters that look like a Latin letter, by that letter.
 HOMOGLYPHS = {
@@ -38,8 +39,11 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 #: Beginnings of words that may be lexicon entries have these lengths.
 PREFIXES = (4, 5, 6)
-#: An entry needs so many toxic training documents, and this share of them.
-MIN_DOCS, MIN_SHARE = 3, 0.005
+#: An entry needs so many toxic training documents.
+MIN_DOCS = 3
+#: Up to so many entries with that support are looked for in the other rows by name; beyond,
+#: the entries of both are counted in full and joined.
+BY_NAME = 200_000
 #: An entry needs this weight (log odds of a toxic against another document).
 MIN_WEIGHT = 3.2
 #: A phrase around a hit is an exception from so many documents that are not toxic on.
@@ -101,8 +105,14 @@ def hits(text: str, automaton) -> list[tuple[int, int, float]]:
 
 def phrases(text: str, start: int, end: int) -> list[str]:
     """The word at a span with the word before it, and with the word after it."""
-    before, after = _WORD.findall(text[max(0, start - 60):start]), _WORD.search(text, end)
-    out = [before[-1] + " " + text[start:end]] if before else []
+    end_before = start
+    while end_before and not _WORD.match(text[end_before - 1]):
+        end_before -= 1
+    begin = end_before
+    while begin and _WORD.match(text[begin - 1]):
+        begin -= 1
+    after = _WORD.search(text, end)
+    out = [text[begin:end_before] + " " + text[start:end]] if begin < end_before else []
     return out + ([text[start:end] + " " + after[0]] if after else [])
 
 
@@ -142,10 +152,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4
         exceptions: set[str] = frozenset(), sample: int = SAMPLE) -> Lexicon:
     """A lexicon from all labelled rows outside the held-out fold.
 
-    Entries of toxic rows are counted on the executors; those with enough support come
-    to the driver, at most a document's entries divided by ``MIN_SHARE``.  They are then
-    counted in the other rows.  Only the last step, a logistic regression on two
-    numbers, uses a sample of at most ``sample`` rows.
+    Entries are counted and weighed on the executors; those with enough support and weight,
+    the lexicon itself, come to the driver.  Only the last step, a logistic regression on two
+    numbers, uses a sample of at most ``sample`` rows.  Without labels of both kinds the
+    lexicon is empty and every score is the share of toxic rows.  Labels that repeat or have
+    no row change nothing; a null text counts as empty.
     """
     wanted = T.training_labels(labels, label, folds, held_out)
     size = {r["y"]: r["n"] for r in wanted.join(docs.select("doc_id"), "doc_id").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -154,12 +165,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4
     if not n0 or not n1:
         return Lexicon({}, set(exceptions), (0.0, 0.0, float(np.log(prior / (1 - prior)))), prior)
     rows = T.labelled(docs, wanted)
-    least = max(MIN_DOCS, MIN_SHARE * n1)
-    known = {r["entry"]: r["n1"] for r in _count(rows.where("y = 1"), entries).where(F.col("n1") >= least).collect()}
-    names = set(known)
-    other = {r["entry"]: r["n0"] for r in _count(rows.where("y = 0"), lambda t: entries(t) & names).collect()}
-    weights = {e: float(np.log((k + 0.5) / (n1 + 1)) - np.log((other.get(e, 0) + 0.5) / (n0 + 1))) for e, k in known.items()}
-    lexicon = Lexicon({e: w for e, w in weights.items() if w >= MIN_WEIGHT}, set(exceptions), prior=prior)
+    known = written(_count(rows.where("y = 1"), entries).where(F.col("n1") >= MIN_DOCS).select("entry", "n1"))
+    names = {r["entry"] for r in known.select("entry").collect()} if known.count() <= BY_NAME else None
+    other = _count(rows.where("y = 0"), entries if names is None else lambda t: entries(t) & names).select("entry", "n0")
+    weight = F.log((F.col("n1") + 0.5) / (n1 + 1)) - F.log((F.coalesce("n0", F.lit(0)) + 0.5) / (n0 + 1))
+    chosen = known.join(other, "entry", "left").withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT)
+    weights = {r["entry"]: r["w"] for r in chosen.collect()}
+    lexicon = Lexicon(weights, set(exceptions), prior=prior)
 
     def around(text):
         folded, automaton = fold(text), _automaton(lexicon)

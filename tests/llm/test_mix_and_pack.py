@@ -121,10 +121,53 @@ def test_packing_has_little_padding_and_keeps_ids(spark):
     assert 1 - pdf["length"].sum() / P.CAPACITY / pdf["sequence_id"].nunique() < 0.01
 
 
+def _ids(w, texts):
+    import pyarrow as pa
+    ids, at = w.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+
+
+ODD = ["<|ENDOFTEXT|>", "x<|EndOfText|>y", "a<|endoftext|>b <|startoftext|>", " \u0308x e\u0301 q", "one\u00a0two\u3000 three", "",
+       "  lead and trail \n", "It's 3,14 don'T I'LL!! #a_b \x1cz \x85 y", "ΟΔΟΣ İstanbul ǅ ﬁ", "a\u2028b c", "''s 's"]
+
+
+def test_ids_are_the_tokenizers_own():
+    from tokenizers import Tokenizer
+    tok, w = Tokenizer.from_file(tokenizer_path()), P.WordIds(tokenizer_path())
+    rng = np.random.default_rng(4)
+    letters = list("abcXYZé'’.,!<|>19 \t\n\u00a0\u0301ß日_-ſK") + ["<|endoftext|>", "'LL"]
+    texts = ODD + ["".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(3000)]
+    assert w.by_word
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert _ids(w, texts) == want and _ids(P.WordIds(tokenizer_path()), texts[::-1]) == want[::-1]
+
+
+def test_a_tokenizer_that_keeps_white_space_encodes_whole_texts(tmp_path):
+    from tokenizers import Tokenizer
+    made = Tokenizer.from_file(tokenizer_path())
+    from tokenizers.pre_tokenizers import ByteLevel
+    made.pre_tokenizer = ByteLevel(add_prefix_space=False)
+    made.save(str(tmp_path / "t.json"))
+    w = P.WordIds(str(tmp_path / "t.json"))
+    assert not w.by_word and _ids(w, ODD) == [made.encode(t, add_special_tokens=False).ids for t in ODD]
+
+
 def test_memory_of_words_is_bounded(monkeypatch):
     monkeypatch.setattr(P, "REMEMBER", 10)
-    w = P.WordIds(tokenizer_path())
     text = " ".join(f"word{i % 37}." for i in range(200))
-    one = w.encode([text])[0]
+    few = P.WordIds(tokenizer_path())
+    one = _ids(few, [text, "so few"]), _ids(few, ["and then"])
+    assert len(few.known) < 10
     monkeypatch.setattr(P, "REMEMBER", 10_000)
-    assert one == P.WordIds(tokenizer_path()).encode([text])[0]
+    all_ = P.WordIds(tokenizer_path())
+    assert one == (_ids(all_, [text, "so few"]), _ids(all_, ["and then"]))
+
+
+def test_mix_where_ids_repeat_meets_targets_and_cap(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(i % 3) if i % 2 else None, " ".join(["w"] * int(rng.integers(5, 90)) + [str(i)]), "en", "ab"[i % 7 == 0], 0) for i in range(300)]
+    rows += rows[:20]
+    pdf = M.mix_documents(documents(spark, rows)).toPandas()
+    assert len(pdf) == len(rows) and (pdf["taken"] <= 2 * pdf["size"]).all()
+    for _, g in pdf.groupby("source"):
+        assert 0 <= g["target"].iloc[0] - g["taken"].sum() + 1e-6 < 0.02 * g["target"].iloc[0]

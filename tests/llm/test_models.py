@@ -73,6 +73,38 @@ def test_folding():
     assert X.fold("st​upid") == "stupid"
 
 
+def test_rare_words_stay_in_the_lexicon_however_many_rows_there_are(spark, monkeypatch):
+    n = 2400
+    rows = [(i, f"common words of text {i % 50} " + ("vilerabbit" if i < 24 else "horrid" if i % 2 == 0 else "nice") + " and more", None, None, 0)
+            for i in range(n)]
+    labels = spark.createDataFrame([(i, 1, int(i % 2 == 0 or i < 24)) for i in range(n)], "doc_id long, quality int, toxic int")
+    a = X.fit(documents(spark, rows), labels)
+    assert {"=vilerabbit", "=horrid"} <= a.weights.keys() and "=common" not in a.weights
+    monkeypatch.setattr(X, "BY_NAME", 0)
+    b = X.fit(documents(spark, rows), labels)
+    assert a.weights == b.weights and a.exceptions == b.exceptions
+
+
+def test_weights_equal_plain_counts(spark):
+    docs, labels = _tables(spark)
+    pdf = docs.join(labels, "doc_id").where((fold_of(F.col("doc_id"), 4) != 2)).select("text", "toxic").toPandas()
+    counts, n = ({}, {}), [0, 0]
+    for t, y in zip(pdf["text"], pdf["toxic"]):
+        n[y] += 1
+        for e in X.entries(t or ""):
+            counts[y][e] = counts[y].get(e, 0) + 1
+    want = {e: np.log((k + .5) / (n[1] + 1)) - np.log((counts[0].get(e, 0) + .5) / (n[0] + 1)) for e, k in counts[1].items() if k >= X.MIN_DOCS}
+    got = X.fit(docs, labels).weights
+    assert got.keys() == {e for e, w in want.items() if w >= X.MIN_WEIGHT} and all(abs(want[e] - w) < 1e-9 for e, w in got.items())
+
+
+def test_the_word_before_a_hit_may_be_long():
+    word = "extraordinarily" * 6
+    lex = X.Lexicon({"=trash": 5.0}, {word + " trash"})
+    assert X.measure(f"so {word} ,, trash", lex.automaton(), lex.exceptions)[0] == 0.0
+    assert X.phrases("a1b trash", 4, 9) == ["b trash"] and X.phrases("trash", 0, 5) == []
+
+
 def test_exceptions_and_length():
     lex = X.Lexicon({"=trash": 5.0, "scum": 4.0}, {"trash can"})
     a = lex.automaton()
