@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,15 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of jobs that are over now: it does so once the
+    driver has collected their plans, which a driver with little garbage puts off for long."""
+    gc.collect()
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        jvm.java.lang.System.gc()
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, also where ``body`` uses it
     inside a lambda over another array."""

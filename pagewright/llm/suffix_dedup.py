@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm import wordhash as H
-from pagewright.llm.common import written
+from pagewright.llm.common import release, written
 
 #: Strings of so many bytes are looked for.
 LENGTH = 100
@@ -35,7 +35,10 @@ PERIOD, COVER = 50, np.array([0, 5, 11, 15, 24, 25, 27, 32])
 #: Bytes of a sampled string; not below the period, so that strings at one residue overlap.
 STRING = LENGTH - PERIOD + 1
 #: Bytes of text that a task samples at once, per range of names, and per group of texts.
-SLICE, RANGE_BYTES, GROUP_BYTES = 6_000_000, 12_000_000, 6_000_000
+SLICE, RANGE_BYTES, GROUP_BYTES = 8_000_000, 16_000_000, 6_000_000
+#: Bytes of a name that blocks hold: within a range of about a million names, enough to make a
+#: false repeat one in a million, which only costs a comparison of the whole prefix.
+NAME_BYTES = 5
 
 #: Blocks that tasks exchange: for a range of names (kind 0: documents in order, places and
 #: names), or for a group of texts (kind 1: keys and what was found for each).
@@ -79,6 +82,14 @@ def _runs(sorted_by: np.ndarray) -> np.ndarray:
     return np.cumsum(np.append(False, sorted_by[1:] != sorted_by[:-1])[:len(sorted_by)])
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    return x.astype("<u2" if x.max(initial=0) < 1 << 16 else "<u4")
+
+
+def _wide(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype(np.int64)
+
+
 def _for_ranges(name: np.ndarray, row: np.ndarray, pos: np.ndarray, doc: np.ndarray, key: np.ndarray, ranges: int) -> Iterator[tuple]:
     """Blocks of names in order of place (``row`` numbers documents in their order)."""
     part = _range(name, ranges)
@@ -92,19 +103,18 @@ def _for_ranges(name: np.ndarray, row: np.ndarray, pos: np.ndarray, doc: np.ndar
         step = np.diff(pos[own], prepend=0)
         first = np.cumsum(n) - n
         step[first] = pos[own][first]
-        step = step.astype("<u2" if step.max() < 1 << 16 else "<u4")
-        yield (0, p, doc[docs].tobytes(), key[docs].tobytes(), n.astype("<u4").tobytes(),
-               name[own].view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), step.tobytes(), None)
+        yield (0, p, doc[docs].tobytes(), key[docs].tobytes(), _narrow(n).tobytes(),
+               name[own].view(np.uint8).reshape(-1, 8)[:, :NAME_BYTES].tobytes(), _narrow(step).tobytes(), None)
 
 
 def _from_range(table: pa.Table) -> tuple[np.ndarray, ...]:
     """``name, doc, key, pos`` of all entries of a range's blocks."""
     out = [], [], [], []
     for doc, key, n, name, pos in zip(*(table.column(c).to_pylist() for c in ("doc", "key", "n", "name", "pos"))):
-        n = np.frombuffer(n, "<u4")
+        n = _wide(n, len(doc) // 8)
         wide = np.zeros((n.sum(), 8), np.uint8)
-        wide[:, :6] = np.frombuffer(name, np.uint8).reshape(-1, 6)
-        step = np.frombuffer(pos, "<u2" if len(pos) == 2 * len(wide) else "<u4").astype(np.int64)
+        wide[:, :NAME_BYTES] = np.frombuffer(name, np.uint8).reshape(-1, NAME_BYTES)
+        step = _wide(pos, len(wide))
         total, first = np.cumsum(step), np.cumsum(n) - n
         for c, v in zip(out, (wide.view("<u8").ravel(), np.repeat(np.frombuffer(doc, np.int64), n),
                               np.repeat(np.frombuffer(key, np.int64), n), total - np.repeat(total[first] - step[first], n))):
@@ -334,10 +344,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     usable = docs.where(can).select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
     grouped = usable.withColumn("part", F.pmod(F.col("key"), F.lit(groups)).cast("int"))
 
-    strings = usable.mapInArrow(sampled(groups, ranges), BLOCK)
-    places = written(strings.groupBy("kind", "part").applyInArrow(named(groups), BLOCK))
-    left = grouped.groupBy("part").cogroup(places.groupBy("part")).applyInArrow(chained(groups, ranges), BLOCK)
-    spans = written(left.groupBy("kind", "part").applyInArrow(merged(groups), BLOCK))
+    places = written(usable.mapInArrow(sampled(groups, ranges), BLOCK).groupBy("kind", "part").applyInArrow(named(groups), BLOCK))
+    release(docs.sparkSession)
+    spans = written(grouped.groupBy("part").cogroup(places.groupBy("part")).applyInArrow(chained(groups, ranges), BLOCK)
+                    .groupBy("kind", "part").applyInArrow(merged(groups), BLOCK))
+    release(docs.sparkSession)
     changed = grouped.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(_cut, RESULT)
     size = F.octet_length(text).cast("long")
     plain = docs.where(~can).select("doc_id", text.cast("binary").alias("kept"), size.alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
