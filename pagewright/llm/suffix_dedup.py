@@ -36,9 +36,10 @@ PERIOD, COVER = 50, np.array([0, 5, 11, 15, 24, 25, 27, 32])
 STRING = LENGTH - PERIOD + 1
 #: Bytes of text that a task samples at once, per range of names, and per group of texts.
 SLICE, RANGE_BYTES, GROUP_BYTES = 8_000_000, 16_000_000, 6_000_000
-#: Bytes of a name that blocks hold: within a range of about a million names, enough to make a
-#: false repeat one in a million, which only costs a comparison of the whole prefix.
-NAME_BYTES = 5
+#: Bytes of a name that blocks hold, beside its range.  Of a sampled string: within a range of about
+#: a million names a false repeat is one in a million, and costs a comparison of the whole
+#: prefix; a chain takes two, at one distance.  Of a whole prefix, which decides: all.
+STRING_BYTES, PREFIX_BYTES = 5, 8
 
 #: Blocks that tasks exchange: for a range of names (kind 0: documents in order, places and
 #: names), or for a group of texts (kind 1: keys and what was found for each).
@@ -90,8 +91,9 @@ def _wide(raw: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype(np.int64)
 
 
-def _for_ranges(name: np.ndarray, row: np.ndarray, pos: np.ndarray, doc: np.ndarray, key: np.ndarray, ranges: int) -> Iterator[tuple]:
-    """Blocks of names in order of place (``row`` numbers documents in their order)."""
+def _for_ranges(name: np.ndarray, row: np.ndarray, pos: np.ndarray, doc: np.ndarray, key: np.ndarray, ranges: int,
+                width: int) -> Iterator[tuple]:
+    """Blocks of names, ``width`` bytes of each, in order of place (``row`` numbers documents in their order)."""
     part = _range(name, ranges)
     order = np.argsort(part, kind="stable")
     edge = np.searchsorted(part[order], np.arange(ranges + 1))
@@ -104,7 +106,7 @@ def _for_ranges(name: np.ndarray, row: np.ndarray, pos: np.ndarray, doc: np.ndar
         first = np.cumsum(n) - n
         step[first] = pos[own][first]
         yield (0, p, doc[docs].tobytes(), key[docs].tobytes(), _narrow(n).tobytes(),
-               name[own].view(np.uint8).reshape(-1, 8)[:, :NAME_BYTES].tobytes(), _narrow(step).tobytes(), None)
+               name[own].view(np.uint8).reshape(-1, 8)[:, :width].tobytes(), _narrow(step).tobytes(), None)
 
 
 def _from_range(table: pa.Table) -> tuple[np.ndarray, ...]:
@@ -113,7 +115,8 @@ def _from_range(table: pa.Table) -> tuple[np.ndarray, ...]:
     for doc, key, n, name, pos in zip(*(table.column(c).to_pylist() for c in ("doc", "key", "n", "name", "pos"))):
         n = _wide(n, len(doc) // 8)
         wide = np.zeros((n.sum(), 8), np.uint8)
-        wide[:, :NAME_BYTES] = np.frombuffer(name, np.uint8).reshape(-1, NAME_BYTES)
+        short = np.frombuffer(name, np.uint8).reshape(len(wide), -1)
+        wide[:, :short.shape[1]] = short
         step = _wide(pos, len(wide))
         total, first = np.cumsum(step), np.cumsum(n) - n
         for c, v in zip(out, (wide.view("<u8").ravel(), np.repeat(np.frombuffer(doc, np.int64), n),
@@ -180,7 +183,7 @@ def sampled(groups: int, ranges: int):
                 # the pieces of a document come one after the other, and documents in their order
                 head = np.append(True, row[1:] != row[:-1])
                 number, docs = (np.cumsum(head) - 1)[piece], row[head]
-                out += _for_ranges(name[~later], number[~later], pos[~later], doc[docs], key[docs], ranges)
+                out += _for_ranges(name[~later], number[~later], pos[~later], doc[docs], key[docs], ranges, STRING_BYTES)
                 yield from _blocks(out).to_batches(max_chunksize=64)
 
     return run
@@ -289,7 +292,7 @@ def chained(groups: int, ranges: int):
         again = before != np.arange(len(before))
         out = list(_for_groups(groups, np.append(key[r], key[own[again]]), np.append(a, left[again]),
                                at=np.append(b, left[again] + LENGTH)))
-        out += _for_ranges(name[~again], own[~again], left[~again], doc, key, ranges)
+        out += _for_ranges(name[~again], own[~again], left[~again], doc, key, ranges, PREFIX_BYTES)
         return _blocks(out)
 
     return run
