@@ -33,10 +33,8 @@ class ExtractConfig:
     max_pair_gap: int = 200           # e2.start - e1.end must not exceed this
     min_confidence: float = 0.7       # relationships kept when score is strictly above
     range_bucket: int = 256           # bucket width (chars) of the pair range join
-    broadcast_max_rows: int = 2_000_000  # gazetteer rows allowed in a broadcast
-    # Mentions feed entities, pairs and counts: "persist" (default), "checkpoint"
-    # (shared checkpoint folder, lineage cut) or "none".
-    materialize: str = "persist"
+    broadcast_max_bytes: int = 64 << 20  # gazetteer bytes allowed in a broadcast
+    inline_firsts: int = 50_000       # first tokens of phrases that are tested inside the scan
     # Tokenize articles in chunks of this many characters (cut after whitespace)
     # so one huge article spreads over many tasks; None = one window per article.
     chunk_chars: int | None = None

@@ -1,85 +1,110 @@
-"""Gazetteer match (J1): every vocabulary phrase against every article's tokens.
-
-Plan per article partition (documents are already hash-partitioned by
-``doc_id``, so no exchange is added for the window):
-
-1. one window over ``(doc_id ORDER BY pos)`` adds ``lead(norm, 1..k-1)`` and
-   ``lead(end, 1..k-1)`` for the longest phrase length ``k``;
-2. a broadcast left-semi join on the set of first tokens drops every position
-   where no phrase can start (almost all of them);
-3. surviving positions emit their 1..k-token n-grams, which are equi-joined
-   to the gazetteer on the normalised key (broadcast behind a size check;
-   a shuffle join on the key above it).
+"""Gazetteer match (J1): every vocabulary phrase against every article, inside the scan.
+
+1. The tokens of an article stay in its row; positions whose token begins a phrase are
+   picked there (``transform``/``filter`` over the token array), before anything is exploded.
+2. Each picked position becomes a row with the few tokens that follow it, its character
+   offset and, if asked for, the text around it, cut from the article's blocks.
+3. Its 1..k-token n-grams are joined to the gazetteer on the normalised key: broadcast
+   behind a check of the gazetteer's bytes, a shuffle join of these few rows above it.
+
+There is no exchange, sort or window between the scan of the articles and that join, and
+the text of an article is in no join at all.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.operators.partitioning import stored
+from pagewright.operators.tokens import chunk_rows, offset_of, token_arrays
 
+#: Characters of a block of text.
+TEXT_BLOCK = 1024
 
-def prepare_gazetteer(gazetteer: DataFrame, broadcast_max_rows: int = 2_000_000):
-    """Cache the (small) gazetteer and read its row count and longest phrase in one job.
 
-    Returns ``(gazetteer, max_n, broadcastable)``.
-    """
-    g = gazetteer.cache()
-    n, mx = g.agg(F.count(F.lit(1)), F.max("n_tokens")).first()
-    return g, int(mx or 1), n <= broadcast_max_rows
+class Gazetteer:
+    """A gazetteer written once, with its longest phrase, the tokens that begin phrases (None
+    where they are more than ``inline_firsts``) and whether it may be broadcast."""
+
+    def __init__(self, table: DataFrame, broadcast_max_bytes: int = 64 << 20, inline_firsts: int = 50_000):
+        self.table = stored(table)
+        size = F.sum(F.octet_length("key") + F.octet_length("name") + F.coalesce(F.octet_length("ekey"), F.lit(0)) + 80)
+        row = self.table.agg(F.max("n_tokens").alias("n"), size.alias("bytes")).first()
+        self.max_n, self.small = int(row["n"] or 1), (row["bytes"] or 0) <= broadcast_max_bytes
+        firsts = [r["first"] for r in self.table.select("first").distinct().limit(inline_firsts + 1).collect()]
+        self.firsts = firsts if len(firsts) <= inline_firsts else None
+
+    def begins(self, token: Column) -> Column:
+        return F.lower(token).isin(self.firsts) if self.firsts is not None else F.lit(True)
 
 
-def match_gazetteer(tokens: DataFrame, gazetteer: DataFrame, max_n: int | None = None,
-                    broadcast_max_rows: int = 2_000_000) -> DataFrame:
-    """Candidate matches ``(doc_id, tok_start, tok_end, n_tokens, start, end, label, source, priority, text)``.
+def text_window(blocks: str, start: Column, end: Column) -> Column:
+    """``text[start:end]`` (start from 0) from the blocks that it touches; for use inside lambdas
+    (the blocks are named twice, see :func:`pagewright.operators.tokens.offset_of`)."""
+    first = F.floor(start / TEXT_BLOCK).cast("int")
+    count = F.floor(F.greatest(end - 1, start) / TEXT_BLOCK).cast("int") - first + 1
+    joined = F.array_join(F.slice(blocks, first + 1, count), "")
+    cut = F.substring(joined, (start - first * TEXT_BLOCK + 1).cast("int"), (end - start).cast("int"))
+    return F.when(F.size(blocks) > first, cut).otherwise(F.lit(""))
 
-    Offsets are character offsets of the article; ``tok_end`` is exclusive.
-    Overlapping candidates are all returned; see :mod:`pagewright.operators.spans`.
+
+def match_gazetteer(docs: DataFrame, gazetteer: Gazetteer, before: int = 0, after: int = 0,
+                    chunk_chars: int | None = None) -> DataFrame:
+    """Candidate matches ``(doc_id, n_tokens, start, end, label, source, priority, text)`` of
+    articles ``(doc_id, text)``.
+
+    Offsets are character offsets of the article.  With ``before``/``after``, column ``win``
+    holds ``text[start - before : end + after]`` of the article and ``win_start`` where it
+    begins.  Overlapping candidates are all returned; see :mod:`pagewright.operators.spans`.
+    ``chunk_chars`` cuts articles into chunks first, for articles that are too long for a
+    task; there is no ``win`` then.  Null texts have no matches.
     """
-    gazetteer, stats_max_n, small = prepare_gazetteer(gazetteer, broadcast_max_rows)
-    max_n = max_n or stats_max_n
-
-    def side(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
-    parts = ["doc_id", "part"] if "part" in tokens.columns else ["doc_id"]
-    w = Window.partitionBy(*parts).orderBy("pos")
-    leads = []
-    for k in range(1, max_n):
-        leads += [F.lead("norm", k).over(w).alias(f"n{k}"), F.lead("end", k).over(w).alias(f"e{k}"),
-                  F.lead("token", k).over(w).alias(f"t{k}")]
-        if k < max_n - 1:
-            leads.append(F.lead("piece", k).over(w).alias(f"p{k}"))
-    extra = ["ext"] if "ext" in tokens.columns else []
-    t = tokens.select("doc_id", "pos", "norm", "token", "piece", "start", "end", *extra, *leads)
-    if extra:      # look-ahead tokens of the next chunk only feed the leads
-        t = t.where(~F.col("ext")).drop("ext")
-
-    firsts = gazetteer.select(F.col("first").alias("norm")).distinct()
-    t = t.join(side(firsts), "norm", "left_semi")
-
-    grams = []
-    for k in range(1, max_n + 1):
-        parts = [F.col("norm")]
-        eparts = [F.col("token")]
-        for j in range(1, k):
-            parts += [F.lit(" "), F.col(f"n{j}")]
-            eparts += [F.lit(" "), F.col(f"t{j}")]
-        end = F.col("end") if k == 1 else F.col(f"e{k - 1}")
-        # surface text: pieces of all but the last token, then the last token
-        surface = F.col("token") if k == 1 else F.concat(
-            F.col("piece"), *[F.col(f"p{j}") for j in range(1, k - 1)], F.col(f"t{k - 1}"))
-        grams.append(F.struct(F.lit(k).alias("k"), F.concat(*parts).alias("key"),
-                              F.concat(*eparts).alias("ekey"), end.alias("end"), surface.alias("text")))
-    cand = t.select("doc_id", "pos", "start", F.explode(F.array(*grams)).alias("g"))
-    cand = cand.select("doc_id", F.col("pos").alias("tok_start"), "start",
-                       F.col("g.k").alias("n_tokens"), F.col("g.key").alias("key"), F.col("g.ekey").alias("ekey"),
-                       F.col("g.end").alias("end"), F.col("g.text").alias("text")).where(F.col("key").isNotNull())
-    # One equi-join on the case-folded key; exact-case entries (acronyms) also
-    # need the original-case n-gram to equal their spelling (residual filter
-    # on the few joined rows - no second join, no extra candidate rows).
-    exact = F.col("exact") if "exact" in gazetteer.columns else F.lit(False)
-    ekey = F.col("ekey") if "ekey" in gazetteer.columns else F.lit(None).cast("string")
-    gz = side(gazetteer.select("key", exact.alias("g_exact"), ekey.alias("g_ekey"), "label", "source", "priority"))
-    m = cand.join(gz, "key").where(~F.col("g_exact") | (F.col("ekey") == F.col("g_ekey")))
-    return m.select("doc_id", "tok_start", (F.col("tok_start") + F.col("n_tokens")).alias("tok_end"),
-                    "n_tokens", "start", "end", "label", "source", "priority", "text")
+    k = gazetteer.max_n
+    rows = docs.select("doc_id", "text", F.lit(0).cast("long").alias("base"), F.lit(None).cast("long").alias("own"))
+    if chunk_chars:
+        rows = chunk_rows(docs, chunk_chars, max(k - 1, 0))
+    keep = ["doc_id", "base", "own"]
+    if before or after:
+        rows = rows.select("*", F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{TEXT_BLOCK}}}"), 0).alias("blocks"))
+        keep.append("blocks")
+    t = token_arrays(rows, *keep)
+    at = F.filter(F.transform("toks", lambda x, i: F.when(gazetteer.begins(x), i)), lambda i: i.isNotNull())
+    t = t.select("*", at.alias("_at"))
+
+    def here(i: Column) -> Column:
+        start, t_, p_ = offset_of(i), F.slice("toks", i + 1, F.lit(k)), F.slice("pieces", i + 1, F.lit(k))
+        return F.struct(start.alias("start"), t_.alias("t"), p_.alias("p"))
+
+    def around(h: Column) -> Column:
+        low = F.greatest(h["start"] - before, F.lit(0).cast("long"))
+        # up to the end of the longest phrase that may begin here
+        high = h["start"] + F.length(F.array_join(h["p"], "")) + after
+        return F.struct(h["start"].alias("start"), h["t"].alias("t"), h["p"].alias("p"), low.alias("win_start"),
+                        text_window("blocks", low, high).alias("win"))
+
+    hits = F.transform("_at", here)
+    if before or after:
+        hits = F.transform(hits, around)
+    # exploded as an expression, not as a column: Spark would test a column before, and so build it twice
+    hit = t.select("doc_id", "base", "own", F.explode(hits).alias("h"))
+    # tokens of the chunk after only feed phrases that begin in their own
+    hit = hit.where(F.col("own").isNull() | (F.col("h.start") < F.col("own")))
+    window = ["h.win_start", "h.win"] if before or after else []
+    gram = hit.select("doc_id", (F.col("base") + F.col("h.start")).alias("start"), F.col("h.t").alias("t"), F.col("h.p").alias("p"),
+                      *window, F.explode(F.sequence(F.lit(1), F.size("h.t"))).alias("n_tokens"))
+    if gazetteer.firsts is None:
+        firsts = gazetteer.table.select(F.col("first").alias("_first")).distinct()
+        gram = gram.join(F.broadcast(firsts) if gazetteer.small else firsts, F.lower(F.col("t")[0]) == F.col("_first"), "left_semi")
+    head = F.slice("t", F.lit(1), F.col("n_tokens"))
+    gram = gram.select("*", F.array_join(F.transform(head, F.lower), " ").alias("key"))
+    # entries of exact case (acronyms) also need the n-gram as it is spelt, which is looked at on the few joined rows
+    names = gazetteer.table.select("key", F.col("exact").alias("g_exact"), F.col("ekey").alias("g_ekey"), "label", "source", "priority")
+    m = gram.join(F.broadcast(names) if gazetteer.small else names, "key").where(~F.col("g_exact") | (F.array_join(head, " ") == F.col("g_ekey")))
+    text = F.concat(F.array_join(F.slice("p", F.lit(1), F.col("n_tokens") - 1), ""), F.get("t", F.col("n_tokens") - 1))
+    m = m.select("doc_id", "n_tokens", "start", "label", "source", "priority", text.alias("text"), *[w.split(".")[1] for w in window])
+    m = m.select("doc_id", "n_tokens", "start", (F.col("start") + F.length("text")).alias("end"), "label", "source", "priority", "text",
+                 *[w.split(".")[1] for w in window])
+    if window:
+        m = m.withColumn("win", F.expr("substring(win, 1, int(`end` + %d - win_start))" % after))
+    return m

@@ -13,14 +13,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pagewright.operators.partitioning import text_side
-
-from pagewright.operators.spans import window_text
+from pagewright.operators.gazetteer import TEXT_BLOCK, text_window
+from pagewright.operators.tokens import SPARK_TOKEN_RE, offset_of, token_arrays
 
 MODEL_ENTITY_SCHEMA = "doc_id long, label string, word string"
+# Fixed value: the label of a model entity that has none.
+UNKNOWN = "Unknown"
 
 
 def run_scorer(docs: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
@@ -53,19 +55,76 @@ def toy_acronym_scorer(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["doc_id", "label", "word"])
 
 
-def locate_words(model_entities: DataFrame, tokens: DataFrame, docs: DataFrame,
-                 context_chars: int = 50) -> DataFrame:
-    """First case-sensitive whole-token occurrence of each model word; words
-    that do not occur are dropped.  Equi-join on (doc_id, token), no regex per word."""
-    words = model_entities.select("doc_id", "label", "word").distinct()
-    hits = words.join(tokens.select("doc_id", F.col("token").alias("word"), "start", "end"), ["doc_id", "word"])
-    first = hits.groupBy("doc_id", "label", "word").agg(F.min(F.struct("start", "end")).alias("p"))
-    j = first.join(text_side(docs), "doc_id")
-    return j.select("doc_id", "label", F.col("word").alias("text"), F.col("p.start").alias("start"),
-                    F.col("p.end").alias("end"),
-                    window_text(F.col("text_body"), F.col("p.start"), F.col("p.end"),
-                                context_chars, context_chars, F.col("text_len")).alias("context"),
-                    F.lit("model").alias("source"))
+#: Stands between tokens where phrases are looked for; no token holds it alone.
+_BETWEEN = "\x01"
+
+
+def _scored(docs: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame], fields: str, columns: list[str]) -> DataFrame:
+    """``docs`` with ``found``, what a scorer says of the article: an array in its row, so that
+    nothing is joined back to the text.  Rows of one batch that share a doc_id share what is found."""
+    def batches(it):
+        for pdf in it:
+            by = {d: g[columns].to_dict("records") for d, g in scorer(pdf[["doc_id", "text"]]).groupby("doc_id", dropna=False)}
+            yield pdf.assign(found=[by.get(d, []) for d in pdf["doc_id"]])
+    return docs.mapInPandas(batches, T.StructType([*docs.schema.fields, T.StructField("found", T.ArrayType(T.StructType.fromDDL(fields)))]))
+
+
+def _windowed(rows: DataFrame, hits: Column, source: str, before: int, after: int) -> DataFrame:
+    """Spans ``doc_id, label, text, start, end, source`` from ``hits`` of rows with ``blocks``, and
+    with the text around them if asked for."""
+    s = rows.select("doc_id", F.explode(hits).alias("h")).select("doc_id", "h.*")
+    s = s.withColumn("source", F.lit(source))
+    return s if before or after else s.drop("win_start", "win")
+
+
+def _hit(label: Column, text: Column, start: Column, end: Column, before: int, after: int) -> Column:
+    low = F.greatest(start - before, F.lit(0).cast("long"))
+    return F.struct(label.alias("label"), text.alias("text"), start.alias("start"), end.alias("end"), low.alias("win_start"),
+                    text_window("blocks", low, end + after).alias("win"))
+
+
+def _blocks() -> Column:
+    return F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{TEXT_BLOCK}}}"), 0).alias("blocks")
+
+
+def model_spans(docs: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame], before: int = 0, after: int = 0) -> DataFrame:
+    """Existing entities of a caller's scorer, ``(doc_id, label, start, end)`` in characters, with
+    their text; spans that are empty or reach beyond the text are left out, and so are repeated ones."""
+    rows = _scored(docs.select("doc_id", "text"), scorer, "label string, start long, end long", ["label", "start", "end"])
+    rows = rows.select("doc_id", "text", "found", _blocks())
+    inside = F.filter(F.array_distinct("found"), lambda f: (f["start"] >= 0) & (f["start"] < f["end"]) & (f["end"] <= F.length("text")))
+    hits = F.transform(inside, lambda f: _hit(F.coalesce(f["label"], F.lit(UNKNOWN)), text_window("blocks", f["start"], f["end"]),
+                                              f["start"], f["end"], before, after))
+    return _windowed(rows, hits, "model", before, after)
+
+
+def locate_words(docs: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame], before: int = 0, after: int = 0) -> DataFrame:
+    """The first case-sensitive occurrence, on token boundaries, of each word or phrase that a
+    scorer gives for an article; what does not occur is dropped.
+
+    Done in the article's row: its tokens, joined, are searched for the phrase's tokens joined
+    alike, and the number of tokens before that place gives the offset.  A phrase may have any
+    number of tokens, whatever white space is between them.
+    """
+    rows = _scored(docs.select("doc_id", "text"), scorer, "label string, word string", ["label", "word"])
+    rows = token_arrays(rows.select("doc_id", "found", "text", _blocks()), "doc_id", "found", "blocks")
+    joined = F.concat(F.lit(_BETWEEN), F.array_join("toks", _BETWEEN), F.lit(_BETWEEN))
+    words = F.transform(F.array_distinct("found"), lambda f: F.struct(
+        F.coalesce(f["label"], F.lit(UNKNOWN)).alias("label"), F.regexp_extract_all(f["word"], F.lit(SPARK_TOKEN_RE), 0).alias("w")))
+    rows = rows.select("*", joined.alias("_joined"), F.filter(words, lambda f: F.size(f["w"]) > 0).alias("_words"))
+
+    def place(f: Column) -> Column:
+        phrase = F.concat(F.lit(_BETWEEN), F.array_join(f["w"], _BETWEEN), F.lit(_BETWEEN))
+        at = F.call_function("instr", F.col("_joined"), phrase)
+        head = F.substring(F.col("_joined"), F.lit(1), at - 1)
+        return F.struct(f["label"].alias("label"), F.size(f["w"]).alias("n"), at.alias("at"),
+                        (F.length(head) - F.length(F.translate(head, _BETWEEN, ""))).alias("i"))
+
+    spans = F.transform(F.filter(F.transform("_words", place), lambda f: f["at"] > 0), lambda f: F.struct(
+        f["label"].alias("label"), offset_of(f["i"]).alias("start"),
+        F.concat(F.array_join(F.slice("pieces", f["i"] + 1, f["n"] - 1), ""), F.get("toks", f["i"] + f["n"] - 1)).alias("text")))
+    hits = F.transform(spans, lambda f: _hit(f["label"], f["text"], f["start"], f["start"] + F.length(f["text"]), before, after))
+    return _windowed(rows, hits, "model", before, after).dropDuplicates(["doc_id", "label", "start", "end"])
 
 
 def merge_entities(ruler: DataFrame, model: DataFrame) -> DataFrame:
@@ -73,38 +132,53 @@ def merge_entities(ruler: DataFrame, model: DataFrame) -> DataFrame:
     lower text) is new; gazetteer entities win."""
     key = ["doc_id", "label", "_k"]
     r = ruler.withColumn("_k", F.lower("text"))
-    m = model.withColumn("_k", F.lower("text"))
-    m = m.groupBy(*key).agg(F.min(F.struct("start", "end", "text", "context", "source")).alias("f")) \
-        .select(*key, "f.*")
+    rest = ["start", *[c for c in ruler.columns if c not in ("doc_id", "label", "start")]]
+    m = model.withColumn("_k", F.lower("text")).groupBy(*key).agg(F.min(F.struct(*rest)).alias("f")).select(*key, "f.*")
     new = m.join(r.select(*key), key, "left_anti")
     return r.unionByName(new.select(*r.columns)).drop("_k")
 
 
+def words_by_label(model_entities: DataFrame) -> DataFrame:
+    """A4: a row per word that a scorer gave, under its label or ``'Unknown'``; duplicates kept."""
+    return model_entities.select("doc_id", F.coalesce(F.col("label"), F.lit(UNKNOWN)).alias("label"), "word")
+
+
 def categorise(model_entities: DataFrame) -> DataFrame:
-    """A4: words per label (``'Unknown'`` when the scorer gave none); duplicates kept."""
-    lab = F.coalesce(F.col("label"), F.lit("Unknown"))
-    return model_entities.groupBy(lab.alias("label")).agg(F.count(F.lit(1)).alias("n_words"),
-                                                         F.countDistinct("word").alias("n_distinct"))
+    """A4 in numbers: words and different words per label."""
+    return words_by_label(model_entities).groupBy("label").agg(F.count(F.lit(1)).alias("n_words"), F.countDistinct("word").alias("n_distinct"))
+
+
+# Characters that have a meaning in a regular expression.
+_SPECIAL = r"([\\\^$.|?*+()\[\]{}#&~-])"
+
+
+def _name_pattern(names: Column, word_aligned: bool) -> Column:
+    longest = F.array_sort(names, lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a))
+                           .when(a < b, -1).when(a > b, 1).otherwise(0))
+    quoted = F.array_join(F.transform(longest, lambda n: F.regexp_replace(n, _SPECIAL, r"\\$1")), "|")
+    if word_aligned:
+        return F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), quoted, F.lit(r")(?![\p{L}\p{N}])"))
+    return F.concat(F.lit("(?:"), quoted, F.lit(")"))
 
 
-def mask_spans(docs: DataFrame, spans: DataFrame, placeholder: str = "[NAME]") -> DataFrame:
-    """H5: replace each span (doc_id, start, end; non-overlapping) with ``placeholder``.
+def mask_all(text: Column, names: Column, placeholder: str = "[NAME]", word_aligned: bool = False) -> Column:
+    """H5: ``text`` with every occurrence of ``names`` (an array) replaced by ``placeholder``, in one
+    pass from left to right, the longest name first.
 
-    The text between consecutive spans is cut with a window over the spans of
-    one article (sparse rows), then the pieces are joined back in order; an
-    article without spans is passed through untouched.
+    A name is replaced as a plain substring in its own letter case, also inside a longer word,
+    as the reference does; ``word_aligned`` replaces it only where no letter or digit touches it.
+    Null and empty names do nothing; a null text stays null.
     """
-    from pyspark.sql import Window
-    w = Window.partitionBy("doc_id").orderBy("start")
-    s = spans.select("doc_id", "start", "end",
-                     F.coalesce(F.lag("end").over(w), F.lit(0)).alias("prev_end"),
-                     F.lead("start").over(w).alias("next_start"))
-    j = s.join(text_side(docs), "doc_id")
-    piece = F.concat(F.substring("text_body", F.col("prev_end") + 1, F.col("start") - F.col("prev_end")),
-                     F.lit(placeholder),
-                     F.when(F.col("next_start").isNull(),
-                            F.expr("substring(text_body, `end` + 1, text_len - `end`)")).otherwise(F.lit("")))
-    parts = j.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", piece.alias("p")))).alias("ps"))
-    masked = parts.select("doc_id", F.array_join(F.transform("ps", lambda x: x["p"]), "").alias("masked"))
-    return docs.join(masked, "doc_id", "left").select(
-        "doc_id", F.coalesce(F.col("masked"), F.col("text")).alias("text"))
+    some = F.array_distinct(F.filter(names, lambda n: F.length(n) > 0))
+    return F.when(F.size(some) > 0, F.call_function("regexp_replace", text, _name_pattern(some, word_aligned), F.lit(placeholder))).otherwise(text)
+
+
+def mask_scored_names(docs: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame], label: str = "PERSON",
+                      word_aligned: bool = False) -> DataFrame:
+    """H5: ``docs`` without the names that a scorer (``doc_id, label, word``) finds in each
+    article under ``label``; done in the article's row."""
+    rows = _scored(docs, scorer, "label string, word string", ["label", "word"])
+    names = F.transform(F.filter("found", lambda f: f["label"] == label), lambda f: f["word"])
+    rows = rows.select(*docs.columns, names.alias("_names"))
+    return rows.select(*[mask_all(F.col("text"), F.col("_names"), word_aligned=word_aligned).alias("text") if c == "text" else F.col(c)
+                         for c in docs.columns])

@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.session import ensure_checkpoint_dir
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to a new folder below the shared ``spark.checkpoint.dir`` and
+    read back: the lineage ends there, nothing stays in executor memory, and any executor
+    can read it after another one is lost."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
 def text_partitions(df: DataFrame) -> int:
     """Partition count for text stages: the shuffle-partition setting, at least

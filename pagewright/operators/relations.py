@@ -34,25 +34,38 @@ RULES = [
 
 def entity_pairs(entities: DataFrame, max_gap: int = 200, bucket: int = 256) -> DataFrame:
     """``(doc_id, e1_*, e2_*)`` for all ordered pairs within ``max_gap`` characters."""
-    e = entities.select("doc_id", "label", "text", "start", "end")
-    a = e.select("doc_id", *[F.col(c).alias(f"e1_{c}") for c in ("label", "text", "start", "end")],
+    cols = ["label", "text", "start", "end", *[c for c in ("win_start", "win") if c in entities.columns]]
+    e = entities.select("doc_id", *cols)
+    a = e.select("doc_id", *[F.col(c).alias(f"e1_{c}") for c in cols],
                  F.explode(F.sequence(F.floor(F.col("start") / bucket),
                                       F.floor((F.col("end") + max_gap) / bucket))).alias("bucket"))
-    b = e.select("doc_id", *[F.col(c).alias(f"e2_{c}") for c in ("label", "text", "start", "end")],
+    b = e.select("doc_id", *[F.col(c).alias(f"e2_{c}") for c in cols],
                  F.floor(F.col("start") / bucket).alias("bucket"))
     first = F.struct("e1_start", "e1_label", "e1_end") < F.struct("e2_start", "e2_label", "e2_end")
     j = a.join(b, ["doc_id", "bucket"]).where(first & (F.col("e2_start") - F.col("e1_end") <= max_gap))
     return j.drop("bucket")
 
 
-def pair_text(pairs: DataFrame, docs: DataFrame, context_chars: int = 20) -> DataFrame:
-    """Add between-text, the model sample string and the pair context (join by doc_id)."""
-    j = pairs.join(text_side(docs), "doc_id")
-    between = slice_text(F.col("text_body"), F.col("e1_end"), F.col("e2_start"))
-    ctx = window_text(F.col("text_body"), F.col("e1_start"), F.col("e2_end"), context_chars, context_chars,
-                      F.col("text_len"))
-    return j.select(*pairs.columns, between.alias("between"),
-                    F.concat_ws(" [SEP] ", "e1_text", between, "e2_text").alias("sample"),
+def pair_text(pairs: DataFrame, docs: DataFrame | None = None, context_chars: int = 20) -> DataFrame:
+    """Add between-text, the model sample string and the pair context.
+
+    Both entities carry the text around them (``e1_win``, ``e2_win``): the first one's reaches
+    to where the second may begin, so the text between and the context are cut from the two.
+    Pairs without them are joined back to the text of ``docs``.
+    """
+    if "e1_win" in pairs.columns:
+        def cut(e: str, low: Column, high: Column) -> Column:
+            return F.when(high > low, F.substring(f"{e}_win", (low - F.col(f"{e}_win_start") + 1).cast("int"), (high - low).cast("int"))) \
+                .otherwise(F.lit(""))
+        start = F.greatest(F.col("e1_start") - context_chars, F.lit(0))
+        between = cut("e1", F.col("e1_end"), F.col("e2_start"))
+        ctx = F.concat(cut("e1", start, F.col("e2_start")), cut("e2", F.col("e2_start"), F.col("e2_end") + context_chars))
+        j, keep = pairs, [c for c in pairs.columns if not c.endswith(("_win", "_win_start"))]
+    else:
+        j, keep = pairs.join(text_side(docs), "doc_id"), pairs.columns
+        between = slice_text(F.col("text_body"), F.col("e1_end"), F.col("e2_start"))
+        ctx = window_text(F.col("text_body"), F.col("e1_start"), F.col("e2_end"), context_chars, context_chars, F.col("text_len"))
+    return j.select(*keep, between.alias("between"), F.concat_ws(" [SEP] ", "e1_text", between, "e2_text").alias("sample"),
                     ctx.alias("context"))
 
 

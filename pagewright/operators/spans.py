@@ -3,40 +3,58 @@
 Overlap resolution is a greedy choice: longest span first, then earliest
 start, then best source priority; a span is accepted if it overlaps no span
 accepted before it.  Spans in different *islands* (maximal runs of
-overlapping candidates, found with one running-max window) never conflict,
-so the greedy runs per island: candidates are grouped by ``(doc_id, island)``
-(no exchange: the input is partitioned by ``doc_id``); a one-candidate island
-is kept as is, a larger one is resolved with ``aggregate`` over its sorted
-candidates - an array bounded by the island's length, never by the article's.
+overlapping candidates, found with one running-max window) never conflict:
+
+* a candidate that is alone in its island is kept as it is;
+* an island of up to ``LONG_ISLAND`` candidates is resolved in one row;
+* a longer one, where overlaps chain through an article, is resolved by rounds over its
+  candidates, one per length, the longest first: among spans of one length the greedy takes
+  them from left to right, which a stream in order of place does with the last end in hand,
+  and what the kept spans overlap goes before the next round.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.operators.partitioning import text_side
+from pagewright.operators.partitioning import stored, text_side
+
+#: Candidates of an island that one row may hold.
+LONG_ISLAND = 256
+
+
+def islands(matches: DataFrame) -> DataFrame:
+    """``matches`` with ``_island``, the number of a candidate's island in its article, and
+    ``_size``, the number of candidates in it."""
+    cols = matches.columns
+    by = Window.partitionBy("doc_id").orderBy("start", "end", "priority", "label")
+    reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    m = matches.select(*cols, (reach.isNull() | (F.col("start") >= reach)).cast("int").alias("_new"))
+    m = m.select(*cols, F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("_island"))
+    return m.select("*", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "_island")).alias("_size"))
 
 
 def resolve_overlaps(matches: DataFrame) -> DataFrame:
     """Keep a non-overlapping subset of candidate matches (same columns out).
 
     Spans are token-aligned, so two spans overlap in tokens exactly when their
-    character intervals ``[start, end)`` overlap; islands and clashes are
-    tested on character offsets, which are global to the article even when
-    tokens were numbered per chunk.  Order of preference: more tokens, earlier
-    start, better priority, label.  One running-max window numbers the
-    islands; one aggregate per ``(doc_id, island)`` resolves them.  The input
-    is already partitioned by ``doc_id``, which satisfies both, so neither adds
-    an exchange, and the lineage is walked once.
+    character intervals ``[start, end)`` overlap, which is what is tested.  Order of
+    preference: more tokens, earlier start, better priority, label.  The candidates are
+    written with their islands, so they are matched once however often the result is read.
     """
     cols = matches.columns
-    w = Window.partitionBy("doc_id").orderBy("start", "end", "priority", "label")
-    prev_end = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    new_island = F.col("_prev_end").isNull() | (F.col("start") >= F.col("_prev_end"))
-    m = matches.select(*cols, prev_end.alias("_prev_end"))
-    m = m.select(*cols, F.sum(new_island.cast("int")).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)).alias("_island"))
+    m = stored(islands(matches))
+    out = m.where("_size = 1").select(*cols).unionByName(_resolve_rows(m.where(f"_size BETWEEN 2 AND {LONG_ISLAND}"), cols))
+    if (m.agg(F.max("_size")).first()[0] or 0) > LONG_ISLAND:
+        out = out.unionByName(_resolve_rounds(m.where(f"_size > {LONG_ISLAND}"), cols))
+    return out
+
+
+def _resolve_rows(m: DataFrame, cols: list[str]) -> DataFrame:
     rest = [c for c in cols if c not in ("doc_id", "start", "priority", "label")]
     crowd = m.groupBy("doc_id", "_island").agg(F.sort_array(F.collect_list(F.struct(
         (-F.col("n_tokens")).alias("neg_len"), "start", "priority", "label", *rest))).alias("c"))
@@ -45,11 +63,36 @@ def resolve_overlaps(matches: DataFrame) -> DataFrame:
         clash = F.exists(acc, lambda a: (a["start"] < x["end"]) & (x["start"] < a["end"]))
         return F.when(clash, acc).otherwise(F.concat(acc, F.array(x)))
 
-    first = F.slice("c", 1, 1)          # the best candidate of an island is always kept
-    kept = F.when(F.size("c") == 1, F.col("c")).otherwise(
-        F.aggregate(F.slice("c", 2, F.size("c")), first, step))
+    kept = F.aggregate(F.slice("c", 2, F.size("c")), F.slice("c", 1, 1), step)
     out = crowd.select("doc_id", F.explode(kept).alias("x"))
-    return out.select("doc_id", *[F.col(f"x.{c}").alias(c) for c in cols if c != "doc_id"])
+    return out.select("doc_id", *[F.col(f"x.{c}").alias(c) for c in cols if c != "doc_id"]).select(*cols)
+
+
+def _from_left(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of spans in order of article, island and place, those that begin where the last kept one has ended."""
+    key, end = None, 0
+    for pdf in batches:
+        keep = []
+        for k, start, stop in zip(zip(pdf["doc_id"], pdf["_island"]), pdf["start"], pdf["end"]):
+            if k != key or start >= end:
+                key, end = k, stop
+                keep.append(True)
+            else:
+                keep.append(False)
+        yield pdf[keep]
+
+
+def _resolve_rounds(m: DataFrame, cols: list[str]) -> DataFrame:
+    """Long islands, a round per length; kept and live spans are written between rounds."""
+    live = stored(m.drop("_size"))
+    kept = None
+    for n in sorted((r[0] for r in live.select("n_tokens").distinct().collect()), reverse=True):
+        one = live.where(F.col("n_tokens") == n).repartition("doc_id", "_island").sortWithinPartitions(
+            "doc_id", "_island", "start", "priority", "label")
+        one = stored(one.mapInPandas(_from_left, one.schema))
+        kept = one if kept is None else kept.unionByName(one)
+        live = stored(drop_overlapping(live.where(F.col("n_tokens") < n), one))
+    return kept.select(*cols)
 
 
 def slice_text(text: Column, start: Column, end: Column) -> Column:
@@ -65,16 +108,20 @@ def window_text(text: Column, start: Column, end: Column, before: int, after: in
     return slice_text(text, lo, hi)
 
 
-def attach_context(spans: DataFrame, docs: DataFrame, context_chars: int = 50) -> DataFrame:
-    """``text[start-50 : end+50]`` of each span (join back to the article by doc_id).
+def attach_context(spans: DataFrame, docs: DataFrame | None = None, context_chars: int = 50) -> DataFrame:
+    """``text[start-50 : end+50]`` of each span.
 
-    Run it after any dedupe: every call walks the article's UTF-8 bytes up to
-    the span, so only the spans that are kept should pay for it.
+    From the window that a span carries (``win``, ``win_start``), which reaches that far;
+    spans without one are joined back to the text of ``docs``.
     """
+    keep = [c for c in spans.columns if c not in ("win", "win_start")]
+    if "win" in spans.columns:
+        low = F.greatest(F.col("start") - context_chars, F.lit(0))
+        cut = F.substring("win", (low - F.col("win_start") + 1).cast("int"), (F.col("end") + context_chars - low).cast("int"))
+        return spans.select(*spans.columns, cut.alias("context"))
     j = spans.join(text_side(docs), "doc_id")
-    return j.select(*spans.columns,
-                    window_text(F.col("text_body"), F.col("start"), F.col("end"),
-                                context_chars, context_chars, F.col("text_len")).alias("context"))
+    return j.select(*keep, window_text(F.col("text_body"), F.col("start"), F.col("end"),
+                                       context_chars, context_chars, F.col("text_len")).alias("context"))
 
 
 def first_occurrence(entities: DataFrame) -> DataFrame:
@@ -83,7 +130,7 @@ def first_occurrence(entities: DataFrame) -> DataFrame:
     An aggregate (partial on the map side) rather than a window.  Works with or
     without a ``context`` column.
     """
-    carry = [c for c in ("start", "end", "text", "context", "source") if c in entities.columns]
+    carry = [c for c in ("start", "end", "text", "context", "source", "win_start", "win") if c in entities.columns]
     g = entities.groupBy("doc_id", "label", F.lower("text").alias("_k")).agg(
         F.min(F.struct(*carry)).alias("f"))
     return g.select("doc_id", "label", *[F.col(f"f.{c}").alias(c) for c in carry])
@@ -101,13 +148,14 @@ def drop_overlapping(candidates: DataFrame, blockers: DataFrame, bucket: int = 2
     displaced by gazetteer matches.  Overlap is an interval test, so both sides
     are exploded over the fixed-width character buckets they touch (a span
     covers one or two buckets) and equi-joined on ``(doc_id, bucket)``; the
-    candidates found overlapping are removed with an anti join on their key.
+    intervals found overlapping are removed with an anti join.
     """
     def buckets(df):
         return F.explode(F.sequence(F.floor(F.col("start") / bucket),
                                     F.floor((F.greatest(F.col("end"), F.col("start") + 1) - 1) / bucket)))
-    key = ["doc_id", "tok_start", "tok_end", "label"]
-    c = candidates.select(*key, "start", "end", buckets(candidates).alias("bucket"))
+    key = ["doc_id", "start", "end"]
+    c = candidates.select(*key).distinct()
+    c = c.select(*key, buckets(c).alias("bucket"))
     b = blockers.select("doc_id", F.col("start").alias("b_start"), F.col("end").alias("b_end"),
                         buckets(blockers).alias("bucket"))
     hit = c.join(b, ["doc_id", "bucket"]).where((F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end")))

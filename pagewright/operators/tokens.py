@@ -1,13 +1,12 @@
 """Tokens with exact character offsets, without a UDF.
 
 A text is cut into *pieces*: one token plus the whitespace that follows it
-(``regexp_extract_all``).  A token's start offset is the running sum of the lengths
-of the pieces before it, a window over ``(doc_id ORDER BY pos)``.  Lengths count code points, as Python
-slicing does; regex match positions (UTF-16 in Java) are never used.
+(``regexp_extract_all``).  A token's start offset is the sum of the lengths of the pieces
+before it.  Lengths count code points, as Python slicing does; regex match positions
+(UTF-16 in Java) are never used.
 
-The window is partitioned by ``doc_id``; callers hand in documents already
-hash-partitioned by ``doc_id`` (see :func:`pagewright.operators.partitioning.by_doc`)
-so it adds no exchange.
+``token_arrays`` keeps the tokens of an article in its row, so what is done with them there
+needs no exchange, sort or window; ``tokenize`` gives a row per token.
 """
 
 from __future__ import annotations
@@ -44,6 +43,45 @@ def normalize_name(col: Column) -> Column:
     return F.array_join(token_array(col), " ")
 
 
+#: Offsets are summed in blocks of this many pieces, or more where that would give over 1024 blocks.
+OFFSET_BLOCK, OFFSET_BLOCKS = 16, 1024
+
+
+def token_arrays(docs: DataFrame, *keep: str, text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` and arrays in each row: ``toks`` (tokens), ``pieces`` (token and
+    white space), and what :func:`offset_of` reads: ``lens``, ``lead``, ``block``, ``upto``.
+
+    Offsets of all pieces would be as many running sums; here only sums over blocks are
+    kept, and the offset of a token that is asked for adds the few lengths inside its block.
+    Null text has no tokens.
+    """
+    a = docs.select(*keep, F.regexp_extract_all(F.col(text_col), F.lit(SPARK_PIECE_RE), 0).alias("_p"),
+                    F.regexp_extract_all(F.col(text_col), F.lit(SPARK_TOKEN_RE), 0).alias("toks"))
+    # white space at the start is a piece without a token
+    spare = F.size("_p") > F.size("toks")
+    a = a.select(*keep, "toks", F.when(spare, F.slice("_p", 2, F.greatest(F.size("_p"), F.lit(1)))).otherwise(F.col("_p")).alias("pieces"),
+                 F.when(spare, F.length(F.col("_p")[0])).otherwise(0).alias("lead"))
+    a = a.select(*keep, "toks", "pieces", "lead", F.transform("pieces", F.length).alias("lens"),
+                 F.greatest(F.lit(OFFSET_BLOCK), F.ceil(F.size("toks") / OFFSET_BLOCKS)).cast("int").alias("block"))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size("lens") - 1, F.lit(0)) / F.col("block")).cast("int")),
+                         lambda b: F.aggregate(F.slice("lens", b * F.col("block") + 1, F.col("block")), F.lit(0), lambda acc, x: acc + x))
+    a = a.select("*", blocks.alias("_sums"))
+    upto = F.aggregate("_sums", F.array(F.col("lead")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+    return a.select(*keep, "toks", "pieces", "lens", "lead", "block", upto.alias("upto"))
+
+
+def offset_of(i: Column) -> Column:
+    """The start of token ``i`` (from 0) of a row of :func:`token_arrays`; null beyond the last.
+
+    For use inside lambdas.  The arrays are named more than once, so that Spark keeps them as
+    columns: it would put an expression that is named once in its place, for every element.
+    """
+    b = F.floor(i / F.col("block")).cast("int")
+    inside = F.slice("lens", b * F.col("block") + 1, i - b * F.col("block"))
+    start = (F.get("upto", b) + F.aggregate(inside, F.lit(0), lambda acc, x: acc + x)).cast("long")
+    return F.when((F.size("lens") > i) & (F.size("upto") > b), start)
+
+
 def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, pos, token, norm, start, end, piece)``; offsets are 0-based, end exclusive.
 
@@ -70,37 +108,22 @@ def chunk_pattern(chunk_chars: int) -> str:
     return rf"(?s).{{1,{chunk_chars}}}+{NOT_WS}*+{WS}*+"
 
 
-def tokenize_chunked(docs: DataFrame, chunk_chars: int, lookahead: int, partitions: int,
-                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Tokens of (possibly huge) articles, spread over tasks chunk by chunk.
+def chunk_rows(docs: DataFrame, chunk_chars: int, lookahead: int, text_col: str = "text") -> DataFrame:
+    """``doc_id, text, base, own``: chunks of (possibly huge) articles, spread over tasks.
 
-    Same columns as :func:`tokenize` plus ``part`` (chunk index) and ``ext``.
-    Each chunk is tokenized together with the ``lookahead`` tokens that follow it
-    (flagged ``ext``), over as many chunks as that takes, so n-grams that cross
-    chunk boundaries are still seen; offsets are global (chunk base offset from a window over
-    the article's chunk rows + running sum inside the chunk).  Positions
-    (``pos``) are local to the chunk.
+    ``text`` is the chunk, of ``own`` characters, and the ``lookahead`` tokens that follow it,
+    over as many chunks as that takes, so n-grams that cross chunk boundaries are still seen;
+    ``base`` is the chunk's offset, from a window over the article's chunk rows.
     """
-    ch = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(
+    ch = docs.select("doc_id", F.posexplode(
         F.regexp_extract_all(F.col(text_col), F.lit(chunk_pattern(chunk_chars)), 0)).alias("part", "chunk"))
     wc = Window.partitionBy("doc_id").orderBy("part")
     head = rf"\A(?:{WS}*+(?:{SPARK_TOKEN_RE})){{0,{lookahead}}}{WS}*+"
     ch = ch.withColumn("head", F.regexp_extract("chunk", head, 0))
     # each further chunk has a token, so this many hold enough
     ahead = F.concat(F.lit(""), *[F.coalesce(F.lead("head", j).over(wc), F.lit("")) for j in range(1, lookahead + 1)])
-    ch = ch.select("doc_id", "part", "chunk",
-                   F.coalesce(F.sum(F.length("chunk")).over(wc.rowsBetween(Window.unboundedPreceding, -1)),
-                              F.lit(0)).alias("base"),
-                   F.regexp_extract(ahead, head, 0).alias("ext_text"))
-    ch = ch.repartition(partitions, "doc_id", "part")
-    pieces = ch.select("doc_id", "part", "base", F.length("chunk").alias("clen"), F.posexplode(
-        F.regexp_extract_all(F.concat("chunk", "ext_text"), F.lit(SPARK_PIECE_RE), 0)).alias("pos", "piece"))
-    w = Window.partitionBy("doc_id", "part").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    local = F.coalesce(F.sum(F.length("piece")).over(w), F.lit(0))
-    token = F.regexp_extract(F.col("piece"), SPARK_TOKEN_AT_START_RE, 0)
-    out = pieces.select("doc_id", "part", "pos", "piece", "base", "clen", token.alias("token"),
-                        local.alias("lstart")).where(F.col("token") != "")
-    return out.select("doc_id", "part", "pos", "token", F.lower("token").alias("norm"),
-                      (F.col("base") + F.col("lstart")).alias("start"),
-                      (F.col("base") + F.col("lstart") + F.length("token")).alias("end"), "piece",
-                      (F.col("lstart") >= F.col("clen")).alias("ext"))
+    base = F.coalesce(F.sum(F.length("chunk")).over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ch = ch.select("doc_id", "part", "chunk", base.alias("base"), F.regexp_extract(ahead, head, 0).alias("ahead"))
+    return ch.repartition("doc_id", "part").select(
+        "doc_id", F.concat("chunk", "ahead").alias("text"), F.col("base").cast("long").alias("base"),
+        F.length("chunk").cast("long").alias("own"))

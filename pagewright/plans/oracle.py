@@ -218,8 +218,26 @@ def token_ctes(docs: str) -> list[str]:
     ]
 
 
-def match_ctes(docs: str, context_chars: int = 50) -> list[str]:
-    """Candidates (m), kept spans (kept), mentions with text (ments), first occurrences (ents)."""
+def greedy_ctes() -> list[str]:
+    """The greedy over candidates ``m``, as it is told: within an island, best first, each is kept
+    unless it overlaps one kept before (``kept``)."""
+    place = "PARTITION BY doc_id ORDER BY start, en, priority, label"
+    return [
+        f"isl0 AS (SELECT *, max(en) OVER ({place} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM m)",
+        f"isl AS (SELECT *, sum(CASE WHEN before IS NULL OR start >= before THEN 1 ELSE 0 END) OVER ({place} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM isl0)",
+        "rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id, island ORDER BY n_tokens DESC, start, priority, label) AS r FROM isl)",
+        "gr AS (SELECT doc_id, island, r, true AS keep, [struct_pack(s := start, e := en)] AS took FROM rk WHERE r = 1 "
+        "UNION ALL SELECT doc_id, island, r, NOT clash, CASE WHEN clash THEN took ELSE list_append(took, struct_pack(s := start, e := en)) END "
+        "FROM (SELECT k.doc_id, k.island, k.r, k.start, k.en, gr.took, "
+        "len(list_filter(gr.took, lambda x: x.s < k.en AND k.start < x.e)) > 0 AS clash "
+        "FROM gr JOIN rk k ON k.doc_id = gr.doc_id AND k.island = gr.island AND k.r = gr.r + 1) z)",
+        "kept AS (SELECT rk.* FROM rk JOIN gr ON gr.doc_id = rk.doc_id AND gr.island = rk.island AND gr.r = rk.r WHERE gr.keep)"]
+
+
+def match_ctes(docs: str, context_chars: int = 50, blockers: str | None = None) -> list[str]:
+    """Candidates (m), kept spans (kept), mentions with text (ments), first occurrences (ents);
+    ``blockers`` (doc_id, start, en): spans that no candidate may overlap."""
     leads = ", ".join(f"lead(lower(token), {k}) OVER w AS n{k}, lead(start + length(token), {k}) OVER w AS e{k}, "
                       f"lead(token, {k}) OVER w AS t{k}" for k in range(1, ORACLE_MAX_N))
     grams = ["SELECT doc_id, pos, start, 1 AS n_tokens, norm AS key, token AS ekey, en FROM t"]
@@ -227,9 +245,8 @@ def match_ctes(docs: str, context_chars: int = 50) -> list[str]:
         key = "norm || " + " || ".join(f"' ' || n{j}" for j in range(1, k))
         ekey = "token || " + " || ".join(f"' ' || t{j}" for j in range(1, k))
         grams.append(f"SELECT doc_id, pos, start, {k}, {key}, {ekey}, e{k - 1} FROM t WHERE n{k - 1} IS NOT NULL")
-    better = ("b.n_tokens > a.n_tokens OR (b.n_tokens = a.n_tokens AND (b.tok_start < a.tok_start OR "
-              "(b.tok_start = a.tok_start AND (b.priority < a.priority OR "
-              "(b.priority = a.priority AND b.label < a.label)))))")
+    free = (f" WHERE NOT EXISTS (SELECT 1 FROM {blockers} b WHERE b.doc_id = c.doc_id AND b.start < c.en AND c.start < b.en)"
+            if blockers else "")
     lo = f"greatest(k.start - {context_chars}, 0)"
     hi = f"least(k.en + {context_chars}, length(d.text))"
     return [
@@ -238,9 +255,8 @@ def match_ctes(docs: str, context_chars: int = 50) -> list[str]:
         "cand AS (" + " UNION ALL ".join(grams) + ")",
         "m AS (SELECT c.doc_id, c.pos AS tok_start, c.pos + c.n_tokens AS tok_end, c.n_tokens, c.start, "
         "c.en, g.label, g.source, g.priority FROM cand c JOIN gz g "
-        "ON c.key = g.key AND (NOT g.exact OR c.ekey = g.ekey))",
-        f"kept AS (SELECT * FROM m a WHERE NOT EXISTS (SELECT 1 FROM m b WHERE b.doc_id = a.doc_id "
-        f"AND b.tok_start < a.tok_end AND a.tok_start < b.tok_end AND ({better})))",
+        f"ON c.key = g.key AND (NOT g.exact OR c.ekey = g.ekey){free})",
+        *greedy_ctes(),
         f"ments AS (SELECT k.doc_id, k.label, k.source, k.start, k.en, "
         f"substring(d.text, k.start + 1, k.en - k.start) AS text, "
         f"CASE WHEN {hi} > {lo} THEN substring(d.text, {lo} + 1, {hi} - {lo}) ELSE '' END AS context "

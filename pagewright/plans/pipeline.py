@@ -3,28 +3,33 @@
 ``extract_knowledge`` is the per-article extraction (entities, aliases,
 relationships) over an ``(doc_id, text)`` DataFrame; ``process_pages`` is the
 full page-table pipeline (assembly, cleaning, metadata, extraction).  All
-articles go through one plan; the only wide dependencies are the assembly
-by ``doc_id``, the island/dedupe aggregates and the bucketed pair join.
+articles go through one plan.  The text of an article is shuffled by the assembly of its
+pages alone: matches leave the scan with the text around them, and what follows (islands,
+first occurrences, pairs) exchanges only those.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.config import COMPAT, PipelineConfig
 from pagewright.functions import metadata as M
 from pagewright.functions import text as T
+from pagewright.operators import hooks as HK
 from pagewright.operators.aliases import extract_aliases
-from pagewright.operators.gazetteer import match_gazetteer, prepare_gazetteer
-from pagewright.operators.partitioning import by_doc, text_partitions
+from pagewright.operators.gazetteer import Gazetteer, match_gazetteer
+from pagewright.operators.partitioning import stored
 from pagewright.operators.relations import entity_pairs, pair_text, per_article_counts, score_relations
 from pagewright.operators.spans import attach_context, drop_overlapping, first_occurrence, resolve_overlaps
-from pagewright.operators.tokens import tokenize, tokenize_chunked
 from pagewright.sources.pages import assemble_articles
 
+Scorer = Callable[[pd.DataFrame], pd.DataFrame]
+
 
 @dataclass
 class Extraction:
@@ -34,64 +39,65 @@ class Extraction:
     relations: DataFrame     # doc_id, entity1, entity1_type, entity2, entity2_type, relation, confidence, context
 
 
-def materialize(df: DataFrame, how: str) -> DataFrame:
-    """Keep a DataFrame that several branches of one plan read from being recomputed.
-
-    ``persist``: executor memory/disk (lost blocks are recomputed from lineage);
-    ``checkpoint``: written to the shared ``spark.checkpoint.dir`` (lineage cut,
-    nothing to recompute after an executor loss); ``none``: stay lazy.
-    """
-    if how == "persist":
-        from pyspark import StorageLevel
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    if how == "checkpoint":
-        from pagewright.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df
+def gazetteer_of(gazetteer: DataFrame | Gazetteer, cfg: PipelineConfig = PipelineConfig()) -> Gazetteer:
+    if isinstance(gazetteer, Gazetteer):
+        return gazetteer
+    return Gazetteer(gazetteer, cfg.extract.broadcast_max_bytes, cfg.extract.inline_firsts)
 
 
-def entity_mentions(docs: DataFrame, gazetteer: DataFrame, cfg: PipelineConfig = PipelineConfig(),
-                    max_n: int | None = None, blockers: DataFrame | None = None) -> DataFrame:
-    """J1 + J8: non-overlapping vocabulary spans with their surface text (no context).
+def entity_mentions(docs: DataFrame, gazetteer: DataFrame | Gazetteer, cfg: PipelineConfig = PipelineConfig(),
+                    blockers: DataFrame | None = None, before: int = 0, after: int = 0) -> DataFrame:
+    """J1 + J8: non-overlapping vocabulary spans with their surface text, and with the text
+    around them (``win``) where ``before``/``after`` ask for it.
 
     ``blockers`` (doc_id, start, end): existing entities, e.g. from a model
     hook, that gazetteer matches may not overlap (reference behaviour).
     """
-    if cfg.extract.chunk_chars:
-        # long articles: tokenize chunk by chunk on many tasks (look-ahead = longest phrase - 1)
-        gazetteer, max_n_gz, _ = prepare_gazetteer(gazetteer, cfg.extract.broadcast_max_rows)
-        max_n = max_n or max_n_gz
-        toks = tokenize_chunked(docs, cfg.extract.chunk_chars, max(max_n - 1, 0), text_partitions(docs))
-    else:
-        toks = tokenize(docs)
-    cands = match_gazetteer(toks, gazetteer, max_n, cfg.extract.broadcast_max_rows)
+    cands = match_gazetteer(docs, gazetteer_of(gazetteer, cfg), before, after, cfg.extract.chunk_chars)
     if blockers is not None:
-        cands = drop_overlapping(cands, blockers, cfg.extract.range_bucket)
+        cands = drop_overlapping(stored(cands), blockers, cfg.extract.range_bucket)
     kept = resolve_overlaps(cands)
-    return kept.select("doc_id", "label", "source", "start", "end", "text")
+    return kept.select("doc_id", "label", "source", "start", "end", "text", *[c for c in ("win_start", "win") if c in kept.columns])
 
 
-def first_entities(docs: DataFrame, mentions: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
-    """A5 + E3: first occurrence per (article, label, lower text), then its context."""
-    return attach_context(first_occurrence(mentions), docs, cfg.extract.context_chars) \
+def first_entities(docs: DataFrame, gazetteer: DataFrame | Gazetteer, cfg: PipelineConfig = PipelineConfig(),
+                   blockers: DataFrame | None = None) -> DataFrame:
+    """A5 + E3: first occurrence per (article, label, lower text), and its context."""
+    reach = 0 if cfg.extract.chunk_chars else cfg.extract.context_chars
+    ments = entity_mentions(docs, gazetteer, cfg, blockers, reach, reach)
+    return attach_context(first_occurrence(ments), docs, cfg.extract.context_chars) \
         .select("doc_id", "label", "text", "start", "end", "context", "source")
 
 
-def extract_knowledge(docs: DataFrame, gazetteer: DataFrame, cfg: PipelineConfig = PipelineConfig(),
-                      max_n: int | None = None, partitioned: bool = False) -> Extraction:
-    if not partitioned:
-        docs = by_doc(docs)
-    mentions = materialize(entity_mentions(docs, gazetteer, cfg, max_n), cfg.extract.materialize)
-    # Entities feed both sides of the pair join and the per-article counts.
-    # One explicit exchange (small rows) gives every consumer the same
-    # reusable shuffle, so tokenizing and matching run once per plan.
-    entities = first_entities(docs, mentions, cfg).repartition(text_partitions(docs), "doc_id")
-    aliases = extract_aliases(docs)
-    pairs = entity_pairs(entities, cfg.extract.max_pair_gap, cfg.extract.range_bucket)
-    rels = score_relations(pair_text(pairs, docs, cfg.extract.pair_context_chars),
-                           cfg.extract.min_confidence)
-    return Extraction(entities, mentions, aliases, rels)
+def extract_knowledge(docs: DataFrame, gazetteer: DataFrame | Gazetteer, cfg: PipelineConfig = PipelineConfig(),
+                      span_scorer: Scorer | None = None, word_scorer: Scorer | None = None) -> Extraction:
+    """Entities, mentions, aliases and relationships of ``(doc_id, text)``.
+
+    ``span_scorer`` (X4) maps a pandas frame ``(doc_id, text)`` to existing entities
+    ``(doc_id, label, start, end)``: they are entities themselves, and no vocabulary match
+    may overlap them.  ``word_scorer`` (X1) gives ``(doc_id, label, word)``; words that the text
+    holds join the entities unless their label has the same text already (J9, U2).  Each
+    scorer sees every article once.
+    """
+    ex = cfg.extract
+    whole = not ex.chunk_chars
+    before, after = (max(ex.context_chars, ex.pair_context_chars), max(ex.context_chars, ex.max_pair_gap, ex.pair_context_chars)) if whole else (0, 0)
+    blockers = None
+    if span_scorer is not None:
+        blockers = stored(HK.model_spans(docs, span_scorer, before, after))
+    # the candidates are written inside, so mentions, entities, pairs and counts match once
+    mentions = entity_mentions(docs, gazetteer, cfg, blockers, before, after)
+    if blockers is not None:
+        own = blockers if whole else blockers.drop("win_start", "win")
+        mentions = mentions.unionByName(own.select(*mentions.columns))
+    ents = first_occurrence(mentions)
+    if word_scorer is not None:
+        ents = HK.merge_entities(ents, HK.locate_words(docs, word_scorer, before, after).select(*ents.columns))
+    ents = stored(attach_context(ents, docs, ex.context_chars))
+    pairs = entity_pairs(ents, ex.max_pair_gap, ex.range_bucket)
+    rels = score_relations(pair_text(pairs, docs, ex.pair_context_chars), ex.min_confidence)
+    return Extraction(ents.select("doc_id", "label", "text", "start", "end", "context", "source"),
+                      mentions.select("doc_id", "label", "source", "start", "end", "text"), extract_aliases(docs), rels)
 
 
 def clean_articles(pages: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
@@ -113,17 +119,26 @@ def clean_articles(pages: DataFrame, cfg: PipelineConfig = PipelineConfig()) ->
     return arts.select("doc_id", "raw_text", cleaned.alias("text"))
 
 
-def process_pages(pages: DataFrame, gazetteer: DataFrame, cfg: PipelineConfig = PipelineConfig()):
+def process_pages(pages: DataFrame, gazetteer: DataFrame | Gazetteer, cfg: PipelineConfig = PipelineConfig(),
+                  span_scorer: Scorer | None = None, word_scorer: Scorer | None = None, name_scorer: Scorer | None = None):
     """The whole article pipeline: returns (articles, Extraction, counts).
 
     Metadata comes from the cleaned text in compat mode (as the reference
-    does) and from the raw assembled text in corrected mode.
+    does) and from the raw assembled text in corrected mode.  With
+    ``cfg.clean.remove_names`` what ``name_scorer`` calls a PERSON is masked in the cleaned
+    text (H5) before anything is read from it.  The cleaned articles are written
+    once, and metadata, aliases, scorers and matching read them.
     """
-    arts = clean_articles(pages, cfg)          # hash-partitioned by doc_id by the assembly
+    arts = clean_articles(pages, cfg)
+    if cfg.clean.remove_names:
+        if name_scorer is None:
+            raise ValueError("remove_names needs a scorer that finds names")
+        arts = HK.mask_scored_names(arts, name_scorer, word_aligned=cfg.mode != COMPAT)
+    arts = stored(arts)
     default = F.lit(cfg.default_date) if cfg.default_date else None
     meta_src = F.col("text") if cfg.mode == COMPAT else F.col("raw_text")
     articles = arts.select("doc_id", "text", M.metadata_struct(meta_src, default).alias("m")) \
         .select("doc_id", "m.*", F.col("text").alias("processed_text"))
-    ex = extract_knowledge(arts.select("doc_id", "text"), gazetteer, cfg, partitioned=True)
-    counts = per_article_counts(arts, ex.entities, ex.relations, ex.aliases)
-    return articles, ex, counts
+    found = extract_knowledge(arts.select("doc_id", "text"), gazetteer, cfg, span_scorer, word_scorer)
+    counts = per_article_counts(arts, found.entities, found.relations, found.aliases)
+    return articles, found, counts

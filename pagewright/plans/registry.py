@@ -37,7 +37,7 @@ def register(name: str, oracle_sql: str | None = None):
 
 
 def with_ctes(*ctes: str) -> str:
-    return "WITH " + ", ".join(ctes) + " "
+    return "WITH RECURSIVE " + ", ".join(ctes) + " "
 
 
 # ---------------------------------------------------------------- P0: pages
@@ -147,7 +147,7 @@ from pagewright.operators import aliases as AL  # noqa: E402
 from pagewright.operators import relations as RL  # noqa: E402
 from pagewright.operators import spans as SP  # noqa: E402
 from pagewright.operators import tokens as TK  # noqa: E402
-from pagewright.operators.partitioning import by_doc  # noqa: E402
+from pagewright.operators.partitioning import stored  # noqa: E402
 from pagewright.plans import pipeline as PL  # noqa: E402
 from pagewright.sources import vocab as V  # noqa: E402
 
@@ -157,7 +157,7 @@ def _gazetteer(spark, sf_dir):
 
 
 def _docs(spark, sf_dir):
-    return by_doc(FX.fx_articles(spark, sf_dir))
+    return FX.fx_articles(spark, sf_dir)
 
 
 def _extract_ctes():
@@ -179,11 +179,17 @@ def q_gazetteer_union(spark, sf_dir):
             "sum(CASE WHEN substring(d.text, t.start + 1, length(t.token)) = t.token THEN 0 ELSE 1 END) "
             "AS n_bad_offsets FROM toks t JOIN fx_articles d ON t.doc_id = d.doc_id GROUP BY t.doc_id")
 def q_token_offsets(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    t = TK.tokenize(docs).join(docs, "doc_id")
-    bad = F.when(F.substring("text", F.col("start") + 1, F.length("token")) == F.col("token"), 0).otherwise(1)
-    return t.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"), F.sum("start").alias("sum_start"),
-                                   F.max("end").alias("max_end"), F.sum(bad).alias("n_bad_offsets"))
+    """All offsets of all tokens, summed in each article's row.  An offset is wrong if a piece does not
+    begin with its token, or if the pieces are not the text."""
+    t = TK.token_arrays(_docs(spark, sf_dir), "doc_id", "text")
+    zip_ = F.arrays_zip("toks", "pieces")
+    wrong = F.size(F.filter(zip_, lambda z: ~F.startswith(z["pieces"], z["toks"])))
+    whole = F.length("text") == F.col("lead") + F.length(F.array_join("pieces", ""))
+    t = t.select("doc_id", F.size("toks").alias("n"), whole.alias("whole"), wrong.alias("wrong"),
+                 (F.length("text") - F.length(F.element_at("pieces", -1)) + F.length(F.element_at("toks", -1))).alias("max_end"),
+                 F.aggregate(F.transform("toks", lambda x, i: TK.offset_of(i)), F.lit(0).cast("long"), lambda acc, x: acc + x).alias("sum_start"))
+    return t.where("n > 0").select("doc_id", F.col("n").cast("long").alias("n_tokens"), "sum_start", F.col("max_end").cast("long").alias("max_end"),
+                                   F.when(F.col("whole"), F.col("wrong")).otherwise(F.col("n")).cast("long").alias("n_bad_offsets"))
 
 
 @register("entity_match",
@@ -199,8 +205,7 @@ def q_entity_match(spark, sf_dir):
           with_ctes(*_extract_ctes())
           + 'SELECT doc_id, label, text, start, en AS "end", context, source FROM ents')
 def q_entity_first(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    return PL.first_entities(docs, PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
+    return PL.first_entities(_docs(spark, sf_dir), _gazetteer(spark, sf_dir))
 
 
 @register("entity_counts",
@@ -232,9 +237,8 @@ def q_acronym_typing(spark, sf_dir):
             "between_text, e1_text || ' [SEP] ' || between_text || ' [SEP] ' || e2_text AS sample, context "
             "FROM prs")
 def q_entity_pairs(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    ents = PL.first_entities(docs, PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
-    p = RL.pair_text(RL.entity_pairs(ents), docs)
+    ents = stored(SP.first_occurrence(PL.entity_mentions(_docs(spark, sf_dir), _gazetteer(spark, sf_dir), before=20, after=200)))
+    p = RL.pair_text(RL.entity_pairs(ents))
     return p.select("doc_id", "e1_text", "e1_label", "e1_start", "e2_text", "e2_label", "e2_start",
                     F.col("between").alias("between_text"), "sample", "context")
 
@@ -259,8 +263,8 @@ def q_relations(spark, sf_dir):
             "LEFT JOIN (SELECT doc_id, count(*) AS n FROM rels GROUP BY doc_id) r ON r.doc_id = d.doc_id "
             "LEFT JOIN (SELECT doc_id, count(*) AS n FROM als GROUP BY doc_id) a ON a.doc_id = d.doc_id")
 def q_relation_counts(spark, sf_dir):
-    docs = by_doc(FX.fx_articles(spark, sf_dir))
-    ex = PL.extract_knowledge(docs, _gazetteer(spark, sf_dir), partitioned=True)
+    docs = _docs(spark, sf_dir)
+    ex = PL.extract_knowledge(docs, _gazetteer(spark, sf_dir))
     return RL.per_article_counts(docs, ex.entities, ex.relations, ex.aliases)
 
 
@@ -499,16 +503,13 @@ def q_article_pipeline(spark, sf_dir):
 # ------------------------------------------------------ store, hooks, quality
 
 from pagewright.operators import hooks as HK  # noqa: E402
-from pagewright.operators import hooks as HKN  # noqa: E402
-from pagewright.operators import tokens as TKN  # noqa: E402
 from pagewright.operators import quality as QL  # noqa: E402
 from pagewright.operators import store as ST  # noqa: E402
 from pagewright.sources import json_sources as JS  # noqa: E402
 
 
 def _entities(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    return PL.first_entities(docs, PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
+    return PL.first_entities(_docs(spark, sf_dir), _gazetteer(spark, sf_dir))
 
 
 @register("entity_citations",
@@ -538,9 +539,9 @@ def q_relation_citations(spark, sf_dir):
 
 
 _MODEL_SQL = (
-    f"mw0 AS (SELECT doc_id, unnest(regexp_extract_all(text, {O.q(TKN.TOKEN_RE)}, 0)) AS tok FROM fx_articles), "
+    f"mw0 AS (SELECT doc_id, unnest(regexp_extract_all(text, {O.q(TK.TOKEN_RE)}, 0)) AS tok FROM fx_articles), "
     f"mw AS (SELECT doc_id, 'MODEL_ACRONYM' AS label, tok AS word FROM mw0 "
-    f"WHERE regexp_full_match(tok, {O.q(HKN.TOY_WORD_RE)})), "
+    f"WHERE regexp_full_match(tok, {O.q(HK.TOY_WORD_RE)})), "
     "mloc AS (SELECT w.doc_id, w.label, w.word AS text, min(t.start) AS start FROM (SELECT DISTINCT * FROM mw) w "
     "JOIN toks t ON t.doc_id = w.doc_id AND t.token = w.word GROUP BY w.doc_id, w.label, w.word)")
 
@@ -551,13 +552,77 @@ _MODEL_SQL = (
             'SELECT doc_id, label, text, start, start + length(text), \'model\' FROM mloc m WHERE NOT EXISTS '
             '(SELECT 1 FROM ents e WHERE e.doc_id = m.doc_id AND e.label = m.label AND lower(e.text) = lower(m.text))')
 def q_model_entities(spark, sf_dir):
-    """X1/X4 + J9 + U2: a toy batch scorer through mapInPandas, located and merged
-    with the gazetteer entities."""
-    from pagewright.operators.tokens import tokenize
-    docs = _docs(spark, sf_dir)
-    ruler = PL.first_entities(docs, PL.entity_mentions(docs, _gazetteer(spark, sf_dir)))
-    model = HK.locate_words(HK.run_scorer(docs, HK.toy_acronym_scorer), tokenize(docs), docs)
-    return HK.merge_entities(ruler, model).select("doc_id", "label", "text", "start", "end", "source")
+    """X1 + J9 + U2: a toy batch scorer through mapInPandas, located and merged with the
+    gazetteer entities."""
+    found = PL.extract_knowledge(_docs(spark, sf_dir), _gazetteer(spark, sf_dir), word_scorer=HK.toy_acronym_scorer)
+    return found.entities.select("doc_id", "label", "text", "start", "end", "source")
+
+
+# words of one to four tokens, some of which no article has
+TOY_PHRASES = ["lobe", "Tau", "prion protein", "temporal lobe", "substantia nigra", "Alzheimer's disease", "positron emission tomography",
+               "Fluid (CSF)", "Neurofilament light chain", "rise first, and", "no such phrase", "hippo", "disease (PD) showed"]
+
+
+def toy_phrase_scorer(pdf):
+    """A stand-in scorer for tests: the same phrases for every article, labelled by their length or not at all."""
+    import pandas as pd
+    return pd.DataFrame([(d, "PHRASE" if len(w) % 2 else None, w) for d in pdf["doc_id"] for w in TOY_PHRASES], columns=["doc_id", "label", "word"])
+
+
+@register("model_phrases",
+          with_ctes(FX.fx_articles_cte(), *O.token_ctes("fx_articles"),
+                    "tl AS (SELECT doc_id, list(token ORDER BY pos) AS ts, list(start ORDER BY pos) AS st, "
+                    "chr(1) || string_agg(token, chr(1) ORDER BY pos) || chr(1) AS j FROM toks GROUP BY doc_id)",
+                    f"ph AS (SELECT word, CASE WHEN length(word) % 2 = 1 THEN 'PHRASE' ELSE 'Unknown' END AS label, "
+                    f"regexp_extract_all(word, {O.q(TK.TOKEN_RE)}, 0) AS w FROM ({O._values([(w,) for w in TOY_PHRASES])}) t(word))",
+                    "hit AS (SELECT doc_id, label, len(w) AS n, st, ts, instr(j, chr(1) || array_to_string(w, chr(1)) || chr(1)) AS place, j FROM tl, ph)",
+                    "loc AS (SELECT doc_id, label, n, st, ts, len(string_split(substring(j, 1, place - 1), chr(1))) - 1 AS i FROM hit WHERE place > 0)")
+          + "SELECT l.doc_id, l.label, l.st[i + 1] AS start, l.st[i + n] + length(l.ts[i + n]) AS \"end\", "
+            "substring(d.text, l.st[i + 1] + 1, l.st[i + n] + length(l.ts[i + n]) - l.st[i + 1]) AS text "
+            "FROM loc l JOIN fx_articles d ON d.doc_id = l.doc_id")
+def q_model_phrases(spark, sf_dir):
+    """J9 with words of several tokens, in every article."""
+    return HK.locate_words(_docs(spark, sf_dir), toy_phrase_scorer).select("doc_id", "label", "start", "end", "text")
+
+
+TOY_SPANS = ["disease (AD)", "p-tau", "in the", "entorhinal cortex and"]
+
+
+def toy_span_scorer(pdf):
+    """A stand-in for a statistical model: the first place of some strings in each article."""
+    import pandas as pd
+    rows = [(d, "MODEL", t.find(s), t.find(s) + len(s)) for d, t in zip(pdf["doc_id"], pdf["text"]) for s in TOY_SPANS if t and s in t]
+    return pd.DataFrame(rows, columns=["doc_id", "label", "start", "end"])
+
+
+_BLOCKED = [FX.fx_articles_cte(),
+            f"blk AS (SELECT doc_id, instr(text, s) - 1 AS start, instr(text, s) - 1 + length(s) AS en, s AS text "
+            f"FROM fx_articles, ({O._values([(x,) for x in TOY_SPANS])}) v(s) WHERE contains(text, s))",
+            *O.gazetteer_ctes(FX.fx_vocab_extra_sql()), *O.token_ctes("fx_articles"), *O.match_ctes("fx_articles", blockers="blk")]
+
+
+@register("blocked_entities",
+          with_ctes(*_BLOCKED)
+          + 'SELECT doc_id, label, text, start, en AS "end", source FROM ents UNION ALL '
+            "SELECT doc_id, 'MODEL', arg_min(text, start), min(start), arg_min(en, start), 'model' FROM blk GROUP BY doc_id, lower(text)")
+def q_blocked_entities(spark, sf_dir):
+    """X4 + J8: entities of a scorer stay, and no vocabulary match overlaps them."""
+    found = PL.extract_knowledge(_docs(spark, sf_dir), _gazetteer(spark, sf_dir), span_scorer=toy_span_scorer)
+    return found.entities.select("doc_id", "label", "text", "start", "end", "source")
+
+
+_CHAIN = ["l_suppkey AS doc_id", "CAST(1 + l_quantity % 4 AS BIGINT) AS n_tokens", "CAST((l_orderkey * 7 + l_linenumber * 3) % 900 AS BIGINT) AS start",
+          "l_returnflag || l_linestatus AS label", "CAST(l_linenumber AS INTEGER) AS priority"]
+
+
+@register("overlap_chain",
+          with_ctes(f"m AS (SELECT DISTINCT *, start + 2 * n_tokens AS en FROM (SELECT {', '.join(_CHAIN)} FROM lineitem) s)", *O.greedy_ctes())
+          + 'SELECT doc_id, n_tokens, start, en AS "end", label, priority FROM kept')
+def q_overlap_chain(spark, sf_dir):
+    """J8 where overlaps chain through whole articles: the line items of a supplier as spans."""
+    m = read_table(spark, sf_dir, "lineitem").selectExpr(*_CHAIN).distinct()
+    return SP.resolve_overlaps(m.withColumn("end", F.col("start") + 2 * F.col("n_tokens"))).select(
+        "doc_id", "n_tokens", "start", "end", "label", "priority")
 
 
 @register("model_categories",
@@ -568,26 +633,46 @@ def q_model_categories(spark, sf_dir):
     return HK.categorise(HK.run_scorer(_docs(spark, sf_dir), HK.toy_acronym_scorer))
 
 
-_MASK_SQL = (
-    "sp AS (SELECT doc_id, start, en, coalesce(lag(en) OVER (PARTITION BY doc_id ORDER BY start), 0) AS prev_end, "
-    "lead(start) OVER (PARTITION BY doc_id ORDER BY start) AS next_start FROM kept), "
-    "pc AS (SELECT sp.doc_id, sp.start, substring(d.text, prev_end + 1, start - prev_end) || '[NAME]' || "
-    "CASE WHEN next_start IS NULL THEN substring(d.text, en + 1, length(d.text) - en) ELSE '' END AS p "
-    "FROM sp JOIN fx_articles d ON d.doc_id = sp.doc_id), "
-    "mk AS (SELECT doc_id, string_agg(p, '' ORDER BY start) AS m FROM pc GROUP BY doc_id)")
+@register("model_words",
+          with_ctes(FX.fx_articles_cte())
+          + f"SELECT doc_id, CASE WHEN length(word) % 2 = 1 THEN 'PHRASE' ELSE 'Unknown' END AS label, word FROM fx_articles, "
+            f"({O._values([(w,) for w in TOY_PHRASES])}) t(word)")
+def q_model_words(spark, sf_dir):
+    """A4: the words themselves, under their label or Unknown."""
+    return HK.words_by_label(HK.run_scorer(_docs(spark, sf_dir), toy_phrase_scorer))
+
+
+# names that an article's scorer finds, by doc_id % 8: parts of names, parts of words, signs
+MASKED = [["Jane Smith", "Smith", "Tom Brown", "Ann"], ["the", "memory"], ["Maria Garcia", "Li Wei", "Li", "LI WEI"], ["Alan Turing", "(c) 2018", "a.b"],
+          [], ["Parkinson", "Movement", "e", "$1"], ["we studied memory", "memory"], ["Tau PET", "Tau", "und", "de"]]
+
+
+def toy_name_scorer(pdf):
+    import pandas as pd
+    rows = [(d, "PERSON", n) for d in pdf["doc_id"] for n in MASKED[int(d) % 8]] + [(d, "ORG", "Oslo") for d in pdf["doc_id"]]
+    return pd.DataFrame(rows, columns=["doc_id", "label", "word"])
+
+
+_NAMES_SQL = "(CASE doc_id % 8 " + " ".join(
+    f"WHEN {k} THEN [{', '.join(O.q(n) for n in sorted(ns, key=lambda n: -len(n)))}]::VARCHAR[]" for k, ns in enumerate(MASKED)) + " END)"
+_QUOTED_SQL = "list_transform(names, lambda n: regexp_replace(n, '([^A-Za-z0-9 ])', '\\\\\\1', 'g'))"
+_ALIGNED = "regexp_replace({x}, '(^|[^\\p{{L}}\\p{{N}}])(?:' || array_to_string(" + _QUOTED_SQL + ", '|') || ')([^\\p{{L}}\\p{{N}}]|$)', '\\1[NAME]\\2', 'g')"
 
 
 @register("name_mask",
-          with_ctes(FX.fx_articles_cte(), *O.gazetteer_ctes(entries_sql=FX.fx_person_names_sql()),
-                    *O.token_ctes("fx_articles"), *O.match_ctes("fx_articles"), _MASK_SQL)
-          + "SELECT d.doc_id, coalesce(mk.m, d.text) AS text FROM fx_articles d LEFT JOIN mk ON mk.doc_id = d.doc_id")
+          with_ctes(FX.fx_articles_cte())
+          + f"SELECT doc_id, list_reduce(list_prepend(text, {_NAMES_SQL}), lambda acc, n: replace(acc, n, '[NAME]')) AS text FROM fx_articles")
 def q_name_mask(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    from pagewright.operators.gazetteer import match_gazetteer
-    from pagewright.operators.tokens import tokenize
-    names = V.build_gazetteer(FX.fx_person_names(spark, sf_dir).select("label", "name", F.lit("extra").alias("source")))
-    spans = SP.resolve_overlaps(match_gazetteer(tokenize(docs), names))
-    return HK.mask_spans(docs, spans.select("doc_id", "start", "end"))
+    """H5 as the reference has it: names as plain substrings in their own letter case."""
+    return HK.mask_scored_names(_docs(spark, sf_dir), toy_name_scorer)
+
+
+@register("name_mask_words",
+          with_ctes(FX.fx_articles_cte(), f"nm AS (SELECT doc_id, text, {_NAMES_SQL} AS names FROM fx_articles)")
+          + f"SELECT doc_id, CASE WHEN len(names) = 0 THEN text ELSE {_ALIGNED.format(x=_ALIGNED.format(x='text'))} END AS text FROM nm")
+def q_name_mask_words(spark, sf_dir):
+    """H5, corrected: names only where they are whole words."""
+    return HK.mask_scored_names(_docs(spark, sf_dir), toy_name_scorer, word_aligned=True)
 
 
 @register("tag_tokens",

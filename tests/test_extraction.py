@@ -179,3 +179,96 @@ def test_chunks_of_any_size_lose_no_phrase(spark):
     for n in (1, 4, 8, 12, 20, 1000):
         cfg = PipelineConfig(extract=ExtractConfig(chunk_chars=n))
         assert {(r.doc_id, r.start, r.end) for r in entity_mentions(docs, gz, cfg).collect()} == want, n
+
+
+def _long_chain(n, seed):
+    rnd = random.Random(seed)
+    return [(7, k, k + m, m, k * 3, (k + m) * 3, rnd.choice("AB"), "src", rnd.randint(0, 2)) for k in range(n) for m in ({2, rnd.randint(1, 5)})]
+
+
+def test_a_chain_of_overlaps_through_a_whole_article(spark):
+    rows = _long_chain(60_000, 5) + [(8, s, e, n, a, b, lab, src, p) for _, s, e, n, a, b, lab, src, p in _long_chain(3, 6)]
+    taken, want = {7: set(), 8: set()}, []
+    for d, s, e, n, a, b, lab, _, p in sorted(rows, key=lambda r: (-r[3], r[1], r[8], r[6])):
+        if not any(x in taken[d] for x in range(s, e)):
+            taken[d].update(range(s, e))
+            want.append((d, s, e, p, lab))
+    df = spark.createDataFrame(rows, "doc_id long, tok_start long, tok_end long, n_tokens long, start long, "
+                                     "end long, label string, source string, priority int")
+    got = sorted((r.doc_id, r.tok_start, r.tok_end, r.priority, r.label) for r in SP.resolve_overlaps(df).collect())
+    assert len(rows) > 100_000 and got == sorted(want)
+
+
+def test_offsets_of_arrays_equal_tokens(spark):
+    from pagewright.operators import tokens as TK
+    texts = ["", None, "  lead", "a", "x\n\n y  ", "one-two's 3,4 \U0001f600 é" * 40, " ".join(f"w{i}" for i in range(30_000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    t = TK.token_arrays(docs, "doc_id").select("doc_id", F.posexplode(F.transform("toks", lambda x, i: F.struct(x.alias("t"), TK.offset_of(i).alias("s")))))
+    got = sorted((r.doc_id, r.pos, r.col.t, r.col.s) for r in t.collect())
+    rows = sorted((r.doc_id, r.start, r.token) for r in TK.tokenize(docs).collect())
+    assert [(d, t_, s) for d, _, t_, s in got] == [(d, t_, s) for d, s, t_ in rows] and len(got) > 30_000
+    assert all(texts[d][s:s + len(t_)] == t_ for d, _, t_, s in got)
+
+
+def test_windows_and_contexts_equal_slices(spark):
+    from pagewright.operators.gazetteer import Gazetteer, match_gazetteer
+    rnd = random.Random(2)
+    texts = {k: "".join(rnd.choice(["tau ", "x", "é\U0001f600 ", "temporal  lobe. ", "y" * 90 + " "]) for _ in range(n)) for k, n in enumerate((0, 1, 5, 90, 2000))}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    m = match_gazetteer(docs, Gazetteer(V.default_gazetteer(spark)), 50, 200)
+    rows = SP.attach_context(m, None, 50).collect()
+    assert len(rows) > 300
+    for r in rows:
+        t = texts[r.doc_id]
+        assert t[r.start:r.end] == r.text and r.win == t[max(0, r.start - 50):r.end + 200] and r.win_start == max(0, r.start - 50)
+        assert r.context == t[max(0, r.start - 50):r.end + 50]
+
+
+def test_vocabularies_beyond_the_bounds_match_alike(spark):
+    docs = spark.createDataFrame([(1, README_TEXT), (2, " Tau, tau and p-tau")], "doc_id long, text string")
+    gz = V.default_gazetteer(spark)
+    from dataclasses import replace
+
+    from pagewright.config import ExtractConfig
+    cfg = replace(PipelineConfig(), extract=ExtractConfig(broadcast_max_bytes=0, inline_firsts=1))
+    a, b = (sorted(map(tuple, PL.entity_mentions(docs, gz, c).collect())) for c in (PipelineConfig(), cfg))
+    assert a == b and len(a) > 10
+
+
+def test_model_words_of_several_tokens(spark):
+    import pandas as pd
+
+    from pagewright.operators import hooks as HK
+    text = "The APPs and  prion   protein, APP; a prion protein."
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
+    words = ["prion protein", "APP", "prion", "protein, APP", "proteins", "", "  ", "app"]
+    scorer = lambda pdf: pd.DataFrame([(d, None, w) for d in pdf["doc_id"] for w in words], columns=["doc_id", "label", "word"])
+    got = {(r.text, r.start, r.end, r.label) for r in HK.locate_words(docs, scorer).collect()}
+    assert got == {("prion   protein", 14, 29, "Unknown"), ("APP", 31, 34, "Unknown"), ("prion", 14, 19, "Unknown"), ("protein, APP", 22, 34, "Unknown")}
+
+
+def test_names_are_masked_as_plain_substrings(spark):
+    from pagewright.operators import hooks as HK
+    rows = [(1, "LI WEI met Li Weiss, Li and Ann Lee Brown ($1.x)", ["Li Wei", "Li", "Ann Lee", "Lee Brown", "$1.x", "", None]), (2, "as is", []),
+            (3, None, ["a"]), (4, "abab", ["b", "ab"])]
+    df = spark.createDataFrame(rows, "i long, t string, n array<string>")
+    got = {r.i: (r.a, r.b) for r in df.select("i", HK.mask_all(F.col("t"), F.col("n")).alias("a"), HK.mask_all(F.col("t"), F.col("n"), word_aligned=True).alias("b")).collect()}
+    assert got[1] == ("LI WEI met [NAME]ss, [NAME] and [NAME] Brown ([NAME])", "LI WEI met [NAME] Weiss, [NAME] and [NAME] Brown ([NAME])")
+    assert got[2] == ("as is", "as is") and got[3] == (None, None) and got[4] == ("[NAME][NAME]", "abab")
+
+
+def test_scorers_and_names_in_the_page_pipeline(spark):
+    import pandas as pd
+
+    from pagewright.config import CleanConfig
+    pages = spark.createDataFrame([(1, 0, "Jane Smith saw tau in the temporal lobe.\nMany biomarkers of prion protein.")], "doc_id long, page_num long, page_text string")
+    span = lambda pdf: pd.DataFrame([(d, "SPAN", t.index("temporal"), t.index("lobe") + 2) for d, t in zip(pdf["doc_id"], pdf["text"])],
+                                    columns=["doc_id", "label", "start", "end"])
+    word = lambda pdf: pd.DataFrame([(d, "PROTEIN", w) for d in pdf["doc_id"] for w in ("Tau", "tau", "prion protein", "saw tau")], columns=["doc_id", "label", "word"])
+    name = lambda pdf: pd.DataFrame([(d, "PERSON", "Jane Smith") for d in pdf["doc_id"]], columns=["doc_id", "label", "word"])
+    articles, ex, counts = PL.process_pages(pages, V.default_gazetteer(spark), PipelineConfig(clean=CleanConfig(remove_names=True)), span, word, name)
+    assert articles.first().processed_text.startswith("[NAME] saw tau")
+    ents = {(r.label, r.text, r.source) for r in ex.entities.collect()}
+    assert ("SPAN", "temporal lo", "model") in ents and not any(t == "temporal lobe" for _, t, _ in ents)
+    assert ("PROTEIN", "saw tau", "model") in ents and ("PROTEIN", "tau", "model") not in ents and ("PROTEIN", "tau", "builtin") in ents
+    assert counts.first().n_entities == len(ents)
