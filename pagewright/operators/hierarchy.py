@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.operators.partitioning import stored
+
 TOP_MISSING = 10
 
 
@@ -20,18 +22,21 @@ def digits_or_zero(col: Column) -> Column:
     return F.coalesce(F.when(col.rlike(r"\A[0-9]+\z"), col.try_cast("int")), F.lit(0))
 
 
-def resolve_parents(parents: DataFrame, id_map: DataFrame):
+def resolve_parents(parents: DataFrame, id_map: DataFrame, store: bool = False):
     """J3 + J4 in one pass: returns (edges, missing).
 
     ``parents``: child_key, parent_key, parent_name, model_name, model_status, ordinal, pos.
     ``id_map``: key, id.  Children without an id are skipped (O6); parents
-    without an id go to ``missing`` (one left join, split on null).
+    without an id go to ``missing`` (one left join, split on null).  With ``store`` the
+    join is written, so that both are read from its result and it runs once.
     """
     ids = id_map.select("key", "id")
     child = parents.join(ids.withColumnRenamed("key", "child_key").withColumnRenamed("id", "child_id"),
                          "child_key")
     both = child.join(ids.withColumnRenamed("key", "parent_key").withColumnRenamed("id", "parent_id"),
                       "parent_key", "left")
+    if store:
+        both = stored(both)
     edges = both.where(F.col("parent_id").isNotNull()).select(
         "child_id", "parent_id", F.coalesce("model_name", F.lit("")).alias("hierarchy_model_name"),
         F.coalesce("model_status", F.lit("")).alias("model_status"))

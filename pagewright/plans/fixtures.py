@@ -311,10 +311,14 @@ def fx_structures_json(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _json_line(prefix: str, *parts: str) -> str:
-    """A record as JSON text: id and name (null in every fifth), then parts that may be absent."""
-    return (f"'{{\"id\": \"{prefix}' || {_s('user_id')} || '\", \"name\": ' || "
-            "CASE WHEN event_id % 5 = 0 THEN 'null' ELSE '\"' || event_type || '\"' END || "
-            + " || ".join(parts) + " || '}' AS js")
+    """A record as JSON text: id (null in some) and name (null in every fifth), then parts that
+    may be absent; some lines are cut off, arrays, plain text, empty or an array's brackets, and some
+    end with its comma."""
+    whole = (f"'{{\"id\": ' || CASE WHEN event_id % 23 = 7 THEN 'null' ELSE '\"{prefix}' || {_s('user_id')} || '\"' END || ', \"name\": ' || "
+             "CASE WHEN event_id % 5 = 0 THEN 'null' ELSE '\"' || event_type || '\"' END || "
+             + " || ".join(parts) + " || '}'")
+    return (f"CASE event_id % 29 WHEN 3 THEN substr({whole}, 1, 24) WHEN 9 THEN '[' || {whole} || ']' WHEN 14 THEN 'no record, ' || event_type "
+            f"WHEN 17 THEN '' WHEN 18 THEN '[' WHEN 19 THEN '  ]' WHEN 20 THEN '\"text\"' WHEN 21 THEN ' ' || {whole} || ' ,' ELSE {whole} END AS js")
 
 
 def _stamp_part(key: str, valid: str, shift: int = 0) -> str:
@@ -340,10 +344,40 @@ def fx_landed(spark: SparkSession, sf_dir: str, line: str) -> str:
     from pagewright.session import ensure_checkpoint_dir
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fixtures/landed_{uuid.uuid4().hex}"
     events = read_table(spark, sf_dir, "events")
-    # file k holds the events up to (k + 1)^2 / 64 of all
+    # part k holds the events up to (k + 1)^2 / 64 of all, part -1 those without an id: one job, dealt and
+    # ordered by id, so the names of a part's files follow the order of its events
     top = events.agg(F.max("event_id")).first()[0] or 0
-    part = F.floor(F.sqrt(F.col("event_id") * 64.0 / (top + 1))).cast("int")
+    part = F.coalesce(F.floor(F.sqrt(F.col("event_id") * 64.0 / (top + 1))).cast("int"), F.lit(-1))
     rows = events.selectExpr("event_id", line).withColumn("part", part)
-    for k in range(8):
-        rows.where(F.col("part") == k).coalesce(1).sortWithinPartitions("event_id").select("js").write.text(f"{path}/part={k}")
+    rows.repartitionByRange("part", "event_id").sortWithinPartitions("part", "event_id").select("js", "part").write.partitionBy("part").text(path)
+    return path
+
+
+# Concept details as the landed source nests them: a part is a concept, its line items relate it to suppliers.
+DETAIL_SELECT = ["'P' || CAST(p_partkey AS STRING) AS id", "p_type AS class_id", "p_brand AS class_name", "p_name AS class_description",
+                 "CAST(p_size AS STRING) AS class_order", "p_partkey"]
+
+
+def fx_details_json(spark: SparkSession, sf_dir: str) -> str:
+    """Concept details as nested JSON Lines: classes, relationships and contrasts as arrays, in
+    order; every seventh concept has no id, and broken lines stand between."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from pagewright.session import ensure_checkpoint_dir
+    part = read_table(spark, sf_dir, "part").selectExpr(*DETAIL_SELECT)
+    li = read_table(spark, sf_dir, "lineitem").selectExpr(*REL_SELECT)
+    rel = li.groupBy("l_partkey").agg(F.sort_array(F.collect_list(F.struct("pos", "related_concept_id", "relationship", "direction"))).alias("rs"))
+    doc = part.join(rel, part["p_partkey"] == rel["l_partkey"], "left")
+    js = F.to_json(F.struct(
+        F.when(F.col("p_partkey") % 7 != 0, F.col("id")).alias("id"),
+        F.array(F.struct(F.col("class_id").alias("id"), F.col("class_name").alias("name"), F.col("class_description").alias("description"),
+                         F.col("class_order").alias("display_order"))).alias("conceptclasses"),
+        F.transform("rs", lambda r: F.struct(r["related_concept_id"].alias("id"), r["relationship"], r["direction"])).alias("relationships"),
+        F.transform(F.filter("rs", lambda r: r["pos"] % 3 == 0), lambda r: F.struct(
+            r["related_concept_id"].alias("task_id"), F.concat(F.lit("contrast "), r["relationship"]).alias("relationship"))).alias("contrasts")))
+    line = F.when(F.col("p_partkey") % 11 == 5, F.substring(js, 1, 30)).otherwise(js)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fixtures/details_{uuid.uuid4().hex}"
+    doc.repartitionByRange("p_partkey").sortWithinPartitions("p_partkey").select(line.alias("value")).write.text(path)
     return path

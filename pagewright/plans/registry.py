@@ -411,17 +411,14 @@ def q_synonyms(spark, sf_dir):
             "UNION ALL SELECT 'n_missing_parents', count(*) FROM miss "
             "UNION ALL SELECT 'n_synonyms', count(*) FROM fx_synonyms s JOIN idm i ON i.key = s.owner_key")
 def q_load_counts(spark, sf_dir):
-    """Load totals, one row per metric."""
-    ids = _id_map(spark, sf_dir)
-    edges, missing = H.resolve_parents(FX.fx_parents(spark, sf_dir), ids)
+    """Load totals, one row per metric.  Ids, resolved links and synonyms are written once;
+    the totals of links are one aggregate over them."""
+    from pagewright.operators.quality import totals
+    ids = stored(_id_map(spark, sf_dir))
+    edges, missing = H.resolve_parents(FX.fx_parents(spark, sf_dir), ids, store=True)
     syn = H.resolve_synonyms(FX.fx_synonyms(spark, sf_dir), ids)
-    parts = [("n_structures", ids), ("n_parent_links", edges), ("n_missing_links", missing),
-             ("n_missing_parents", missing.select("parent_key").distinct()), ("n_synonyms", syn)]
-    out = None
-    for name, df in parts:
-        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("metric"), "n")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return totals(a=(ids, "n_structures"), b=(edges, "n_parent_links"), c=(missing, "n_missing_links"),
+                  d=(missing.select("parent_key").distinct(), "n_missing_parents"), e=(syn, "n_synonyms"))
 
 
 @register("event_stamps",
@@ -807,6 +804,12 @@ def _fill(key, default):
     return _fill_sql(key, default)
 
 
+# landed lines without the array's own brackets and commas, and whether each is an object
+_LINES_SQL = ("l AS (SELECT event_id, trim(js) AS t FROM (SELECT event_id, {line} FROM events)), "
+              "c0 AS (SELECT event_id, CASE WHEN suffix(t, ',') THEN rtrim(left(t, length(t) - 1)) ELSE t END AS js FROM l WHERE t NOT IN ('', '[', ']')), "
+              "c AS (SELECT event_id, js, coalesce(json_valid(js) AND json_type(CASE WHEN json_valid(js) THEN js END) = 'OBJECT', false) AS whole FROM c0)")
+
+
 def _load_sql(line: str, spec, stamps: dict[str, str]) -> str:
     """First event per key with the defaults of absent fields; ``stamps``: field -> SQL over its text."""
     def value(c, d):
@@ -817,8 +820,9 @@ def _load_sql(line: str, spec, stamps: dict[str, str]) -> str:
     names = {c: spec.key if c == "id" else c for c in spec.defaults}
     fields = ", ".join(f"{value(c, d)} AS {names[c]}" for c, d in spec.defaults.items())
     rest = ", ".join(names[c] for c in spec.defaults if c != "id")
-    return (f"WITH c AS (SELECT event_id, {line} FROM events), f AS (SELECT event_id, {fields} FROM c), "
-            f"r AS (SELECT *, row_number() OVER (PARTITION BY {spec.key} ORDER BY event_id) AS _n FROM f WHERE name IS NOT NULL) "
+    return (f"WITH {_LINES_SQL.format(line=line)}, f AS (SELECT event_id, {fields} FROM c WHERE whole), "
+            f"r AS (SELECT *, row_number() OVER (PARTITION BY {spec.key} ORDER BY event_id NULLS FIRST) AS _n FROM f "
+            f"WHERE name IS NOT NULL AND {spec.key} IS NOT NULL) "
             f"SELECT {spec.key}, {rest} FROM r WHERE _n = 1")
 
 
@@ -854,3 +858,46 @@ def q_disorder_load(spark, sf_dir):
 def q_task_load(spark, sf_dir):
     """S7 + E10 end to end, with both stamps."""
     return _loaded(spark, sf_dir, FX.TASK_LINE, VL.TASKS)
+
+
+def _quarantine_sql(line: str) -> str:
+    key = "json_extract_string(CASE WHEN whole THEN js END, '$.id')"
+    name = "json_extract_string(CASE WHEN whole THEN js END, '$.name')"
+    return (f"WITH {_LINES_SQL.format(line=line)} SELECT js AS record, CASE WHEN whole THEN 'incomplete' ELSE 'broken' END AS reason "
+            f"FROM c WHERE NOT whole OR {key} IS NULL OR {name} IS NULL")
+
+
+for _name, _line, _spec in (("concept_quarantine", FX.CONCEPT_LINE, VL.CONCEPTS), ("disorder_quarantine", FX.DISORDER_LINE, VL.DISORDERS),
+                            ("task_quarantine", FX.TASK_LINE, VL.TASKS)):
+    def _q_quarantine(spark, sf_dir, line=_line, spec=_spec):
+        """The landed lines that are no data, and why."""
+        return VL.load_records(spark, FX.fx_landed(spark, sf_dir, line), spec)[1].select("record", "reason")
+    register(_name, _quarantine_sql(_line))(_q_quarantine)
+
+
+_DETAIL_SQL = (f"WITH p AS (SELECT {', '.join(FX.DETAIL_SELECT)} FROM part WHERE p_partkey % 7 <> 0 AND p_partkey % 11 <> 5), "
+               f"l AS (SELECT {', '.join(FX.REL_SELECT)} FROM lineitem), "
+               "s AS (SELECT p.id AS concept_id, related_concept_id, relationship, direction, 0 AS phase, pos FROM p JOIN l ON l.l_partkey = p.p_partkey "
+               "UNION ALL SELECT p.id, related_concept_id, 'contrast ' || relationship, 'MEASUREDBY', 1, pos FROM p JOIN l ON l.l_partkey = p.p_partkey "
+               "WHERE pos % 3 = 0) ")
+
+
+def _details(spark, sf_dir):
+    concepts = read_table(spark, sf_dir, "part").selectExpr("'P' || CAST(p_partkey AS STRING) AS concept_id")
+    return VL.load_concept_details(spark, FX.fx_details_json(spark, sf_dir), concepts, multi_line=False)
+
+
+@register("detail_relationships", _DETAIL_SQL
+          + "SELECT concept_id, related_concept_id, arg_max(relationship, phase * 1000000000000 + pos) AS relationship, "
+            "arg_max(direction, phase * 1000000000000 + pos) AS direction FROM s GROUP BY concept_id, related_concept_id")
+def q_detail_relationships(spark, sf_dir):
+    """S8 + J6 + K6 end to end: landed nested details -> relationships of stored concepts."""
+    return _details(spark, sf_dir).relationships
+
+
+@register("detail_classes", _DETAIL_SQL
+          + "SELECT class_id AS concept_class_id, arg_max(class_name, p_partkey) AS name, arg_max(class_description, p_partkey) AS description, "
+            "arg_max(class_order, p_partkey) AS display_order FROM p GROUP BY class_id")
+def q_detail_classes(spark, sf_dir):
+    """S8 + K5 end to end: the last concept of a class gives its attributes."""
+    return _details(spark, sf_dir).classes
