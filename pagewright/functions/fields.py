@@ -23,9 +23,9 @@ def iso_to_timestamp(col: Column) -> Column:
 
 def json_field(js: Column, key: str, default: Column) -> Column:
     """``obj.get(key, default)`` - the default only when the key is absent;
-    an explicit JSON null stays NULL."""
-    present = F.array_contains(F.json_object_keys(js), key)
-    return F.when(present, F.get_json_object(js, f"$.{key}")).otherwise(default)
+    an explicit JSON null stays NULL, and so does every field of text that is no object."""
+    keys = F.json_object_keys(js)
+    return F.when(F.array_contains(keys, key), F.get_json_object(js, f"$.{key}")).when(keys.isNotNull(), default)
 
 
 def split_valid(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -189,10 +189,11 @@ CONTRAST_SELECT = [f"'P' || {_s('l_partkey')} AS concept_id", f"'S' || {_s('l_su
                    "'contrast ' || l_returnflag AS relationship", "l_orderkey * 8 + l_linenumber AS pos",
                    "l_partkey", "l_quantity"]
 CONCEPT_JSON = (
-    f"CASE event_id % 3 WHEN 0 THEN '{{\"id\": \"e' || {_s('event_id')} || '\", \"name\": \"' || event_type || "
+    f"CASE WHEN event_id % 31 = 4 THEN '{{\"id\": \"cut ' || {_s('event_id')} WHEN event_id % 31 = 6 THEN 'e' || {_s('event_id')} "
+    f"ELSE CASE event_id % 3 WHEN 0 THEN '{{\"id\": \"e' || {_s('event_id')} || '\", \"name\": \"' || event_type || "
     f"'\", \"id_concept_class\": \"' || {_s('user_id')} || '\"}}' "
     f"WHEN 1 THEN '{{\"id\": \"e' || {_s('event_id')} || '\", \"definition_text\": \"' || event_type || '\"}}' "
-    f"ELSE '{{\"id\": \"e' || {_s('event_id')} || '\", \"name\": null, \"id_concept_class\": null}}' END AS js")
+    f"ELSE '{{\"id\": \"e' || {_s('event_id')} || '\", \"name\": null, \"id_concept_class\": null}}' END END AS js")
 
 
 def _union(spark, sf_dir, pieces):

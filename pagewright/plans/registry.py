@@ -454,8 +454,9 @@ def _filled_concepts(spark, sf_dir):
 
 
 def _fill_sql(key, default):
-    return (f"CASE WHEN list_contains(json_keys(js), {O.q(key)}) THEN json_extract_string(js, {O.q('$.' + key)}) "
-            f"ELSE {O.q(default)} END")
+    ok = "CASE WHEN json_valid(js) THEN js END"
+    return (f"CASE WHEN list_contains(json_keys({ok}), {O.q(key)}) THEN json_extract_string({ok}, {O.q('$.' + key)}) "
+            f"WHEN json_valid(js) THEN {O.q(default)} END")
 
 
 @register("default_fill",
@@ -901,3 +902,96 @@ def q_detail_relationships(spark, sf_dir):
 def q_detail_classes(spark, sf_dir):
     """S8 + K5 end to end: the last concept of a class gives its attributes."""
     return _details(spark, sf_dir).classes
+
+
+# ------------------------------------------------------ article store, retrieval
+
+def _loaded_store(spark, sf_dir) -> str:
+    """A store after three loads: all articles, the same ones again, and every third article with
+    another text; the state of one clean load of the last texts."""
+    import uuid
+
+    from pagewright.session import ensure_checkpoint_dir
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}"
+    gz = PL.gazetteer_of(_gazetteer(spark, sf_dir))
+    docs = _docs(spark, sf_dir)
+    changed = docs.where("doc_id % 3 = 0").withColumn("text", F.concat(F.lit(STORE_HEAD), F.substring("text", 1, 300)))
+    first = ST.article_tables(docs, PL.extract_knowledge(docs, gz))
+    for tables in (first, first, ST.article_tables(changed, PL.extract_knowledge(changed, gz))):
+        ST.write_store(tables, base, buckets=16)
+    return base
+
+
+STORE_HEAD = "Tau in the amygdala (AM) is a biomarker. "
+_STORE_DOCS = (f"fx_articles AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN {FX.sql_str(STORE_HEAD)} || substring(text, 1, 300) ELSE text END AS text "
+               "FROM fx_first)")
+_STORE_CTES = [FX.fx_articles_cte().replace("fx_articles AS", "fx_first AS", 1), _STORE_DOCS, *O.gazetteer_ctes(FX.fx_vocab_extra_sql()),
+               *O.token_ctes("fx_articles"), *O.match_ctes("fx_articles")]
+
+
+@register("store_reload",
+          with_ctes(*_STORE_CTES, *O.pair_ctes("fx_articles"), _RELATIONS_SQL, *O.alias_ctes("fx_articles"))
+          + "SELECT 'articles' AS tab, doc_id, text AS a, NULL AS b, NULL AS c FROM fx_articles "
+            "UNION ALL SELECT 'scientific_entities', doc_id, label, text, CAST(start AS VARCHAR) FROM ents "
+            "UNION ALL SELECT 'entity_aliases', doc_id, term, alias, NULL FROM als "
+            "UNION ALL SELECT 'entity_relationships', doc_id, entity1, relation, entity2 FROM rels "
+            "UNION ALL SELECT 'entity_citations', doc_id, label, lower(text), CAST(start AS VARCHAR) FROM ents "
+            "UNION ALL SELECT 'relationship_citations', doc_id, lower(entity1) || '/' || entity1_type, relation, lower(entity2) || '/' || entity2_type "
+            "FROM rels GROUP BY ALL")
+def q_store_reload(spark, sf_dir):
+    """K7 + K8: six tables, loaded, loaded again, and loaded with changed articles, read back."""
+    base = _loaded_store(spark, sf_dir)
+    t = lambda name: ST.read_store(spark, base, name)
+    none = F.lit(None).cast("string")
+
+    def rows(name, a, b, c):
+        return t(name).select(F.lit(name).alias("tab"), "doc_id", a.alias("a"), b.alias("b"), c.alias("c"))
+    col = F.col
+    parts = [rows("articles", col("text"), none, none), rows("scientific_entities", col("label"), col("text"), col("start").cast("string")),
+             rows("entity_aliases", col("term"), col("alias"), none), rows("entity_relationships", col("entity1"), col("relation"), col("entity2")),
+             rows("entity_citations", col("label"), col("norm_text"), col("first_start").cast("string")),
+             rows("relationship_citations", F.concat_ws("/", "entity1_norm", "entity1_type"), col("relation"), F.concat_ws("/", "entity2_norm", "entity2_type"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("entities_by_article",
+          with_ctes(*_extract_ctes())
+          + "SELECT doc_id, count(*) AS n_entities, string_agg(label || ':' || lower(text), '|' ORDER BY label, lower(text)) AS entities "
+            "FROM ents GROUP BY doc_id")
+def q_entities_by_article(spark, sf_dir):
+    """The entities that each article cites."""
+    return ST.entities_by_article(ST.entity_citations(_entities(spark, sf_dir))).select(
+        "doc_id", F.size("entities").cast("long").alias("n_entities"),
+        F.array_join(F.transform("entities", lambda e: F.concat(e["label"], F.lit(":"), e["norm_text"])), "|").alias("entities"))
+
+
+@register("co_mentions",
+          with_ctes(*_extract_ctes(), "e AS (SELECT DISTINCT doc_id, label, lower(text) AS t FROM ents)",
+                    "n AS (SELECT label, t, count(*) AS n FROM e GROUP BY label, t)",
+                    "p AS (SELECT a.label AS label1, a.t AS text1, b.label AS label2, b.t AS text2, count(*) AS n_both FROM e a JOIN e b "
+                    "ON a.doc_id = b.doc_id AND (a.label < b.label OR (a.label = b.label AND a.t < b.t)) GROUP BY 1, 2, 3, 4)")
+          + "SELECT p.*, x.n AS n1, y.n AS n2 FROM p JOIN n x ON x.label = label1 AND x.t = text1 JOIN n y ON y.label = label2 AND y.t = text2")
+def q_co_mentions(spark, sf_dir):
+    """Entities that articles mention together, with the number of articles of both and of each;
+    some entities of the fixture are in most articles."""
+    return ST.co_mentions(ST.entity_citations(_entities(spark, sf_dir)))
+
+
+@register("import_log",
+          with_ctes(*_HIER_SQL, FX.fx_synonyms_cte(),
+                    "t AS (SELECT 'structures' AS metric, count(*) AS n FROM idm UNION ALL SELECT 'parent_links', count(*) FROM pj WHERE parent_id IS NOT NULL "
+                    "UNION ALL SELECT 'missing_parents', count(*) FROM miss UNION ALL SELECT 'synonyms', count(*) FROM fx_synonyms s JOIN idm i ON i.key = s.owner_key)")
+          + "SELECT run_id, 'structures' AS source, metric, n FROM t, (VALUES ('run-1'), ('run-2')) r(run_id)")
+def q_import_log(spark, sf_dir):
+    """A8 + D3: two loads leave two entries in the log, also when one of them is run again."""
+    import uuid
+
+    from pagewright.session import ensure_checkpoint_dir
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/import-log-{uuid.uuid4().hex}"
+    path = FX.fx_structures_json(spark, sf_dir)
+    for run in ("run-1", "run-2", "run-1"):
+        QL.append_log(VL.load_brain_structures(spark, path, run_id=run, multi_line=False).log, base)
+    return spark.read.parquet(base).select("run_id", "source", "metric", "n")

@@ -101,7 +101,8 @@ def landed_lines(spark: SparkSession, json_path: str) -> DataFrame:
     raw = raw.select(js.alias("js"), "ordinal")
     return raw.withColumn("whole", F.coalesce(
         F.startswith("js", F.lit("{")) & F.endswith("js", F.lit("}")) & F.json_object_keys("js").isNotNull()
-        & F.try_parse_json("js").isNotNull(), F.lit(False)))
+        # two objects on a line are no array of one
+        & (F.json_array_length(F.concat(F.lit("["), F.col("js"), F.lit("]"))) == 1), F.lit(False)))
 
 
 def filled_records(spark: SparkSession, json_path: str, defaults: dict[str, str]) -> tuple[DataFrame, DataFrame]:
@@ -115,8 +116,8 @@ def filled_records(spark: SparkSession, json_path: str, defaults: dict[str, str]
 def load_records(spark: SparkSession, path: str, spec: RecordSpec, existing: DataFrame | None = None):
     """(table after first-wins insert on the key, quarantine).
 
-    The quarantine has ``record`` (the line), ``reason`` and ``ordinal`` (its place): lines that
-    are no JSON object, and objects without a key or a name.
+    The quarantine has ``record`` (the line), ``reason``, the key if there is one and ``ordinal``
+    (its place): lines that are no JSON object, and objects without a key or a name.
     """
     rec, broken = filled_records(spark, path, spec.defaults)
     rec = rec.withColumnRenamed("id", spec.key)
@@ -128,7 +129,8 @@ def load_records(spark: SparkSession, path: str, spec: RecordSpec, existing: Dat
     if existing is None:
         existing = valid.limit(0).drop("ordinal")
     table = U.insert_first_wins(existing, valid, spec.key, ["ordinal"])
-    bad = broken.unionByName(bad.select(F.col("js").alias("record"), F.lit(INCOMPLETE).alias("reason"), "ordinal"))
+    bad = broken.withColumn(spec.key, F.lit(None).cast("string")).unionByName(
+        bad.select(F.col("js").alias("record"), F.lit(INCOMPLETE).alias("reason"), "ordinal", spec.key))
     return table.drop("ordinal") if "ordinal" in table.columns else table, bad
 
 

@@ -59,14 +59,58 @@ def test_labelled_tokens(spark, tmp_path):
     assert sorted((r.token, r.ner_tag) for r in rows) == [("'s", 2), ("Alzheimer", 1), ("The", 0), ("memory", 3)]
 
 
-def test_write_store(spark, tmp_path):
-    ents = spark.createDataFrame([(1, "PROTEIN", "Tau", 0, 3, "ctx", "builtin"), (2, "PROTEIN", "tau", 5, 8, "c", "x")],
-                                 "doc_id long, label string, text string, start long, end long, context string, source string")
-    cites = ST.entity_citations(ents)
-    ST.write_store({"entity_citations": cites, "entities": ST.global_entities(ents)}, str(tmp_path / "store"))
-    back = spark.read.parquet(str(tmp_path / "store" / "entity_citations"))
-    assert back.count() == 2
-    assert ST.articles_by_entity(back, "PROTEIN", "TAU").count() == 2
+def _store_tables(spark, rows, aliases=()):
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string")
+    cites = spark.createDataFrame([(i, w) for i, t in rows for w in (t or "").split()], "doc_id long, word string")
+    return {"articles": docs, "entity_citations": cites, "entity_aliases": spark.createDataFrame(list(aliases), "doc_id long, alias string")}
+
+
+def test_store_loads_again_and_replaces_articles(spark, tmp_path):
+    base = str(tmp_path / "store")
+    state = lambda t: sorted(map(tuple, ST.read_store(spark, base, t).collect()), key=str)
+    first = _store_tables(spark, [(k, f"a b{k}") for k in range(40)] + [(None, "lost")])
+    assert ST.write_store(first, base, buckets=8) == 1
+    once = {t: state(t) for t in first}
+    assert len(once["articles"]) == 40 and once["entity_aliases"] == []
+    assert ST.write_store(first, base) == 2 and {t: state(t) for t in first} == once
+    # a changed subset: one article loses its rows, one is new
+    change = _store_tables(spark, [(3, "c"), (4, ""), (99, "d e")], [(3, "X")])
+    ST.write_store(change, base)
+    assert [r for r in state("entity_citations") if r[0] in (3, 4, 99)] == [(3, "c"), (99, "d"), (99, "e")]
+    assert len(state("articles")) == 41 and state("entity_aliases") == [(3, "X")]
+    # a load that broke off before its manifest is not seen
+    before = state("articles")
+    change["articles"].withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{base}/articles/load=77")
+    assert state("articles") == before
+
+
+def test_co_mentions_over_blocks_equal_brute_force(spark):
+    import random
+    from collections import Counter
+    from itertools import combinations
+    rnd = random.Random(9)
+    cites = {(d, rnd.choice("AB"), f"t{rnd.randrange(30)}") for d in range(30) for _ in range(rnd.randrange(25))} | {(d, "A", "hot") for d in range(30)}
+    df = spark.createDataFrame(sorted(cites), "doc_id long, label string, norm_text string")
+    pairs, n = Counter(), Counter((lab, t) for _, lab, t in cites)
+    for d in range(30):
+        pairs.update(combinations(sorted((lab, t) for i, lab, t in cites if i == d), 2))
+    want = sorted((*a, *b, k, n[a], n[b]) for (a, b), k in pairs.items())
+    for block in (3, 256):
+        assert sorted(map(tuple, ST.co_mentions(df, block).collect())) == want
+
+
+def test_broken_lines_go_to_quarantine(spark, tmp_path):
+    from pagewright.plans import vocab_load as VL
+    good = '{"id": "a", "name": "n", "creation_time": 5}'
+    lines = ["[", good + ",", '{"id": "b", "name": "m"', '["id", "c"]', "plain text", "", '{"id": null, "name": "x"}', '{"id": "d"}',
+             '{"id": "e", "name": null}', '"text"', '{"id": "f", "name": "q"} {"id": "g"}', "]"]
+    (tmp_path / "c.json").write_text("\n".join(lines))
+    table, bad = VL.load_concepts(spark, str(tmp_path / "c.json"))
+    assert {(r.concept_id, r.name) for r in table.collect()} == {("a", "n"), ("d", "No Name found")}
+    rows = bad.orderBy("ordinal").collect()
+    assert [(r.record, r.reason) for r in rows if r.reason == "broken"] == [
+        ('{"id": "b", "name": "m"', "broken"), ('["id", "c"]', "broken"), ("plain text", "broken"), ('"text"', "broken"), (lines[10], "broken")]
+    assert [r.record for r in rows if r.reason == "incomplete"] == [lines[6], lines[8]]
 
 
 def test_streaming_pages(spark, tmp_path):
