@@ -11,7 +11,8 @@ bytes.  These take the place of triples:
    sampled string reaches the next sampled position of its residue, such a chain compares all
    bytes from its first to its last, and one round of it passes ``LENGTH``, where the recursion ends.
 3. The remaining positions, sampled or not, that hold a repeated name and lie in no chain, are
-   merged: their prefixes of ``LENGTH`` bytes are sorted in ranges and neighbours compared.
+   merged: their prefixes of ``LENGTH`` bytes are sorted in ranges and neighbours compared, in a
+   few rounds.
 
 Rows between tasks hold whole blocks of names and places, not one each.
 """
@@ -40,6 +41,8 @@ SLICE, RANGE_BYTES, GROUP_BYTES = 8_000_000, 16_000_000, 6_000_000
 #: a million names a false repeat is one in a million, and costs a comparison of the whole
 #: prefix; a chain takes two, at one distance.  Of a whole prefix, which decides: all.
 STRING_BYTES, PREFIX_BYTES = 5, 8
+#: Prefixes are compared in so many rounds, by their names, so that not all are on disk at once.
+ROUNDS = 2
 
 #: Blocks that tasks exchange: for a range of names (kind 0: documents in order, places and
 #: names), or for a group of texts (kind 1: keys and what was found for each).
@@ -248,9 +251,9 @@ def _laid(texts: pa.Table) -> tuple[np.ndarray, ...]:
     return data, at[order], np.diff(at)[order], doc[order], key[order]
 
 
-def chained(groups: int, ranges: int):
-    """A function from a group's texts and its repeated places to strings that go, and to
-    blocks of the prefixes that are left to compare."""
+def chained(groups: int, ranges: int, turn: int):
+    """A function from a group's texts and its repeated places to strings that go (those of
+    chains in the first round) and to blocks of the prefixes that are left to compare."""
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
         if not texts.num_rows or not found.num_rows:
             return _blocks([])
@@ -288,8 +291,12 @@ def chained(groups: int, ranges: int):
         own = np.searchsorted(flat, left, side="right") - 1
         left -= flat[own]
         name = names(data, begin[own] + left, LENGTH)
+        now = name % np.uint64(ROUNDS) == turn
+        name, own, left = name[now], own[now], left[now]
         before = _earliest(name, np.argsort(name, kind="stable"))
         again = before != np.arange(len(before))
+        if turn:
+            r, a, b = r[:0], a[:0], b[:0]
         out = list(_for_groups(groups, np.append(key[r], key[own[again]]), np.append(a, left[again]),
                                at=np.append(b, left[again] + LENGTH)))
         out += _for_ranges(name[~again], own[~again], left[~again], doc, key, ranges, PREFIX_BYTES)
@@ -349,9 +356,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     places = written(usable.mapInArrow(sampled(groups, ranges), BLOCK).groupBy("kind", "part").applyInArrow(named(groups), BLOCK))
     release(docs.sparkSession)
-    spans = written(grouped.groupBy("part").cogroup(places.groupBy("part")).applyInArrow(chained(groups, ranges), BLOCK)
-                    .groupBy("kind", "part").applyInArrow(merged(groups), BLOCK))
-    release(docs.sparkSession)
+    spans = None
+    for turn in range(ROUNDS):
+        more = written(grouped.groupBy("part").cogroup(places.groupBy("part")).applyInArrow(chained(groups, ranges, turn), BLOCK)
+                       .groupBy("kind", "part").applyInArrow(merged(groups), BLOCK))
+        release(docs.sparkSession)
+        spans = more if spans is None else spans.unionByName(more)
     changed = grouped.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(_cut, RESULT)
     size = F.octet_length(text).cast("long")
     plain = docs.where(~can).select("doc_id", text.cast("binary").alias("kept"), size.alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
