@@ -9,6 +9,7 @@ rank gives its sequence.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 
 import numpy as np
@@ -29,7 +30,7 @@ CUT = 512
 #: Id after each document.
 END_ID = 1
 #: Bytes of text taken at once, words whose ids a task remembers, and words that it learns in one call.
-SLICE, REMEMBER, AT_ONCE = 2_000_000, 300_000, 2_000
+SLICE, REMEMBER, AT_ONCE = 4_000_000, 600_000, 2_000
 #: A text with words of many kinds, by which a tokenizer shows whether it separates at white space.
 PROBE = ["Hello", "wörld's", "x", "12ab", "(it's", "don't)", "ÀÉ", "日本", "a.b,c!", "😀", "<|x|>", "ĳ", "#&*", "é"]
 
@@ -58,24 +59,28 @@ class WordIds:
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    @staticmethod
+    def _pack(*ids: int) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _piece(self, piece: str) -> bytes:
         got = self.pieces.get(piece)
         if got is None:
-            got = self.pieces[piece] = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], dtype="<u4").tobytes()
+            got = self.pieces[piece] = self._pack(*[t.id for t in self.tokenizer.model.tokenize(piece)])
         return got
 
     def _learn(self, words: list[str]) -> None:
-        if self.special:
-            plain = [w for w in words if not any(s in w for s in self.special)]
-            if len(plain) < len(words):
-                self.known.update((w, self._whole(w)) for w in set(words).difference(plain))
-        else:
-            plain = words
-        for low in range(0, len(plain), AT_ONCE):
-            self._learn_plain(plain[low:low + AT_ONCE])
-
-    def _learn_plain(self, words: list[str]) -> None:
-        joined = " ".join(words)
+        for low in range(0, len(words), AT_ONCE):
+            some = words[low:low + AT_ONCE]
+            joined = " ".join(some)
+            if any(s in joined for s in self.special):
+                self.known.update((w, self._whole(w)) for w in some if any(s in w for s in self.special))
+                some = [w for w in some if w not in self.known]
+                joined = " ".join(some)
+            if some:
+                self._learn_plain(some, joined)
+
+    def _learn_plain(self, words: list[str], joined: str) -> None:
         if self.tokenizer.normalizer is not None:
             joined = self.tokenizer.normalizer.normalize_str(joined)
         if joined.count(" ") != len(words) - 1:
@@ -91,7 +96,7 @@ class WordIds:
             return
         ids = [self._piece(p) for p, _ in found]
         edge = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
-        self.known.update((w, b"".join(ids[a:b])) for w, a, b in zip(words, edge, edge[1:]))
+        self.known.update((w, ids[a] if b == a + 1 else b"".join(ids[a:b])) for w, a, b in zip(words, edge, edge[1:]))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of an Arrow array of strings without nulls, one after the other,
@@ -108,11 +113,13 @@ class WordIds:
         self._learn(missing)
         # the ids of each different word are laid out once, and taken for every word
         ids = [self.known[w] for w in different]
-        size = np.array([len(i) // 4 for i in ids], dtype=np.int64)
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
         flat, code = np.frombuffer(b"".join(ids), "<u4"), words.indices.to_numpy()
         many = size[code]
         end = np.cumsum(many)
-        take = np.repeat((np.cumsum(size) - size)[code] - (end - many), many) + np.arange(many.sum())
+        # places fit 32 bits: there are no more of them than bytes of text in a slice
+        take = np.repeat(((np.cumsum(size) - size)[code] - (end - many)).astype(np.int32), many)
+        take += np.arange(len(take), dtype=np.int32)
         edge = split.offsets.to_numpy() - split.offsets[0].as_py()
         return flat[take], np.concatenate([[0], end])[edge]
 
