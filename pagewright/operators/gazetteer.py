@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.operators.partitioning import stored
-from pagewright.operators.tokens import chunk_rows, offset_of, token_arrays
+from pagewright.operators.tokens import chunk_rows, offset_of, run_of, token_arrays
 
 #: Characters of a block of text.
 TEXT_BLOCK = 1024
@@ -44,7 +44,7 @@ def text_window(blocks: str, start: Column, end: Column) -> Column:
     (the blocks are named twice, see :func:`pagewright.operators.tokens.offset_of`)."""
     first = F.floor(start / TEXT_BLOCK).cast("int")
     count = F.floor(F.greatest(end - 1, start) / TEXT_BLOCK).cast("int") - first + 1
-    joined = F.array_join(F.slice(blocks, first + 1, count), "")
+    joined = F.array_join(run_of(blocks, first, count), "")
     cut = F.substring(joined, (start - first * TEXT_BLOCK + 1).cast("int"), (end - start).cast("int"))
     return F.when(F.size(blocks) > first, cut).otherwise(F.lit(""))
 
@@ -73,8 +73,7 @@ def match_gazetteer(docs: DataFrame, gazetteer: Gazetteer, before: int = 0, afte
     t = t.select("*", at.alias("_at"))
 
     def here(i: Column) -> Column:
-        start, t_, p_ = offset_of(i), F.slice("toks", i + 1, F.lit(k)), F.slice("pieces", i + 1, F.lit(k))
-        return F.struct(start.alias("start"), t_.alias("t"), p_.alias("p"))
+        return F.struct(offset_of(i).alias("start"), run_of("toks", i, F.lit(k)).alias("t"), run_of("pieces", i, F.lit(k)).alias("p"))
 
     def around(h: Column) -> Column:
         low = F.greatest(h["start"] - before, F.lit(0).cast("long"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagewright.operators.gazetteer import TEXT_BLOCK, text_window
-from pagewright.operators.tokens import SPARK_TOKEN_RE, offset_of, token_arrays
+from pagewright.operators.tokens import SPARK_TOKEN_RE, offset_of, run_of, token_arrays
 
 MODEL_ENTITY_SCHEMA = "doc_id long, label string, word string"
 # Fixed value: the label of a model entity that has none.
@@ -122,7 +122,7 @@ def locate_words(docs: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame]
 
     spans = F.transform(F.filter(F.transform("_words", place), lambda f: f["at"] > 0), lambda f: F.struct(
         f["label"].alias("label"), offset_of(f["i"]).alias("start"),
-        F.concat(F.array_join(F.slice("pieces", f["i"] + 1, f["n"] - 1), ""), F.get("toks", f["i"] + f["n"] - 1)).alias("text")))
+        F.concat(F.array_join(run_of("pieces", f["i"], f["n"] - 1), ""), F.get("toks", f["i"] + f["n"] - 1)).alias("text")))
     hits = F.transform(spans, lambda f: _hit(f["label"], f["text"], f["start"], f["start"] + F.length(f["text"]), before, after))
     return _windowed(rows, hits, "model", before, after).dropDuplicates(["doc_id", "label", "start", "end"])
 

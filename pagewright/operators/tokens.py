@@ -63,13 +63,26 @@ def token_arrays(docs: DataFrame, *keep: str, text_col: str = "text") -> DataFra
                  F.when(spare, F.length(F.col("_p")[0])).otherwise(0).alias("lead"))
     a = a.select(*keep, "toks", "pieces", "lead", F.transform("pieces", F.length).alias("lens"),
                  F.greatest(F.lit(OFFSET_BLOCK), F.ceil(F.size("toks") / OFFSET_BLOCKS)).cast("int").alias("block"))
+    # entries are taken one by one: a slice would copy the whole array first
     blocks = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size("lens") - 1, F.lit(0)) / F.col("block")).cast("int")),
-                         lambda b: F.aggregate(F.slice("lens", b * F.col("block") + 1, F.col("block")), F.lit(0), lambda acc, x: acc + x))
+                         lambda b: _lengths(b * F.col("block"), (b + 1) * F.col("block")))
     a = a.select("*", blocks.alias("_sums"))
     upto = F.aggregate("_sums", F.array(F.col("lead")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
     return a.select(*keep, "toks", "pieces", "lens", "lead", "block", upto.alias("upto"))
 
 
+def _lengths(low: Column, high: Column) -> Column:
+    """The sum of the lengths of pieces ``low`` to ``high`` (exclusive), as many as there are."""
+    each = F.when(high > low, F.sequence(low, high - 1)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(each, F.lit(0), lambda acc, j: acc + F.coalesce(F.get("lens", j), F.lit(0)))
+
+
+def run_of(array: str, low: Column, n: Column) -> Column:
+    """``n`` entries of an array column from place ``low`` (from 0), for use inside lambdas."""
+    return F.when((n > 0) & (F.size(array) > low), F.transform(F.sequence(low, F.least(low + n, F.size(array)) - 1), lambda j: F.get(array, j))) \
+        .otherwise(F.array().cast("array<string>"))
+
+
 def offset_of(i: Column) -> Column:
     """The start of token ``i`` (from 0) of a row of :func:`token_arrays`; null beyond the last.
 
@@ -77,8 +90,7 @@ def offset_of(i: Column) -> Column:
     columns: it would put an expression that is named once in its place, for every element.
     """
     b = F.floor(i / F.col("block")).cast("int")
-    inside = F.slice("lens", b * F.col("block") + 1, i - b * F.col("block"))
-    start = (F.get("upto", b) + F.aggregate(inside, F.lit(0), lambda acc, x: acc + x)).cast("long")
+    start = (F.get("upto", b) + _lengths(b * F.col("block"), i)).cast("long")
     return F.when((F.size("lens") > i) & (F.size("upto") > b), start)
 
 
