@@ -237,8 +237,11 @@ def groups(docs: DataFrame, percent: int = 75) -> DataFrame:
                                  "doc_id long, text_key long, n_shingles long, d1 long, d2 long, sig binary"))
     usable = sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
     same = ["n_shingles", "d1", "d2"]
-    reps = written(usable.groupBy(*same).agg(F.min(F.struct("doc_id", "sig")).alias("m")).select(
-        *same, F.col("m.doc_id").alias("doc_id"), F.col("m.sig").alias("sig"), F.monotonically_increasing_id().alias("rep")))
+    reps = usable.groupBy(*same).agg(F.min(F.struct("doc_id", "sig")).alias("m")).select(
+        *same, F.col("m.doc_id").alias("doc_id"), F.col("m.sig").alias("sig"))
+    # numbered in the order of doc_id, so that a group's lowest member is its earliest document
+    reps = written(reps.repartitionByRange("doc_id", *same).sortWithinPartitions("doc_id", *same).withColumn(
+        "rep", F.monotonically_increasing_id()))
     keyed = written(reps.select("rep", "sig").mapInPandas(_keyed, "key long, rep long"))
     hubs = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("_top")).where("hub <> _top").drop("_top")
     # written, so that the join has two plain sides and Spark can split a key that very many members have
