@@ -1,7 +1,7 @@
 """The pipeline's stages, each on its own input, against brute force."""
 
 import corpus_pipeline as P
-from awkward import brute_components, brute_repeats, documents, empty, words
+from awkward import brute_components, brute_repeats, documents, empty, sentence, words
 from pagewright.llm import mixing, nbsvm
 from pagewright.llm.common import written
 
@@ -51,10 +51,21 @@ def test_stages_on_awkward_and_empty_tables(spark):
             if not n:
                 assert out.count() == 0
         kept = [r.doc_id for r in P.near_duplicates(spark, docs, SF).collect()]
+        # the awkward table repeats an id only with an equal text
         assert len([i for i in kept if i is not None]) == len({i for i in kept if i is not None})
 
 
 def test_registered(spark):
     import __spark_entry__ as E
     names = E.queries()
-    assert "pipeline" in names and all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11))
+    assert "pipeline" in names and all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 14))
+
+
+def test_near_duplicates_keep_unlike_texts_of_one_doc_id(spark):
+    near = sentence(200, 5)
+    rows = [(1, sentence(100, 1)), (1, sentence(100, 2)), (1, sentence(100, 1)), (2, sentence(100, 3)), (3, near), (3, near + " and a tail"), (4, near), (None, near), (5, None)]
+    docs = documents(spark, [(i, t, "en", "s", 0) for i, t in rows])
+    got = sorted(((r.doc_id, r.text) for r in P.near_duplicates(spark, docs, "").collect()), key=str)
+    first = [t for i, t in got if i == 3]
+    assert len(first) == 1 and first[0] in (near, near + " and a tail")
+    assert sorted((x for x in got if x[0] != 3), key=str) == sorted([(1, sentence(100, 1)), (1, sentence(100, 2)), (2, sentence(100, 3)), (None, near), (5, None)], key=str)
