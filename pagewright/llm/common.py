@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,9 +32,13 @@ def written(df: DataFrame) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of jobs that are over now: it does so once the
     driver has collected their plans, which a driver with little garbage puts off for long."""
-    gc.collect()
     jvm = getattr(spark, "_jvm", None)
-    if jvm is not None:
+    if jvm is None:
+        return
+    # Python's references to plans are given up in the background, so it takes a moment and a second turn
+    for _ in range(2):
+        gc.collect()
+        time.sleep(1)
         jvm.java.lang.System.gc()
 
 
