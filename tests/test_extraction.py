@@ -272,3 +272,58 @@ def test_scorers_and_names_in_the_page_pipeline(spark):
     assert ("SPAN", "temporal lo", "model") in ents and not any(t == "temporal lobe" for _, t, _ in ents)
     assert ("PROTEIN", "saw tau", "model") in ents and ("PROTEIN", "tau", "model") not in ents and ("PROTEIN", "tau", "builtin") in ents
     assert counts.first().n_entities == len(ents)
+
+
+def test_cuts_find_the_tokens_that_begin_phrases(spark):
+    import re
+
+    from pagewright.operators.gazetteer import _any_of, cut_pattern
+    from pagewright.operators.tokens import tokenize
+    words = ["tau", "taupe", "ta", "p-tau", "x.y"]
+    assert [w for w in ["t", "ta", "tau", "taup", "taupe", "p-tau", "xzy"] if re.fullmatch(_any_of(words), w)] == ["ta", "tau", "taupe", "p-tau"]
+    firsts = ["tau", "p-tau", "αβ", "aβ", "(", "'s", "k", "a" * 60]
+    rnd = random.Random(4)
+    bits = ["Tau", "tau-x", "x-tau", "P-TAU", "p", "-", " ", "\n ", "ΑΒ", "Aβ", "(", "'s", "'stau", "dog", "K", "a" * 60, "A" * 61, "\U0001f600", "9"]
+    rows = [(n, "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 40)))) for n in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(r.doc_id, r.start) for r in tokenize(docs).collect() if r.token.lower() in firsts}
+    cuts = docs.select("doc_id", F.regexp_extract_all("text", F.lit(cut_pattern(firsts)), 0).alias("p"), "text").collect()
+    ends = set()
+    for r in cuts:
+        assert "".join(r.p) == r.text
+        ends |= {(r.doc_id, sum(map(len, r.p[:n]))) for n in range(len(r.p))}
+    assert want <= ends and len(want) > 500
+    # a text without first tokens is one piece, so nothing is built for the tokens between
+    assert docs.limit(1).select(F.size(F.regexp_extract_all(F.lit("one two three four"), F.lit(cut_pattern(firsts)), 0))).first()[0] == 1
+
+
+def test_a_scorer_sees_few_articles_at_once(spark):
+    import pandas as pd
+
+    from pagewright.operators import hooks as HK
+    docs = spark.range(1500).select(F.col("id").alias("doc_id"), F.concat(F.lit("tau "), F.col("id")).alias("text")).coalesce(1)
+
+    def scorer(pdf):
+        assert len(pdf) <= HK.SCORED_ROWS
+        return pd.DataFrame([(d, "A", t) for d, t in zip(pdf["doc_id"], pdf["text"]) if d % 3][::-1], columns=["doc_id", "label", "word"])
+    assert {(r.doc_id, r.word) for r in HK.run_scorer(docs, scorer).collect()} == {(d, f"tau {d}") for d in range(1500) if d % 3}
+    found = HK.locate_words(docs, scorer).collect()
+    assert {(r.doc_id, r.text, r.start) for r in found} == {(d, f"tau {d}", 0) for d in range(1500) if d % 3}
+
+
+def test_spans_are_masked_in_their_own_row(spark):
+    from pagewright.operators import hooks as HK
+    docs = spark.createDataFrame([(1, "ab cd ef"), (2, "as is"), (3, None), (4, "x" * 3000 + "\U0001f600NAME" + "y" * 2000)], "doc_id long, text string")
+    spans = spark.createDataFrame([(1, 3, 5), (1, 0, 2), (4, 3001, 3005)], "doc_id long, start long, end long")
+    got = {r.doc_id: r.text for r in HK.mask_spans(docs, spans).collect()}
+    assert got == {1: "[NAME] [NAME] ef", 2: "as is", 3: None, 4: "x" * 3000 + "\U0001f600[NAME]" + "y" * 2000}
+
+
+def test_name_mask_looks_for_the_names_of_all_customers(spark, tmp_path):
+    from pagewright.plans import registry as R
+    rows = [(1, "we met customer#000000007, twice: Customer#000000007."), (2, "Customer#000000008 and Li Wei"), (2, "nobody")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("Customer#000000007",), ("Customer#000000008",)], "c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    got = [r.text for r in R.QUERIES["name_mask"](spark, str(tmp_path)).collect()]
+    assert sum("we met [NAME], twice: [NAME]." in t for t in got) == 1 and sum("[NAME] and [NAME]" in t for t in got) == 1
+    assert sum("nobody" in t for t in got) == 1 and not any("#0000" in t for t in got)
