@@ -297,6 +297,30 @@ def test_cuts_find_the_tokens_that_begin_phrases(spark):
     assert docs.limit(1).select(F.size(F.regexp_extract_all(F.lit("one two three four"), F.lit(cut_pattern(firsts)), 0))).first()[0] == 1
 
 
+def test_cuts_pass_over_words_that_only_begin_alike(spark):
+    from pagewright.operators.gazetteer import cut_pattern
+    firsts = ["α-synuclein", "aβ", "kin", "i\u0307n"]
+    text = "an été à Α-Synuclein α-syn aβ and élan aβc İn \u212aIN ki"
+    got = spark.range(1).select(F.regexp_extract_all(F.lit(text), F.lit(cut_pattern(firsts)), 0)).first()[0]
+    assert got == ["an été à ", "Α-Synuclein α-syn ", "aβ and élan aβc ", "İn ", "\u212aIN ki"]
+
+
+def test_a_relation_is_scored_by_one_test_of_each_text():
+    from pagewright.operators.relations import rule_score
+    score = rule_score(F.col("a"), F.col("b"), F.col("t"))
+    assert str(score).upper().count("RLIKE") == 4      # two for the relation, two for its confidence
+
+
+def test_store_tables_share_pairs_and_aliases(spark):
+    from pagewright.operators import store as ST
+    docs = spark.createDataFrame([(1, "Tau is a biomarker (BM)."), (2, "Alzheimer's disease and the biomarker.")], "doc_id long, text string")
+    tables = ST.article_tables(docs, PL.extract_knowledge(docs, V.default_gazetteer(spark)))
+    for name in ("entity_relationships", "relationship_citations", "entity_aliases"):
+        plan = tables[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert tables[name].count() and "Join" not in plan and "regexp_extract_all" not in plan, plan
+    assert {r.relation for r in tables["entity_relationships"].collect()} == {"IS_A", "HAS_BIOMARKER"}
+
+
 def test_a_scorer_sees_few_articles_at_once(spark):
     import pandas as pd
 
