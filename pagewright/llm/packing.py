@@ -29,7 +29,8 @@ GRAIN = 4
 CUT = 512
 #: Id after each document.
 END_ID = 1
-#: Bytes of text taken at once, words whose ids a task remembers, and words that it learns in one call.
+#: Bytes of text taken at once, words (and as many parts of words) whose ids a task remembers, and words that it
+#: learns in one call.
 SLICE, REMEMBER, AT_ONCE = 4_000_000, 600_000, 2_000
 #: A text with words of many kinds, by which a tokenizer shows whether it separates at white space.
 PROBE = ["Hello", "wörld's", "x", "12ab", "(it's", "don't)", "ÀÉ", "日本", "a.b,c!", "😀", "<|x|>", "ĳ", "#&*", "é"]
@@ -63,11 +64,15 @@ class WordIds:
     def _pack(*ids: int) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            got = self.pieces[piece] = self._pack(*[t.id for t in self.tokenizer.model.tokenize(piece)])
-        return got
+    def _ids_of(self, found: list[str]) -> list[bytes]:
+        """Ids of each of some pieces; the model sees those it has not met."""
+        if len(self.pieces) + len(found) > REMEMBER:
+            self.pieces = {}
+        known = self.pieces
+        tokenize = self.tokenizer.model.tokenize
+        for p in {p for p in found if p not in known}:
+            known[p] = self._pack(*[t.id for t in tokenize(p)])
+        return [known[p] for p in found]
 
     def _learn(self, words: list[str]) -> None:
         for low in range(0, len(words), AT_ONCE):
@@ -94,7 +99,7 @@ class WordIds:
         if self.tokenizer.pre_tokenizer is None or (spans[:, 1] > begin[owner + 1] - 1).any():
             self.known.update((w, self._whole(w)) for w in words)
             return
-        ids = [self._piece(p) for p, _ in found]
+        ids = self._ids_of([p for p, _ in found])
         edge = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
         self.known.update((w, ids[a] if b == a + 1 else b"".join(ids[a:b])) for w, a, b in zip(words, edge, edge[1:]))
 
@@ -109,7 +114,7 @@ class WordIds:
         different = words.dictionary.to_pylist()
         missing = [w for w in different if w not in self.known]
         if len(self.known) + len(missing) > REMEMBER:
-            self.known, self.pieces, missing = {"": b""}, {}, different
+            self.known, missing = {"": b""}, different
         self._learn(missing)
         # the ids of each different word are laid out once, and taken for every word
         ids = [self.known[w] for w in different]

@@ -163,6 +163,25 @@ def test_memory_of_words_is_bounded(monkeypatch):
     assert one == (_ids(all_, [text, "so few"]), _ids(all_, ["and then"]))
 
 
+def test_parts_of_words_outlive_the_words(monkeypatch):
+    # words that differ only in signs around them: the model sees each part once, though the words are forgotten
+    monkeypatch.setattr(P, "REMEMBER", 60)
+    w, seen = P.WordIds(tokenizer_path()), []
+    class Model:
+        def tokenize(self, piece, of=w.tokenizer.model):
+            seen.append(piece)
+            return of.tokenize(piece)
+    class Counted:
+        model = Model()
+        def __getattr__(self, name, of=w.tokenizer):
+            return getattr(of, name)
+    w.tokenizer = Counted()
+    texts = [" ".join(f"{sign}abc{k}{sign}" for k in "uvwxyz") for sign in ".,;:!?()[]{}"]
+    for t in texts:
+        _ids(w, [t])
+    assert len(seen) == len(set(seen)) and len(w.known) <= 60 and len(w.pieces) <= 60
+
+
 def test_mix_where_ids_repeat_meets_targets_and_cap(spark):
     rng = np.random.default_rng(6)
     rows = [(int(i % 3) if i % 2 else None, " ".join(["w"] * int(rng.integers(5, 90)) + [str(i)]), "en", "ab"[i % 7 == 0], 0) for i in range(300)]
