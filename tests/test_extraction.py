@@ -351,3 +351,54 @@ def test_name_mask_looks_for_the_names_of_all_customers(spark, tmp_path):
     got = [r.text for r in R.QUERIES["name_mask"](spark, str(tmp_path)).collect()]
     assert sum("we met [NAME], twice: [NAME]." in t for t in got) == 1 and sum("[NAME] and [NAME]" in t for t in got) == 1
     assert sum("nobody" in t for t in got) == 1 and not any("#0000" in t for t in got)
+
+
+def _written(spark):
+    import os
+
+    from pagewright.session import ensure_checkpoint_dir
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(ensure_checkpoint_dir(spark)) for f in fs)
+
+
+def test_blocked_matches_are_written_without_the_text_around_them(spark):
+    import pandas as pd
+    rnd = random.Random(3)
+    noise = lambda n: "".join(rnd.choice("bcdfgklmnprstvwz ") for _ in range(n))
+    texts = {k: " tau ".join(noise(20) for _ in range(300)) + f" in the temporal lobe of Dr {k} \U0001f600 MRI" for k in range(60)}
+    rows = [*texts.items(), (7, texts[7]), (None, texts[8]), (90, None), (91, "")]      # the same row twice, no id, no text
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    span = lambda pdf: pd.DataFrame([(d, "MODEL", t.index("lobe"), t.index("lobe") + 7) for d, t in zip(pdf["doc_id"], pdf["text"]) if t],
+                                    columns=["doc_id", "label", "start", "end"])
+    word = lambda pdf: pd.DataFrame([(d, "TITLE", "of Dr") for d in pdf["doc_id"]], columns=["doc_id", "label", "word"])
+    gz = PL.gazetteer_of(V.default_gazetteer(spark))
+    before = _written(spark)
+    ex = PL.extract_knowledge(docs, gz, span_scorer=span, word_scorer=word)
+    got = ex.entities.collect()
+    assert _written(spark) - before < sum(map(len, texts.values()))
+    assert len(got) == len({(r.doc_id, r.label, r.text.lower()) for r in got}) and {r.doc_id for r in got} == {*texts, None}
+    for r in got:
+        t = texts[8 if r.doc_id is None else r.doc_id]
+        assert t[r.start:r.end] == r.text and r.context == t[max(0, r.start - 50):r.end + 50]
+    mine = {(r.label, r.text) for r in got if r.doc_id == 7}
+    assert {("MODEL", "lobe of"), ("TITLE", "of Dr")} <= mine and not any(x == "temporal lobe" for _, x in mine)
+    assert ex.mentions.where("doc_id = 7 AND text = 'tau'").count() == 299
+    rel = ex.relations.where("doc_id = 7").collect()
+    assert all(r.context in texts[7] for r in rel)
+
+
+def test_candidates_are_exchanged_once_to_drop_overlaps_and_find_islands(spark):
+    rnd = random.Random(4)
+    span = lambda: (s := rnd.randrange(0, 900), s + rnd.randint(-3, 12))  # noqa: E731, empty and reversed ones too
+    cands = [(rnd.choice([0, 1, None]), i, *span()) for i in range(300)] + [(0, 300, None, 5), (0, 301, 5, None)]
+    blocks = [(rnd.choice([0, 1, 2, None]), *span()) for _ in range(60)] + [(0, None, 800), (0, 3, None)]
+    c = spark.createDataFrame([(*x, 1, "L", 0) for x in cands], "doc_id int, i int, start long, end long, n_tokens int, label string, priority int")
+    b = spark.createDataFrame(blocks, "doc_id long, start long, end long")
+    got = SP.drop_overlapping(c, b)
+    want = [x[1] for x in cands if None in (x[0], *x[2:]) or not any(None not in y and y[0] == x[0] and x[2] < y[2] and y[1] < x[3] for y in blocks)]
+    assert dict(got.dtypes) == dict(c.dtypes) and sorted(r.i for r in got.collect()) == sorted(want) and 0 < len(want) < 300
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = SP.islands(got)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
